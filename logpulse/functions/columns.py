@@ -51,19 +51,23 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def epoch_micros(ts: str | Column) -> Column:
-    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ.
+def epoch_seconds(ts: str | Column) -> Column:
+    """Whole seconds since 1970-01-01 of a TIMESTAMP_NTZ (floor).
 
-    Built from the wall-clock fields, which are zone-free for NTZ
-    (``timestampdiff`` would cast NTZ to a session-zone TIMESTAMP and shift
-    results across daylight-saving changes).
+    Zone-free and cheap: date part via ``unix_date``, time of day as the
+    (non-negative) NTZ - NTZ interval cast to seconds. ``timestampdiff``
+    is not used because it casts NTZ to a session-zone TIMESTAMP.
     """
     c = col_(ts)
-    days = F.unix_date(F.to_date(c)).cast("bigint")
-    secs = F.date_part(F.lit("SECOND"), c)  # decimal(8,6): seconds with fraction
-    return (days * F.lit(86_400_000_000) + F.hour(c).cast("bigint") * F.lit(3_600_000_000)
-            + F.minute(c).cast("bigint") * F.lit(60_000_000)
-            + (secs * F.lit(1_000_000)).cast("bigint"))
+    day = F.to_date(c)
+    tod = (c - day.cast("timestamp_ntz")).cast("bigint")
+    return F.unix_date(day).cast("bigint") * F.lit(86_400) + tod
+
+
+def epoch_micros(ts: str | Column) -> Column:
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ (zone-free)."""
+    frac = (F.date_part(F.lit("SECOND"), col_(ts)) * F.lit(1_000_000)).cast("bigint") % F.lit(1_000_000)
+    return epoch_seconds(ts) * F.lit(1_000_000) + frac
 
 
 def from_epoch_micros(us: Column) -> Column:
@@ -76,9 +80,13 @@ def floor_time(ts: str | Column, width: str | timedelta) -> Column:
 
     Same buckets as ``window(ts, width).start`` but null-preserving: ``window``
     in a projection adds an ``isnotnull`` filter, which would drop rows from
-    the counts that must include them.
+    the counts that must include them. Whole-second widths use second
+    arithmetic only.
     """
     w = duration_micros(width)
+    if w % 1_000_000 == 0:
+        secs = epoch_seconds(ts)
+        return F.timestamp_add("SECOND", secs - F.pmod(secs, F.lit(w // 1_000_000)), epoch_ntz())
     us = epoch_micros(ts)
     return from_epoch_micros(us - F.pmod(us, F.lit(w)))
 

@@ -61,10 +61,10 @@ def window_error_rate(entries: DataFrame, window: str = "5 minutes",
     aggregate (the cube's level columns are not needed here).
     """
     return (entries
+            .where(F.col("timestamp").isNotNull())
             .groupBy(*keys, floor_time("timestamp", window).alias("window_start"))
             .agg(F.count(F.lit(1)).alias("total_entries"),
                  F.count_if(is_error("level")).alias("error_count"))
-            .where(F.col("window_start").isNotNull())
             .select(*keys, "window_start",
                     add_duration("window_start", window).alias("window_end"),
                     "total_entries", "error_count",

@@ -40,27 +40,44 @@ def read_log_lines(spark: SparkSession, path: str, glob: str = "*.log",
     return df.select(F.col("_metadata.file_path").alias("file_path"), "value")
 
 
-def _tag(lines: DataFrame, line_col: str, pattern: str, ts_fmt_cast: str,
-         groups: dict[str, int], level_expr) -> DataFrame:
-    """Add parsed columns plus ``reject_reason`` (NULL for accepted lines)."""
-    p = JAVA_FLAGS + pattern
-    line = col_(line_col)
-    matched = F.coalesce(line.rlike(p), F.lit(False))
-    ts_text = F.regexp_extract(line, p, groups["timestamp"])
-    ts = F.when(matched, ts_text.try_cast(ts_fmt_cast))
+def _tag(lines: DataFrame, line_col: str, pattern: str, groups: dict[str, int],
+         level_expr) -> DataFrame:
+    """Add parsed columns plus ``reject_reason`` (NULL for accepted lines;
+    the parsed columns are only meaningful for those).
+
+    One regex evaluation per line: ``pattern`` gets a catch-all alternative
+    and ``regexp_replace`` rewrites the whole line to its groups joined by
+    ``\\n``. No group can contain a newline (``\\S`` and ``.`` exclude it under
+    ``(?d)``; text lines never hold one), so the split is exact; a line that
+    only matches the catch-all rewrites to empty parts (empty timestamp).
+    """
+    p = f"{JAVA_FLAGS}(?:{pattern})|^.*$"
+    order = ("timestamp", "level", "logger", "message")
+    rewrite = "\n".join(f"${groups[k]}" for k in order)
+    parts = F.split(F.regexp_replace(col_(line_col), p, rewrite), "\n", len(order))
+    part = {k: F.try_element_at(parts, F.lit(i + 1)) for i, k in enumerate(order)}
+    # try_cast('') is NULL, so "accepted" is exactly "timestamp IS NOT NULL":
+    # the filter that callers push down evaluates the regex once.
+    ts = part["timestamp"].try_cast("timestamp_ntz")
+    ok = ts.isNotNull()
+    no_match = F.coalesce(part["timestamp"] == F.lit(""), F.lit(True))
+    # value columns are unconditional (a CASE around them would defeat
+    # common-subexpression elimination); they are meaningful only where
+    # timestamp is not null, which is all that parse_* returns
     cols = {
         "timestamp": ts,
-        "level": F.when(matched, level_expr(F.regexp_extract(line, p, groups["level"]))),
-        "logger": F.when(matched, F.regexp_extract(line, p, groups["logger"])),
-        "message": F.when(matched, F.regexp_extract(line, p, groups["message"])),
-        "reject_reason": F.when(~matched, F.lit("no_match"))
-                          .when(ts.isNull(), F.lit("bad_timestamp")),
+        "level": level_expr(part["level"]),
+        "logger": part["logger"],
+        "message": part["message"],
+        "reject_reason": F.when(ok, F.lit(None).cast("string"))
+                          .when(no_match, F.lit("no_match"))
+                          .otherwise(F.lit("bad_timestamp")),
     }
     return lines.withColumns(cols)
 
 
 def tag_hadoop_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
-    out = _tag(lines, line_col, HADOOP_LINE_PATTERN, "timestamp_ntz",
+    out = _tag(lines, line_col, HADOOP_LINE_PATTERN,
                {"timestamp": 1, "level": 2, "logger": 4, "message": 5},
                normalise_level)
     # logger = last dotted segment of the component
@@ -68,13 +85,13 @@ def tag_hadoop_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
 
 
 def tag_app_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
-    return _tag(lines, line_col, APP_LINE_PATTERN, "timestamp_ntz",
+    return _tag(lines, line_col, APP_LINE_PATTERN,
                 {"timestamp": 1, "level": 2, "logger": 3, "message": 4},
                 lambda c: c)
 
 
 def _accepted(tagged: DataFrame, line_col: str, keep_raw: bool) -> DataFrame:
-    out = tagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    out = tagged.where(F.col("timestamp").isNotNull()).drop("reject_reason")
     if keep_raw:
         return out.withColumnRenamed(line_col, "raw")
     return out.drop(line_col)
