@@ -26,7 +26,7 @@ from logpulse.functions.columns import (
     second_text,
     spike_severity,
 )
-from logpulse.operators.status import status_from_spike_counts, status_reason
+from logpulse.operators.status import fmt_template, status_from_spike_counts, status_reason
 from logpulse.operators.top_errors import top_errors
 from logpulse.operators.windows import window_cube
 
@@ -54,11 +54,11 @@ def _advice(spikes: Column, top: Column, p: HealthParams) -> Column:
                 .when(a["window_start"] > b["window_start"], 1).otherwise(0))
 
     width = p.window.replace("%", "%%")
-    tmpl = SPIKE_ADVICE.format(window="%s", errors="%d", width=width, pct="%s")
+    tmpl = fmt_template(SPIKE_ADVICE, window="%s", errors="%d", width=width, pct="%s")
     worst = F.slice(F.array_sort(spikes, by_rate_then_window), 1, p.spike_advice_n)
     spike_text = F.transform(worst, lambda s: F.format_string(
         tmpl, s["window"], s["error_count"], percent_text(s["error_rate"])))
-    top_tmpl = TOP_ERROR_ADVICE.format(prefix="%s", count="%d")
+    top_tmpl = fmt_template(TOP_ERROR_ADVICE, prefix="%s", count="%d")
     top_text = F.when(F.size(top) > 0, F.array(F.format_string(
         top_tmpl, F.try_element_at(top, F.lit(1))["message_prefix"],
         F.try_element_at(top, F.lit(1))["count"]))).otherwise(F.array().cast("array<string>"))

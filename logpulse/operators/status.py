@@ -46,12 +46,18 @@ def time_range(entries: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
                     covered_hours("first_ts", "last_ts").alias("hours_analysed")))
 
 
+def fmt_template(template: str, **fields) -> str:
+    """A ``format_string`` pattern from a ``{field}`` template: literal ``%``
+    doubled, fields replaced by the given conversions."""
+    return template.replace("%", "%%").format(**fields)
+
+
 def _pct(x: float) -> int:
     return int(x * 100)
 
 
 def status_reason(status: Column, n_spikes: Column, p: HealthParams) -> Column:
-    warning = REASON_WARNING.format(n="%d", threshold_pct=_pct(p.error_rate_threshold))
+    warning = fmt_template(REASON_WARNING, n="%d", threshold_pct=_pct(p.error_rate_threshold))
     return (F.when(status == "CRITICAL", F.lit(REASON_CRITICAL.format(critical_pct=_pct(p.critical_rate))))
             .when(status == "WARNING", F.format_string(warning, n_spikes))
             .otherwise(F.lit(REASON_HEALTHY)))
@@ -80,22 +86,24 @@ def health_status(spikes: DataFrame, params: HealthParams = HealthParams(),
 
 def worst_spike(spikes: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Highest-rate spike (earliest window on ties); no row without spikes."""
+    if not keys:  # top-1: TakeOrderedAndProject, no row when there is no spike
+        return spikes.orderBy(F.col("error_rate").desc(), F.col("window_start").asc()).limit(1)
     cols = [c for c in spikes.columns if c not in keys]
-    # order key: rate desc, then window asc -> max of (rate, -epoch)
+    # per key: rate desc, then window asc -> max of (rate, -epoch)
     order = F.struct(F.col("error_rate"), (-epoch_micros("window_start")).alias("neg_us"))
     best = spikes.groupBy(*keys).agg(F.max_by(F.struct(*cols), order).alias("s"))
     return best.select(*keys, "s.*")
 
 
 def spike_advice_text(width: str) -> Column:
-    tmpl = SPIKE_ADVICE.format(window="%s", errors="%d", width=width.replace("%", "%%"),
-                               pct="%s")
+    tmpl = fmt_template(SPIKE_ADVICE, window="%s", errors="%d", width=width.replace("%", "%%"),
+                        pct="%s")
     return F.format_string(tmpl, second_text("window_start"), F.col("error_count"),
                            percent_text("error_rate"))
 
 
 def top_error_advice_text() -> Column:
-    tmpl = TOP_ERROR_ADVICE.format(prefix="%s", count="%d")
+    tmpl = fmt_template(TOP_ERROR_ADVICE, prefix="%s", count="%d")
     return F.format_string(tmpl, F.col("message_prefix"), F.col("count"))
 
 

@@ -72,6 +72,8 @@ def _status_processor(keys: Sequence[str], initial: str):
 
         def handleInputRows(self, key, rows, timerValues):
             batch = pd.concat(list(rows), ignore_index=True).sort_values("window_start")
+            for name, value in zip(keys, key):   # grouping values come with the key
+                batch[name] = value
             prev = self.last.get()[0] if self.last.exists() else initial
             statuses = batch["status"].tolist()
             prevs = [prev, *statuses[:-1]]
