@@ -21,16 +21,23 @@ RANK_SALT_BUCKETS = 64
 
 
 def _rank_top(grouped: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
-    order = [F.col("count").desc(), F.col("prefix").asc()]
+    """Top ``n`` non-NULL prefixes per key of a (keys, prefix, count) frame.
+
+    The NULL-prefix group stays in ``grouped`` (its count belongs in the
+    totals) and is ordered last, then dropped after ranking; filtering it
+    before would be pushed below the aggregate and give the totals a
+    different plan than the ranking, defeating exchange reuse.
+    """
+    order = [F.col("prefix").isNull().asc(), F.col("count").desc(), F.col("prefix").asc()]
     if not keys:
-        top = grouped.orderBy(*order).limit(n)
+        top = grouped.orderBy(*order).limit(n).where(F.col("prefix").isNotNull())
         # at most n rows reach this window
         return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
     salt = (F.xxhash64("prefix") % RANK_SALT_BUCKETS).alias("salt")
     stage1 = (grouped.withColumn("salt", salt)
               .withColumn("r1", F.row_number().over(
                   Window.partitionBy(*keys, "salt").orderBy(*order)))
-              .where(F.col("r1") <= n).drop("r1", "salt"))
+              .where((F.col("r1") <= n) & F.col("prefix").isNotNull()).drop("r1", "salt"))
     return (stage1.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
             .where(F.col("rank") <= n))
 
@@ -39,17 +46,21 @@ def top_prefixes(df: DataFrame, text_col: str = "text", n: int = 10,
                  prefix_length: int = 60, keys: Sequence[str] = ()) -> DataFrame:
     """Top ``n`` first-``prefix_length``-code-point prefixes of ``text_col``:
     (keys, rank, prefix, count, share); ties by prefix ascending; share is of
-    all rows (NULL texts count in the total but form no group)."""
-    rows = df.select(*keys, message_prefix(text_col, prefix_length).alias("prefix"))
-    grouped = (rows.where(F.col("prefix").isNotNull())
+    all rows (NULL texts count in the total but form no ranked group).
+
+    The total is summed from the same grouped aggregate (scalar subquery
+    unkeyed, join on keys otherwise), so the source is scanned once and the
+    shuffle is reused.
+    """
+    grouped = (df.select(*keys, message_prefix(text_col, prefix_length).alias("prefix"))
                .groupBy(*keys, "prefix").agg(F.count(F.lit(1)).alias("count")))
     ranked = _rank_top(grouped, n, keys)
     if keys:
-        totals = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
+        totals = grouped.groupBy(*keys).agg(F.sum("count").alias("_total"))
         ranked = ranked.join(totals, list(keys))
         total = F.col("_total")
     else:
-        total = rows.agg(F.count(F.lit(1))).scalar()
+        total = grouped.agg(F.sum("count")).scalar()
     return ranked.select(*keys, "rank", "prefix", "count",
                          (F.col("count") / total).alias("share"))
 

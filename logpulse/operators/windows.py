@@ -116,15 +116,28 @@ def spike_lift(entries: DataFrame, params: HealthParams = HealthParams(),
                keys: Sequence[str] = ()) -> DataFrame:
     """Spike windows with their rate relative to the overall error rate.
 
-    Unkeyed, the overall rate is a scalar subquery (one row, evaluated once);
-    keyed, it is a per-key aggregate joined on the keys.
+    One scan, one shuffle: window counts keep the NULL-timestamp group (it
+    belongs in the overall rate) and the overall rate is summed from the
+    same aggregate - a scalar subquery unkeyed, a join on keys otherwise -
+    so Spark reuses the exchange instead of scanning the entries again.
     """
-    spikes = detect_spikes(entries, params, keys)
+    counts = (entries
+              .groupBy(*keys, floor_time("timestamp", params.window).alias("window_start"))
+              .agg(F.count(F.lit(1)).alias("total_entries"),
+                   F.count_if(is_error("level")).alias("error_count")))
+    totals = counts.groupBy(*keys).agg(
+        safe_ratio(F.sum("error_count"), F.sum("total_entries")).alias("overall_error_rate"))
+    # The NULL-window test references an aggregate output so that it stays
+    # above the aggregate (a pushed-down filter would change its plan).
+    populated = F.when(F.col("total_entries") > 0, F.col("window_start")).isNotNull()
+    rates = counts.where(populated).withColumn(
+        "error_rate", F.col("error_count") / F.col("total_entries"))
+    spikes = spikes_from_rates(rates, params)
     if keys:
-        spikes = spikes.join(overall_error_rate(entries, keys), list(keys))
+        spikes = spikes.join(totals, list(keys))
         overall = F.col("overall_error_rate")
     else:
-        overall = overall_error_rate(entries).scalar()
+        overall = totals.select("overall_error_rate").scalar()
         spikes = spikes.withColumn("overall_error_rate", overall)
     return spikes.select(
         *keys, "window_start", "total_entries", "error_count", "error_rate", "severity",
