@@ -16,3 +16,15 @@ def enrich_entries(entries: DataFrame, window: str = "5 minutes") -> DataFrame:
         "minute_window": floor_time("timestamp", window),
         "is_error": is_error("level"),
     })
+
+
+def sort_entries(entries: DataFrame) -> DataFrame:
+    """Entries by timestamp, ties in file order (only when a caller needs
+    an ordered result; no aggregate depends on it).
+
+    Uses whichever of (file_path, file_block_start, line_seq) are present -
+    see ``read_log_lines(with_position=True)``. A global sort: Spark samples
+    the keys and range-partitions, so no task holds more than its range.
+    """
+    ties = [c for c in ("file_path", "file_block_start", "line_seq") if c in entries.columns]
+    return entries.orderBy("timestamp", *ties)

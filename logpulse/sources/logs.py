@@ -26,18 +26,24 @@ ENTRY_COLUMNS = ("timestamp", "level", "logger", "message")
 
 
 def read_log_lines(spark: SparkSession, path: str, glob: str = "*.log",
-                   recursive: bool = True) -> DataFrame:
+                   recursive: bool = True, with_position: bool = False) -> DataFrame:
     """All lines of the matching files under ``path``: (file_path, value).
 
     Files are read by Spark's text source; ``\\r``, ``\\n`` and ``\\r\\n`` all end
     a line. Like any Spark file source, hidden and ``_``-prefixed files are
-    skipped.
+    skipped. ``with_position`` adds (file_block_start, line_seq): lines of one
+    file block are read in order, so (file_path, file_block_start, line_seq)
+    orders lines as in the file.
     """
     reader = spark.read.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     df = reader.text(path)
-    return df.select(F.col("_metadata.file_path").alias("file_path"), "value")
+    cols = [F.col("_metadata.file_path").alias("file_path")]
+    if with_position:
+        cols += [F.col("_metadata.file_block_start").alias("file_block_start"),
+                 F.monotonically_increasing_id().alias("line_seq")]
+    return df.select(*cols, "value")
 
 
 def _tag(lines: DataFrame, line_col: str, pattern: str, groups: dict[str, int],

@@ -113,6 +113,17 @@ def stream_status_alerts(entries: DataFrame, params: HealthParams = HealthParams
     return out.drop("_all") if not keys else out
 
 
+def stream_alert_events(entries: DataFrame, params: HealthParams = HealthParams(),
+                        keys: Sequence[str] = (), watermark: str = "10 minutes",
+                        initial: str = "HEALTHY") -> DataFrame:
+    """:func:`stream_status_alerts` plus transition text, colour, emoji and
+    the chat payload per alert (a projection on the stateful output): the
+    rows of the alerts table."""
+    from logpulse.operators.status import alert_events
+
+    return alert_events(stream_status_alerts(entries, params, keys, watermark, initial), params, keys)
+
+
 def ensure_rocksdb_state(spark: SparkSession) -> None:
     """``transformWithStateInPandas`` needs the RocksDB state store."""
     key = "spark.sql.streaming.stateStore.providerClass"

@@ -102,3 +102,15 @@ def test_union_sources(spark, scratch):
     u = union_sources(("hadoop", load_hadoop_logs(spark, f"{scratch}/h")),
                       ("app", load_app_logs(spark, f"{scratch}/a")))
     assert sorted((r.source, r.level) for r in u.collect()) == [("app", "INFO"), ("hadoop", "ERROR")]
+
+
+def test_sort_entries_keeps_file_order_on_ties(spark, scratch):
+    from logpulse.operators import sort_entries
+    from logpulse.sources import parse_hadoop_lines
+
+    same = "2015-10-18 21:40:23,154 INFO [main] a.B: "
+    write(f"{scratch}/b.log", [same + f"b{i}" for i in range(50)])
+    write(f"{scratch}/a.log", ["2015-10-18 21:40:24,000 INFO [main] a.B: later"] + [same + f"a{i}" for i in range(50)])
+    lines = read_log_lines(spark, scratch, with_position=True)
+    got = [r.message for r in sort_entries(parse_hadoop_lines(lines)).collect()]
+    assert got == [f"a{i}" for i in range(50)] + [f"b{i}" for i in range(50)] + ["later"]

@@ -1,5 +1,6 @@
 """Structured Streaming: stream = batch, late data, restart without re-alerting."""
 
+import json
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from logpulse.sources import entries_from_events, parse_hadoop_lines, read_table
 from logpulse.streaming import (
     ensure_rocksdb_state,
     run_to_parquet,
-    stream_status_alerts,
+    stream_alert_events,
     stream_window_rates,
 )
 
@@ -90,10 +91,11 @@ def test_alerts_restart_from_checkpoint(spark, scratch):
 
     def run():
         entries = parse_hadoop_lines(stream_log_lines(spark, f"{scratch}/logs"))
-        alerts = stream_status_alerts(entries, HealthParams(), watermark="10 minutes")
+        alerts = stream_alert_events(entries, HealthParams(), watermark="10 minutes")
         run_to_parquet(alerts, "a", output=f"{scratch}/alerts", checkpoint=f"{scratch}/ck")
-        return sorted((r.window_start, r.prev_status, r.status)
-                      for r in spark.read.parquet(f"{scratch}/alerts").collect())
+        rows = spark.read.parquet(f"{scratch}/alerts").collect()
+        assert all(json.loads(r.payload)["attachments"][0]["color"] for r in rows)
+        return sorted((r.window_start, r.prev_status, r.status) for r in rows)
 
     first = run()
     assert first == [(base, "HEALTHY", "CRITICAL")]
