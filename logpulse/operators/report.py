@@ -1,9 +1,10 @@
-"""One-row health report assembled from the window cube.
+"""One-row health report from a single scan.
 
-Plan: one scan of the entries feeds the window cube (one shuffle of partial
-aggregates); a single global aggregate over the cube yields the counts, the
-time range and the spike list; the top-errors ranking is a second aggregate
-over error rows, attached as a scalar subquery. No join, no cross join.
+Plan: one base aggregate over the entries on (window, error prefix) - one
+scan, one shuffle of partial aggregates - rolled up by window (the window
+cube: counts, time range, spikes and status come from one global aggregate
+over it) and by prefix (top errors, attached as a scalar subquery that
+reuses the same exchange). No join, no cross join.
 
 Size of the arrays: top errors <= ``top_errors_n``; spikes <= number of
 populated windows, i.e. bounded by time span / window length (1 year of
@@ -20,6 +21,9 @@ from pyspark.sql import functions as F
 from logpulse.constants import LEVELS, SPIKE_ADVICE, TOP_ERROR_ADVICE, HealthParams
 from logpulse.functions.columns import (
     covered_hours,
+    floor_time,
+    is_error,
+    message_prefix,
     minute_text,
     percent_text,
     safe_ratio,
@@ -27,8 +31,8 @@ from logpulse.functions.columns import (
     spike_severity,
 )
 from logpulse.operators.status import fmt_template, status_from_spike_counts, status_reason
-from logpulse.operators.top_errors import top_errors
-from logpulse.operators.windows import window_cube
+from logpulse.operators.top_errors import _rank_top
+from logpulse.operators.windows import level_counts
 
 
 def _spike_struct(p: HealthParams) -> tuple[Column, Column]:
@@ -65,12 +69,35 @@ def _advice(spikes: Column, top: Column, p: HealthParams) -> Column:
     return F.concat(spike_text, top_text)
 
 
+def report_aggregate(entries: DataFrame, p: HealthParams) -> tuple[DataFrame, DataFrame]:
+    """(window cube, error-prefix counts) from one scan.
+
+    A base aggregate on (window_start, prefix of error rows) - non-error rows
+    share the NULL prefix - is rolled up twice: by window (the cube) and by
+    prefix (the NULL group is skipped by the ranking). Both roll-ups read the
+    base aggregate's exchange, so the entries are scanned and shuffled once;
+    both keep every column so column pruning leaves the two reads identical.
+    (GROUPING SETS would express the same, but its Expand node defeats
+    exchange reuse between the main query and the scalar subquery.)
+    """
+    prefix = F.when(is_error("level"), message_prefix("message", p.prefix_length))
+    base = (entries
+            .groupBy(floor_time("timestamp", p.window).alias("window_start"), prefix.alias("prefix"))
+            .agg(F.count(F.lit(1)).alias("n_all"), *level_counts(),
+                 F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts")))
+    sums = [F.sum(c).alias(c) for c in ("n_all", *[f"n_{lv}" for lv in LEVELS])]
+    spans = [F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts")]
+    cube = base.groupBy("window_start").agg(*sums, *spans)
+    prefixes = base.groupBy("prefix").agg(*sums, *spans).withColumn("count", F.col("n_all"))
+    return cube, prefixes
+
+
 def health_report(entries: DataFrame, params: HealthParams = HealthParams(),
                   as_of: datetime | str | None = None) -> DataFrame:
     """The nested one-row report: status, reason, counts, time range, top
     errors, spikes, recommendations, generation time and covered hours."""
     p = params
-    cube = window_cube(entries, p.window)
+    cube, prefixes = report_aggregate(entries, p)
     is_spike, spike = _spike_struct(p)
     summary = cube.agg(
         *[F.coalesce(F.sum(f"n_{lv}"), F.lit(0)).alias(lv) for lv in LEVELS],
@@ -81,16 +108,22 @@ def health_report(entries: DataFrame, params: HealthParams = HealthParams(),
         F.sort_array(F.collect_list(F.when(is_spike, spike))).alias("spikes"),
     )
     top_struct = "struct<message_prefix:string,count:bigint,pct_of_errors:double>"
-    top = (top_errors(entries, p.top_errors_n, p.prefix_length)
-           .agg(F.sort_array(F.collect_list(F.struct("rank", "message_prefix", "count",
-                                                      "pct_of_errors"))).alias("t"))
-           .select(F.transform("t", lambda x: F.struct(x["message_prefix"].alias("message_prefix"),
-                                                       x["count"].alias("count"),
-                                                       x["pct_of_errors"].alias("pct_of_errors")))
-                   .cast(f"array<{top_struct}>"))
-           .scalar())
+    ranked = _rank_top(prefixes, p.top_errors_n, ())
+    carried = [c for c in prefixes.columns if c not in ("rank", "prefix", "count")]
+    top = (ranked.agg(F.sort_array(F.collect_list(
+               F.struct("rank", "prefix", "count", F.struct(*carried).alias("carried")))).alias("t"))
+           .select(F.transform("t", lambda x: F.struct(x["rank"].alias("rank"), x["prefix"].alias("prefix"),
+                                                       x["count"].alias("count"))).alias("t"))
+           .select("t").scalar())
+    n_errors = F.col("ERROR") + F.col("CRITICAL")
+    # the subquery is attached as a column first: it may not sit inside a lambda
+    top_list = F.transform(F.coalesce("_top", F.array().cast("array<struct<rank:int,prefix:string,count:bigint>>")),
+                           lambda x: F.struct(x["prefix"].alias("message_prefix"),
+                                              x["count"].alias("count"),
+                                              (x["count"] / n_errors).alias("pct_of_errors"))
+                           ).cast(f"array<{top_struct}>")
     status = status_from_spike_counts(F.col("spike_count"), F.col("critical_spikes"))
-    error_rate = safe_ratio(F.col("ERROR") + F.col("CRITICAL"), "total")
+    error_rate = safe_ratio(n_errors, "total")
     severity = F.struct(*[F.col(lv) for lv in LEVELS], F.col("total"),
                         error_rate.alias("error_rate"),
                         safe_ratio("WARNING", "total").alias("warning_rate"))
@@ -101,7 +134,8 @@ def health_report(entries: DataFrame, params: HealthParams = HealthParams(),
     generated = (F.lit(str(as_of)).cast("timestamp_ntz") if as_of is not None
                  else F.localtimestamp())
     return (summary
-            .withColumn("top_errors", top)
+            .withColumn("_top", top)
+            .withColumn("top_errors", top_list)
             .select(
                 status.alias("status"),
                 status_reason(status, F.col("spike_count"), p).alias("status_reason"),
@@ -111,11 +145,10 @@ def health_report(entries: DataFrame, params: HealthParams = HealthParams(),
                                 minute_text("last_ts").alias("end"))).alias("time_range"),
                 severity.alias("severity_counts"),
                 F.round(error_rate * 100, 2).alias("error_rate_pct"),
-                F.coalesce("top_errors", F.array().cast(f"array<{top_struct}>")).alias("top_errors"),
+                F.col("top_errors"),
                 spikes_out.alias("anomaly_spikes"),
                 F.col("spike_count"),
-                _advice(F.col("spikes"), F.coalesce("top_errors", F.array().cast(f"array<{top_struct}>")),
-                        p).alias("recommendations"),
+                _advice(F.col("spikes"), F.col("top_errors"), p).alias("recommendations"),
                 second_text(generated).alias("generated_at"),
                 covered_hours("first_ts", "last_ts").alias("hours_analysed"),
             ))
