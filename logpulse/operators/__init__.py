@@ -10,6 +10,7 @@ from logpulse.operators.status import (  # noqa: F401
     status_transitions,
     time_range,
     top_error_by_window,
+    window_alerts,
     worst_spike,
 )
 from logpulse.operators.text import pages_to_text  # noqa: F401

@@ -238,7 +238,12 @@ def alert_events(transitions: DataFrame, params: HealthParams = HealthParams(),
         "emoji": status_emoji("status"),
     })
     if top_errors_by_window is not None:
-        df = df.join(top_errors_by_window, [*keys, "window_start"], "left")
+        # null-safe: a NULL key is a group like any other, and no inferred
+        # isnotnull filter is pushed into one side only
+        t = top_errors_by_window.select(*[F.col(c).alias(f"_t_{c}") for c in (*keys, "window_start")],
+                                        "top_error")
+        cond = [df[c].eqNullSafe(t[f"_t_{c}"]) for c in (*keys, "window_start")]
+        df = df.join(t, cond, "left").drop(*[f"_t_{c}" for c in (*keys, "window_start")])
     else:
         df = df.withColumn("top_error", F.lit(None).cast("string"))
     sent_at = minute_text("window_start")
@@ -261,3 +266,33 @@ def top_error_by_window(entries: DataFrame, window: str, keys: Sequence[str] = (
               .groupBy(*keys, "window_start", "p").agg(F.count(F.lit(1)).alias("c")))
     return counts.groupBy(*keys, "window_start").agg(
         F.min_by("p", F.struct((-F.col("c")).alias("nc"), F.col("p"))).alias("top_error"))
+
+
+def window_alerts(entries: DataFrame, params: HealthParams = HealthParams(),
+                  keys: Sequence[str] = (), initial: str = "HEALTHY") -> DataFrame:
+    """Status-change alerts with each window's top error, from one scan.
+
+    A base aggregate on (keys, window, prefix of error rows) is rolled up into
+    window rates (-> status -> transitions) and into the top error per window;
+    both read the base aggregate's exchange. The prefix test references an
+    aggregate output so it is not pushed below the base aggregate, and both
+    roll-ups use the same base columns, so the exchange is reused.
+    """
+    from logpulse.functions.columns import add_duration, floor_time, is_error, message_prefix
+    from logpulse.operators.windows import status_from_rates
+
+    p = params
+    prefix = F.when(is_error("level"), message_prefix("message", p.prefix_length))
+    base = (entries.where(F.col("timestamp").isNotNull())
+            .groupBy(*keys, floor_time("timestamp", p.window).alias("window_start"), prefix.alias("p"))
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if(is_error("level")).alias("e")))
+    rates = (base.groupBy(*keys, "window_start")
+             .agg(F.sum("n").alias("total_entries"), F.sum("e").alias("error_count"))
+             .select(*keys, "window_start", add_duration("window_start", p.window).alias("window_end"),
+                     "total_entries", "error_count",
+                     (F.col("error_count") / F.col("total_entries")).alias("error_rate")))
+    tops = (base.where(F.when(F.col("n") > 0, F.col("p")).isNotNull())
+            .groupBy(*keys, "window_start")
+            .agg(F.min_by("p", F.struct((-F.col("n")).alias("nn"), F.col("p"), F.col("e"))).alias("top_error")))
+    transitions = status_transitions(status_from_rates(rates, p), keys, initial)
+    return alert_events(transitions, p, keys, tops)

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from logpulse.constants import HADOOP_LINE_PATTERN, HealthParams
 from logpulse.functions.columns import normalise_level
 from logpulse.operators import (
-    alert_events,
     detect_spikes,
     enrich_entries,
     error_timeline,
@@ -35,10 +34,10 @@ from logpulse.operators import (
     spike_recommendations,
     status_transitions,
     time_range,
-    top_error_by_window,
     top_errors,
     top_prefixes,
     window_error_rate,
+    window_alerts,
     window_status_frame,
     worst_spike,
 )
@@ -208,11 +207,8 @@ def q_incidents_by_svc(spark, sf):
 
 
 def _alerts(spark, sf, keyed):
-    e = _entries(spark, sf, keyed)
     p, keys = (KEYED, SVC) if keyed else (HOURLY, [])
-    tr = status_transitions(window_status_frame(e, p, keys), keys)
-    out = alert_events(tr, p, keys, top_error_by_window(e, p.window, keys))
-    return out.drop("payload")
+    return window_alerts(_entries(spark, sf, keyed), p, keys).drop("payload")
 
 
 def q_alert_events(spark, sf):
