@@ -24,9 +24,13 @@ from logpulse.constants import (
     HealthParams,
 )
 from logpulse.functions.columns import (
+    add_duration,
     covered_hours,
     duration_micros,
     epoch_micros,
+    floor_time,
+    is_error,
+    message_prefix,
     minute_text,
     percent_text,
     second_text,
@@ -34,6 +38,7 @@ from logpulse.functions.columns import (
     status_emoji,
     transition_text,
 )
+from logpulse.operators.windows import status_from_rates
 
 
 def time_range(entries: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -257,8 +262,6 @@ def top_error_by_window(entries: DataFrame, window: str, keys: Sequence[str] = (
     Two aggregates: counts per (keys, window, prefix) with map-side combine,
     then ``min_by`` per window over those counts (no per-group collection).
     """
-    from logpulse.functions.columns import floor_time, is_error, message_prefix
-
     counts = (entries.where(is_error("level"))
               .select(*keys, floor_time("timestamp", window).alias("window_start"),
                       message_prefix("message", prefix_length).alias("p"))
@@ -278,9 +281,6 @@ def window_alerts(entries: DataFrame, params: HealthParams = HealthParams(),
     aggregate output so it is not pushed below the base aggregate, and both
     roll-ups use the same base columns, so the exchange is reused.
     """
-    from logpulse.functions.columns import add_duration, floor_time, is_error, message_prefix
-    from logpulse.operators.windows import status_from_rates
-
     p = params
     prefix = F.when(is_error("level"), message_prefix("message", p.prefix_length))
     base = (entries.where(F.col("timestamp").isNotNull())

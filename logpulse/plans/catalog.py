@@ -31,7 +31,6 @@ from logpulse.operators import (
     severity_counts,
     severity_share,
     spike_lift,
-    spike_recommendations,
     status_transitions,
     time_range,
     top_errors,
@@ -174,8 +173,10 @@ def q_worst_spike(spark, sf):
 
 
 def q_spike_recommendations(spark, sf):
-    e = _entries(spark, sf)
-    return spike_recommendations(detect_spikes(e, HOURLY), top_errors(e, 1), HOURLY)
+    # the report computes them from its single scan (spike_recommendations()
+    # does the same from separate spike / top-error frames)
+    report = health_report(_entries(spark, sf), HOURLY, as_of=AS_OF)
+    return report_section(report, "recommendations")
 
 
 def q_spike_lift(spark, sf):

@@ -1,6 +1,7 @@
 from logpulse.streaming.windows import (  # noqa: F401
     ensure_rocksdb_state,
     run_to_parquet,
+    start_to_parquet,
     stream_alert_events,
     stream_status_alerts,
     stream_window_rates,

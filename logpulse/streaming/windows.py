@@ -132,22 +132,34 @@ def ensure_rocksdb_state(spark: SparkSession) -> None:
         spark.conf.set(key, rocks)
 
 
-def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
-                   checkpoint: str | None = None, output: str | None = None,
-                   trigger_available_now: bool = True) -> tuple[str, str]:
-    """Run a streaming query into a Parquet file sink (exactly-once through
-    the sink's commit log) until the available input is processed.
-
-    Returns (output path, checkpoint path); paths default to fresh folders
-    under the session's shared checkpoint location.
+def start_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
+                     checkpoint: str | None = None, output: str | None = None,
+                     processing_time: str | None = None):
+    """Start a streaming query into a Parquet file sink (exactly-once through
+    the sink's commit log). ``processing_time`` (e.g. '300 seconds', the
+    polling interval) runs it continuously; without it the query processes
+    what is available and stops (``availableNow``, the run-once mode).
+
+    Returns (query, output path, checkpoint path); paths default to fresh
+    folders under the session's shared checkpoint location.
     """
     spark = df.sparkSession
     output = output or shared_dir(spark, "streams", f"{name}-out")
     checkpoint = checkpoint or shared_dir(spark, "streams", f"{name}-ckpt")
     writer = (df.writeStream.format("parquet").outputMode(output_mode)
               .option("path", output).option("checkpointLocation", checkpoint))
-    writer = writer.trigger(availableNow=True) if trigger_available_now else writer
-    q = writer.start()
+    if processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    else:
+        writer = writer.trigger(availableNow=True)
+    return writer.start(), output, checkpoint
+
+
+def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
+                   checkpoint: str | None = None, output: str | None = None) -> tuple[str, str]:
+    """Run-once form of :func:`start_to_parquet`: process the available input,
+    wait, re-raise a failure; returns (output path, checkpoint path)."""
+    q, output, checkpoint = start_to_parquet(df, name, output_mode, checkpoint, output)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
