@@ -2,6 +2,8 @@ from logpulse.functions.columns import (  # noqa: F401
     add_duration,
     covered_hours,
     duration_micros,
+    epoch_micros,
+    epoch_seconds,
     floor_time,
     is_error,
     message_prefix,

@@ -28,6 +28,7 @@ from logpulse.functions.columns import (
     covered_hours,
     duration_micros,
     epoch_micros,
+    epoch_seconds,
     floor_time,
     is_error,
     message_prefix,
@@ -131,42 +132,86 @@ def spike_recommendations(spikes: DataFrame, top_errors: DataFrame,
     return spike_recs.unionByName(top)
 
 
-def _ordered(keys: Sequence[str]) -> Window:
-    return Window.partitionBy(*keys).orderBy("window_start")
+SCAN_BUCKET = "7 days"
+
+
+def _bucketed_scan(df: DataFrame, keys: Sequence[str], lag_cols: dict[str, str],
+                   sum_cols: dict[str, str], bucket: str = SCAN_BUCKET) -> DataFrame:
+    """Per (keys) ordered by window_start: previous-row values (``lag_cols``:
+    source -> output) and inclusive running sums (``sum_cols``), without
+    putting a whole key - or, unkeyed, the whole table - into one task.
+
+    Rows are ranked inside (keys, time bucket) partitions; a per-bucket
+    summary (last values, totals: one row per key and bucket) gets the
+    carry-in from earlier buckets with a small window over buckets and is
+    joined back on (keys, bucket). AQE picks the join strategy from the
+    summary's measured size.
+    """
+    bsecs = duration_micros(bucket) // 1_000_000
+    ws = "window_start"
+    df = df.withColumn("_b", F.floor(epoch_seconds(ws) / F.lit(bsecs)))
+    w_in = Window.partitionBy(*keys, "_b").orderBy(ws)
+    running = w_in.rowsBetween(Window.unboundedPreceding, 0)
+    inner = df.withColumns({**{f"_lag_{c}": F.lag(c).over(w_in) for c in lag_cols},
+                            **{f"_run_{c}": F.sum(c).over(running) for c in sum_cols}})
+    summary = df.groupBy(*keys, "_b").agg(
+        *[F.max_by(c, ws).alias(f"_last_{c}") for c in lag_cols],
+        *[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
+    w_b = Window.partitionBy(*keys).orderBy("_b")
+    carry = summary.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_b").alias("_k_b"),
+        *[F.lag(f"_last_{c}").over(w_b).alias(f"_carry_{c}") for c in lag_cols],
+        *[F.coalesce(F.sum(f"_tot_{c}").over(w_b.rowsBetween(Window.unboundedPreceding, -1)),
+                     F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
+    cond = [inner[k].eqNullSafe(carry[f"_k_{k}"]) for k in keys] + [inner["_b"] == carry["_k_b"]]
+    joined = inner.join(carry, cond, "left")
+    out = joined.withColumns({
+        **{o: F.coalesce(F.col(f"_lag_{c}"), F.col(f"_carry_{c}")) for c, o in lag_cols.items()},
+        **{o: F.col(f"_run_{c}") + F.col(f"_off_{c}") for c, o in sum_cols.items()},
+    })
+    helper = [c for c in out.columns if c.startswith("_lag_") or c.startswith("_run_")
+              or c.startswith("_carry_") or c.startswith("_off_") or c.startswith("_k_")]
+    return out.drop("_b", *helper)
 
 
 def status_transitions(window_status: DataFrame, keys: Sequence[str] = (),
-                       initial: str = "HEALTHY") -> DataFrame:
+                       initial: str = "HEALTHY", bucket: str = SCAN_BUCKET) -> DataFrame:
     """Windows whose status differs from the previous populated window's
-    (the first window compares with ``initial``): alert de-duplication."""
-    prev = F.lag("status", 1, initial).over(_ordered(keys))
+    (the first window compares with ``initial``): alert de-duplication.
+    The previous status comes from :func:`_bucketed_scan`, so no task holds
+    more than one key's windows of one time bucket."""
     cols = [c for c in window_status.columns if c not in (*keys, "window_start", "status")]
-    return (window_status.withColumn("prev_status", prev)
+    scanned = _bucketed_scan(window_status, keys, {"status": "_prev"}, {}, bucket)
+    return (scanned.withColumn("prev_status", F.coalesce(F.col("_prev"), F.lit(initial)))
             .where(F.col("prev_status") != F.col("status"))
             .select(*keys, "window_start", "prev_status", "status", *cols))
 
 
 def incidents(window_status: DataFrame, keys: Sequence[str] = (),
-              max_gap: str | None = None) -> DataFrame:
+              max_gap: str | None = None, bucket: str = SCAN_BUCKET) -> DataFrame:
     """Runs of consecutive non-HEALTHY windows collapsed to one row
     (gaps and islands). Consecutive = adjacent populated windows; with
     ``max_gap`` a larger gap between window starts also splits a run.
 
     (keys, incident_no, first_window, last_window, n_windows, total_entries,
-    error_count, peak_error_rate, worst_status)
+    error_count, peak_error_rate, worst_status); ``incident_no`` counts the
+    runs per key in time order. Both passes (previous row, running count of
+    run starts) use :func:`_bucketed_scan`.
     """
-    w = _ordered(keys)
     bad = F.col("status") != "HEALTHY"
-    new_run = bad & ~F.lag(bad, 1, False).over(w)
+    flagged = window_status.withColumn("_bad", bad)
+    prev = _bucketed_scan(flagged, keys, {"_bad": "_prev_bad", "window_start": "_prev_ws"}, {}, bucket)
+    new_run = bad & ~F.coalesce(F.col("_prev_bad"), F.lit(False))
     if max_gap is not None:
-        gap = epoch_micros("window_start") - epoch_micros(F.lag("window_start").over(w))
-        new_run = bad & (~F.lag(bad, 1, False).over(w) | (gap > duration_micros(max_gap)))
+        gap = epoch_micros("window_start") - epoch_micros("_prev_ws")
+        new_run = bad & (~F.coalesce(F.col("_prev_bad"), F.lit(False))
+                         | F.coalesce(gap > duration_micros(max_gap), F.lit(False)))
+    numbered = _bucketed_scan(prev.withColumn("_new", new_run.cast("bigint")),
+                              keys, {}, {"_new": "incident_no"}, bucket)
     rank_expr = F.max(F.when(F.col("status") == "CRITICAL", STATUS_RANK["CRITICAL"])
                       .otherwise(STATUS_RANK["WARNING"]))
-    return (window_status
-            .withColumn("_new", new_run.cast("int"))
-            .withColumn("incident_no", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .where(bad)
+    return (numbered
+            .where(F.col("_bad"))
             .groupBy(*keys, "incident_no")
             .agg(F.min("window_start").alias("first_window"),
                  F.max("window_start").alias("last_window"),

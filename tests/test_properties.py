@@ -110,6 +110,10 @@ def test_transitions_incidents_alerts(make_entries, rows):
     st_df = window_status_frame(e, P)
     got_tr = sorted((r.window_start, r.prev_status, r.status) for r in status_transitions(st_df).collect())
     assert got_tr == want_tr
+    # 10-minute scan buckets: the previous status is carried across buckets
+    got_b = sorted((r.window_start, r.prev_status, r.status)
+                   for r in status_transitions(st_df, bucket="10 minutes").collect())
+    assert got_b == want_tr
     runs, cur = [], None
     for k, s in statuses:
         if s != "HEALTHY":
@@ -122,7 +126,33 @@ def test_transitions_incidents_alerts(make_entries, rows):
         runs.append(cur)
     got_inc = sorted((r.first_window, r.last_window, r.n_windows) for r in incidents(st_df).collect())
     assert got_inc == [(r[0], r[-1], len(r)) for r in runs]
+    got_inc_b = sorted((r.incident_no, r.first_window, r.last_window, r.n_windows)
+                       for r in incidents(st_df, bucket="10 minutes").collect())
+    assert got_inc_b == [(i + 1, r[0], r[-1], len(r)) for i, r in enumerate(runs)]
     # the single-scan alert path equals the composed one
     composed = alert_events(status_transitions(st_df), P, (), top_error_by_window(e, P.window, (), P.prefix_length))
     cols = ["window_start", "prev_status", "status", "transition", "top_error", "payload"]
     assert sorted(window_alerts(e, P).select(cols).collect()) == sorted(composed.select(cols).collect())
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 2), entry), min_size=0, max_size=150))
+def test_keyed_transitions_across_buckets(spark, rows):
+    from conftest import ENTRY_SCHEMA
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("svc", T.IntegerType())] + ENTRY_SCHEMA.fields)
+    e = spark.createDataFrame([(k, t, lv, "T", m) for k, (t, lv, m) in rows], schema)
+    st_df = window_status_frame(e, P, ["svc"])
+    want = []
+    for k in range(3):
+        prev = "HEALTHY"
+        for w, (n, _, r) in sorted(model_windows([x for kk, x in rows if kk == k]).items()):
+            s = model_status(n, r)
+            if s != prev:
+                want.append((k, w, prev, s))
+            prev = s
+    for b in ("7 days", "10 minutes"):
+        got = sorted((r.svc, r.window_start, r.prev_status, r.status)
+                     for r in status_transitions(st_df, ["svc"], bucket=b).collect())
+        assert got == sorted(want)
