@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logpulse.constants import HADOOP_LINE_PATTERN, HealthParams
+from logpulse.constants import HealthParams
 from logpulse.functions.columns import normalise_level
 from logpulse.operators import (
     detect_spikes,
@@ -53,7 +53,7 @@ from logpulse.sources import (
     union_sources,
     write_report,
 )
-from logpulse.sources.logs import JAVA_FLAGS
+from logpulse.sources.logs import tag_hadoop_lines
 from logpulse.session import shared_dir
 from logpulse.streaming import (
     ensure_rocksdb_state,
@@ -98,9 +98,9 @@ def q_parse_rejects(spark, sf):
 
 
 def q_normalise_levels(spark, sf):
-    p = JAVA_FLAGS + HADOOP_LINE_PATTERN
-    raw = (_hadoop_lines(spark, sf).where(F.col("line").rlike(p))
-           .select(F.regexp_extract("line", p, 2).alias("raw_level")))
+    # regex-matched lines, impossible dates included (a non-match has an empty level)
+    tagged = tag_hadoop_lines(_hadoop_lines(spark, sf), "line")
+    raw = tagged.where(F.col("raw_level") != "")
     return (raw.groupBy("raw_level").agg(F.count(F.lit(1)).alias("n"))
             .withColumn("level", normalise_level("raw_level")))
 

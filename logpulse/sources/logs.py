@@ -72,6 +72,7 @@ def _tag(lines: DataFrame, line_col: str, pattern: str, groups: dict[str, int],
     # timestamp is not null, which is all that parse_* returns
     cols = {
         "timestamp": ts,
+        "raw_level": part["level"],
         "level": level_expr(part["level"]),
         "logger": part["logger"],
         "message": part["message"],
@@ -97,7 +98,7 @@ def tag_app_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
 
 
 def _accepted(tagged: DataFrame, line_col: str, keep_raw: bool) -> DataFrame:
-    out = tagged.where(F.col("timestamp").isNotNull()).drop("reject_reason")
+    out = tagged.where(F.col("timestamp").isNotNull()).drop("reject_reason", "raw_level")
     if keep_raw:
         return out.withColumnRenamed(line_col, "raw")
     return out.drop(line_col)
@@ -140,7 +141,7 @@ def parse_rejects(lines: DataFrame, line_col: str = "value", fmt: str = "hadoop"
     tag = tag_hadoop_lines if fmt == "hadoop" else tag_app_lines
     return (tag(lines, line_col)
             .where(F.col("reject_reason").isNotNull())
-            .drop(*ENTRY_COLUMNS))
+            .drop(*ENTRY_COLUMNS, "raw_level"))
 
 
 def reject_summary(lines: DataFrame, by: list[str] | tuple = ("file_path",),
