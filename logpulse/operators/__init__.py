@@ -1,3 +1,4 @@
+from logpulse.operators.checks import status_check  # noqa: F401
 from logpulse.operators.enrich import enrich_entries, sort_entries  # noqa: F401
 from logpulse.operators.hourly import hourly_breakdown, hourly_stacked  # noqa: F401
 from logpulse.operators.report import flatten_report, health_report  # noqa: F401

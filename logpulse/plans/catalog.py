@@ -31,6 +31,7 @@ from logpulse.operators import (
     severity_counts,
     severity_share,
     spike_lift,
+    status_check,
     status_transitions,
     time_range,
     top_errors,
@@ -220,6 +221,11 @@ def q_alert_events_by_svc(spark, sf):
     return _alerts(spark, sf, True)
 
 
+def q_status_check(spark, sf):
+    history = shared_dir(spark, "checks", "status_history")
+    return status_check(_entries(spark, sf), history, HOURLY, as_of=AS_OF).drop("payload")
+
+
 def q_health_report(spark, sf):
     return flatten_report(health_report(_entries(spark, sf), HOURLY, as_of=AS_OF))
 
@@ -286,6 +292,7 @@ QUERIES: dict[str, Query] = {
     "incidents_by_svc": q_incidents_by_svc,
     "alert_events": q_alert_events,
     "alert_events_by_svc": q_alert_events_by_svc,
+    "status_check": q_status_check,
     "health_report": q_health_report,
     "report_fields": q_report_fields,
     "html_to_text": q_html_to_text,

@@ -353,6 +353,20 @@ FROM spikes, o""",
     "incidents_by_svc": f"WITH {ENTRIES}, {D1}, {ST_D} {_incidents(True)}",
     "alert_events": _alerts("hour", False, 0.05, 0.10),
     "alert_events_by_svc": _alerts("day", True, 0.20, 0.25),
+    "status_check": f"""WITH {ENTRIES}, {H1}, {SPIKES},
+c AS (SELECT count(*) AS spike_count, count(*) FILTER (WHERE severity = 'critical') AS n_crit FROM spikes),
+w AS (SELECT * FROM spikes ORDER BY error_rate DESC, window_start LIMIT 1),
+s AS (SELECT TIMESTAMP '2024-01-29 00:00:00' AS checked_at, 'HEALTHY' AS prev_status,
+             CASE WHEN n_crit > 0 THEN 'CRITICAL' WHEN spike_count > 0 THEN 'WARNING' ELSE 'HEALTHY' END AS status,
+             spike_count,
+             (SELECT window_start FROM w) AS window_start, (SELECT total_entries FROM w) AS total_entries,
+             (SELECT error_count FROM w) AS error_count, (SELECT error_rate FROM w) AS error_rate
+      FROM c)
+SELECT *, {TRANSITION_CASE} AS transition,
+       strftime(window_start, '%Y-%m-%d %H:%M') AS worst_window,
+       CAST(CAST(round_even(error_rate * 100, 0) AS BIGINT) AS VARCHAR) || '%' AS worst_rate_text,
+       CAST(NULL AS VARCHAR) AS top_error
+FROM s WHERE prev_status <> status""",
     "health_report": REPORT,
     "report_fields": TOP_ERRORS,
     "html_to_text": f"SELECT page_id, {HTML_TEXT} AS text FROM pages",

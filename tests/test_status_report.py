@@ -132,3 +132,21 @@ def test_top_errors_keyed_matches_brute_force(spark, make_entries):
                                                                           ascending=[False, True])
         want += [(svc, i + 1, m, n) for i, (m, n) in enumerate(zip(c.message[:5], c.n[:5]))]
     assert got == sorted(want)
+
+
+def test_status_check_fires_once_then_silent(make_entries, scratch):
+    from logpulse.operators import status_check
+    from tests.test_reference_fixtures import report_rows, spike_rows
+
+    hist = f"{scratch}/state"
+    e = make_entries(spike_rows())
+    first = status_check(e, hist, as_of="2015-10-18 22:00:00").collect()
+    assert [(a.prev_status, a.status, a.worst_window) for a in first] == [
+        ("HEALTHY", "CRITICAL", "2015-10-18 21:40")]
+    p = json.loads(first[0].payload)["attachments"][0]
+    assert p["color"] == "#EF4444" and "60% (threshold: 5%)" in json.dumps(p, ensure_ascii=False)
+    assert status_check(e, hist, as_of="2015-10-18 22:05:00").collect() == []      # same status: silent
+    # a WARNING corpus next: CRITICAL -> WARNING fires
+    w = status_check(make_entries(report_rows()), hist, as_of="2015-10-18 22:10:00").collect()
+    assert [(a.prev_status, a.status) for a in w] == [("CRITICAL", "WARNING")]
+    assert w[0].transition == "Partially recovered — still above warning threshold."
