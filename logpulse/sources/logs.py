@@ -46,10 +46,11 @@ def read_log_lines(spark: SparkSession, path: str, glob: str = "*.log",
     return df.select(*cols, "value")
 
 
-def _tag(lines: DataFrame, line_col: str, pattern: str, groups: dict[str, int],
-         level_expr) -> DataFrame:
-    """Add parsed columns plus ``reject_reason`` (NULL for accepted lines;
-    the parsed columns are only meaningful for those).
+_ORDER = ("timestamp", "level", "logger", "message")
+
+
+def _split_line(line_col: str, pattern: str, groups: dict[str, int]):
+    """Array of the (timestamp, level, logger, message) group texts.
 
     One regex evaluation per line: ``pattern`` gets a catch-all alternative
     and ``regexp_replace`` rewrites the whole line to its groups joined by
@@ -58,50 +59,63 @@ def _tag(lines: DataFrame, line_col: str, pattern: str, groups: dict[str, int],
     only matches the catch-all rewrites to empty parts (empty timestamp).
     """
     p = f"{JAVA_FLAGS}(?:{pattern})|^.*$"
-    order = ("timestamp", "level", "logger", "message")
-    rewrite = "\n".join(f"${groups[k]}" for k in order)
-    parts = F.split(F.regexp_replace(col_(line_col), p, rewrite), "\n", len(order))
-    part = {k: F.try_element_at(parts, F.lit(i + 1)) for i, k in enumerate(order)}
-    # try_cast('') is NULL, so "accepted" is exactly "timestamp IS NOT NULL":
-    # the filter that callers push down evaluates the regex once.
-    ts = part["timestamp"].try_cast("timestamp_ntz")
-    ok = ts.isNotNull()
-    no_match = F.coalesce(part["timestamp"] == F.lit(""), F.lit(True))
-    # value columns are unconditional (a CASE around them would defeat
-    # common-subexpression elimination); they are meaningful only where
-    # timestamp is not null, which is all that parse_* returns
-    cols = {
-        "timestamp": ts,
+    rewrite = "\n".join(f"${groups[k]}" for k in _ORDER)
+    return F.split(F.regexp_replace(col_(line_col), p, rewrite), "\n", len(_ORDER))
+
+
+def _fields(parts, level_expr, logger_expr) -> dict:
+    part = {k: F.try_element_at(parts, F.lit(i + 1)) for i, k in enumerate(_ORDER)}
+    # try_cast('') is NULL, so "accepted" is exactly "timestamp IS NOT NULL"
+    return {
+        "timestamp": part["timestamp"].try_cast("timestamp_ntz"),
         "raw_level": part["level"],
         "level": level_expr(part["level"]),
-        "logger": part["logger"],
+        "logger": logger_expr(part["logger"]),
         "message": part["message"],
-        "reject_reason": F.when(ok, F.lit(None).cast("string"))
-                          .when(no_match, F.lit("no_match"))
-                          .otherwise(F.lit("bad_timestamp")),
     }
-    return lines.withColumns(cols)
 
 
-def tag_hadoop_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
-    out = _tag(lines, line_col, HADOOP_LINE_PATTERN,
-               {"timestamp": 1, "level": 2, "logger": 4, "message": 5},
-               normalise_level)
-    # logger = last dotted segment of the component
-    return out.withColumn("logger", F.substring_index("logger", ".", -1))
+def _tag(lines: DataFrame, line_col: str, pattern: str, groups: dict[str, int],
+         level_expr, logger_expr) -> DataFrame:
+    """All lines plus parsed columns and ``reject_reason`` (NULL for accepted
+    lines; the parsed columns are only meaningful for those)."""
+    staged = lines.withColumn("_parts", _split_line(line_col, pattern, groups))
+    f = _fields(F.col("_parts"), level_expr, logger_expr)
+    no_match = F.coalesce(F.try_element_at(F.col("_parts"), F.lit(1)) == F.lit(""), F.lit(True))
+    reason = (F.when(f["timestamp"].isNotNull(), F.lit(None).cast("string"))
+              .when(no_match, F.lit("no_match")).otherwise(F.lit("bad_timestamp")))
+    return staged.withColumns({**f, "reject_reason": reason}).drop("_parts")
+
+
+def _accept(lines: DataFrame, line_col: str, pattern: str, groups: dict[str, int],
+            level_expr, logger_expr, keep_raw: bool) -> DataFrame:
+    """Accepted lines only, parsed with one regex evaluation per line.
+
+    The parsed row is emitted through a generator (``inline`` of a zero- or
+    one-element array) instead of a filter: a filter would be pushed below
+    the projection with the parse inlined, evaluating the regex twice.
+    """
+    others = [c for c in lines.columns if c != line_col]
+    raw = [F.col(line_col).alias("raw")] if keep_raw else []
+    staged = lines.select(*others, *raw, _split_line(line_col, pattern, groups).alias("_parts"))
+    f = _fields(F.col("_parts"), level_expr, logger_expr)
+    row = F.struct(*[f[k].alias(k) for k in _ORDER])
+    kept = [*others, *(["raw"] if keep_raw else [])]
+    return staged.select(*kept, F.inline(F.when(f["timestamp"].isNotNull(), F.array(row))))
 
 
-def tag_app_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
-    return _tag(lines, line_col, APP_LINE_PATTERN,
-                {"timestamp": 1, "level": 2, "logger": 3, "message": 4},
-                lambda c: c)
+_HADOOP = (HADOOP_LINE_PATTERN, {"timestamp": 1, "level": 2, "logger": 4, "message": 5},
+           normalise_level, lambda c: F.substring_index(c, ".", -1))  # logger = last dotted segment
+_APP = (APP_LINE_PATTERN, {"timestamp": 1, "level": 2, "logger": 3, "message": 4},
+        lambda c: c, lambda c: c)
+
+
+def tag_hadoop_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
+    return _tag(lines, line_col, *_HADOOP)
 
 
-def _accepted(tagged: DataFrame, line_col: str, keep_raw: bool) -> DataFrame:
-    out = tagged.where(F.col("timestamp").isNotNull()).drop("reject_reason", "raw_level")
-    if keep_raw:
-        return out.withColumnRenamed(line_col, "raw")
-    return out.drop(line_col)
+def tag_app_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
+    return _tag(lines, line_col, *_APP)
 
 
 def parse_hadoop_lines(lines: DataFrame, line_col: str = "value",
@@ -112,7 +126,7 @@ def parse_hadoop_lines(lines: DataFrame, line_col: str = "value",
     ending in ':', ...) and impossible dates go to :func:`parse_rejects`.
     Other columns of ``lines`` pass through.
     """
-    return _accepted(tag_hadoop_lines(lines, line_col), line_col, keep_raw)
+    return _accept(lines, line_col, *_HADOOP, keep_raw)
 
 
 def parse_app_lines(lines: DataFrame, line_col: str = "value", keep_raw: bool = False,
@@ -122,7 +136,7 @@ def parse_app_lines(lines: DataFrame, line_col: str = "value", keep_raw: bool =
     With ``hours`` and ``as_of`` only entries with ``timestamp >= as_of - hours``
     are kept (the look-back window; later rows are kept too).
     """
-    out = _accepted(tag_app_lines(lines, line_col), line_col, keep_raw)
+    out = _accept(lines, line_col, *_APP, keep_raw)
     if hours is not None:
         out = recent(out, hours, as_of)
     return out
