@@ -102,3 +102,24 @@ def test_alerts_restart_from_checkpoint(spark, scratch):
     assert run() == first                     # restart, no new data: nothing re-emitted
     put("c", [_hadoop_line(datetime(2015, 10, 18, 23, 0, 5), "INFO", "much later")])
     assert run() == first + [(datetime(2015, 10, 18, 22, 0), "CRITICAL", "HEALTHY")]
+
+
+def test_report_job_and_watch_once(spark, scratch):
+    import os
+
+    from logpulse.jobs import report_job, watch_alerts
+
+    os.makedirs(f"{scratch}/logs/node1")
+    base = datetime(2015, 10, 18, 21, 40, 0)
+    rows = [_hadoop_line(base + timedelta(seconds=i * 10), "ERROR", "ERROR IN CONTACTING RM.") for i in range(15)]
+    rows += [_hadoop_line(base + timedelta(seconds=150 + i * 10), "INFO", "info msg") for i in range(10)]
+    rows += [_hadoop_line(datetime(2015, 10, 18, 22, 30, 0), "INFO", "later")]
+    with open(f"{scratch}/logs/node1/app.log", "w") as f:
+        f.write("\n".join(rows) + "\n")
+    rep = report_job(spark, f"{scratch}/logs", f"{scratch}/report", as_of="2015-10-19 00:00:00").collect()[0]
+    assert (rep.status, rep.total_entries, rep.spike_count) == ("CRITICAL", 26, 1)
+    q, out, _ = watch_alerts(spark, f"{scratch}/logs", interval=None,
+                             output=f"{scratch}/alerts", checkpoint=f"{scratch}/ck")
+    q.awaitTermination()
+    got = [(r.prev_status, r.status, r.transition) for r in spark.read.parquet(out).collect()]
+    assert got == [("HEALTHY", "CRITICAL", "Critical anomaly detected — immediate attention required.")]
