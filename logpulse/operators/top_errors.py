@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logpulse.functions.columns import is_error, message_prefix
+from logpulse.operators.keys import join_on_keys
 
 RANK_SALT_BUCKETS = 64
 
@@ -57,7 +58,7 @@ def top_prefixes(df: DataFrame, text_col: str = "text", n: int = 10,
     ranked = _rank_top(grouped, n, keys)
     if keys:
         totals = grouped.groupBy(*keys).agg(F.sum("count").alias("_total"))
-        ranked = ranked.join(totals, list(keys))
+        ranked = join_on_keys(ranked, totals, keys)
         total = F.col("_total")
     else:
         total = grouped.agg(F.sum("count")).scalar()

@@ -24,6 +24,7 @@ from logpulse.functions.columns import (
     spike_severity,
     window_status,
 )
+from logpulse.operators.keys import join_on_keys
 
 
 def level_counts() -> list[Column]:
@@ -134,7 +135,7 @@ def spike_lift(entries: DataFrame, params: HealthParams = HealthParams(),
         "error_rate", F.col("error_count") / F.col("total_entries"))
     spikes = spikes_from_rates(rates, params)
     if keys:
-        spikes = spikes.join(totals, list(keys))
+        spikes = join_on_keys(spikes, totals, keys)
         overall = F.col("overall_error_rate")
     else:
         overall = totals.select("overall_error_rate").scalar()

@@ -149,3 +149,19 @@ def test_floor_time_is_zone_free(spark, make_entries):
         assert [r.h for r in out["UTC"]][0] == datetime(1969, 12, 31, 23, 0)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_null_key_is_a_group(spark):
+    from pyspark.sql import types as T
+
+    from conftest import ENTRY_SCHEMA
+
+    schema = T.StructType([T.StructField("svc", T.IntegerType())] + ENTRY_SCHEMA.fields)
+    rows = [(k, B + timedelta(seconds=i), "ERROR" if i < 4 else "INFO", "T", f"e{i % 2}")
+            for k in (None, 1) for i in range(10)]
+    e = spark.createDataFrame(rows, schema)
+    top = top_errors(e, 5, keys=["svc"]).collect()
+    got = sorted((-1 if r.svc is None else r.svc, r.message_prefix, r["count"], r.pct_of_errors) for r in top)
+    assert got == [(-1, "e0", 2, 0.5), (-1, "e1", 2, 0.5), (1, "e0", 2, 0.5), (1, "e1", 2, 0.5)]
+    lift = spike_lift(e, HealthParams(min_window_entries=5), keys=["svc"]).collect()
+    assert sorted((r.svc is None, r.lift) for r in lift) == [(False, 1.0), (True, 1.0)]
