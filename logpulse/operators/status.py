@@ -39,6 +39,7 @@ from logpulse.functions.columns import (
     status_emoji,
     transition_text,
 )
+from logpulse.operators.keys import join_on_keys
 from logpulse.operators.windows import status_from_rates
 
 
@@ -195,26 +196,55 @@ def incidents(window_status: DataFrame, keys: Sequence[str] = (),
 
     (keys, incident_no, first_window, last_window, n_windows, total_entries,
     error_count, peak_error_rate, worst_status); ``incident_no`` counts the
-    runs per key in time order. Both passes (previous row, running count of
-    run starts) use :func:`_bucketed_scan`.
+    runs per key in time order.
+
+    One pass inside (keys, time bucket) partitions marks run starts assuming
+    an unknown predecessor for the bucket's first row and keeps a running
+    count; a per-bucket summary then corrects that first row with the last
+    window of the previous bucket (``_fix`` is 0 or -1) and adds the count
+    of earlier buckets - a small window over buckets, joined back.
     """
-    bad = F.col("status") != "HEALTHY"
-    flagged = window_status.withColumn("_bad", bad)
-    prev = _bucketed_scan(flagged, keys, {"_bad": "_prev_bad", "window_start": "_prev_ws"}, {}, bucket)
-    new_run = bad & ~F.coalesce(F.col("_prev_bad"), F.lit(False))
-    if max_gap is not None:
-        gap = epoch_micros("window_start") - epoch_micros("_prev_ws")
-        new_run = bad & (~F.coalesce(F.col("_prev_bad"), F.lit(False))
-                         | F.coalesce(gap > duration_micros(max_gap), F.lit(False)))
-    numbered = _bucketed_scan(prev.withColumn("_new", new_run.cast("bigint")),
-                              keys, {}, {"_new": "incident_no"}, bucket)
+    ws = "window_start"
+    gap_us = duration_micros(max_gap) if max_gap is not None else None
+
+    def starts(is_bad, prev_bad, cur_ws, prev_ws):
+        cond = ~F.coalesce(prev_bad, F.lit(False))
+        if gap_us is not None:
+            gap = epoch_micros(cur_ws) - epoch_micros(prev_ws)
+            cond = cond | F.coalesce(gap > gap_us, F.lit(False))
+        return is_bad & cond
+
+    bsecs = duration_micros(bucket) // 1_000_000
+    df = window_status.withColumns({
+        "_b": F.floor(epoch_seconds(ws) / F.lit(bsecs)),
+        "_bad": F.col("status") != "HEALTHY",
+    })
+    w_in = Window.partitionBy(*keys, "_b").orderBy(ws)
+    inner = df.withColumn("_s", starts(F.col("_bad"), F.lag("_bad").over(w_in),
+                                       F.col(ws), F.lag(ws).over(w_in)).cast("bigint"))
+    inner = inner.withColumn("_run", F.sum("_s").over(w_in.rowsBetween(Window.unboundedPreceding, 0)))
+    summary = inner.groupBy(*keys, "_b").agg(
+        F.max_by("_bad", ws).alias("_last_bad"), F.max(ws).alias("_last_ws"),
+        F.min_by("_bad", ws).alias("_first_bad"), F.min(ws).alias("_first_ws"),
+        F.sum("_s").alias("_tot"))
+    w_b = Window.partitionBy(*keys).orderBy("_b")
+    carry = summary.withColumns({"_carry_bad": F.lag("_last_bad").over(w_b),
+                                 "_carry_ws": F.lag("_last_ws").over(w_b)})
+    true_first = starts(F.col("_first_bad"), F.col("_carry_bad"), F.col("_first_ws"), F.col("_carry_ws"))
+    carry = carry.withColumn("_fix", true_first.cast("bigint") - F.col("_first_bad").cast("bigint"))
+    carry = carry.select(
+        *keys, "_b", "_fix",
+        F.coalesce(F.sum(F.col("_tot") + F.col("_fix")).over(w_b.rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_off"))
+    numbered = (join_on_keys(inner, carry, [*keys, "_b"])
+                .withColumn("incident_no", F.col("_run") + F.col("_fix") + F.col("_off")))
     rank_expr = F.max(F.when(F.col("status") == "CRITICAL", STATUS_RANK["CRITICAL"])
                       .otherwise(STATUS_RANK["WARNING"]))
     return (numbered
             .where(F.col("_bad"))
             .groupBy(*keys, "incident_no")
-            .agg(F.min("window_start").alias("first_window"),
-                 F.max("window_start").alias("last_window"),
+            .agg(F.min(ws).alias("first_window"),
+                 F.max(ws).alias("last_window"),
                  F.count(F.lit(1)).alias("n_windows"),
                  F.sum("total_entries").alias("total_entries"),
                  F.sum("error_count").alias("error_count"),
