@@ -2,9 +2,10 @@
 status transitions, incidents and alert events.
 
 Inputs here are already aggregated (spikes or per-window status rows), so
-they are bounded by keys x windows. Window functions partition by the keys;
-without keys they run in one partition over the window rows (never over raw
-entries).
+they are bounded by keys x windows. Ordered computations over window rows
+(previous status, run numbering) run inside (keys, time bucket) partitions
+with a carry-in from earlier buckets, so neither the unkeyed case nor a hot
+key lands in one task; window functions never run over raw entries.
 """
 
 from __future__ import annotations
