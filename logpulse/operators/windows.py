@@ -1,11 +1,11 @@
 """Tumbling-window error rates, spikes, timeline, per-window status, lift.
 
-Everything here derives from one aggregate, the *window cube*: one row per
-(keys, window_start) with a count per severity level. It is built with a
-single ``groupBy`` whose partial aggregation runs map-side, so only
-(partitions x windows) small rows cross the shuffle no matter how many raw
-entries there are or how skewed a window is. Its size is bounded by
-keys x (time span / window length), not by data volume.
+Each analysis is one ``groupBy(keys, window_start)`` whose partial
+aggregation runs map-side, so only (tasks x windows) small rows cross the
+shuffle no matter how many raw entries there are or how skewed a window is;
+the result is bounded by keys x (time span / window length), not by data
+volume. :func:`window_cube` adds a count per level (the report's building
+block); :func:`spike_lift` takes its overall rate from the same aggregate.
 """
 
 from __future__ import annotations
