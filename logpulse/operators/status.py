@@ -137,53 +137,40 @@ def spike_recommendations(spikes: DataFrame, top_errors: DataFrame,
 SCAN_BUCKET = "7 days"
 
 
-def _bucketed_scan(df: DataFrame, keys: Sequence[str], lag_cols: dict[str, str],
-                   sum_cols: dict[str, str], bucket: str = SCAN_BUCKET) -> DataFrame:
-    """Per (keys) ordered by window_start: previous-row values (``lag_cols``:
-    source -> output) and inclusive running sums (``sum_cols``), without
-    putting a whole key - or, unkeyed, the whole table - into one task.
-
-    Rows are ranked inside (keys, time bucket) partitions; a per-bucket
-    summary (last values, totals: one row per key and bucket) gets the
-    carry-in from earlier buckets with a small window over buckets and is
-    joined back on (keys, bucket). AQE picks the join strategy from the
-    summary's measured size.
+def _bucketed_lag(df: DataFrame, keys: Sequence[str], lag_cols: dict[str, str],
+                  bucket: str = SCAN_BUCKET) -> DataFrame:
+    """Previous-row values (``lag_cols``: source -> output) per key ordered by
+    window_start, without putting a whole key - or, unkeyed, the whole
+    table - into one task.
+
+    Rows are ordered inside (keys, time bucket) partitions; the last row of
+    each bucket (``lead`` is NULL) feeds a small window over buckets that
+    hands its values to the next bucket's first row, joined back on
+    (keys, bucket). No aggregate, no extra shuffle of the window rows; AQE
+    picks the join strategy from the carry table's measured size.
     """
     bsecs = duration_micros(bucket) // 1_000_000
     ws = "window_start"
-    df = df.withColumn("_b", F.floor(epoch_seconds(ws) / F.lit(bsecs)))
     w_in = Window.partitionBy(*keys, "_b").orderBy(ws)
-    running = w_in.rowsBetween(Window.unboundedPreceding, 0)
-    inner = df.withColumns({**{f"_lag_{c}": F.lag(c).over(w_in) for c in lag_cols},
-                            **{f"_run_{c}": F.sum(c).over(running) for c in sum_cols}})
-    summary = df.groupBy(*keys, "_b").agg(
-        *[F.max_by(c, ws).alias(f"_last_{c}") for c in lag_cols],
-        *[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
+    inner = (df.withColumn("_b", F.floor(epoch_seconds(ws) / F.lit(bsecs)))
+             .withColumns({**{f"_lag_{c}": F.lag(c).over(w_in) for c in lag_cols},
+                           "_is_last": F.lead(ws).over(w_in).isNull()}))
     w_b = Window.partitionBy(*keys).orderBy("_b")
-    carry = summary.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_b").alias("_k_b"),
-        *[F.lag(f"_last_{c}").over(w_b).alias(f"_carry_{c}") for c in lag_cols],
-        *[F.coalesce(F.sum(f"_tot_{c}").over(w_b.rowsBetween(Window.unboundedPreceding, -1)),
-                     F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
-    cond = [inner[k].eqNullSafe(carry[f"_k_{k}"]) for k in keys] + [inner["_b"] == carry["_k_b"]]
-    joined = inner.join(carry, cond, "left")
-    out = joined.withColumns({
-        **{o: F.coalesce(F.col(f"_lag_{c}"), F.col(f"_carry_{c}")) for c, o in lag_cols.items()},
-        **{o: F.col(f"_run_{c}") + F.col(f"_off_{c}") for c, o in sum_cols.items()},
-    })
-    helper = [c for c in out.columns if c.startswith("_lag_") or c.startswith("_run_")
-              or c.startswith("_carry_") or c.startswith("_off_") or c.startswith("_k_")]
-    return out.drop("_b", *helper)
+    carry = (inner.where(F.col("_is_last"))
+             .select(*keys, "_b", *[F.lag(c).over(w_b).alias(f"_carry_{c}") for c in lag_cols]))
+    out = join_on_keys(inner, carry, [*keys, "_b"]).withColumns(
+        {o: F.coalesce(F.col(f"_lag_{c}"), F.col(f"_carry_{c}")) for c, o in lag_cols.items()})
+    return out.drop("_b", "_is_last", *[f"_lag_{c}" for c in lag_cols], *[f"_carry_{c}" for c in lag_cols])
 
 
 def status_transitions(window_status: DataFrame, keys: Sequence[str] = (),
                        initial: str = "HEALTHY", bucket: str = SCAN_BUCKET) -> DataFrame:
     """Windows whose status differs from the previous populated window's
     (the first window compares with ``initial``): alert de-duplication.
-    The previous status comes from :func:`_bucketed_scan`, so no task holds
+    The previous status comes from :func:`_bucketed_lag`, so no task holds
     more than one key's windows of one time bucket."""
     cols = [c for c in window_status.columns if c not in (*keys, "window_start", "status")]
-    scanned = _bucketed_scan(window_status, keys, {"status": "_prev"}, {}, bucket)
+    scanned = _bucketed_lag(window_status, keys, {"status": "_prev"}, bucket)
     return (scanned.withColumn("prev_status", F.coalesce(F.col("_prev"), F.lit(initial)))
             .where(F.col("prev_status") != F.col("status"))
             .select(*keys, "window_start", "prev_status", "status", *cols))
@@ -201,9 +188,10 @@ def incidents(window_status: DataFrame, keys: Sequence[str] = (),
 
     One pass inside (keys, time bucket) partitions marks run starts assuming
     an unknown predecessor for the bucket's first row and keeps a running
-    count; a per-bucket summary then corrects that first row with the last
-    window of the previous bucket (``_fix`` is 0 or -1) and adds the count
-    of earlier buckets - a small window over buckets, joined back.
+    count; the bucket's last row (its summary) then corrects that first row
+    with the last window of the previous bucket (``_fix`` is 0 or -1) and
+    adds the count of earlier buckets - a small window over buckets, joined
+    back. No aggregate and no extra shuffle of the window rows.
     """
     ws = "window_start"
     gap_us = duration_micros(max_gap) if max_gap is not None else None
@@ -221,23 +209,25 @@ def incidents(window_status: DataFrame, keys: Sequence[str] = (),
         "_bad": F.col("status") != "HEALTHY",
     })
     w_in = Window.partitionBy(*keys, "_b").orderBy(ws)
-    inner = df.withColumn("_s", starts(F.col("_bad"), F.lag("_bad").over(w_in),
-                                       F.col(ws), F.lag(ws).over(w_in)).cast("bigint"))
-    inner = inner.withColumn("_run", F.sum("_s").over(w_in.rowsBetween(Window.unboundedPreceding, 0)))
-    summary = inner.groupBy(*keys, "_b").agg(
-        F.max_by("_bad", ws).alias("_last_bad"), F.max(ws).alias("_last_ws"),
-        F.min_by("_bad", ws).alias("_first_bad"), F.min(ws).alias("_first_ws"),
-        F.sum("_s").alias("_tot"))
+    whole = w_in.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    inner = (df.withColumn("_s", starts(F.col("_bad"), F.lag("_bad").over(w_in),
+                                        F.col(ws), F.lag(ws).over(w_in)).cast("bigint"))
+             .withColumns({"_run": F.sum("_s").over(w_in.rowsBetween(Window.unboundedPreceding, 0)),
+                           "_is_last": F.lead(ws).over(w_in).isNull(),
+                           "_first_bad": F.first("_bad").over(whole),
+                           "_first_ws": F.first(ws).over(whole)}))
+    # the last row of each bucket summarises it: its run count is the bucket total
     w_b = Window.partitionBy(*keys).orderBy("_b")
-    carry = summary.withColumns({"_carry_bad": F.lag("_last_bad").over(w_b),
-                                 "_carry_ws": F.lag("_last_ws").over(w_b)})
+    last = inner.where(F.col("_is_last")).select(
+        *keys, "_b", "_first_bad", "_first_ws", F.col("_run").alias("_tot"),
+        F.lag("_bad").over(w_b).alias("_carry_bad"), F.lag(ws).over(w_b).alias("_carry_ws"))
     true_first = starts(F.col("_first_bad"), F.col("_carry_bad"), F.col("_first_ws"), F.col("_carry_ws"))
-    carry = carry.withColumn("_fix", true_first.cast("bigint") - F.col("_first_bad").cast("bigint"))
-    carry = carry.select(
+    last = last.withColumn("_fix", true_first.cast("bigint") - F.col("_first_bad").cast("bigint"))
+    carry = last.select(
         *keys, "_b", "_fix",
         F.coalesce(F.sum(F.col("_tot") + F.col("_fix")).over(w_b.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"))
-    numbered = (join_on_keys(inner, carry, [*keys, "_b"])
+    numbered = (join_on_keys(inner.drop("_first_bad", "_first_ws", "_is_last"), carry, [*keys, "_b"])
                 .withColumn("incident_no", F.col("_run") + F.col("_fix") + F.col("_off")))
     rank_expr = F.max(F.when(F.col("status") == "CRITICAL", STATUS_RANK["CRITICAL"])
                       .otherwise(STATUS_RANK["WARNING"]))
