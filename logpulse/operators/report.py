@@ -46,7 +46,11 @@ def _spike_struct(p: HealthParams) -> tuple[Column, Column]:
                  second_text("window_start").alias("window"),
                  total.alias("total_entries"), errors.alias("error_count"),
                  rate.alias("error_rate"),
-                 spike_severity(rate, p.critical_rate).alias("severity"))
+                 spike_severity(rate, p.critical_rate).alias("severity"),
+                 # all cube columns ride along (dropped on output) so every
+                 # consumer of the spikes keeps the whole cube roll-up and the
+                 # base aggregate stays identical to the top-errors subquery's
+                 F.struct(*[F.col(f"n_{lv}") for lv in LEVELS], "first_ts", "last_ts").alias("_cube"))
     return is_spike, s
 
 
