@@ -150,3 +150,14 @@ def test_status_check_fires_once_then_silent(make_entries, scratch):
     w = status_check(make_entries(report_rows()), hist, as_of="2015-10-18 22:10:00").collect()
     assert [(a.prev_status, a.status) for a in w] == [("CRITICAL", "WARNING")]
     assert w[0].transition == "Partially recovered — still above warning threshold."
+
+
+def test_status_check_rerun_does_not_realert(make_entries, scratch):
+    from logpulse.operators import status_check
+    from tests.test_reference_fixtures import spike_rows
+
+    hist = f"{scratch}/state"
+    e = make_entries(spike_rows())
+    assert len(status_check(e, hist, as_of="2015-10-18 22:00:00").collect()) == 1
+    # the same check again (a retried job): the previous status is now CRITICAL
+    assert status_check(e, hist, as_of="2015-10-18 22:00:00").collect() == []
