@@ -2,7 +2,9 @@
 as Parquet in the shared folder and read back for the next.
 
 Quality rules drop rejected documents, exact dedup and SimHash near-dedup leave
-one document per group.
+one document per group, mixing takes documents to their source's target words
+(a document taken twice is two rows, a partly taken one a shorter text), and
+packing cuts the tokens of what is left into windows.
 """
 
 from __future__ import annotations
@@ -11,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logpulse.llm.common import documents, written
 from logpulse.llm.exact_dedup import drop_exact_copies
+from logpulse.llm.mixing import mixed_documents
+from logpulse.llm.packing import packed_pieces
 from logpulse.llm.quality import keep_good
 from logpulse.llm.simhash import drop_near_copies
 
@@ -27,10 +31,20 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return drop_near_copies(docs)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixed_documents(docs)
+
+
+def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packed_pieces(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("exact_dedup", exact_dedup),
     ("simhash_near_dedup", simhash_near_dedup),
+    ("mix_sources", mix_sources),
+    ("pack_windows", pack_windows),
 ]
 
 #: Robust estimates, fingerprints, random draws and tokens cannot be written in SQL.

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from .exact_dedup import op10_content_sort
+from .mixing import op4_splitting_tree
 from .oracle import ORACLE_SQL as _SQL
+from .packing import op7_deficit_round_robin
 from .quality import op1_robust_outliers
 from .simhash import op2_pigeonring_simhash
 
 QUERIES = {f.__name__: f for f in (
-    op1_robust_outliers, op2_pigeonring_simhash, op10_content_sort)}
+    op1_robust_outliers, op2_pigeonring_simhash, op4_splitting_tree, op7_deficit_round_robin,
+    op10_content_sort)}
 
 ORACLE_SQL = {k: v for k, v in _SQL.items() if k in QUERIES}
