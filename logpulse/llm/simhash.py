@@ -167,8 +167,9 @@ def near_groups(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS,
         nodes.select("fp", F.struct(F.coalesce("least", F.lit(NO_ID)).alias("id"), "fp").alias("node")),
         max_bits))
     roots = linked.select(F.col("u.fp").alias("fp"), F.col("v.id").alias("root"))
-    named = nodes.join(roots, "fp", "left").select(
-        "fp", F.nullif(F.coalesce("root", "least", F.lit(NO_ID)), F.lit(NO_ID)).alias("component_id"))
+    named = written(nodes.join(roots, "fp", "left").select(
+        "fp", F.nullif(F.coalesce("root", "least", F.lit(NO_ID)), F.lit(NO_ID)).alias("component_id")),
+        "simhash_named")  # a table of its own, so that a fingerprint with many rows is split in the join
     return fps.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
