@@ -13,11 +13,10 @@ SQL functions only. Entity and term counts are added up per task before
 each shuffle; term counts over the corpus are taken for candidate terms
 alone, which are broadcast up to ``BROADCAST_TERMS`` and joined beyond.
 
-Defined cases: a null text counts as empty; whole texts are scanned; rows with
-one doc_id count as one document in the statistics and share its flagged
-terms; rows with a null doc_id get base spans only; repeated rows give
-repeated result rows; an empty table gives no rows; other columns are
-ignored.
+Defined cases: a null text counts as empty; whole texts are scanned; every row
+is a document of its own, whatever its doc_id, and repeated rows count as
+often as they occur; an entity in all documents discloses nothing; an empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -95,33 +94,32 @@ def _terms(text: Column) -> Column:
 
 
 def flagged_terms(docs: DataFrame, base: DataFrame) -> DataFrame:
-    """(doc_id, remove, generalise): the terms that reveal an entity of the document.
+    """(row_id, remove, generalise): the terms that reveal an entity of the row's text.
 
-    ``base`` is ``base_spans`` with ``etext``, the text of rows that have a span."""
-    entities = (base.where("doc_id is not null and size(base) > 0")
-                .select("doc_id", F.explode(F.array_distinct(F.transform("base", lambda s: F.concat_ws(
-                    ":", s["kind"], s["match"])))).alias("entity")).distinct())
+    ``base`` holds base spans by row_id, with ``etext``, the text of rows that have a span."""
+    entities = base.where("size(base) > 0").select("row_id", F.explode(F.array_distinct(F.transform(
+        "base", lambda s: F.concat_ws(":", s["kind"], s["match"])))).alias("entity"))
     support = (entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
                .where(F.col("n_entity") >= MIN_SUPPORT))
     protected = written(entities.join(support, "entity"), "pii_protected")
-    of_interest = protected.select("doc_id").distinct()
-    words = (base.where("etext is not null").join(of_interest, "doc_id", "left_semi")
-             .select("doc_id", F.explode(_terms(F.col("etext"))).alias("term")).distinct())
-    together = written(protected.join(words, "doc_id").groupBy("entity", "n_entity", "term")
+    of_interest = protected.select("row_id").distinct()
+    words = (base.where("etext is not null").join(of_interest, "row_id", "left_semi")
+             .select("row_id", F.explode(_terms(F.col("etext"))).alias("term")))
+    together = written(protected.join(words, "row_id").groupBy("entity", "n_entity", "term")
                        .agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= MIN_SUPPORT), "pii_together")
     candidates = written(together.select("term").distinct(), "pii_terms")
     few = candidates.count() <= BROADCAST_TERMS  # checked size, a shuffled join beyond
-    every = document_columns(docs, "doc_id", "text").where("doc_id is not null and text is not null")
-    in_docs = every.select("doc_id", F.explode(_terms(F.col("text"))).alias("term")).join(
+    # a term is listed once a text, so a task sends one number a term
+    in_docs = document_columns(docs, "text").select(F.explode(_terms(F.col("text"))).alias("term")).join(
         F.broadcast(candidates) if few else candidates, "term", "left_semi")
-    corpus = in_docs.groupBy("term").agg(F.count_distinct("doc_id").alias("n_term"))
-    n_docs = docs.select(F.count_distinct("doc_id").alias("n_docs")).scalar()
+    corpus = in_docs.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    n_docs = F.lit(float(max(1, base.count())))
     ratio = (F.log2(F.col("n_both") * n_docs / (F.col("n_entity") * F.col("n_term")))
              / F.log2(n_docs / F.col("n_entity")))
     revealing = (together.join(corpus, "term").where(F.col("n_entity") < n_docs)
                  .select("entity", "term", ratio.alias("disclosure")).where(F.col("disclosure") >= GENERALISE))
-    per_doc = protected.join(revealing, "entity").groupBy("doc_id", "term").agg(F.max("disclosure").alias("d"))
-    return per_doc.groupBy("doc_id").agg(  # at most the document's own and its copies' words
+    per_row = protected.join(revealing, "entity").groupBy("row_id", "term").agg(F.max("disclosure").alias("d"))
+    return per_row.groupBy("row_id").agg(  # at most the words that its entities meet
         F.collect_list(F.when(F.col("d") >= REMOVE, F.col("term"))).alias("remove"),
         F.collect_list(F.when(F.col("d") < REMOVE, F.col("term"))).alias("generalise"))
 
@@ -150,9 +148,9 @@ def personal_spans(docs: DataFrame) -> DataFrame:
     """documents -> (doc_id, etext, base, spans), a row per row: ``base`` by kind and start,
     ``spans`` with the flagged words after them; ``etext`` is the text of rows with a span."""
     base = written(base_spans(docs).select(
-        "doc_id", F.when(F.size("base") > 0, F.col("text")).alias("etext"), "base"), "pii_base")
+        F.monotonically_increasing_id().alias("row_id"), "doc_id", F.when(F.size("base") > 0, F.col("text")).alias("etext"), "base"), "pii_base")
     flagged = flagged_terms(docs, base)
-    joined = base.join(flagged, "doc_id", "left")
+    joined = base.join(flagged, "row_id", "left")
     spans = F.when(F.col("remove").isNull() | F.col("etext").isNull(), F.col("base")).otherwise(
         F.concat("base", F.filter(_term_spans(F.col("etext")), lambda t: ~F.exists(
             "base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))))
