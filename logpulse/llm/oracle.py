@@ -5,6 +5,24 @@ from __future__ import annotations
 #: Quality rules, fingerprints, suffix arrays, random draws and tokens have no SQL;
 #: tests/llm compares those with brute force.
 ORACLE_SQL: dict[str, str] = {
+    "op8_preference_pairs": """
+WITH t AS (
+  SELECT CAST(floor(conv_id / 2.0) AS BIGINT) AS pair_id, conv_id % 2 = 0 AS is_chosen,
+         coalesce(turn, -1) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+m AS (
+  SELECT pair_id, turn, role, text, bool_or(is_chosen) AS c, bool_or(NOT is_chosen) AS r
+  FROM t GROUP BY ALL),
+d AS (SELECT *, min(CASE WHEN NOT (c AND r) THEN turn END) OVER (PARTITION BY pair_id) AS first_diff FROM m),
+s AS (
+  SELECT *, 'prompt' AS side FROM d WHERE first_diff IS NULL OR turn < first_diff
+  UNION ALL SELECT *, 'chosen' FROM d WHERE turn >= first_diff AND c
+  UNION ALL SELECT *, 'rejected' FROM d WHERE turn >= first_diff AND r)
+SELECT pair_id, side, turn, role,
+       '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered,
+       side <> 'prompt' AND role = 'assistant' AS train
+FROM s
+""",
     "op10_content_sort": r"""
 WITH d AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm
