@@ -77,17 +77,29 @@ def _induce(t: np.ndarray, small: np.ndarray, ends: np.ndarray, lms: np.ndarray)
 
 
 def _doubling(names: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of a string of names whose last is unique and smallest."""
-    rank, k, n = names.astype(np.int64), 1, len(names)
-    while True:
-        key = rank * (n + 1)
-        key[:-k] += rank[k:] + 1
-        order = np.argsort(key, kind="stable")
-        new = np.empty(n, dtype=np.int64)
-        new[order] = np.cumsum(np.r_[0, key[order][1:] != key[order][:-1]])
-        if new[order[-1]] == n - 1 or k >= n:
-            return order
-        rank, k = new, 2 * k
+    """Order of the suffixes of a string of names whose last is unique and smallest.
+
+    A rank is the place of the first of all suffixes that look alike so far;
+    only suffixes that still share a rank are sorted again.
+    """
+    n = len(names)
+    count = np.bincount(names)
+    rank = (np.cumsum(count) - count)[names]
+    tied, k = np.flatnonzero(count[names] > 1), 1
+    while len(tied):
+        ahead = np.where(tied + k < n, rank[np.minimum(tied + k, n - 1)], -1)
+        key = rank[tied] * (n + 1) + ahead + 1
+        order = np.argsort(key)
+        tied, key, old = tied[order], key[order], rank[tied[order]]
+        at = np.arange(len(tied))
+        first_old = np.maximum.accumulate(np.where(np.r_[True, old[1:] != old[:-1]], at, 0))
+        parts = np.r_[True, key[1:] != key[:-1]]
+        rank[tied] = old + np.maximum.accumulate(np.where(parts, at, 0)) - first_old
+        size = np.diff(np.r_[np.flatnonzero(parts), len(tied)])
+        tied, k = tied[np.repeat(size > 1, size)], 2 * k
+    out = np.empty(n, dtype=np.int64)
+    out[rank] = np.arange(n)
+    return out
 
 
 def suffix_array(t: np.ndarray) -> np.ndarray:
@@ -95,6 +107,8 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     n = len(t)
     if n == 1:
         return np.zeros(1, dtype=np.int64)
+    if t.max() < 1 << 16:
+        t = t.astype(np.uint16)  # stable sorts of short integers are by digits
     small = _types(t)
     starts = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     ends = np.cumsum(np.bincount(t))
