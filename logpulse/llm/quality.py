@@ -39,7 +39,7 @@ from .common import document_columns, documents, written
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
 MIN_ROWS = 50
-COVERED = 0.75
+COVERED = 0.6
 STEPS = 4
 #: Squared distance: nine robust spreads. Document statistics have heavy tails, so this is far
 #: beyond the chi-square quantiles and leaves unusual but clean texts (tables, lists) alone.
@@ -142,8 +142,8 @@ def _concentrate(bins: pd.DataFrame) -> pd.DataFrame:
     return _estimate(bins["g"].iloc[0], mean, cov * CONSISTENCY + np.diag(np.square(FLOOR)))
 
 
-#: COVERED / P(chi-square with 7 degrees of freedom <= its 5-degree COVERED quantile) at 0.75.
-CONSISTENCY = 1.66
+#: Fixed value: COVERED / P(chi-square with 7 degrees of freedom <= the 5-degree COVERED quantile).
+CONSISTENCY = 1.6848
 
 _ESTIMATE = "g string, mean array<double>, inv array<double>"
 
