@@ -1,3 +1,5 @@
+"""Rows and fixtures shared by these tests; the session is the suite's own."""
+
 import os
 import random
 import sys
@@ -38,18 +40,11 @@ def edge_rows():
     return rows
 
 
-@pytest.fixture(scope="session")
-def spark():
-    from logpulse.session import local_session
-
-    return local_session("*", shuffle_partitions=4, app_name="llm-tests")
-
-
-@pytest.fixture(scope="session")
+@pytest.fixture
 def edge(spark):
     return spark.createDataFrame(edge_rows(), SCHEMA).repartition(3)
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)

@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest import edge_rows
+from llm_support import edge, edge_rows, empty  # noqa: F401
 from xxhash import xxh64_intdigest
 
 from logpulse.llm import simhash, suffix_dedup

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import SF, edge_rows
+from llm_support import SF, edge, edge_rows, empty  # noqa: F401
 from tokenizers import Tokenizer
 
 from logpulse.llm import mixing, packing, sharding

@@ -6,7 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
-from conftest import SCHEMA, edge_rows, row
+from llm_support import SCHEMA, edge, edge_rows, empty, row  # noqa: F401
 
 from logpulse.llm import pii, quality, secrets
 from logpulse.llm.spans import replaced
