@@ -43,7 +43,7 @@ def listed(spans: Column) -> Column:
 
 def replaced(text: Column, spans: Column, by) -> Column:
     """The text with each span replaced by ``by(span)``; spans come in order of start,
-    and what an earlier one covers is not replaced again."""
+    and overlapping ones are replaced together, by the mark of the first."""
     def step(acc: Column, s: Column) -> Column:
         free = s["start"] >= acc["at"]
         gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
