@@ -3,16 +3,21 @@
 Each check scores the whole input (overall health status and worst spike),
 compares it with the status saved by the previous check (HEALTHY when there
 is none) and returns an alert row only when it changed. The state is an
-append-only history table (one row per check) in the shared folder: the
-previous status is the latest row, read as a scalar subquery, and the new
-row is appended by the same job, so nothing is overwritten while it is read
-and a re-run of the same ``as_of`` is detectable.
+append-only history table (one row per check, with an id of its own) in the
+shared folder: the previous status is the latest row not after ``as_of``,
+read as a scalar subquery, and the new row is appended by the same job, so
+nothing is overwritten while it is read. The answer is the row of this check
+alone, whatever later checks are in the history; a re-run with the same
+``as_of`` finds its first run and stays silent. Only a missing history counts
+as none: any other read failure is raised.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,13 +36,16 @@ HISTORY_SCHEMA = T.StructType([
     T.StructField("total_entries", T.LongType()),
     T.StructField("error_count", T.LongType()),
     T.StructField("error_rate", T.DoubleType()),
+    T.StructField("check_id", T.StringType()),
 ])
 
 
 def _history(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(HISTORY_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - no check yet
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], HISTORY_SCHEMA)
 
 
@@ -50,19 +58,21 @@ def status_check(entries: DataFrame, history_path: str, params: HealthParams = H
     spikes = detect_spikes(entries, params)
     status = health_status(spikes, params).select("status", "spike_count")
     worst = worst_spike(spikes).select("window_start", "total_entries", "error_count", "error_rate")
-    prev = (_history(spark, history_path)
-            .orderBy(F.col("checked_at").desc()).limit(1).select("status"))
     checked_at = (F.lit(str(as_of)).cast("timestamp_ntz") if as_of is not None
                   else F.localtimestamp())
+    prev = (_history(spark, history_path).where(F.col("checked_at") <= checked_at)
+            .orderBy(F.col("checked_at").desc(), F.col("check_id").desc()).limit(1).select("status"))
+    check_id = uuid.uuid4().hex
     w = worst.select(F.struct(*worst.columns).alias("w")).scalar()  # NULL without spikes
     row = status.select(checked_at.alias("checked_at"),
                         F.coalesce(prev.scalar(), F.lit(initial)).alias("prev_status"),
                         "status", "spike_count",
-                        *[w[c].alias(c) for c in worst.columns])
+                        *[w[c].alias(c) for c in worst.columns],
+                        F.lit(check_id).alias("check_id"))
     row.write.mode("append").parquet(history_path)
-    latest = (spark.read.schema(HISTORY_SCHEMA).parquet(history_path)
-              .orderBy(F.col("checked_at").desc()).limit(1))
-    alert = latest.where(F.col("prev_status") != F.col("status")).withColumns({
+    own = (spark.read.schema(HISTORY_SCHEMA).parquet(history_path)
+           .where(F.col("check_id") == check_id).drop("check_id"))
+    alert = own.where(F.col("prev_status") != F.col("status")).withColumns({
         "transition": transition_text("prev_status", "status"),
         "worst_window": minute_text("window_start"),
         "worst_rate_text": percent_text("error_rate"),

@@ -61,7 +61,7 @@ def fmt_template(template: str, **fields) -> str:
 
 
 def _pct(x: float) -> int:
-    return int(x * 100)
+    return round(x * 100)
 
 
 def status_reason(status: Column, n_spikes: Column, p: HealthParams) -> Column:
@@ -253,7 +253,7 @@ def alert_payload(params: HealthParams, sent_at: Column) -> Column:
     """Chat payload (JSON text) for one transition row: coloured attachment,
     header, transition text, worst-window fields when not HEALTHY, top error
     when a ``top_error`` column is non-null, and a time context line."""
-    thr = int(params.error_rate_threshold * 100)
+    thr = _pct(params.error_rate_threshold)
     not_ok = F.col("status") != "HEALTHY"
     spike_fields = F.array(
         _mrkdwn(F.concat(F.lit("*Worst window:*\n"), minute_text("window_start"))),
@@ -263,7 +263,7 @@ def alert_payload(params: HealthParams, sent_at: Column) -> Column:
                                 F.col("error_count"), F.col("total_entries"))),
     )
     top_field = F.array(_mrkdwn(F.concat(F.lit("*Top error:*\n`"),
-                                         F.substring("top_error", 1, 60), F.lit("`"))))
+                                         F.col("top_error"), F.lit("`"))))
     empty = F.array().cast("array<struct<type:string,text:string>>")
     fields = F.concat(F.when(not_ok, spike_fields).otherwise(empty),
                       F.when(F.col("top_error").isNotNull(), top_field).otherwise(empty))

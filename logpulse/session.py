@@ -35,8 +35,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     """A folder under the cluster's shared checkpoint location.
 
-    Uses ``spark.checkpoint.dir`` from the session; only when it is unset (a
-    local test session) a temporary folder is created and registered.
+    Uses ``spark.checkpoint.dir`` from the session. Where it is unset, a local
+    session gets a temporary folder, registered as its checkpoint folder; on a
+    cluster that would be another folder on every machine, so it raises.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
@@ -47,6 +48,8 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
                 conf = spark.conf.get("spark.checkpoint.dir")
             except Exception:  # noqa: BLE001 - unset
                 conf = None
+        if not conf and not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not conf:
             conf = tempfile.mkdtemp(prefix="logpulse-ckpt-")
         sc.setCheckpointDir(conf)

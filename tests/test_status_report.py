@@ -161,3 +161,33 @@ def test_status_check_rerun_does_not_realert(make_entries, scratch):
     assert len(status_check(e, hist, as_of="2015-10-18 22:00:00").collect()) == 1
     # the same check again (a retried job): the previous status is now CRITICAL
     assert status_check(e, hist, as_of="2015-10-18 22:00:00").collect() == []
+
+
+def test_status_check_answers_for_itself(make_entries, scratch):
+    """A check at an earlier time is not answered with a later check's alert."""
+    from logpulse.operators import status_check
+    from tests.test_reference_fixtures import report_rows, spike_rows
+
+    bad, good, hist = make_entries(spike_rows()), make_entries(report_rows()), scratch + "/mixed"
+    assert len(status_check(bad, hist, as_of="2015-10-18 23:00:00").collect()) == 1
+    before = status_check(good, hist, as_of="2015-10-18 22:00:00").collect()
+    assert all(r.prev_status == "HEALTHY" and str(r.checked_at) == "2015-10-18 22:00:00" for r in before)
+
+
+def test_status_check_raises_on_unreadable_history(make_entries, scratch):
+    import os
+
+    from logpulse.operators import status_check
+    from tests.test_reference_fixtures import report_rows
+
+    os.makedirs(scratch + "/broken")
+    with open(scratch + "/broken/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        status_check(make_entries(report_rows()), scratch + "/broken", as_of="2015-10-18 22:00:00").collect()
+
+
+def test_percent_is_rounded():
+    from logpulse.operators.status import _pct
+
+    assert _pct(0.29) == 29 and _pct(0.05) == 5
