@@ -8,13 +8,18 @@ from pyspark.sql import functions as F
 from logpulse.functions.columns import col_
 
 
+#: The characters that Python's str.strip() removes.
+SPACES = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def html_to_text(html: str | Column) -> Column:
     """Plain-text fallback of an HTML body.
 
     Tags become a space, runs of spaces/tabs collapse to one space, three or
-    more newlines collapse to a blank line, then the ends are trimmed.
+    more newlines collapse to a blank line, then white space (Unicode spaces
+    included) is trimmed from the ends.
     """
     t = F.regexp_replace(col_(html), r"<[^>]+>", " ")
     t = F.regexp_replace(t, r"[ \t]+", " ")
     t = F.regexp_replace(t, r"\n{3,}", "\n\n")
-    return F.regexp_replace(t, r"^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$", "")
+    return F.regexp_replace(t, rf"\A[{SPACES}]+|[{SPACES}]+\z", "")

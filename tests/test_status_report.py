@@ -191,3 +191,12 @@ def test_percent_is_rounded():
     from logpulse.operators.status import _pct
 
     assert _pct(0.29) == 29 and _pct(0.05) == 5
+
+
+def test_html_to_text_trims_like_strip(spark):
+    from logpulse.functions import html_to_text
+
+    spaces = [chr(c) for c in range(0x3100) if chr(c).isspace()]
+    rows = [(f"<p>{a} hi{b}x{a}</p>{b}",) for a, b in zip(spaces, reversed(spaces))]
+    got = [r[0] for r in spark.createDataFrame(rows, "html string").select(html_to_text("html")).collect()]
+    assert len(got) == len(spaces) and all(t == t.strip() and t.startswith("hi") and t.endswith("x") for t in got)
