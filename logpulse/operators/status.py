@@ -77,14 +77,19 @@ def status_from_spike_counts(n_spikes: Column, n_critical: Column) -> Column:
 
 
 def health_status(spikes: DataFrame, params: HealthParams = HealthParams(),
-                  keys: Sequence[str] = ()) -> DataFrame:
+                  keys: Sequence[str] = (), known_keys: DataFrame | None = None) -> DataFrame:
     """CRITICAL if any critical spike, WARNING if any spike, else HEALTHY.
 
     Unkeyed, always one row (a global aggregate over zero spikes still yields
-    a row). Keyed, keys without spikes have no row.
+    a row). Keyed, a key without spikes has a HEALTHY row if it is among
+    ``known_keys`` (any frame with the key columns, such as the window rates).
     """
-    agg = spikes.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("spike_count"),
+    counted = spikes.select(*keys, F.lit(1).alias("spike"), "severity")
+    if keys and known_keys is not None:
+        counted = counted.unionByName(known_keys.select(*keys).distinct().select(
+            *keys, F.lit(0).alias("spike"), F.lit(None).cast("string").alias("severity")))
+    agg = counted.groupBy(*keys).agg(
+        F.count_if(F.col("spike") == 1).alias("spike_count"),
         F.count_if(F.col("severity") == "critical").alias("critical_spike_count"))
     status = status_from_spike_counts(F.col("spike_count"), F.col("critical_spike_count"))
     return agg.select(*keys, status.alias("status"),

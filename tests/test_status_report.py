@@ -200,3 +200,10 @@ def test_html_to_text_trims_like_strip(spark):
     rows = [(f"<p>{a} hi{b}x{a}</p>{b}",) for a, b in zip(spaces, reversed(spaces))]
     got = [r[0] for r in spark.createDataFrame(rows, "html string").select(html_to_text("html")).collect()]
     assert len(got) == len(spaces) and all(t == t.strip() and t.startswith("hi") and t.endswith("x") for t in got)
+
+
+def test_keyed_health_has_healthy_keys(spark):
+    spikes = spark.createDataFrame([("a", "warning"), ("a", "critical"), ("c", "warning")], "svc string, severity string")
+    keys = spark.createDataFrame([("a",), ("b",), ("c",), ("b",), (None,)], "svc string")
+    got = {r.svc: (r.status, r.spike_count) for r in health_status(spikes, keys=["svc"], known_keys=keys).collect()}
+    assert got == {"a": ("CRITICAL", 2), "b": ("HEALTHY", 0), "c": ("WARNING", 1), None: ("HEALTHY", 0)}
