@@ -53,12 +53,14 @@ def _split_line(line_col: str, pattern: str, groups: dict[str, int]):
     """Array of the (timestamp, level, logger, message) group texts.
 
     One regex evaluation per line: ``pattern`` gets a catch-all alternative
-    and ``regexp_replace`` rewrites the whole line to its groups joined by
-    ``\\n``. No group can contain a newline (``\\S`` and ``.`` exclude it under
-    ``(?d)``; text lines never hold one), so the split is exact; a line that
-    only matches the catch-all rewrites to empty parts (empty timestamp).
+    and ``regexp_replace`` rewrites the whole value to its groups joined by
+    ``\\n``. Both alternatives consume the value to its end, over newlines
+    too, so nothing of it is left beside the groups, and no group can contain
+    a newline (``\\S`` and ``.`` exclude it under ``(?d)``): the split is exact.
+    A value that only matches the catch-all rewrites to empty parts (empty
+    timestamp).
     """
-    p = f"{JAVA_FLAGS}(?:{pattern})|^.*$"
+    p = f"{JAVA_FLAGS}(?:{pattern})(?s:.*)|^(?s:.*)"
     rewrite = "\n".join(f"${groups[k]}" for k in _ORDER)
     return F.split(F.regexp_replace(col_(line_col), p, rewrite), "\n", len(_ORDER))
 

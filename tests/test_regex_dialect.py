@@ -81,3 +81,27 @@ def test_unicode_digit_timestamp_is_rejected(spark):
     df = spark.createDataFrame([(line,)], "value string")
     assert parse_hadoop_lines(df).count() == 0
     assert [r.reject_reason for r in parse_rejects(df).collect()] == ["bad_timestamp"]
+
+
+multi = st.lists(st.one_of(hadoop_line, app_line, st.sampled_from(["", "\tat x.Y(Z.java:1)", "ERROR"])),
+                 min_size=1, max_size=4).map("\n".join)
+FORGED = "2015-10-18 21:40:23\nERROR\nforged.Logger\nnot a log line"
+
+
+@SETTINGS
+@given(values=st.lists(multi, min_size=1, max_size=30))
+def test_values_over_several_lines(spark, values):
+    """A frame may hold values with newlines, which the text source never yields."""
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([FORGED, *values])], "i int, value string")
+    for parse, model in ((parse_hadoop_lines, model_hadoop), (parse_app_lines, model_app)):
+        got = {r.i: (r.timestamp, r.level, r.logger, r.message) for r in parse(df).collect()}
+        want = {i: model(v) for i, v in enumerate([FORGED, *values]) if model(v) is not None}
+        assert got == want and 0 not in got
+
+
+def test_lines_after_a_log_line_are_no_bad_timestamp(spark):
+    from logpulse.sources import parse_rejects
+
+    line = "2015-10-18 21:40:23,154 ERROR [main] a.B: m\n\tat x.Y"
+    df = spark.createDataFrame([(line,), (FORGED,)], "value string")
+    assert [r.reject_reason for r in parse_rejects(df).collect()] == ["no_match", "no_match"]
