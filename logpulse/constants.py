@@ -91,6 +91,7 @@ class HealthParams:
     top_errors_n: int = 10
     prefix_length: int = 60
     spike_advice_n: int = 5
+    alert_title: str = "logpulse"  # header of the chat payload
 
     def replace(self, **kw) -> "HealthParams":
         from dataclasses import replace

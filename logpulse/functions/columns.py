@@ -144,9 +144,9 @@ def window_status(total: str | Column, rate: str | Column, threshold: float,
 
 
 def percent_text(rate: str | Column) -> Column:
-    """Whole-percent text, rounding half to even like Python's ``{:.0%}``."""
+    """Whole-percent text, rounding half to even like Python's ``{:.0%}``; NULL stays NULL."""
     pct = F.bround(col_(rate) * F.lit(100.0), 0).cast("bigint")
-    return F.format_string("%d%%", pct)
+    return F.when(col_(rate).isNotNull(), F.format_string("%d%%", pct))
 
 
 def covered_hours(first_ts: str | Column, last_ts: str | Column) -> Column:

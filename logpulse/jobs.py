@@ -1,10 +1,11 @@
 """End-to-end runs over a log directory, composed from the operators.
 
-* :func:`report_job` - scan + parse a directory of Hadoop-format logs and
-  write the one-row health report as JSON (the batch analysis run).
-* :func:`watch_alerts` - a continuous (or run-once) Structured Streaming
-  query from new log files to the alerts table: status changes per closed
-  window with transition text and chat payload (the alert watcher).
+* :func:`report_job` - scan + parse a directory of Hadoop-format logs, write the
+  one-row health report as JSON and the chart series as tables (the batch run).
+* :func:`check_job` - one status check of the directory against the saved
+  status (the run-once alert).
+* :func:`watch_alerts` - a continuous (or run-once) Structured Streaming query
+  from new log files to the alerts table (the alert watcher).
 """
 
 from __future__ import annotations
@@ -15,31 +16,50 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from logpulse.constants import HealthParams
-from logpulse.operators.report import health_report
+from logpulse.operators.checks import status_check
+from logpulse.operators.hourly import hourly_breakdown, hourly_stacked
+from logpulse.operators.report import report_aggregate, report_header, report_spikes
+from logpulse.operators.severity import severity_share
+from logpulse.operators.windows import error_timeline
 from logpulse.sources.logs import load_hadoop_logs, parse_hadoop_lines, stream_log_lines
 from logpulse.sources.report_io import write_report
-from logpulse.streaming.windows import ensure_rocksdb_state, start_to_parquet, stream_alert_events
+from logpulse.streaming.landing import watch_entries
 
 
 def report_job(spark: SparkSession, log_dir: str, output: str,
-               params: HealthParams = HealthParams(), as_of: datetime | str | None = None) -> DataFrame:
+               params: HealthParams = HealthParams(), as_of: datetime | str | None = None,
+               series: str | None = None) -> DataFrame:
     """Write the health report of every ``*.log`` under ``log_dir`` to
-    ``output`` (JSON, overwritten) and return the written report."""
-    report = health_report(load_hadoop_logs(spark, log_dir), params, as_of)
-    write_report(report, output)
+    ``output`` and its spikes to ``<output>_spikes`` (JSON, overwritten) and
+    return the written report. With
+    ``series``, the tables behind the charts go below that folder: ``hourly``,
+    ``hourly_stacked``, ``timeline`` and ``severity_share`` (Parquet, overwritten)."""
+    entries = load_hadoop_logs(spark, log_dir)
+    base = report_aggregate(entries, params)
+    report = report_header(base, params, as_of)
+    write_report(report, output, report_spikes(base, params))
+    if series is not None:
+        tables = {"hourly": hourly_breakdown(entries), "hourly_stacked": hourly_stacked(entries),
+                  "timeline": error_timeline(entries, params), "severity_share": severity_share(entries)}
+        for name, table in tables.items():
+            table.write.mode("overwrite").parquet(f"{series.rstrip('/')}/{name}")
     return spark.read.json(output, schema=report.schema)
 
 
+def check_job(spark: SparkSession, log_dir: str, history: str, params: HealthParams = HealthParams(),
+              as_of: datetime | str | None = None) -> DataFrame:
+    """Score every ``*.log`` under ``log_dir`` once, save the status to
+    ``history`` and return the alert (no row when the status is unchanged)."""
+    return status_check(load_hadoop_logs(spark, log_dir), history, params, as_of)
+
+
 def watch_alerts(spark: SparkSession, log_dir: str, params: HealthParams = HealthParams(),
-                 keys: Sequence[str] = (), watermark: str = "10 minutes",
-                 interval: str | None = "300 seconds", output: str | None = None,
-                 checkpoint: str | None = None):
+                 keys: Sequence[str] = (), interval: str | None = "300 seconds",
+                 output: str | None = None, checkpoint: str | None = None,
+                 max_files_per_trigger: int | None = None):
     """Start the alert stream over ``log_dir``: every ``interval`` (None =
-    process what is there and stop) new files are parsed, windows closed by
-    the watermark are scored and status changes appended to the alerts table.
-    Returns (query, output path, checkpoint path)."""
-    ensure_rocksdb_state(spark)
-    entries = parse_hadoop_lines(stream_log_lines(spark, log_dir))
-    alerts = stream_alert_events(entries, params, keys, watermark)
-    return start_to_parquet(alerts, "alerts", checkpoint=checkpoint, output=output,
-                            processing_time=interval)
+    process what is there and stop) new files are parsed and landed, the
+    windows they touch scored again and new status changes appended to the
+    alerts table. Returns (query, output path, checkpoint path)."""
+    entries = parse_hadoop_lines(stream_log_lines(spark, log_dir, max_files_per_trigger=max_files_per_trigger))
+    return watch_entries(entries, params, keys, interval, output, checkpoint)

@@ -1,7 +1,14 @@
 from logpulse.operators.checks import status_check  # noqa: F401
 from logpulse.operators.enrich import enrich_entries, sort_entries  # noqa: F401
 from logpulse.operators.hourly import hourly_breakdown, hourly_stacked  # noqa: F401
-from logpulse.operators.report import flatten_report, health_report  # noqa: F401
+from logpulse.operators.report import (  # noqa: F401
+    base_recommendations,
+    flatten_report,
+    health_report,
+    report_aggregate,
+    report_header,
+    report_spikes,
+)
 from logpulse.operators.severity import severity_counts, severity_share  # noqa: F401
 from logpulse.operators.status import (  # noqa: F401
     alert_events,

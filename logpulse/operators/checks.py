@@ -24,8 +24,13 @@ from pyspark.sql import types as T
 
 from logpulse.constants import HealthParams
 from logpulse.functions.columns import minute_text, percent_text, transition_text
-from logpulse.operators.status import alert_payload, health_status, worst_spike
-from logpulse.operators.windows import detect_spikes
+from logpulse.operators.status import (
+    alert_payload,
+    health_status,
+    window_prefix_counts,
+    worst_spike,
+)
+from logpulse.operators.windows import spikes_from_rates
 
 HISTORY_SCHEMA = T.StructType([
     T.StructField("checked_at", T.TimestampNTZType()),
@@ -37,6 +42,7 @@ HISTORY_SCHEMA = T.StructType([
     T.StructField("error_count", T.LongType()),
     T.StructField("error_rate", T.DoubleType()),
     T.StructField("check_id", T.StringType()),
+    T.StructField("top_error", T.StringType()),
 ])
 
 
@@ -53,9 +59,18 @@ def status_check(entries: DataFrame, history_path: str, params: HealthParams = H
                  as_of: datetime | str | None = None, initial: str = "HEALTHY") -> DataFrame:
     """Score ``entries``, append the check to ``history_path``, return the
     alert (0 or 1 row): prev_status, status, spike_count, the worst spike's
-    window and counts, transition text and chat payload."""
+    window and counts, the most frequent error prefix of all entries,
+    transition text and chat payload."""
     spark = entries.sparkSession
-    spikes = detect_spikes(entries, params)
+    base = window_prefix_counts(entries, params)
+    rates = (base.groupBy("window_start")
+             .agg(F.sum("n").alias("total_entries"), F.sum("e").alias("error_count"))
+             .where(F.when(F.col("total_entries") > 0, F.col("window_start")).isNotNull())
+             .withColumn("error_rate", F.col("error_count") / F.col("total_entries")))
+    spikes = spikes_from_rates(rates, params)
+    top = (base.groupBy("p").agg(F.sum("n").alias("n"), F.sum("e").alias("e"))
+           .agg(F.min_by("p", F.when(F.col("p").isNotNull(), F.struct((-F.col("n")).alias("nn"), F.col("p"), F.col("e"))))
+                .alias("top_error")))
     status = health_status(spikes, params).select("status", "spike_count")
     worst = worst_spike(spikes).select("window_start", "total_entries", "error_count", "error_rate")
     checked_at = (F.lit(str(as_of)).cast("timestamp_ntz") if as_of is not None
@@ -68,7 +83,7 @@ def status_check(entries: DataFrame, history_path: str, params: HealthParams = H
                         F.coalesce(prev.scalar(), F.lit(initial)).alias("prev_status"),
                         "status", "spike_count",
                         *[w[c].alias(c) for c in worst.columns],
-                        F.lit(check_id).alias("check_id"))
+                        F.lit(check_id).alias("check_id"), top.scalar().alias("top_error"))
     row.write.mode("append").parquet(history_path)
     own = (spark.read.schema(HISTORY_SCHEMA).parquet(history_path)
            .where(F.col("check_id") == check_id).drop("check_id"))
@@ -76,6 +91,5 @@ def status_check(entries: DataFrame, history_path: str, params: HealthParams = H
         "transition": transition_text("prev_status", "status"),
         "worst_window": minute_text("window_start"),
         "worst_rate_text": percent_text("error_rate"),
-        "top_error": F.lit(None).cast("string"),
     })
     return alert.withColumn("payload", alert_payload(params, minute_text("checked_at")))

@@ -1,14 +1,15 @@
-"""One-row health report from a single scan.
-
-Plan: one base aggregate over the entries on (window, error prefix) - one
-scan, one shuffle of partial aggregates - rolled up by window (the window
-cube: counts, time range, spikes and status come from one global aggregate
-over it) and by prefix (top errors, attached as a scalar subquery that
-reuses the same exchange). No join, no cross join.
-
-Size of the arrays: top errors <= ``top_errors_n``; spikes <= number of
-populated windows, i.e. bounded by time span / window length (1 year of
-5-minute windows is 105,120 entries), not by data volume.
+"""Health report from a single scan: a one-row header and a table of spikes.
+
+Plan: one base aggregate over the entries on (window, error prefix) - one scan,
+one shuffle of partial aggregates - written to the shared folder. Its rows are
+windows x prefixes, small beside the entries, and every part of the report is
+rolled up from them: counts and time range, window rates and spikes, top errors.
+No join, no cross join.
+
+The header holds bounded lists only: at most ``top_errors_n`` top errors and
+``spike_advice_n`` + 1 recommendations, each taken by a top-n before it is put
+into a list. The spikes are rows of a table of their own, as many as there are:
+no list holds them all and none is left out.
 """
 
 from __future__ import annotations
@@ -18,146 +19,116 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logpulse.constants import LEVELS, SPIKE_ADVICE, TOP_ERROR_ADVICE, HealthParams
+from logpulse.constants import LEVELS, HealthParams
 from logpulse.functions.columns import (
     covered_hours,
     floor_time,
     is_error,
     message_prefix,
     minute_text,
-    percent_text,
     safe_ratio,
     second_text,
-    spike_severity,
 )
-from logpulse.operators.status import fmt_template, status_from_spike_counts, status_reason
+from logpulse.operators.status import spike_recommendations, status_from_spike_counts, status_reason
 from logpulse.operators.top_errors import _rank_top
-from logpulse.operators.windows import level_counts
-
-
-def _spike_struct(p: HealthParams) -> tuple[Column, Column]:
-    """(is_spike, struct) for one cube row."""
-    total = F.col("n_all")
-    errors = F.col("n_ERROR") + F.col("n_CRITICAL")
-    rate = errors / total
-    is_spike = (F.col("window_start").isNotNull() & (total >= p.min_window_entries)
-                & (rate > F.lit(p.error_rate_threshold)))
-    s = F.struct(F.col("window_start").alias("window_start"),
-                 second_text("window_start").alias("window"),
-                 total.alias("total_entries"), errors.alias("error_count"),
-                 rate.alias("error_rate"),
-                 spike_severity(rate, p.critical_rate).alias("severity"),
-                 # all cube columns ride along (dropped on output) so every
-                 # consumer of the spikes keeps the whole cube roll-up and the
-                 # base aggregate stays identical to the top-errors subquery's
-                 F.struct(*[F.col(f"n_{lv}") for lv in LEVELS], "first_ts", "last_ts").alias("_cube"))
-    return is_spike, s
-
-
-def _advice(spikes: Column, top: Column, p: HealthParams) -> Column:
-    def by_rate_then_window(a, b):
-        return (F.when(a["error_rate"] > b["error_rate"], -1)
-                .when(a["error_rate"] < b["error_rate"], 1)
-                .when(a["window_start"] < b["window_start"], -1)
-                .when(a["window_start"] > b["window_start"], 1).otherwise(0))
-
-    width = p.window.replace("%", "%%")
-    tmpl = fmt_template(SPIKE_ADVICE, window="%s", errors="%d", width=width, pct="%s")
-    worst = F.slice(F.array_sort(spikes, by_rate_then_window), 1, p.spike_advice_n)
-    spike_text = F.transform(worst, lambda s: F.format_string(
-        tmpl, s["window"], s["error_count"], percent_text(s["error_rate"])))
-    top_tmpl = fmt_template(TOP_ERROR_ADVICE, prefix="%s", count="%d")
-    top_text = F.when(F.size(top) > 0, F.array(F.format_string(
-        top_tmpl, F.try_element_at(top, F.lit(1))["message_prefix"],
-        F.try_element_at(top, F.lit(1))["count"]))).otherwise(F.array().cast("array<string>"))
-    return F.concat(spike_text, top_text)
-
-
-def report_aggregate(entries: DataFrame, p: HealthParams) -> tuple[DataFrame, DataFrame]:
-    """(window cube, error-prefix counts) from one scan.
-
-    A base aggregate on (window_start, prefix of error rows) - non-error rows
-    share the NULL prefix - is rolled up twice: by window (the cube) and by
-    prefix (the NULL group is skipped by the ranking). Both roll-ups read the
-    base aggregate's exchange, so the entries are scanned and shuffled once;
-    both keep every column so column pruning leaves the two reads identical.
-    (GROUPING SETS would express the same, but its Expand node defeats
-    exchange reuse between the main query and the scalar subquery.)
-    """
-    prefix = F.when(is_error("level"), message_prefix("message", p.prefix_length))
+from logpulse.operators.windows import level_counts, rates_from_cube, spikes_from_rates
+from logpulse.session import shared_dir
+
+_TOP = "struct<message_prefix:string,count:bigint,pct_of_errors:double>"
+
+
+def report_aggregate(entries: DataFrame, params: HealthParams = HealthParams(),
+                     path: str | None = None) -> DataFrame:
+    """The base aggregate, written to ``path`` (default: a new folder below the
+    session's shared folder) and read back: (window_start, prefix, n_all,
+    n_<LEVEL>..., first_ts, last_ts). Rows without an error prefix share the
+    NULL prefix, rows without a timestamp the NULL window."""
+    path = path or shared_dir(entries.sparkSession, "reports", "base")
+    prefix = F.when(is_error("level"), message_prefix("message", params.prefix_length))
     base = (entries
-            .groupBy(floor_time("timestamp", p.window).alias("window_start"), prefix.alias("prefix"))
+            .groupBy(floor_time("timestamp", params.window).alias("window_start"), prefix.alias("prefix"))
             .agg(F.count(F.lit(1)).alias("n_all"), *level_counts(),
                  F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts")))
-    sums = [F.sum(c).alias(c) for c in ("n_all", *[f"n_{lv}" for lv in LEVELS])]
-    spans = [F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts")]
-    cube = base.groupBy("window_start").agg(*sums, *spans)
-    prefixes = base.groupBy("prefix").agg(*sums, *spans).withColumn("count", F.col("n_all"))
-    return cube, prefixes
+    base.write.mode("overwrite").parquet(path)
+    return entries.sparkSession.read.schema(base.schema).parquet(path)
 
 
-def health_report(entries: DataFrame, params: HealthParams = HealthParams(),
+def _sums() -> list[Column]:
+    return [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_all", *[f"n_{lv}" for lv in LEVELS])]
+
+
+def base_spikes(base: DataFrame, params: HealthParams = HealthParams()) -> DataFrame:
+    """Spike windows (as ``detect_spikes``) from the base aggregate."""
+    cube = base.where(F.col("window_start").isNotNull()).groupBy("window_start").agg(*_sums())
+    return spikes_from_rates(rates_from_cube(cube, params.window), params)
+
+
+def base_top_errors(base: DataFrame, params: HealthParams = HealthParams()) -> DataFrame:
+    """(rank, message_prefix, count) of the top errors from the base aggregate."""
+    counts = base.groupBy("prefix").agg(F.sum("n_all").alias("count"))
+    return _rank_top(counts, params.top_errors_n, ()).withColumnRenamed("prefix", "message_prefix")
+
+
+def base_recommendations(base: DataFrame, params: HealthParams = HealthParams()) -> DataFrame:
+    """(rec_no, recommendation) from the base aggregate."""
+    return spike_recommendations(base_spikes(base, params), base_top_errors(base, params), params)
+
+
+def report_spikes(base: DataFrame, params: HealthParams = HealthParams()) -> DataFrame:
+    """The spikes as stored with the report: window as text, one row each."""
+    return base_spikes(base, params).select(
+        second_text("window_start").alias("window"), "total_entries", "error_count", "error_rate", "severity")
+
+
+def report_header(base: DataFrame, params: HealthParams = HealthParams(),
                   as_of: datetime | str | None = None) -> DataFrame:
-    """The nested one-row report: status, reason, counts, time range, top
-    errors, spikes, recommendations, generation time and covered hours."""
+    """The one-row header: status, reason, counts, time range, top errors,
+    number of spikes, recommendations, generation time and covered hours."""
     p = params
-    cube, prefixes = report_aggregate(entries, p)
-    is_spike, spike = _spike_struct(p)
-    summary = cube.agg(
-        *[F.coalesce(F.sum(f"n_{lv}"), F.lit(0)).alias(lv) for lv in LEVELS],
-        F.coalesce(F.sum("n_all"), F.lit(0)).alias("total"),
-        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
-        F.count_if(is_spike).alias("spike_count"),
-        F.count_if(is_spike & (spike["severity"] == "critical")).alias("critical_spikes"),
-        F.sort_array(F.collect_list(F.when(is_spike, spike))).alias("spikes"),
-    )
-    top_struct = "struct<message_prefix:string,count:bigint,pct_of_errors:double>"
-    ranked = _rank_top(prefixes, p.top_errors_n, ())
-    carried = [c for c in prefixes.columns if c not in ("rank", "prefix", "count")]
-    top = (ranked.agg(F.sort_array(F.collect_list(
-               F.struct("rank", "prefix", "count", F.struct(*carried).alias("carried")))).alias("t"))
-           .select(F.transform("t", lambda x: F.struct(x["rank"].alias("rank"), x["prefix"].alias("prefix"),
-                                                       x["count"].alias("count"))).alias("t"))
-           .select("t").scalar())
-    n_errors = F.col("ERROR") + F.col("CRITICAL")
-    # the subquery is attached as a column first: it may not sit inside a lambda
-    top_list = F.transform(F.coalesce("_top", F.array().cast("array<struct<rank:int,prefix:string,count:bigint>>")),
-                           lambda x: F.struct(x["prefix"].alias("message_prefix"),
-                                              x["count"].alias("count"),
-                                              (x["count"] / n_errors).alias("pct_of_errors"))
-                           ).cast(f"array<{top_struct}>")
-    status = status_from_spike_counts(F.col("spike_count"), F.col("critical_spikes"))
-    error_rate = safe_ratio(n_errors, "total")
-    severity = F.struct(*[F.col(lv) for lv in LEVELS], F.col("total"),
-                        error_rate.alias("error_rate"),
-                        safe_ratio("WARNING", "total").alias("warning_rate"))
-    spikes_out = F.transform("spikes", lambda s: F.struct(
-        s["window"].alias("window"), s["total_entries"].alias("total_entries"),
-        s["error_count"].alias("error_count"), s["error_rate"].alias("error_rate"),
-        s["severity"].alias("severity")))
-    generated = (F.lit(str(as_of)).cast("timestamp_ntz") if as_of is not None
-                 else F.localtimestamp())
-    return (summary
-            .withColumn("_top", top)
-            .withColumn("top_errors", top_list)
+    spikes = base_spikes(base, p).agg(F.struct(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("severity") == "critical").alias("critical")).alias("s"))
+    # both lists come from a top-n: at most top_errors_n and spike_advice_n + 1 elements
+    top = base_top_errors(base, p).agg(F.sort_array(F.collect_list(
+        F.struct("rank", "message_prefix", "count"))).alias("t"))
+    recs = base_recommendations(base, p).agg(F.sort_array(F.collect_list(
+        F.struct("rec_no", "recommendation"))).alias("r"))
+    summary = base.agg(*_sums(), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
+    n_errors = F.col("n_ERROR") + F.col("n_CRITICAL")
+    n_spikes = F.col("_spikes.n")
+    status = status_from_spike_counts(n_spikes, F.col("_spikes.critical"))
+    error_rate = safe_ratio(n_errors, "n_all")
+    severity = F.struct(*[F.col(f"n_{lv}").alias(lv) for lv in LEVELS], F.col("n_all").alias("total"),
+                        error_rate.alias("error_rate"), safe_ratio("n_WARNING", "n_all").alias("warning_rate"))
+    generated = (F.lit(str(as_of)).cast("timestamp_ntz") if as_of is not None else F.localtimestamp())
+    top_list = F.transform("_top", lambda x: F.struct(
+        x["message_prefix"].alias("message_prefix"), x["count"].alias("count"),
+        (x["count"] / n_errors).alias("pct_of_errors"))).cast(f"array<{_TOP}>")
+    # subqueries are attached as columns first: they may not sit inside a lambda
+    return (summary.withColumns({"_spikes": spikes.scalar(), "_top": top.scalar(), "_recs": recs.scalar()})
             .select(
                 status.alias("status"),
-                status_reason(status, F.col("spike_count"), p).alias("status_reason"),
-                F.col("total").alias("total_entries"),
+                status_reason(status, n_spikes, p).alias("status_reason"),
+                F.col("n_all").alias("total_entries"),
                 F.when(F.col("first_ts").isNotNull(),
                        F.struct(minute_text("first_ts").alias("start"),
                                 minute_text("last_ts").alias("end"))).alias("time_range"),
                 severity.alias("severity_counts"),
                 F.round(error_rate * 100, 2).alias("error_rate_pct"),
-                F.col("top_errors"),
-                spikes_out.alias("anomaly_spikes"),
-                F.col("spike_count"),
-                _advice(F.col("spikes"), F.col("top_errors"), p).alias("recommendations"),
+                top_list.alias("top_errors"),
+                n_spikes.alias("spike_count"),
+                F.transform("_recs", lambda r: r["recommendation"]).alias("recommendations"),
                 second_text(generated).alias("generated_at"),
                 covered_hours("first_ts", "last_ts").alias("hours_analysed"),
             ))
 
 
+def health_report(entries: DataFrame, params: HealthParams = HealthParams(),
+                  as_of: datetime | str | None = None) -> DataFrame:
+    """The report's header for ``entries``. With the spikes: take
+    :func:`report_aggregate` once and both tables from it."""
+    return report_header(report_aggregate(entries, params), params, as_of)
+
+
 def _first(arr: str) -> Column:
     return F.try_element_at(F.col(arr), F.lit(1))
 
@@ -170,6 +141,7 @@ def flatten_report(report: DataFrame) -> DataFrame:
         *[F.col(f"severity_counts.{lv}").alias(lv) for lv in LEVELS],
         F.col("severity_counts.error_rate").alias("error_rate"),
         F.col("severity_counts.warning_rate").alias("warning_rate"),
+        "error_rate_pct",
         F.size("top_errors").alias("n_top_errors"),
         _first("top_errors")["message_prefix"].alias("top_error_prefix"),
         _first("top_errors")["count"].alias("top_error_count"),

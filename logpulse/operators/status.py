@@ -283,7 +283,7 @@ def alert_payload(params: HealthParams, sent_at: Column) -> Column:
 
     header = block("header", F.struct(
         F.lit("plain_text").alias("type"),
-        F.concat(status_emoji("status"), F.lit(" "), F.col("status"), F.lit(" — Log Monitor")).alias("text"),
+        F.concat(status_emoji("status"), F.lit(" "), F.col("status"), F.lit(f" — {params.alert_title}")).alias("text"),
         F.lit(True).alias("emoji")))
     section = block("section", F.struct(F.lit("mrkdwn").alias("type"), F.col("transition").alias("text"),
                                         F.lit(None).cast("boolean").alias("emoji")))
@@ -320,7 +320,7 @@ def alert_events(transitions: DataFrame, params: HealthParams = HealthParams(),
                                         "top_error")
         cond = [df[c].eqNullSafe(t[f"_t_{c}"]) for c in (*keys, "window_start")]
         df = df.join(t, cond, "left").drop(*[f"_t_{c}" for c in (*keys, "window_start")])
-    else:
+    elif "top_error" not in df.columns:
         df = df.withColumn("top_error", F.lit(None).cast("string"))
     sent_at = minute_text("window_start")
     return df.withColumn("payload", alert_payload(params, sent_at))
@@ -342,28 +342,40 @@ def top_error_by_window(entries: DataFrame, window: str, keys: Sequence[str] = (
         F.min_by("p", F.struct((-F.col("c")).alias("nc"), F.col("p"))).alias("top_error"))
 
 
-def window_alerts(entries: DataFrame, params: HealthParams = HealthParams(),
-                  keys: Sequence[str] = (), initial: str = "HEALTHY") -> DataFrame:
-    """Status-change alerts with each window's top error, from one scan.
-
-    A base aggregate on (keys, window, prefix of error rows) is rolled up into
-    window rates (-> status -> transitions) and into the top error per window;
-    both read the base aggregate's exchange. The prefix test references an
-    aggregate output so it is not pushed below the base aggregate, and both
-    roll-ups use the same base columns, so the exchange is reused.
-    """
-    p = params
+def window_prefix_counts(entries: DataFrame, p: HealthParams, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, window_start, p, n, e): rows and errors per window and prefix of
+    error rows (other rows share the NULL prefix), the base of window rates and
+    top errors in one scan."""
     prefix = F.when(is_error("level"), message_prefix("message", p.prefix_length))
-    base = (entries.where(F.col("timestamp").isNotNull())
+    return (entries
             .groupBy(*keys, floor_time("timestamp", p.window).alias("window_start"), prefix.alias("p"))
             .agg(F.count(F.lit(1)).alias("n"), F.count_if(is_error("level")).alias("e")))
-    rates = (base.groupBy(*keys, "window_start")
-             .agg(F.sum("n").alias("total_entries"), F.sum("e").alias("error_count"))
-             .select(*keys, "window_start", add_duration("window_start", p.window).alias("window_end"),
-                     "total_entries", "error_count",
-                     (F.col("error_count") / F.col("total_entries")).alias("error_rate")))
-    tops = (base.where(F.when(F.col("n") > 0, F.col("p")).isNotNull())
-            .groupBy(*keys, "window_start")
-            .agg(F.min_by("p", F.struct((-F.col("n")).alias("nn"), F.col("p"), F.col("e"))).alias("top_error")))
-    transitions = status_transitions(status_from_rates(rates, p), keys, initial)
-    return alert_events(transitions, p, keys, tops)
+
+
+def window_rates_with_top(entries: DataFrame, p: HealthParams, keys: Sequence[str] = ()) -> DataFrame:
+    """Window rates with each window's top error (count desc, prefix asc; NULL
+    without errors): one row per (keys, window)."""
+    base = window_prefix_counts(entries.where(F.col("timestamp").isNotNull()), p, keys)
+    order = F.when(F.col("p").isNotNull(), F.struct((-F.col("n")).alias("nn"), F.col("p")))
+    return (base.groupBy(*keys, "window_start")
+            .agg(F.sum("n").alias("total_entries"), F.sum("e").alias("error_count"),
+                 F.min_by("p", order).alias("top_error"))
+            .select(*keys, "window_start", add_duration("window_start", p.window).alias("window_end"),
+                    "total_entries", "error_count",
+                    (F.col("error_count") / F.col("total_entries")).alias("error_rate"), "top_error"))
+
+
+def window_alerts(entries: DataFrame, params: HealthParams = HealthParams(),
+                  keys: Sequence[str] = (), initial: str = "HEALTHY") -> DataFrame:
+    """Status-change alerts with each window's top error, from one scan and one
+    base aggregate: the top error rides along with the window's rates, so no
+    second roll-up and no join is needed for it."""
+    rates = window_rates_with_top(entries, params, keys)
+    return alerts_from_rates(rates, params, keys, initial)
+
+
+def alerts_from_rates(rates: DataFrame, params: HealthParams = HealthParams(),
+                      keys: Sequence[str] = (), initial: str = "HEALTHY") -> DataFrame:
+    """Status-change alerts from window rows that carry their ``top_error``."""
+    changed = status_transitions(status_from_rates(rates, params), keys, initial)
+    return alert_events(changed, params, keys)

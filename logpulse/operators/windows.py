@@ -4,8 +4,7 @@ Each analysis is one ``groupBy(keys, window_start)`` whose partial
 aggregation runs map-side, so only (tasks x windows) small rows cross the
 shuffle no matter how many raw entries there are or how skewed a window is;
 the result is bounded by keys x (time span / window length), not by data
-volume. :func:`window_cube` adds a count per level (the report's building
-block); :func:`spike_lift` takes its overall rate from the same aggregate.
+volume. :func:`window_cube` adds a count per level; :func:`spike_lift` takes its overall rate from the same aggregate.
 """
 
 from __future__ import annotations
@@ -108,11 +107,6 @@ def window_status_frame(entries: DataFrame, params: HealthParams = HealthParams(
     return status_from_rates(window_error_rate(entries, params.window, keys), params)
 
 
-def overall_error_rate(entries: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    agg = [safe_ratio(F.count_if(is_error("level")), F.count(F.lit(1))).alias("overall_error_rate")]
-    return entries.groupBy(*keys).agg(*agg)
-
-
 def spike_lift(entries: DataFrame, params: HealthParams = HealthParams(),
                keys: Sequence[str] = ()) -> DataFrame:
     """Spike windows with their rate relative to the overall error rate.

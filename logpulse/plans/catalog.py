@@ -11,6 +11,7 @@ Parameters (fixed here so results repeat):
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from logpulse.constants import HealthParams
 from logpulse.functions.columns import normalise_level
 from logpulse.operators import (
+    base_recommendations,
     detect_spikes,
     enrich_entries,
     error_timeline,
@@ -28,6 +30,9 @@ from logpulse.operators import (
     hourly_stacked,
     incidents,
     pages_to_text,
+    report_aggregate,
+    report_header,
+    report_spikes,
     severity_counts,
     severity_share,
     spike_lift,
@@ -41,6 +46,7 @@ from logpulse.operators import (
     window_status_frame,
     worst_spike,
 )
+from logpulse.operators.windows import spikes_from_rates
 from logpulse.sources import (
     app_lines_from_events,
     entries_from_events,
@@ -48,6 +54,7 @@ from logpulse.sources import (
     parse_app_lines,
     parse_hadoop_lines,
     read_report,
+    read_report_spikes,
     read_table,
     reject_summary,
     report_section,
@@ -56,20 +63,15 @@ from logpulse.sources import (
 )
 from logpulse.sources.logs import tag_hadoop_lines
 from logpulse.session import shared_dir
-from logpulse.streaming import (
-    ensure_rocksdb_state,
-    run_to_parquet,
-    stream_status_alerts,
-    stream_window_rates,
-)
+from logpulse.streaming import finished, land_entries, landed_entries, watch_entries
 
 HOURLY = HealthParams(window="1 hour")
 KEYED = HealthParams(window="1 day", error_rate_threshold=0.20, critical_rate=0.25)
+RARE = KEYED.replace(error_rate_threshold=0.32, critical_rate=0.34)  # some services have no spike
 N_SERVICES = 8
 SVC = ["svc"]
 AS_OF = "2024-01-29 00:00:00"
 LOOKBACK_HOURS = 24
-STREAM_WATERMARK = "10 minutes"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,6 +100,12 @@ def q_parse_rejects(spark, sf):
     return reject_summary(_hadoop_lines(spark, sf), by=["event_type"], line_col="line")
 
 
+def q_parse_rejects_by_reason(spark, sf):
+    # every day of the month put into February: days past the 29th are no dates
+    feb = F.regexp_replace("line", r"^(\d{4})-\d{2}-", "$1-02-")
+    return reject_summary(_hadoop_lines(spark, sf).withColumn("line", feb), by=["event_type"], line_col="line")
+
+
 def q_normalise_levels(spark, sf):
     # regex-matched lines, impossible dates included (a non-match has an empty level)
     tagged = tag_hadoop_lines(_hadoop_lines(spark, sf), "line")
@@ -169,15 +177,17 @@ def q_health_status(spark, sf):
     return health_status(detect_spikes(_entries(spark, sf), HOURLY), HOURLY)
 
 
+def q_health_status_by_svc(spark, sf):
+    rates = window_error_rate(_entries(spark, sf, keyed=True), KEYED.window, SVC)
+    return health_status(spikes_from_rates(rates, RARE), RARE, SVC, known_keys=rates)
+
+
 def q_worst_spike(spark, sf):
     return worst_spike(detect_spikes(_entries(spark, sf), HOURLY))
 
 
 def q_spike_recommendations(spark, sf):
-    # the report computes them from its single scan (spike_recommendations()
-    # does the same from separate spike / top-error frames)
-    report = health_report(_entries(spark, sf), HOURLY, as_of=AS_OF)
-    return report_section(report, "recommendations")
+    return base_recommendations(report_aggregate(_entries(spark, sf), HOURLY), HOURLY)
 
 
 def q_spike_lift(spark, sf):
@@ -210,7 +220,7 @@ def q_incidents_by_svc(spark, sf):
 
 def _alerts(spark, sf, keyed):
     p, keys = (KEYED, SVC) if keyed else (HOURLY, [])
-    return window_alerts(_entries(spark, sf, keyed), p, keys).drop("payload")
+    return window_alerts(_entries(spark, sf, keyed), p, keys)
 
 
 def q_alert_events(spark, sf):
@@ -223,17 +233,38 @@ def q_alert_events_by_svc(spark, sf):
 
 def q_status_check(spark, sf):
     history = shared_dir(spark, "checks", "status_history")
-    return status_check(_entries(spark, sf), history, HOURLY, as_of=AS_OF).drop("payload")
+    return status_check(_entries(spark, sf), history, HOURLY, as_of=AS_OF)
+
+
+def q_status_check_history(spark, sf):
+    """Four checks on one history: fires, silent, recovers (rules no window
+    breaks), and an earlier check, which does not see the later ones."""
+    history = shared_dir(spark, "checks", "status_history")
+    entries = _entries(spark, sf)
+    calm = HOURLY.replace(error_rate_threshold=1.0, critical_rate=1.0)
+    checks = [(HOURLY, "2024-01-29 00:00:00"), (HOURLY, "2024-01-29 00:05:00"),
+              (calm, "2024-01-29 00:10:00"), (HOURLY, "2024-01-28 00:00:00")]
+    alerts = [status_check(entries, history, p, as_of=t) for p, t in checks]
+    return reduce(DataFrame.unionByName, alerts)
 
 
 def q_health_report(spark, sf):
     return flatten_report(health_report(_entries(spark, sf), HOURLY, as_of=AS_OF))
 
 
-def q_report_fields(spark, sf):
+def _written_report(spark, sf):
     path = shared_dir(spark, "reports", "health_report")
-    write_report(health_report(_entries(spark, sf), HOURLY, as_of=AS_OF), path)
-    return report_section(read_report(spark, path), "top_errors")
+    base = report_aggregate(_entries(spark, sf), HOURLY)
+    write_report(report_header(base, HOURLY, as_of=AS_OF), path, report_spikes(base, HOURLY))
+    return path
+
+
+def q_report_fields(spark, sf):
+    return report_section(read_report(spark, _written_report(spark, sf)), "top_errors")
+
+
+def q_report_spikes(spark, sf):
+    return read_report_spikes(spark, _written_report(spark, sf))
 
 
 def q_html_to_text(spark, sf):
@@ -247,24 +278,24 @@ def _event_stream(spark, sf):
 
 
 def q_stream_window_rates(spark, sf):
-    rates = stream_window_rates(entries_from_events(_event_stream(spark, sf)),
-                                HOURLY.window, STREAM_WATERMARK)
-    out, _ = run_to_parquet(rates, "stream_window_rates")
-    return spark.read.parquet(out)
+    stream = entries_from_events(_event_stream(spark, sf))
+    query, landed, _ = land_entries(stream)
+    finished(query)
+    return window_error_rate(landed_entries(spark, landed, stream), HOURLY.window)
 
 
 def q_stream_status_alerts(spark, sf):
-    ensure_rocksdb_state(spark)
-    alerts = stream_status_alerts(entries_from_events(_event_stream(spark, sf), N_SERVICES),
-                                  KEYED, SVC, STREAM_WATERMARK)
-    out, _ = run_to_parquet(alerts, "stream_status_alerts")
-    return spark.read.parquet(out)
+    stream = entries_from_events(_event_stream(spark, sf), N_SERVICES)
+    query, out, _ = watch_entries(stream, KEYED, SVC, interval=None)
+    finished(query)
+    return spark.read.parquet(out).drop("batch")
 
 
 QUERIES: dict[str, Query] = {
     "parse_hadoop_logs": q_parse_hadoop_logs,
     "parse_app_logs": q_parse_app_logs,
     "parse_rejects": q_parse_rejects,
+    "parse_rejects_by_reason": q_parse_rejects_by_reason,
     "normalise_levels": q_normalise_levels,
     "recent_entries": q_recent_entries,
     "union_sources": q_union_sources,
@@ -281,6 +312,7 @@ QUERIES: dict[str, Query] = {
     "hourly_stacked": q_hourly_stacked,
     "time_range": q_time_range,
     "health_status": q_health_status,
+    "health_status_by_svc": q_health_status_by_svc,
     "worst_spike": q_worst_spike,
     "spike_recommendations": q_spike_recommendations,
     "spike_lift": q_spike_lift,
@@ -293,8 +325,10 @@ QUERIES: dict[str, Query] = {
     "alert_events": q_alert_events,
     "alert_events_by_svc": q_alert_events_by_svc,
     "status_check": q_status_check,
+    "status_check_history": q_status_check_history,
     "health_report": q_health_report,
     "report_fields": q_report_fields,
+    "report_spikes": q_report_spikes,
     "html_to_text": q_html_to_text,
     "stream_window_rates": q_stream_window_rates,
     "stream_status_alerts": q_stream_status_alerts,

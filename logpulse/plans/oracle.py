@@ -7,15 +7,25 @@ and types are aligned with the Spark results (DuckDB ``hour`` and
 
 from __future__ import annotations
 
-from logpulse.constants import (
-    APP_LINE_PATTERN,
-    HADOOP_LINE_PATTERN,
-    SPIKE_ADVICE,
-    STATUS_COLOUR,
-    STATUS_EMOJI,
-    TOP_ERROR_ADVICE,
-    TRANSITION_TEXT,
-)
+# Fixed values, written down here a second time so that a wrong constant in the
+# engine shows as a difference.
+HADOOP_LINE_PATTERN = (r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}),\d+ (INFO|WARN|ERROR|FATAL) "
+                       r"\[([^\]]+)\] (\S+): (.+)$")
+APP_LINE_PATTERN = (r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}) — (DEBUG|INFO|WARNING|ERROR|CRITICAL)"
+                    r" — (\S+) — (.+)")
+TRANSITION_TEXT = {
+    "HEALTHY|WARNING": "Error rate elevated — anomaly spike detected.",
+    "HEALTHY|CRITICAL": "Critical anomaly detected — immediate attention required.",
+    "WARNING|CRITICAL": "Escalating — error rate crossed critical threshold.",
+    "CRITICAL|WARNING": "Partially recovered — still above warning threshold.",
+    "CRITICAL|HEALTHY": "System recovered — no anomaly spikes detected.",
+    "WARNING|HEALTHY": "System recovered — no anomaly spikes detected.",
+}
+STATUS_COLOUR = {"CRITICAL": "#EF4444", "WARNING": "#F59E0B", "HEALTHY": "#22C55E"}
+STATUS_EMOJI = {"CRITICAL": ":red_circle:", "WARNING": ":large_yellow_circle:", "HEALTHY": ":large_green_circle:"}
+SPIKE_ADVICE = ("Anomaly spike at {window}: {errors} errors in {width} ({pct} error rate). "
+                "Investigate what changed at this time.")
+TOP_ERROR_ADVICE = "'{prefix}' occurred {count} times — consider adding retry logic."
 
 
 def _q(s: str) -> str:
@@ -144,12 +154,33 @@ def _case(col: str, mapping: dict, default: str = "NULL") -> str:
     return f"CASE {col} {whens} ELSE {default} END"
 
 
-TRANSITION_CASE = _case("prev_status || '|' || status",
-                        {f"{a}|{b}": t for (a, b), t in TRANSITION_TEXT.items()},
-                        "prev_status || ' → ' || status")
+TRANSITION_CASE = _case("prev_status || '|' || status", TRANSITION_TEXT, "prev_status || ' → ' || status")
+
+
+def _payload(threshold_pct: int, sent_at: str) -> str:
+    """The chat payload as JSON text, from columns status, colour, emoji,
+    transition, window_start, error_rate, error_count, total_entries, top_error."""
+    def text(expr: str) -> str:
+        return f"""'{{"type":"mrkdwn","text":' || CAST(to_json({expr}) AS VARCHAR) || '}}'"""
+
+    worst = [text("'*Worst window:*' || chr(10) || strftime(window_start, '%Y-%m-%d %H:%M')"),
+             text("'*Error rate:*' || chr(10) || CAST(CAST(round_even(error_rate * 100, 0) AS BIGINT) AS VARCHAR)"
+                  f" || '% (threshold: {threshold_pct}%)'"),
+             text("'*Errors in window:*' || chr(10) || format('{:,}', error_count) || ' / ' "
+                  "|| format('{:,}', total_entries) || ' entries'")]
+    top = text("'*Top error:*' || chr(10) || '`' || top_error || '`'")
+    fields = (f"concat_ws(',', CASE WHEN status <> 'HEALTHY' THEN {' || chr(44) || '.join(worst)} END, "
+              f"CASE WHEN top_error IS NOT NULL THEN {top} END)")
+    return (f"""'{{"attachments":[{{"color":"' || {_case('status', STATUS_COLOUR)} || '","blocks":["""
+            f"""{{"type":"header","text":{{"type":"plain_text","text":"' || {_case('status', STATUS_EMOJI)} """
+            f"""|| ' ' || status || ' — logpulse","emoji":true}}}},{{"type":"section","text":' """
+            f"""|| {text(TRANSITION_CASE)} || '}},' """
+            f"""|| CASE WHEN status <> 'HEALTHY' OR top_error IS NOT NULL """
+            f"""THEN '{{"type":"section","fields":[' || {fields} || ']}},' ELSE '' END """
+            f"""|| '{{"type":"context","elements":[' || {text(sent_at)} || ']}}]}}]}}'""")
 
 
-def _alerts(unit: str, keyed: bool, thr: float, crit: float) -> str:
+def _alerts(unit: str, keyed: bool, thr: float, crit: float, pct: int) -> str:
     k = "svc, " if keyed else ""
     part = "svc, " if keyed else ""
     return f"""WITH {ENTRIES}, {_rates(unit, keyed)}, {_status(thr, crit, 10)}, {_transitions(keyed)},
@@ -165,7 +196,8 @@ te AS (
 SELECT t.*, {TRANSITION_CASE} AS transition,
        {_case('status', STATUS_COLOUR)} AS colour,
        {_case('status', STATUS_EMOJI)} AS emoji,
-       te.top_error
+       te.top_error,
+       {_payload(pct, "strftime(window_start, '%Y-%m-%d %H:%M')")} AS payload
 FROM transitions t LEFT JOIN te USING ({k}window_start)"""
 
 
@@ -240,6 +272,7 @@ SELECT CASE WHEN n_crit > 0 THEN 'CRITICAL' WHEN spike_count > 0 THEN 'WARNING'
        total AS total_entries,
        strftime(a, '%Y-%m-%d %H:%M') AS time_start, strftime(b, '%Y-%m-%d %H:%M') AS time_end,
        "DEBUG", "INFO", "WARNING", "ERROR", "CRITICAL", error_rate, warning_rate,
+       round(error_rate * 100, 2) AS error_rate_pct,
        CAST(least(ntop.n, 10) AS INTEGER) AS n_top_errors,
        (SELECT message_prefix FROM top1) AS top_error_prefix,
        (SELECT count FROM top1) AS top_error_count,
@@ -252,6 +285,28 @@ SELECT CASE WHEN n_crit > 0 THEN 'CRITICAL' WHEN spike_count > 0 THEN 'WARNING'
 FROM sev, sp, tr, ntop"""
 
 
+FIRED_AT = "2024-01-29 00:00:00"
+
+
+def _check(name: str, as_of: str) -> str:
+    """A check that finds no earlier one: previous status HEALTHY."""
+    return f"""{name} AS (
+  SELECT TIMESTAMP '{as_of}' AS checked_at, 'HEALTHY' AS prev_status,
+         CASE WHEN n_crit > 0 THEN 'CRITICAL' WHEN spike_count > 0 THEN 'WARNING' ELSE 'HEALTHY' END AS status,
+         spike_count, w.window_start, w.total_entries, w.error_count, w.error_rate,
+         (SELECT message_prefix FROM top1) AS top_error
+  FROM (SELECT count(*) AS spike_count, count(*) FILTER (WHERE severity = 'critical') AS n_crit FROM spikes)
+  LEFT JOIN (SELECT * FROM spikes ORDER BY error_rate DESC, window_start LIMIT 1) w ON true)"""
+
+
+def _check_alert(name: str, pct: int) -> str:
+    return f"""SELECT *, {TRANSITION_CASE} AS transition,
+       strftime(window_start, '%Y-%m-%d %H:%M') AS worst_window,
+       CAST(CAST(round_even(error_rate * 100, 0) AS BIGINT) AS VARCHAR) || '%' AS worst_rate_text,
+       {_payload(pct, "strftime(checked_at, '%Y-%m-%d %H:%M')")} AS payload
+FROM {name} WHERE prev_status <> status"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "parse_hadoop_logs": f"WITH {HLINES}, {HPARSED}, {HADOOP_OK} SELECT * FROM hok",
     "parse_app_logs": f"WITH {ALINES}, {APARSED}, {APP_OK} SELECT * FROM aok",
@@ -260,6 +315,11 @@ SELECT event_type, reject_reason, count(*) AS n_rejected
 FROM (SELECT event_type, CASE WHEN NOT m THEN 'no_match' WHEN "timestamp" IS NULL THEN 'bad_timestamp' END
              AS reject_reason FROM hparsed)
 WHERE reject_reason IS NOT NULL GROUP BY ALL""",
+    "parse_rejects_by_reason": f"""WITH {HLINES}, feb AS (
+  SELECT event_id, event_type, regexp_replace(line, '^(\\d{{4}})-\\d{{2}}-', '\\1-02-') AS line FROM hlines),
+{HPARSED.replace('FROM hlines', 'FROM feb')}
+SELECT event_type, CASE WHEN NOT m THEN 'no_match' ELSE 'bad_timestamp' END AS reject_reason, count(*) AS n_rejected
+FROM hparsed WHERE NOT m OR "timestamp" IS NULL GROUP BY ALL""",
     "normalise_levels": f"""WITH {HLINES}
 SELECT raw_level, count(*) AS n,
        CASE raw_level WHEN 'INFO' THEN 'INFO' WHEN 'WARN' THEN 'WARNING' WHEN 'ERROR' THEN 'ERROR'
@@ -326,6 +386,17 @@ SELECT CASE WHEN critical_spike_count > 0 THEN 'CRITICAL' WHEN spike_count > 0 T
             WHEN spike_count > 0 THEN spike_count || ' anomaly spike(s) detected above 5% threshold'
             ELSE 'No anomaly spikes detected' END AS status_reason,
        spike_count, critical_spike_count
+FROM c""",
+    "health_status_by_svc": f"""WITH {ENTRIES}, {D1},
+c AS (SELECT svc, count(*) FILTER (WHERE spike) AS spike_count,
+             count(*) FILTER (WHERE spike AND error_rate >= CAST(0.34 AS DOUBLE)) AS critical_spike_count
+      FROM (SELECT *, error_rate > CAST(0.32 AS DOUBLE) AND total_entries >= 10 AS spike FROM rates) GROUP BY svc)
+SELECT svc, CASE WHEN critical_spike_count > 0 THEN 'CRITICAL' WHEN spike_count > 0 THEN 'WARNING'
+                 ELSE 'HEALTHY' END AS status,
+       CASE WHEN critical_spike_count > 0 THEN 'Anomaly spike with >34% error rate detected'
+            WHEN spike_count > 0 THEN spike_count || ' anomaly spike(s) detected above 32% threshold'
+            ELSE 'No anomaly spikes detected' END AS status_reason,
+       spike_count, critical_spike_count
 FROM c""",
     "worst_spike": f"""WITH {ENTRIES}, {H1}, {SPIKES}
 SELECT * FROM spikes ORDER BY error_rate DESC, window_start LIMIT 1""",
@@ -351,29 +422,22 @@ FROM spikes, o""",
         f"WITH {ENTRIES}, {D1}, {ST_D}, {_transitions(True)} SELECT * FROM transitions",
     "incidents": f"WITH {ENTRIES}, {H1}, {ST_H} {_incidents(False)}",
     "incidents_by_svc": f"WITH {ENTRIES}, {D1}, {ST_D} {_incidents(True)}",
-    "alert_events": _alerts("hour", False, 0.05, 0.10),
-    "alert_events_by_svc": _alerts("day", True, 0.20, 0.25),
-    "status_check": f"""WITH {ENTRIES}, {H1}, {SPIKES},
-c AS (SELECT count(*) AS spike_count, count(*) FILTER (WHERE severity = 'critical') AS n_crit FROM spikes),
-w AS (SELECT * FROM spikes ORDER BY error_rate DESC, window_start LIMIT 1),
-s AS (SELECT TIMESTAMP '2024-01-29 00:00:00' AS checked_at, 'HEALTHY' AS prev_status,
-             CASE WHEN n_crit > 0 THEN 'CRITICAL' WHEN spike_count > 0 THEN 'WARNING' ELSE 'HEALTHY' END AS status,
-             spike_count,
-             (SELECT window_start FROM w) AS window_start, (SELECT total_entries FROM w) AS total_entries,
-             (SELECT error_count FROM w) AS error_count, (SELECT error_rate FROM w) AS error_rate
-      FROM c)
-SELECT *, {TRANSITION_CASE} AS transition,
-       strftime(window_start, '%Y-%m-%d %H:%M') AS worst_window,
-       CAST(CAST(round_even(error_rate * 100, 0) AS BIGINT) AS VARCHAR) || '%' AS worst_rate_text,
-       CAST(NULL AS VARCHAR) AS top_error
-FROM s WHERE prev_status <> status""",
+    "alert_events": _alerts("hour", False, 0.05, 0.10, 5),
+    "alert_events_by_svc": _alerts("day", True, 0.20, 0.25, 20),
+    "status_check": f"WITH {ENTRIES}, {H1}, {SPIKES}, {TOP1}, {_check('a', FIRED_AT)} {_check_alert('a', 5)}",
+    "status_check_history": f"""WITH {ENTRIES}, {H1}, {SPIKES}, {TOP1}, {_check('a', FIRED_AT)},
+{_check('b', '2024-01-28 00:00:00')},
+calm AS (SELECT TIMESTAMP '2024-01-29 00:10:00' AS checked_at, status AS prev_status, 'HEALTHY' AS status,
+                CAST(0 AS BIGINT) AS spike_count, CAST(NULL AS TIMESTAMP) AS window_start,
+                CAST(NULL AS BIGINT) AS total_entries, CAST(NULL AS BIGINT) AS error_count,
+                CAST(NULL AS DOUBLE) AS error_rate, top_error FROM a)
+{_check_alert('a', 5)} UNION ALL {_check_alert('b', 5)} UNION ALL {_check_alert('calm', 100)}""",
     "health_report": REPORT,
     "report_fields": TOP_ERRORS,
+    "report_spikes": f"""WITH {ENTRIES}, {H1}, {SPIKES}
+SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS "window", total_entries, error_count, error_rate, severity
+FROM spikes""",
     "html_to_text": f"SELECT page_id, {HTML_TEXT} AS text FROM pages",
-    "stream_window_rates": f"""WITH {ENTRIES}, {H1}
-SELECT * FROM rates WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
-    "stream_status_alerts": f"""WITH {ENTRIES}, {D1},
-closed AS (SELECT * FROM rates WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE),
-{_status(0.20, 0.25, 10).replace('FROM rates', 'FROM closed')}, {_transitions(True)}
-SELECT svc, window_start, prev_status, status, total_entries, error_count, error_rate FROM transitions""",
+    "stream_window_rates": f"WITH {ENTRIES}, {H1} SELECT * FROM rates",
+    "stream_status_alerts": _alerts("day", True, 0.20, 0.25, 20),
 }

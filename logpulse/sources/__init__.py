@@ -19,6 +19,7 @@ from logpulse.sources.logs import (  # noqa: F401
 from logpulse.sources.report_io import (  # noqa: F401
     HEALTH_REPORT_SCHEMA,
     read_report,
+    read_report_spikes,
     report_section,
     write_report,
 )

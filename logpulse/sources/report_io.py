@@ -1,4 +1,8 @@
-"""Report JSON sink and source with an explicit schema (no inference)."""
+"""Report JSON sink and source with explicit schemas (no inference).
+
+The header is one row in one file; the spikes are rows beside it, in
+``<path>_spikes``, written by as many tasks as they need.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +17,7 @@ _TOP = T.StructType([
     T.StructField("count", T.LongType()),
     T.StructField("pct_of_errors", T.DoubleType()),
 ])
-_SPIKE = T.StructType([
+REPORT_SPIKE_SCHEMA = T.StructType([
     T.StructField("window", T.StringType()),
     T.StructField("total_entries", T.LongType()),
     T.StructField("error_count", T.LongType()),
@@ -33,7 +37,6 @@ HEALTH_REPORT_SCHEMA = T.StructType([
            T.StructField("warning_rate", T.DoubleType())])),
     T.StructField("error_rate_pct", T.DoubleType()),
     T.StructField("top_errors", T.ArrayType(_TOP)),
-    T.StructField("anomaly_spikes", T.ArrayType(_SPIKE)),
     T.StructField("spike_count", T.LongType()),
     T.StructField("recommendations", T.ArrayType(T.StringType())),
     T.StructField("generated_at", T.StringType()),
@@ -41,9 +44,21 @@ HEALTH_REPORT_SCHEMA = T.StructType([
 ])
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    """Overwrite ``path`` with the one-row report as JSON (one part file)."""
+def _spike_path(path: str) -> str:
+    return f"{path.rstrip('/')}_spikes"
+
+
+def write_report(report: DataFrame, path: str, spikes: DataFrame | None = None) -> None:
+    """Overwrite ``path`` with the one-row report as JSON (one part file) and,
+    if given, ``<path>_spikes`` with its spikes (JSON lines)."""
     report.coalesce(1).write.mode("overwrite").json(path)
+    if spikes is not None:
+        spikes.write.mode("overwrite").json(_spike_path(path))
+
+
+def read_report_spikes(spark: SparkSession, path: str) -> DataFrame:
+    """The spikes stored with the report at ``path``, one row each."""
+    return spark.read.schema(REPORT_SPIKE_SCHEMA).json(_spike_path(path))
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
@@ -52,11 +67,11 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
 
 def report_section(report: DataFrame, section: str) -> DataFrame:
     """One part of a stored report as rows: 'severity_counts', 'time_range'
-    (struct fields as columns), 'top_errors' / 'anomaly_spikes' (one row per
-    element, with a 1-based ``rank``), or 'recommendations'."""
+    (struct fields as columns), 'top_errors' (one row per element, with a
+    1-based ``rank``), or 'recommendations'. Spikes: :func:`read_report_spikes`."""
     if section in ("severity_counts", "time_range"):
         return report.select(f"{section}.*")
-    if section in ("top_errors", "anomaly_spikes"):
+    if section == "top_errors":
         return (report.select(F.posexplode(section).alias("pos", "e"))
                 .select((F.col("pos") + 1).alias("rank"), "e.*"))
     if section == "recommendations":

@@ -1,8 +1,12 @@
+from logpulse.streaming.landing import (  # noqa: F401
+    finished,
+    land_entries,
+    landed_entries,
+    watch_entries,
+)
 from logpulse.streaming.windows import (  # noqa: F401
-    ensure_rocksdb_state,
+    dropped_late_rows,
     run_to_parquet,
     start_to_parquet,
-    stream_alert_events,
-    stream_status_alerts,
     stream_window_rates,
 )

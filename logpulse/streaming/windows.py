@@ -1,15 +1,11 @@
-"""Structured Streaming: watermarked window rates and status alerts.
+"""Structured Streaming: watermarked window rates.
 
-The batch operators' semantics, incrementally:
-
-* :func:`stream_window_rates` - tumbling-window entry/error counts with a
-  watermark. In append mode a window is emitted once, after the watermark
-  passes its end; later rows for it are dropped (and counted in the query
-  progress). State per key is the set of open windows only.
-* :func:`stream_status_alerts` - per-window status fed into a per-key state
-  machine (``transformWithStateInPandas``) that emits a row only when the
-  status differs from the last one seen for that key; the last status lives
-  in the checkpointed state store, so restarts do not re-alert.
+:func:`stream_window_rates` emits a window once, after the watermark passes its
+end (append mode); state is the open windows only. Rows later than the
+watermark are dropped by Spark, so it fits streams whose lateness is bounded;
+:func:`run_to_parquet` raises when rows were dropped, unless told that they may
+be. Files in any order, a file limit, or any lateness: use
+:mod:`logpulse.streaming.landing`, which has no watermark and loses no row.
 
 Watermarks need a TIMESTAMP column; entries carry TIMESTAMP_NTZ. The stream
 edge converts NTZ (read as UTC) to an instant and back, independent of the
@@ -20,12 +16,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from logpulse.constants import HealthParams
-from logpulse.functions.columns import is_error, to_instant, to_wall_clock, window_status
+from logpulse.functions.columns import is_error, to_instant, to_wall_clock
 from logpulse.session import shared_dir
 
 
@@ -46,92 +40,6 @@ def stream_window_rates(entries: DataFrame, window: str = "5 minutes",
                       (F.col("error_count") / F.col("total_entries")).alias("error_rate"))
 
 
-def _alert_schema(keys: Sequence[str], key_types: dict[str, T.DataType]) -> T.StructType:
-    return T.StructType(
-        [T.StructField(k, key_types[k]) for k in keys]
-        + [T.StructField("window_start", T.TimestampNTZType()),
-           T.StructField("prev_status", T.StringType()),
-           T.StructField("status", T.StringType()),
-           T.StructField("total_entries", T.LongType()),
-           T.StructField("error_count", T.LongType()),
-           T.StructField("error_rate", T.DoubleType())])
-
-
-def _status_processor(keys: Sequence[str], initial: str):
-    """StatefulProcessor keeping the last status per key (ValueState)."""
-    import pandas as pd
-    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-
-    state_schema = T.StructType([T.StructField("status", T.StringType())])
-    out_cols = [*keys, "window_start", "prev_status", "status",
-                "total_entries", "error_count", "error_rate"]
-
-    class StatusChangeProcessor(StatefulProcessor):
-        def init(self, handle) -> None:
-            self.last = handle.getValueState("last_status", state_schema)
-
-        def handleInputRows(self, key, rows, timerValues):
-            batch = pd.concat(list(rows), ignore_index=True).sort_values("window_start")
-            for name, value in zip(keys, key):   # grouping values come with the key
-                batch[name] = value
-            prev = self.last.get()[0] if self.last.exists() else initial
-            statuses = batch["status"].tolist()
-            prevs = [prev, *statuses[:-1]]
-            batch["prev_status"] = prevs
-            changed = batch[batch["status"] != batch["prev_status"]]
-            self.last.update((statuses[-1],))
-            yield changed[out_cols]
-
-        def close(self) -> None:
-            pass
-
-    return StatusChangeProcessor()
-
-
-def stream_status_alerts(entries: DataFrame, params: HealthParams = HealthParams(),
-                         keys: Sequence[str] = (), watermark: str = "10 minutes",
-                         initial: str = "HEALTHY") -> DataFrame:
-    """Status changes per key over closed windows (append mode).
-
-    Only finalised windows reach the state machine, so a window is never
-    re-scored; rows within a micro-batch are ordered by window inside the
-    processor. Without keys the whole stream is one state key.
-    """
-    rates = stream_window_rates(entries, params.window, watermark, keys)
-    status = rates.withColumn("status", window_status(
-        "total_entries", "error_rate", params.error_rate_threshold,
-        params.critical_rate, params.min_window_entries))
-    group_keys = list(keys)
-    if not group_keys:
-        status = status.withColumn("_all", F.lit(0))
-        group_keys = ["_all"]
-    key_types = {f.name: f.dataType for f in status.schema.fields}
-    schema = _alert_schema(group_keys, key_types)
-    out = status.groupBy(*group_keys).transformWithStateInPandas(
-        statefulProcessor=_status_processor(group_keys, initial),
-        outputStructType=schema, outputMode="Append", timeMode="None")
-    return out.drop("_all") if not keys else out
-
-
-def stream_alert_events(entries: DataFrame, params: HealthParams = HealthParams(),
-                        keys: Sequence[str] = (), watermark: str = "10 minutes",
-                        initial: str = "HEALTHY") -> DataFrame:
-    """:func:`stream_status_alerts` plus transition text, colour, emoji and
-    the chat payload per alert (a projection on the stateful output): the
-    rows of the alerts table."""
-    from logpulse.operators.status import alert_events
-
-    return alert_events(stream_status_alerts(entries, params, keys, watermark, initial), params, keys)
-
-
-def ensure_rocksdb_state(spark: SparkSession) -> None:
-    """``transformWithStateInPandas`` needs the RocksDB state store."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    rocks = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    if spark.conf.get(key, None) != rocks:
-        spark.conf.set(key, rocks)
-
-
 def start_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
                      checkpoint: str | None = None, output: str | None = None,
                      processing_time: str | None = None):
@@ -155,12 +63,25 @@ def start_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
     return writer.start(), output, checkpoint
 
 
+def dropped_late_rows(query) -> int:
+    """Late rows the watermark dropped, as far as the query's kept progress
+    tells (partially aggregated rows: a lower bound, zero only if none)."""
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for p in query.recentProgress for op in p.get("stateOperators", []))
+
+
 def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
-                   checkpoint: str | None = None, output: str | None = None) -> tuple[str, str]:
+                   checkpoint: str | None = None, output: str | None = None,
+                   allow_late: bool = False) -> tuple[str, str]:
     """Run-once form of :func:`start_to_parquet`: process the available input,
-    wait, re-raise a failure; returns (output path, checkpoint path)."""
+    wait, re-raise a failure; returns (output path, checkpoint path). Raises
+    if late rows were dropped, unless ``allow_late``."""
     q, output, checkpoint = start_to_parquet(df, name, output_mode, checkpoint, output)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    late = dropped_late_rows(q)
+    if late and not allow_late:
+        raise RuntimeError(f"{late} or more rows came later than the watermark and are not in {output}; "
+                           "land the entries instead (logpulse.streaming.landing)")
     return output, checkpoint

@@ -119,7 +119,7 @@ def test_empty_input(make_entries):
     assert tr.start is None and tr.hours_analysed == 1
     rep = health_report(e, as_of="2024-01-01 00:00:00").collect()[0]
     assert (rep.status, rep.total_entries, rep.time_range, rep.hours_analysed) == ("HEALTHY", 0, None, 1)
-    assert rep.top_errors == [] and rep.anomaly_spikes == [] and rep.recommendations == []
+    assert rep.top_errors == [] and rep.spike_count == 0 and rep.recommendations == []
     assert spike_lift(e).count() == 0 and hourly_stacked(e).count() == 0
 
 

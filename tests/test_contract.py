@@ -8,8 +8,6 @@ from logpulse.plans.catalog import QUERIES
 from logpulse.plans.compare import compare, duck_connection
 from logpulse.plans.oracle import ORACLE_SQL
 
-STREAMING = {"stream_window_rates", "stream_status_alerts"}
-
 
 def test_entry_runs(spark):
     df = entry_mod.entry(spark)
@@ -29,7 +27,7 @@ def duck():
     return duck_connection(SF_SMALL)
 
 
-@pytest.mark.parametrize("key", sorted(set(QUERIES) - STREAMING))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle_sf0001(spark, duck, key):
     got = entry_mod.queries()[key](spark, SF_SMALL).toPandas()
     want = duck.execute(entry_mod.oracle_sql()[key]).df()

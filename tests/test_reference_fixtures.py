@@ -10,6 +10,8 @@ from logpulse.operators import (
     health_report,
     health_status,
     hourly_breakdown,
+    report_aggregate,
+    report_spikes,
     severity_counts,
     status_transitions,
     top_errors,
@@ -85,7 +87,8 @@ def test_report_fixture_full_report(make_entries):
     assert rep.time_range.start == "2015-10-18 10:00" and rep.time_range.end == "2015-10-18 10:03"
     assert rep.hours_analysed == 1
     assert rep.spike_count == 1
-    assert rep.anomaly_spikes[0].window == "2015-10-18 10:00:00"
+    base = report_aggregate(make_entries(report_rows()))
+    assert [s.window for s in report_spikes(base).collect()] == ["2015-10-18 10:00:00"]
     assert rep.recommendations == [
         "Anomaly spike at 2015-10-18 10:00:00: 6 errors in 5 minutes (9% error rate). "
         "Investigate what changed at this time.",

@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 from logpulse.constants import HealthParams
 from logpulse.operators import (
     alert_events,
-    health_report,
+    report_aggregate,
+    report_header,
+    report_spikes,
     health_status,
     spike_recommendations,
     top_errors,
     worst_spike,
 )
-from logpulse.sources import read_report, report_section, write_report
+from logpulse.sources import read_report, read_report_spikes, report_section, write_report
 from logpulse.sources.report_io import HEALTH_REPORT_SCHEMA
 
 SPIKE_SCHEMA = ("window_start timestamp_ntz, total_entries long, error_count long, "
@@ -79,7 +81,7 @@ def test_alert_payload_critical(spark):
     att = p["attachments"][0]
     assert att["color"] == "#EF4444"
     header = next(b for b in att["blocks"] if b["type"] == "header")
-    assert header["text"] == {"type": "plain_text", "text": ":red_circle: CRITICAL — Log Monitor", "emoji": True}
+    assert header["text"] == {"type": "plain_text", "text": ":red_circle: CRITICAL — logpulse", "emoji": True}
     fields = [f["text"] for b in att["blocks"] if "fields" in b for f in b["fields"]]
     assert fields == ["*Worst window:*\n2015-10-18 21:40", "*Error rate:*\n60% (threshold: 5%)",
                       "*Errors in window:*\n15 / 25 entries", "*Top error:*\n`ERROR IN CONTACTING RM.`"]
@@ -103,16 +105,17 @@ def test_alert_payload_warning_and_recovery(spark):
 def test_report_json_round_trip(make_entries, scratch):
     from tests.test_reference_fixtures import spike_rows
 
-    rep = health_report(make_entries(spike_rows()), as_of="2015-10-19 00:00:00")
+    base = report_aggregate(make_entries(spike_rows()))
+    rep = report_header(base, as_of="2015-10-19 00:00:00")
     assert rep.schema.simpleString() == HEALTH_REPORT_SCHEMA.simpleString()
     path = f"{scratch}/report"
-    write_report(rep, path)
+    write_report(rep, path, report_spikes(base))
     back = read_report(rep.sparkSession, path)
     assert back.collect() == rep.collect()
     sev = report_section(back, "severity_counts").collect()[0]
     assert (sev.total, sev.ERROR) == (125, 15)
-    spikes = report_section(back, "anomaly_spikes").collect()
-    assert [(s["rank"], s.window, s.severity) for s in spikes] == [(1, "2015-10-18 21:40:00", "critical")]
+    spikes = read_report_spikes(rep.sparkSession, path).collect()
+    assert [(s.window, s.severity) for s in spikes] == [("2015-10-18 21:40:00", "critical")]
     tops = report_section(back, "top_errors").collect()
     assert [(t["rank"], t.message_prefix, t["count"]) for t in tops] == [(1, "ERROR IN CONTACTING RM.", 15)]
 
@@ -150,6 +153,8 @@ def test_status_check_fires_once_then_silent(make_entries, scratch):
     w = status_check(make_entries(report_rows()), hist, as_of="2015-10-18 22:10:00").collect()
     assert [(a.prev_status, a.status) for a in w] == [("CRITICAL", "WARNING")]
     assert w[0].transition == "Partially recovered — still above warning threshold."
+    assert first[0].top_error == "ERROR IN CONTACTING RM." and "ERROR IN CONTACTING RM." in first[0].payload
+    assert w[0].top_error == "CRITICAL message 0"
 
 
 def test_status_check_rerun_does_not_realert(make_entries, scratch):
@@ -207,3 +212,27 @@ def test_keyed_health_has_healthy_keys(spark):
     keys = spark.createDataFrame([("a",), ("b",), ("c",), ("b",), (None,)], "svc string")
     got = {r.svc: (r.status, r.spike_count) for r in health_status(spikes, keys=["svc"], known_keys=keys).collect()}
     assert got == {"a": ("CRITICAL", 2), "b": ("HEALTHY", 0), "c": ("WARNING", 1), None: ("HEALTHY", 0)}
+
+
+def test_alert_title_and_long_prefix(make_entries):
+    from logpulse.operators import window_alerts
+
+    long = "E" * 90
+    e = make_entries([(datetime(2024, 1, 1, 0, 0, i), "ERROR", "T", long) for i in range(12)])
+    a = window_alerts(e, HealthParams(prefix_length=80, alert_title="night shift")).collect()[0]
+    assert a.top_error == long[:80] and f"`{long[:80]}`" in a.payload and "— night shift" in a.payload
+
+
+def test_report_reads_its_input_once_and_lists_are_bounded(spark, scratch):
+    """All report tables hang on the written base aggregate, not on the entries."""
+    from logpulse.sources import entries_from_events, read_table
+
+    base = report_aggregate(entries_from_events(read_table(spark, "/root/testdata/sf0.001", "events")),
+                            path=f"{scratch}/base")
+    header = report_header(base, as_of="2024-01-01 00:00:00")
+    plan = header._jdf.queryExecution().toString()
+    assert "events.parquet" not in plan and "collect_list" in plan
+    assert header.collect()[0].spike_count == report_spikes(base).count()
+    # a list is only collected from a limited frame
+    for line in (ln for ln in plan.split("== Optimized")[0].splitlines() if "collect_list(" in ln):
+        assert "message_prefix" in line or "recommendation" in line

@@ -1,6 +1,7 @@
 """Structured Streaming: stream = batch, late data, restart without re-alerting."""
 
 import json
+import os
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -9,11 +10,17 @@ from conftest import SF_SMALL
 from logpulse.constants import HealthParams
 from logpulse.operators import window_error_rate
 from logpulse.sources import entries_from_events, parse_hadoop_lines, read_table, stream_log_lines
+from logpulse.jobs import check_job, report_job, watch_alerts
+from logpulse.operators import window_alerts
+from logpulse.sources import load_hadoop_logs
 from logpulse.streaming import (
-    ensure_rocksdb_state,
+    dropped_late_rows,
+    finished,
+    land_entries,
+    landed_entries,
     run_to_parquet,
-    stream_alert_events,
     stream_window_rates,
+    watch_entries,
 )
 
 
@@ -52,9 +59,7 @@ def test_late_rows_are_dropped_and_counted(spark, scratch):
              .option("path", f"{scratch}/out").option("checkpointLocation", f"{scratch}/ck")
              .trigger(availableNow=True).start())
         q.awaitTermination()
-        dropped = sum(op.get("numRowsDroppedByWatermark", 0)
-                      for p in q.recentProgress for op in p.get("stateOperators", []))
-        return dropped
+        return dropped_late_rows(q)
 
     run()
     before = sorted(spark.read.parquet(f"{scratch}/out").collect())
@@ -72,54 +77,128 @@ def _hadoop_line(t, level, msg):
     return f"{t:%Y-%m-%d %H:%M:%S},000 {level} [main] app.Test: {msg}"
 
 
-def test_alerts_restart_from_checkpoint(spark, scratch):
-    ensure_rocksdb_state(spark)
-    base = datetime(2015, 10, 18, 21, 40, 0)
-    lines = [_hadoop_line(base - timedelta(minutes=60) + timedelta(seconds=i * 36), "INFO", "info msg")
-             for i in range(100)]
-    lines += [_hadoop_line(base + timedelta(seconds=i * 10), "ERROR", "ERROR IN CONTACTING RM.") for i in range(15)]
-    lines += [_hadoop_line(base + timedelta(seconds=150 + i * 10), "INFO", "info msg") for i in range(10)]
+def _put(folder, name, rows):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}.log", "w") as f:
+        f.write("\n".join(rows) + "\n")
 
-    def put(name, rows):
-        with open(f"{scratch}/logs/{name}.log", "w") as f:
-            f.write("\n".join(rows) + "\n")
 
-    import os
-    os.makedirs(f"{scratch}/logs")
-    put("a", lines)
-    put("b", [_hadoop_line(datetime(2015, 10, 18, 22, 0, 5), "INFO", "later")])
+def _fixture_lines():
+    from tests.test_reference_fixtures import spike_rows
 
-    def run():
-        entries = parse_hadoop_lines(stream_log_lines(spark, f"{scratch}/logs"))
-        alerts = stream_alert_events(entries, HealthParams(), watermark="10 minutes")
-        run_to_parquet(alerts, "a", output=f"{scratch}/alerts", checkpoint=f"{scratch}/ck")
-        rows = spark.read.parquet(f"{scratch}/alerts").collect()
-        assert all(json.loads(r.payload)["attachments"][0]["color"] for r in rows)
-        return sorted((r.window_start, r.prev_status, r.status) for r in rows)
+    return [_hadoop_line(t, level, msg) for t, level, _, msg in spike_rows()]
 
-    first = run()
-    assert first == [(base, "HEALTHY", "CRITICAL")]
-    assert run() == first                     # restart, no new data: nothing re-emitted
-    put("c", [_hadoop_line(datetime(2015, 10, 18, 23, 0, 5), "INFO", "much later")])
-    assert run() == first + [(datetime(2015, 10, 18, 22, 0), "CRITICAL", "HEALTHY")]
 
+def _changes(spark, folder):
+    rows = spark.read.parquet(folder).collect()
+    assert all(json.loads(r.payload)["attachments"][0]["color"] for r in rows)
+    return sorted((r.window_start, r.prev_status, r.status, r.top_error) for r in rows)
 
-def test_report_job_and_watch_once(spark, scratch):
-    import os
 
-    from logpulse.jobs import report_job, watch_alerts
+def test_alerts_fire_once_over_restarts_and_follow_late_rows(spark, scratch):
+    base, logs, message = datetime(2015, 10, 18, 21, 40, 0), f"{scratch}/logs", "ERROR IN CONTACTING RM."
+    lines = _fixture_lines()
+    _put(logs, "a", lines)
 
-    os.makedirs(f"{scratch}/logs/node1")
-    base = datetime(2015, 10, 18, 21, 40, 0)
-    rows = [_hadoop_line(base + timedelta(seconds=i * 10), "ERROR", "ERROR IN CONTACTING RM.") for i in range(15)]
-    rows += [_hadoop_line(base + timedelta(seconds=150 + i * 10), "INFO", "info msg") for i in range(10)]
-    rows += [_hadoop_line(datetime(2015, 10, 18, 22, 30, 0), "INFO", "later")]
-    with open(f"{scratch}/logs/node1/app.log", "w") as f:
-        f.write("\n".join(rows) + "\n")
-    rep = report_job(spark, f"{scratch}/logs", f"{scratch}/report", as_of="2015-10-19 00:00:00").collect()[0]
-    assert (rep.status, rep.total_entries, rep.spike_count) == ("CRITICAL", 26, 1)
-    q, out, _ = watch_alerts(spark, f"{scratch}/logs", interval=None,
-                             output=f"{scratch}/alerts", checkpoint=f"{scratch}/ck")
-    q.awaitTermination()
-    got = [(r.prev_status, r.status, r.transition) for r in spark.read.parquet(out).collect()]
-    assert got == [("HEALTHY", "CRITICAL", "Critical anomaly detected — immediate attention required.")]
+    def run():
+        q, out, _ = watch_alerts(spark, logs, interval=None, output=f"{scratch}/alerts", checkpoint=f"{scratch}/ck")
+        finished(q)
+        return _changes(spark, out)
+
+    first = run()
+    assert first == [(base, "HEALTHY", "CRITICAL", message)]
+    assert run() == first                     # restart, no new data: nothing re-emitted
+    _put(logs, "b", [_hadoop_line(datetime(2015, 10, 19, 23, 0, 5), "INFO", "next day")])
+    second = first + [(datetime(2015, 10, 19, 23, 0), "CRITICAL", "HEALTHY", None)]
+    assert run() == second
+    # two hours late, on the first day: the window after the spike was healthy
+    _put(logs, "c", [_hadoop_line(base + timedelta(minutes=5, seconds=i), "INFO", "late") for i in range(20)])
+    third = run()
+    assert third == sorted(second + [(base + timedelta(minutes=5), "CRITICAL", "HEALTHY", None)])
+
+
+def test_file_limit_changes_nothing(spark, scratch):
+    """Four files of one span, one a micro-batch: the rows and alerts of the batch operators."""
+    start, logs = datetime(2024, 3, 1), f"{scratch}/logs"
+    for node in range(4):
+        _put(logs, f"node{node}", [
+            _hadoop_line(start + timedelta(seconds=48 * i + node), "ERROR" if (i // 40 + node) % 3 == 0 else "INFO",
+                         f"m{i % 3}") for i in range(300)])
+    entries = parse_hadoop_lines(stream_log_lines(spark, logs, max_files_per_trigger=1))
+    q, landed, _ = land_entries(entries, f"{scratch}/landed", checkpoint=f"{scratch}/ck1")
+    finished(q)
+    whole = load_hadoop_logs(spark, logs)
+    got = window_error_rate(landed_entries(spark, landed, entries))
+    assert sorted(got.collect()) == sorted(window_error_rate(whole).collect())
+    assert got.agg(F.sum("total_entries")).collect()[0][0] == 1200
+    q, out, ck = watch_alerts(spark, logs, interval=None, output=f"{scratch}/alerts",
+                              checkpoint=f"{scratch}/ck2", max_files_per_trigger=1)
+    finished(q)
+    rates = spark.read.parquet(f"{ck}-windows").drop("date", "top_error")
+    assert sorted(tuple(r) for r in rates.collect()) == sorted(tuple(r) for r in window_error_rate(whole).collect())
+    want = {(r.window_start, r.prev_status, r.status) for r in window_alerts(whole).collect()}
+    assert want <= {r[:3] for r in _changes(spark, out)}
+
+
+def test_backlog_of_many_windows_in_one_batch(spark, scratch):
+    """Thousands of windows per key, and a window that does not divide the day."""
+    rows = spark.range(40000).select(
+        F.timestamp_add("SECOND", F.col("id").cast("int") * 300, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+        .alias("timestamp"),
+        F.when(F.col("id") % 70 < 20, "ERROR").otherwise("INFO").alias("level"), F.lit("T").alias("logger"),
+        F.concat(F.lit("m"), (F.col("id") % 3).cast("string")).alias("message"),
+        (F.col("id") % 2).cast("int").alias("svc"))
+    rows.write.parquet(f"{scratch}/in")
+    params = HealthParams(window="50 minutes", min_window_entries=2)
+    stream = spark.readStream.schema(rows.schema).parquet(f"{scratch}/in")
+    q, out, _ = watch_entries(stream, params, ["svc"], interval=None,
+                              output=f"{scratch}/alerts", checkpoint=f"{scratch}/ck")
+    finished(q)
+    want = window_alerts(rows, params, ["svc"])
+    cols = sorted(want.columns)
+    got = sorted(spark.read.parquet(out).select(*cols).collect(), key=str)
+    assert len(got) > 500 and got == sorted(want.select(*cols).collect(), key=str)
+
+
+def test_landed_entries_prune_dates_and_push_levels(spark, scratch):
+    _put(f"{scratch}/logs", "a", _fixture_lines())
+    entries = parse_hadoop_lines(stream_log_lines(spark, f"{scratch}/logs"))
+    q, landed, _ = land_entries(entries, f"{scratch}/landed", checkpoint=f"{scratch}/ck")
+    finished(q)
+    errors = landed_entries(spark, landed, entries).where("date = DATE'2015-10-18' AND level IN ('ERROR', 'CRITICAL')")
+    plan = errors._jdf.queryExecution().executedPlan().toString()
+    assert "In(level, [CRITICAL,ERROR])" in plan.replace("ERROR,CRITICAL", "CRITICAL,ERROR")
+    assert "PartitionFilters: [isnotnull(date" in plan and errors.count() == 15
+
+
+def test_run_to_parquet_raises_on_late_rows(spark, scratch):
+    import pytest
+
+    _put(f"{scratch}/logs", "a", [_hadoop_line(datetime(2024, 1, 2), "INFO", "new")])
+
+    def run(**kw):
+        entries = parse_hadoop_lines(stream_log_lines(spark, f"{scratch}/logs"))
+        return run_to_parquet(stream_window_rates(entries), "t", output=f"{scratch}/out",
+                              checkpoint=f"{scratch}/ck", **kw)
+
+    run()
+    _put(f"{scratch}/logs", "b", [_hadoop_line(datetime(2024, 1, 1), "INFO", "old")])
+    with pytest.raises(RuntimeError, match="later than the watermark"):
+        run()
+    _put(f"{scratch}/logs", "c", [_hadoop_line(datetime(2024, 1, 1), "INFO", "old")])
+    run(allow_late=True)
+
+
+def test_jobs_over_a_log_directory(spark, scratch):
+    logs = f"{scratch}/logs"
+    _put(f"{logs}/node1", "app", [*_fixture_lines(), _hadoop_line(datetime(2015, 10, 18, 22, 30, 0), "INFO", "later")])
+    rep = report_job(spark, logs, f"{scratch}/report", as_of="2015-10-19 00:00:00",
+                     series=f"{scratch}/series").collect()[0]
+    assert (rep.status, rep.total_entries, rep.spike_count) == ("CRITICAL", 126, 1)
+    sizes = {name: spark.read.parquet(f"{scratch}/series/{name}").count()
+             for name in ("hourly", "hourly_stacked", "timeline", "severity_share")}
+    assert sizes == {"hourly": 3, "hourly_stacked": 15, "timeline": 1, "severity_share": 5}
+    first = check_job(spark, logs, f"{scratch}/history", as_of="2015-10-18 23:00:00").collect()
+    assert [(a.prev_status, a.status, a.top_error) for a in first] == [
+        ("HEALTHY", "CRITICAL", "ERROR IN CONTACTING RM.")]
+    assert check_job(spark, logs, f"{scratch}/history", as_of="2015-10-18 23:05:00").collect() == []
