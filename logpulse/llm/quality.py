@@ -111,7 +111,9 @@ def _level(lang: Column, source: Column | None) -> Column:
 
 
 def _start(counts: pd.DataFrame) -> pd.DataFrame:
-    """Binned counts of one group -> median centre and diagonal spread."""
+    """Binned counts of one group -> median centre and diagonal spread; none under MIN_ROWS rows."""
+    if counts["n"].sum() < MIN_ROWS * P:  # a row counts once in each of the P dimensions
+        return pd.DataFrame({"g": [], "mean": [], "inv": []})
     mean, var = [], []
     for i in range(P):
         one = counts[counts["dim"] == i].sort_values("bin")
@@ -170,8 +172,7 @@ def fit(vectors: DataFrame) -> DataFrame:
         _level(F.col("lang"), F.col("source")), _level(F.col("lang"), None))).alias("g"), *X)
     counts = rows.select("g", F.posexplode(F.array(*[F.round(F.col(x) * 64).cast("long") for x in X]))
                          .alias("dim", "bin")).groupBy("g", "dim", "bin").agg(F.count(F.lit(1)).alias("n"))
-    large = rows.groupBy("g").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= MIN_ROWS)
-    counts = counts.join(large.select("g"), "g", "left_semi")
+    # no join by g here: it would be pushed below the counts and deal the rows by group
     estimates = written(counts.groupBy("g").applyInPandas(_start, _ESTIMATE), "mcd")
     for _ in range(STEPS):
         d = _join_estimates(rows, estimates).withColumn(
