@@ -113,7 +113,7 @@ def _level(lang: Column, source: Column | None) -> Column:
 def _start(counts: pd.DataFrame) -> pd.DataFrame:
     """Binned counts of one group -> median centre and diagonal spread; none under MIN_ROWS rows."""
     if counts["n"].sum() < MIN_ROWS * P:  # a row counts once in each of the P dimensions
-        return pd.DataFrame({"g": [], "mean": [], "inv": []})
+        return pd.DataFrame({"g": [], "mean": [], "inv": []}, dtype=object)
     mean, var = [], []
     for i in range(P):
         one = counts[counts["dim"] == i].sort_values("bin")

@@ -168,3 +168,15 @@ def test_overlapping_spans_are_replaced_together(spark):
 
     frame = spark.sql("select 'abcdefg' t, array(named_struct('start', 1, 'end', 4), named_struct('start', 2, 'end', 6)) s")
     assert frame.select(replaced(F.col("t"), F.col("s"), lambda s: F.lit("#"))).first()[0] == "a#g"
+
+
+def test_groups_under_the_limit_have_no_estimate_of_their_own(spark):
+    from logpulse.llm.quality import MIN_ROWS, X, fit
+
+    sizes = {("en", "big"): MIN_ROWS, ("en", "small"): 3, ("de", "tiny"): 2, (None, None): 1}
+    rows = [(lang, source, *[float(i + k) for k in range(len(X))])
+            for (lang, source), n in sizes.items() for i in range(n)]
+    vectors = spark.createDataFrame(rows, "lang string, source string, " + ", ".join(f"{x} double" for x in X))
+    got = {r.g for r in fit(vectors).collect()}
+    assert got == {"=en\x00=big", "=en\x00*"}  # and the language with both
+    assert fit(vectors.where("lang = 'de'")).collect() == []
