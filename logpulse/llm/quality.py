@@ -17,8 +17,9 @@ rows rejects nothing beyond the base rules.
 
 Transformed statistics: log of the word count, log of the mean word length,
 square roots of the shares of symbols, of repeated lines and of words in
-repeated windows. ``FLOOR`` is added to the spread of each, so that a
-statistic that is constant in a group does not reject on a rounding error.
+repeated windows. A spread below ``FLOOR`` is raised to it, so that a
+statistic that is constant in a group does not reject on a rounding error;
+other spreads are left as they are, so each statistic can reject alone.
 
 Defined cases: a null or blank text has no words and fails the base rules; null
 lang and source form groups of their own; whole texts are used; repeated
@@ -41,10 +42,9 @@ MAX_REPEAT_PCT = 50
 MIN_ROWS = 50
 COVERED = 0.6
 STEPS = 4
-#: Squared distance: nine robust spreads. Document statistics have heavy tails, so this is far
-#: beyond the chi-square quantiles and leaves unusual but clean texts (tables, lists) alone.
-REJECT = 81.0
-#: Smallest spread (standard deviation) of each transformed statistic.
+#: Squared distance: the chi-square quantile of the five statistics at 1 - 1e-5.
+REJECT = 30.856
+#: Smallest spread (standard deviation) of each transformed statistic; a larger one is left as it is.
 FLOOR = (0.5, 0.1, 0.05, 0.1, 0.1)
 #: Groups whose estimates may be broadcast (about 300 bytes each); more are joined.
 BROADCAST_GROUPS = 20_000
@@ -120,8 +120,15 @@ def _start(counts: pd.DataFrame) -> pd.DataFrame:
         at = one["n"].cumsum().to_numpy()
         q = [one["bin"].iloc[int(np.searchsorted(at, f * at[-1]))] / 64 for f in (0.25, 0.5, 0.75)]
         mean.append(q[1])
-        var.append(((q[2] - q[0]) / 1.349) ** 2 + FLOOR[i] ** 2)
-    return _estimate(counts["g"].iloc[0], np.array(mean), np.diag(var))
+        var.append(((q[2] - q[0]) / 1.349) ** 2)
+    return _estimate(counts["g"].iloc[0], np.array(mean), _floored(np.diag(var)))
+
+
+def _floored(cov: np.ndarray) -> np.ndarray:
+    """The spread of each direction raised to 1 in units of FLOOR; larger ones are left as they are."""
+    unit = np.outer(FLOOR, FLOOR)
+    value, vector = np.linalg.eigh(cov / unit)
+    return (vector * np.maximum(value, 1.0)) @ vector.T * unit
 
 
 def _estimate(group: str, mean: np.ndarray, cov: np.ndarray) -> pd.DataFrame:
@@ -141,7 +148,7 @@ def _concentrate(bins: pd.DataFrame) -> pd.DataFrame:
     for i, j in PAIRS:
         cov[i, j] = cov[j, i] = near[f"p{i}{j}"].sum() / n - mean[i] * mean[j]
     # the nearest share of a normal cloud is narrower than the cloud
-    return _estimate(bins["g"].iloc[0], mean, cov * CONSISTENCY + np.diag(np.square(FLOOR)))
+    return _estimate(bins["g"].iloc[0], mean, _floored(cov * CONSISTENCY))
 
 
 #: Fixed value: COVERED / P(chi-square with 7 degrees of freedom <= the 5-degree COVERED quantile).

@@ -180,3 +180,39 @@ def test_groups_under_the_limit_have_no_estimate_of_their_own(spark):
     got = {r.g for r in fit(vectors).collect()}
     assert got == {"=en\x00=big", "=en\x00*"}  # and the language with both
     assert fit(vectors.where("lang = 'de'")).collect() == []
+
+
+def test_each_statistic_rejects_alone_near_the_limit(spark):
+    """Rows on both sides of the limit, each unusual in one statistic only."""
+    rng = np.random.default_rng(29)
+    clean = np.column_stack([rng.normal(5.6, 0.6, 2000), rng.normal(1.62, 0.03, 2000), np.zeros((2000, 3))])
+    schema = "lang string, source string, base_failed boolean, " + ", ".join(f"{x} double" for x in quality.X)
+    frame = lambda rows: spark.createDataFrame([("en", "s", False, *map(float, r)) for r in rows], schema)
+    estimates = quality.fit(frame(clean))
+    e = next(r for r in estimates.collect() if r.g == "=en\x00=s")
+    inv = np.array(e["inv"]).reshape(5, 5)
+    rows, want = [], []
+    for i in range(5):
+        for factor, kept in ((0.97, True), (1.03, False)):
+            r = np.array(e["mean"])
+            r[i] += factor * np.sqrt(quality.REJECT / inv[i, i])
+            rows.append(r)
+            want.append(kept)
+    # 9 % symbols, 35 % repeated lines, 35 % repeated words; a third of that stays
+    for i, share in ((2, 0.09), (3, 0.35), (4, 0.35)):
+        for part, kept in ((1, False), (3, True)):
+            r = np.array([5.6, 1.62, 0, 0, 0])
+            r[i] = np.sqrt(share / part)
+            rows.append(r)
+            want.append(kept)
+    got = quality.judge(frame(rows).coalesce(1), estimates).collect()
+    assert [r.kept for r in sorted(got, key=lambda r: [tuple(x) for x in rows].index(tuple(r[x] for x in quality.X)))] == want
+
+
+def test_tables_of_symbols_are_rejected(spark):
+    rnd = random.Random(31)
+    word = lambda: "".join(rnd.choices("etaoinshr", k=rnd.randint(3, 7)))
+    clean = [row(i, " ".join(word() for _ in range(rnd.randint(60, 400))), "en", "s") for i in range(300)]
+    table = [row(1000 + i, " | ".join(f"{word()} {word()}" for _ in range(60)), "en", "s") for i in range(10)]
+    kept = {r.doc_id for r in quality.keep_good(spark.createDataFrame(clean + table, SCHEMA)).collect()}
+    assert not kept & {r[0] for r in table} and len(kept) >= 297
