@@ -16,8 +16,10 @@ strings with one key travels as one segment (about one per 17 bytes).
    strings of larger doc_ids than the smallest go. Keys with more than
    ``HOT_SEGMENTS`` representatives send single strings, sharded by the whole
    string, so no shard holds a common passage's contexts at once.
-3. Removed ranges meet the texts again by doc_id (the same exchange of the
-   texts as in 2), and what is left is hashed.
+3. Removed ranges meet the texts again by doc_id and a checksum of the text
+   (the same exchange of the texts as in 2), and what is left is hashed. The
+   checksum keeps texts with one doc_id, or none, apart; only doc_ids decide
+   which string comes first.
 
 Keys and segments are compared by 40-bit and 64-bit hashes together; segments
 of one shard are compared by bytes.
@@ -101,17 +103,18 @@ def _segment_hashes(raw: bytes, first: np.ndarray, strings: np.ndarray) -> np.nd
 
 def _list_segments(n_buckets: int):
     """Texts -> per bucket, packed lists of (key, segment hash) and how many each document has."""
-    schema = pa.schema([("bucket", pa.int32()), ("ids", pa.binary()), ("counts", pa.binary()),
+    schema = pa.schema([("bucket", pa.int32()), ("ids", pa.binary()), ("sums", pa.binary()), ("counts", pa.binary()),
                         ("low", pa.binary()), ("high", pa.binary()), ("seg", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, int]] = []
+        held: list[tuple[np.ndarray, np.ndarray, int, int]] = []
         rows = 0
 
         def pack() -> pa.RecordBatch:
-            keys = np.concatenate([k for k, _, _ in held])
-            segs = np.concatenate([s for _, s, _ in held])
-            docs = np.repeat([d for _, _, d in held], [len(k) for k, _, _ in held])
+            keys = np.concatenate([k for k, *_ in held])
+            segs = np.concatenate([s for _, s, *_ in held])
+            ids, sums = (np.array([h[i] for h in held], dtype="<i8") for i in (2, 3))
+            nth = np.repeat(np.arange(len(held)), [len(k) for k, *_ in held])
             bucket = (keys % np.uint64(n_buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")  # documents stay in order within a bucket
             starts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
@@ -119,23 +122,23 @@ def _list_segments(n_buckets: int):
             for b in range(n_buckets):
                 at = order[starts[b]:starts[b + 1]]
                 if len(at):
-                    d = docs[at]
+                    d = nth[at]
                     new = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
                     k = keys[at]
-                    out.append((b, d[new].astype("<i8").tobytes(), np.diff(np.r_[new, len(d)]).astype("<u4").tobytes(),
+                    out.append((b, ids[d[new]].tobytes(), sums[d[new]].tobytes(), np.diff(np.r_[new, len(d)]).astype("<u4").tobytes(),
                                 k.astype("<u4").tobytes(), (k >> np.uint64(32)).astype("u1").tobytes(),
                                 segs[at].astype("<u8").tobytes()))
             return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)],
                                    schema=schema)
 
         for batch in batches:
-            for d, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+            for d, x, text in zip(*[batch[c].to_pylist() for c in ("id", "sum", "text")], strict=True):
                 raw = text.encode()
                 key, first, strings = segments(raw)
                 if len(key):
                     seg = _segment_hashes(raw, first, strings)
                     once = np.unique(seg, return_index=True)[1]  # a document's repeats count once
-                    held.append((key[once], seg[once], d))
+                    held.append((key[once], seg[once], d, x))
                     rows += len(once)
             if rows >= PACK_ROWS:
                 yield pack()
@@ -147,14 +150,14 @@ def _list_segments(n_buckets: int):
     return run
 
 
-_LISTS = "bucket int, ids binary, counts binary, low binary, high binary, seg binary"
-_ROLES = "id long, copies binary, own binary, hot binary"
+_LISTS = "bucket int, ids binary, sums binary, counts binary, low binary, high binary, seg binary"
+_ROLES = "id long, sum long, copies binary, own binary, hot binary"
 
 
 def _assign_roles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lists sorted by bucket -> per document: segments it repeats from a smaller
+    """Lists sorted by bucket -> per text: segments it repeats from a smaller
     doc_id, segments it represents, and those of them with a hot key."""
-    schema = pa.schema([("id", pa.int64()), ("copies", pa.binary()), ("own", pa.binary()), ("hot", pa.binary())])
+    schema = pa.schema([("id", pa.int64()), ("sum", pa.int64()), ("copies", pa.binary()), ("own", pa.binary()), ("hot", pa.binary())])
 
     def decide(lists: list[dict]) -> pa.RecordBatch | None:
         ids = np.concatenate([np.frombuffer(x["ids"], "<i8") for x in lists])
@@ -163,8 +166,12 @@ def _assign_roles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                | np.concatenate([np.frombuffer(x["high"], "u1") for x in lists]).astype(np.uint64) << np.uint64(32))
         seg = np.concatenate([np.frombuffer(x["seg"], "<u8") for x in lists])
         doc = np.repeat(ids, counts)
-        order = np.lexsort((doc, seg, key))
-        key, seg, doc = key[order], seg[order], doc[order]
+        text = np.repeat(np.concatenate([np.frombuffer(x["sums"], "<i8") for x in lists]), counts)
+        order = np.lexsort((text, doc, seg, key))
+        key, seg, doc, text = key[order], seg[order], doc[order], text[order]
+        # repeated rows count once
+        other = np.r_[True, (key[1:] != key[:-1]) | (seg[1:] != seg[:-1]) | (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])]
+        key, seg, doc, text = key[other], seg[other], doc[other], text[other]
         new_key = np.r_[True, key[1:] != key[:-1]]
         new_seg = new_key | np.r_[True, seg[1:] != seg[:-1]]
         first_key = np.flatnonzero(new_key)
@@ -172,22 +179,23 @@ def _assign_roles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         shared = np.minimum.reduceat(doc, first_key) != np.maximum.reduceat(doc, first_key)
         n_own = np.add.reduceat(new_seg.astype(np.int64), first_key)
         least = doc[np.flatnonzero(new_seg)][np.cumsum(new_seg) - 1]
-        own = new_seg & shared[of_key]
+        own = (doc == least) & shared[of_key]  # texts of one doc_id represent it together
         copy = (doc > least) & shared[of_key]
         role = np.where(copy, 0, np.where(own, np.where(n_own[of_key] > HOT_SEGMENTS, 2, 1), -1))
         at = np.flatnonzero(role >= 0)
         if not len(at):
             return None
-        at = at[np.lexsort((role[at], doc[at]))]
-        doc, role, seg = doc[at], role[at], seg[at]
-        starts = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
-        out: list[list] = [[], [], [], []]
+        at = at[np.lexsort((role[at], text[at], doc[at]))]
+        doc, text, role, seg = doc[at], text[at], role[at], seg[at]
+        starts = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])])
+        out: list[list] = [[], [], [], [], []]
         for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(doc)], strict=True):
             r, s = role[a:b], seg[a:b]
             cuts = np.searchsorted(r, [0, 1, 2, 3])
             out[0].append(int(doc[a]))
+            out[1].append(int(text[a]))
             for k in range(3):
-                out[k + 1].append(s[cuts[k]:cuts[k + 1]].tobytes())
+                out[k + 2].append(s[cuts[k]:cuts[k + 1]].tobytes())
         return pa.record_batch([pa.array(v, f.type) for v, f in zip(out, schema, strict=True)], schema=schema)
 
     lists: list[dict] = []
@@ -206,14 +214,14 @@ def _joined(parts: list[bytes] | None) -> np.ndarray:
     return np.frombuffer(b"".join(parts or []), "<u8")
 
 
-_SEGMENTS = "shard_key long, id long, first int, bytes binary"
+_SEGMENTS = "shard_key long, id long, sum long, first int, bytes binary"
 
 
 def _cut_representatives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts with their roles -> the segments (or, of hot keys, the strings) to sort."""
     for batch in batches:
-        out: list[list] = [[], [], [], []]
-        for d, text, own, hot in zip(*[batch[c].to_pylist() for c in ("id", "text", "own", "hot")], strict=True):
+        out: list[list] = [[], [], [], [], []]
+        for d, x, text, own, hot in zip(*[batch[c].to_pylist() for c in ("id", "sum", "text", "own", "hot")], strict=True):
             own, hot = _joined(own), _joined(hot)
             if not len(own) and not len(hot):
                 continue
@@ -222,17 +230,18 @@ def _cut_representatives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
             seg = _segment_hashes(raw, first, strings)
             for i in np.flatnonzero(np.isin(seg, own)).tolist():
                 a = int(first[i])
-                for values, v in zip(out, (int(key[i]), d, a, raw[a:a + int(strings[i]) + SPAN - 1]), strict=True):
+                for values, v in zip(out, (int(key[i]), d, x, a, raw[a:a + int(strings[i]) + SPAN - 1]), strict=True):
                     values.append(v)
             for i in np.flatnonzero(np.isin(seg, hot)).tolist():
                 for a in range(int(first[i]), int(first[i] + strings[i])):
                     piece = raw[a:a + SPAN]
-                    for values, v in zip(out, (xxh64_intdigest(piece, 5) >> 1, d, a, piece), strict=True):
+                    for values, v in zip(out, (xxh64_intdigest(piece, 5) >> 1, d, x, a, piece), strict=True):
                         values.append(v)
         if out[0]:
             yield pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
-                                   pa.array(out[2], pa.int32()), pa.array(out[3], pa.binary())],
-                                  names=["shard_key", "id", "first", "bytes"])
+                                   pa.array(out[2], pa.int64()), pa.array(out[3], pa.int32()),
+                                   pa.array(out[4], pa.binary())],
+                                  names=["shard_key", "id", "sum", "first", "bytes"])
 
 
 def repeated_strings(contents: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -260,48 +269,50 @@ def repeated_strings(contents: list[bytes], docs: np.ndarray) -> tuple[np.ndarra
     return seg[order], offset[order]
 
 
-_RANGES = "id long, low int, high int"
+_RANGES = "id long, sum long, low int, high int"
 
 
 def _sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments sorted by shard key and doc_id -> byte ranges to remove."""
+    """Segments sorted by shard key, doc_id and text -> byte ranges to remove."""
 
-    def frame(ids: list, low: list, high: list) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(ids, pa.int64()), pa.array(low, pa.int32()), pa.array(high, pa.int32())],
-                               names=["id", "low", "high"])
+    def frame(ids: list, sums: list, low: list, high: list) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(ids, pa.int64()), pa.array(sums, pa.int64()), pa.array(low, pa.int32()),
+                                pa.array(high, pa.int32())], names=["id", "sum", "low", "high"])
 
-    def work(held: dict[bytes, tuple[int, list[int]]]) -> pa.RecordBatch:
+    def work(held: dict[bytes, tuple[int, list[tuple[int, int]]]]) -> pa.RecordBatch:
         contents = list(held)
         owners = list(held.values())
         seg, offset = repeated_strings(contents, np.array([d for d, _ in owners], dtype=np.int64))
-        ids, low, high = [], [], []
+        ids, sums, low, high = [], [], [], []
         if len(seg):
             runs = np.flatnonzero(np.r_[True, (seg[1:] != seg[:-1]) | (offset[1:] != offset[:-1] + 1)])
             lasts = np.r_[runs[1:], len(seg)] - 1
             for s, a, b in zip(seg[runs].tolist(), offset[runs].tolist(), offset[lasts].tolist(), strict=True):
                 d, places = owners[s]
-                for p in places:
+                for x, p in places:
                     ids.append(d)
+                    sums.append(x)
                     low.append(p + a)
                     high.append(p + b + SPAN)
-        return frame(ids, low, high)
+        return frame(ids, sums, low, high)
 
-    held: dict[bytes, tuple[int, list[int]]] = {}
+    held: dict[bytes, tuple[int, list[tuple[int, int]]]] = {}
     size, key = 0, None
     for batch in batches:
-        copies: list[list] = [[], [], []]
-        for k, d, a, c in zip(*[batch[x].to_pylist() for x in ("shard_key", "id", "first", "bytes")], strict=True):
+        copies: list[list] = [[], [], [], []]
+        for k, d, x, a, c in zip(*[batch[n].to_pylist() for n in ("shard_key", "id", "sum", "first", "bytes")], strict=True):
             if k != key and size >= SHARD_BYTES:  # equal strings have equal keys: cut between keys
                 yield work(held)
                 held, size = {}, 0
             key = k
             if c not in held:
-                held[c] = (d, [a])
+                held[c] = (d, [(x, a)])
                 size += len(c) + 1
             elif held[c][0] == d:
-                held[c][1].append(a)
+                if held[c][1][-1] != (x, a):  # a repeated row
+                    held[c][1].append((x, a))
             else:  # rows come by doc_id: an equal segment or string of a smaller one is held
-                for values, v in zip(copies, (d, a, a + len(c)), strict=True):
+                for values, v in zip(copies, (d, x, a, a + len(c)), strict=True):
                     values.append(v)
         yield frame(*copies)
     if held:
@@ -350,22 +361,23 @@ def without_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     ``kept`` holds the remaining bytes (null without ``keep_bytes``)."""
     n = partitions(docs.sparkSession)
     texts = document_columns(docs, "doc_id", "text").select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), text_or_empty().alias("text"))
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64(text_or_empty()).alias("sum"),
+        text_or_empty().alias("text"))
     n_buckets = n * BUCKETS_PER_PARTITION
     lists = texts.mapInArrow(_list_segments(n_buckets), _LISTS)
     roles = (lists.repartition(n, "bucket").sortWithinPartitions("bucket")
              .mapInArrow(_assign_roles, _ROLES))
-    roles = written(roles, "repeat_roles").groupBy("id").agg(  # bounded by the document's own length
+    roles = written(roles, "repeat_roles").groupBy("id", "sum").agg(  # bounded by the document's own length
         F.collect_list("copies").alias("copies"), F.collect_list("own").alias("own"),
         F.collect_list("hot").alias("hot"))
     # left joins on purpose: both read the texts by the same exchange
-    wanted = texts.join(roles.select("id", "own", "hot"), "id", "left").select("id", "text", "own", "hot")
+    wanted = texts.join(roles.select("id", "sum", "own", "hot"), ["id", "sum"], "left").select("id", "sum", "text", "own", "hot")
     ranges = (wanted.mapInArrow(_cut_representatives, _SEGMENTS)
-              .repartition(n, "shard_key").sortWithinPartitions("shard_key", "id", "first")
+              .repartition(n, "shard_key").sortWithinPartitions("shard_key", "id", "sum", "first")
               .mapInArrow(_sort_shards, _RANGES)
-              .groupBy("id").agg(F.collect_list(F.struct("low", "high")).alias("ranges")))
-    told = roles.select("id", "copies").join(ranges, "id", "full")
-    return (texts.join(told, "id", "left")
+              .groupBy("id", "sum").agg(F.collect_set(F.struct("low", "high")).alias("ranges")))
+    told = roles.select("id", "sum", "copies").join(ranges, ["id", "sum"], "full")
+    return (texts.join(told, ["id", "sum"], "left")
             .select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "text", "copies", "ranges")
             .mapInArrow(_remove(keep_bytes), _RESULT))
 

@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 import pytest
-from llm_support import edge, edge_rows, empty  # noqa: F401
+from llm_support import SCHEMA, edge, edge_rows, empty, row  # noqa: F401
 from xxhash import xxh64_intdigest
 
 from logpulse.llm import simhash, suffix_dedup
@@ -140,6 +140,22 @@ def test_repeats_equal_brute_force(edge, empty, monkeypatch, hot):
         assert suffix_dedup.without_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("hot", [20_000, 1])
+def test_texts_that_share_an_id_or_have_none_lose_their_own_bytes(spark, monkeypatch, hot):
+    """A passage at other offsets in each text, in some cut off at other ends."""
+    monkeypatch.setattr(suffix_dedup, "HOT_SEGMENTS", hot)
+    rnd = random.Random(37)
+    noise = lambda n: "".join(rnd.choices("abcdefgh ", k=n))
+    passage, other = noise(150), noise(120)
+    rows = [row(1, noise(40) + passage + noise(500)), row(9, other + noise(30))]
+    rows += [row(i, noise(k) + passage[5 * n:150 - 9 * n] + noise(20 * n)) for n, (i, k) in enumerate(
+        [(None, 900), (None, 3), (None, 71), (4, 600), (4, 0), (4, 33)])]
+    rows += [row(None, noise(7) + other[10:] + noise(5)), row(None, noise(300) + other[:80]), row(4, noise(11) + other)]
+    rows += [rows[3], rows[-1]]  # repeated rows
+    got = suffix_dedup.without_repeats(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    assert sorted((tuple(r)[:5] for r in got.collect()), key=str) == brute_repeats(rows)
+
+
 def test_suffix_arrays_equal_sorting():
     rnd = random.Random(1)
     for _ in range(200):
