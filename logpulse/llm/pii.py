@@ -6,7 +6,7 @@ pointwise mutual information of term and entity over documents, divided by
 the entity's information content. 1 means that the term occurs with the
 entity only, 0 that it says nothing. In a document with the entity, terms
 at ``REMOVE`` or more are removed and those at ``GENERALISE`` or more are
-replaced by a general mark. Entity and term must meet in ``MIN_SUPPORT``
+replaced by a general mark. A term is a whole word of letters and digits, however short. Entity and term must meet in ``MIN_SUPPORT``
 documents; fewer are no evidence. Counts cover every document.
 
 SQL functions only. Entity and term counts are added up per task before
@@ -38,7 +38,8 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 BYTE = r"^0*([0-9]{1,2}|1[0-9][0-9]|2[0-4][0-9]|25[0-5])$"
 
-TERM = r"\p{L}{4,}+"
+#: A whole word: letters (with their marks) and digits of any script, from one character.
+TERM = r"[\p{L}\p{M}\p{N}]++"
 MIN_SUPPORT = 3
 GENERALISE = 0.6
 REMOVE = 0.9

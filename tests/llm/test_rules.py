@@ -122,6 +122,18 @@ def test_terms_that_reveal_an_entity_are_flagged(spark, edge, empty):
     assert pii.personal_spans(edge).count() == len(edge_rows()) and pii.personal_spans(empty).count() == 0
 
 
+def test_short_and_numbered_terms_reveal_an_entity_too(spark):
+    names = ["Kim", "Li", "李", "王小明", "K4711", "90210"]
+    texts = [f"the {' ; '.join(names)} of a common list, write to ann@x.org x{i}" for i in range(4)]
+    texts += [f"the common list of a day x{i}" for i in range(30)]
+    docs = texts_frame(spark, texts)
+    rows = {r.doc_id: r for r in pii.personal_spans(docs).collect()}
+    words = {texts[0][s.start:s.end] for s in rows[0].spans if s.kind == "remove"}
+    assert words >= set(names) and not words & {"the", "of", "a", "common", "list", "x0"}
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs).collect()}
+    assert not any(n in clean[0] for n in names) and "common list" in clean[0]
+
+
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
