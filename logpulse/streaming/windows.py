@@ -3,8 +3,8 @@
 :func:`stream_window_rates` emits a window once, after the watermark passes its
 end (append mode); state is the open windows only. Rows later than the
 watermark are dropped by Spark, so it fits streams whose lateness is bounded;
-:func:`run_to_parquet` raises when rows were dropped, unless told that they may
-be. Files in any order, a file limit, or any lateness: use
+:func:`run_to_parquet` raises when rows were dropped, or when there were too many
+batches to tell, unless told that they may be. Files in any order, a file limit, or any lateness: use
 :mod:`logpulse.streaming.landing`, which has no watermark and loses no row.
 
 Watermarks need a TIMESTAMP column; entries carry TIMESTAMP_NTZ. The stream
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logpulse.functions.columns import is_error, to_instant, to_wall_clock
@@ -65,17 +65,25 @@ def start_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
 
 def dropped_late_rows(query) -> int:
     """Late rows the watermark dropped, as far as the query's kept progress
-    tells (partially aggregated rows: a lower bound, zero only if none)."""
+    tells (partially aggregated rows: a lower bound; zero only if none, while
+    :func:`progress_is_whole`)."""
     return sum(op.get("numRowsDroppedByWatermark", 0)
                for p in query.recentProgress for op in p.get("stateOperators", []))
 
 
+def progress_is_whole(query, spark: SparkSession) -> bool:
+    """Whether Spark surely still keeps the progress of every batch of this run."""
+    kept = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    return len(query.recentProgress) < kept - 1  # Spark keeps one less than the setting
+
+
 def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
                    checkpoint: str | None = None, output: str | None = None,
                    allow_late: bool = False) -> tuple[str, str]:
     """Run-once form of :func:`start_to_parquet`: process the available input,
     wait, re-raise a failure; returns (output path, checkpoint path). Raises
-    if late rows were dropped, unless ``allow_late``."""
+    if late rows were dropped, or may have been in batches whose progress is no
+    longer kept, unless ``allow_late``."""
     q, output, checkpoint = start_to_parquet(df, name, output_mode, checkpoint, output)
     q.awaitTermination()
     if q.exception() is not None:
@@ -84,4 +92,8 @@ def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
     if late and not allow_late:
         raise RuntimeError(f"{late} or more rows came later than the watermark and are not in {output}; "
                            "land the entries instead (logpulse.streaming.landing)")
+    if not allow_late and not progress_is_whole(q, df.sparkSession):
+        raise RuntimeError(f"more batches than Spark keeps the progress of: rows later than the watermark may be "
+                           f"missing in {output}; raise spark.sql.streaming.numRecentProgressUpdates or land the "
+                           "entries instead (logpulse.streaming.landing)")
     return output, checkpoint

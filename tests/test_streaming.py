@@ -189,6 +189,30 @@ def test_run_to_parquet_raises_on_late_rows(spark, scratch):
     run(allow_late=True)
 
 
+def test_rows_dropped_before_the_kept_progress_raise_too(spark, scratch):
+    import pytest
+
+    for i, day in enumerate((5, 6, 1, 7, 8, 9)):  # the third file is late, one file a batch
+        _put(f"{scratch}/logs", f"f{i}", [_hadoop_line(datetime(2024, 1, day), "INFO", "x")])
+        os.utime(f"{scratch}/logs/f{i}.log", (1_700_000_000 + i, 1_700_000_000 + i))
+    lines = stream_log_lines(spark, f"{scratch}/logs", max_files_per_trigger=1)
+
+    def run(name, **kw):
+        return run_to_parquet(stream_window_rates(parse_hadoop_lines(lines)), "t",
+                              output=f"{scratch}/out{name}", checkpoint=f"{scratch}/ck{name}", **kw)
+
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    with pytest.raises(RuntimeError, match="later than the watermark and are not"):
+        run("a")
+    spark.conf.set(key, "2")
+    try:
+        with pytest.raises(RuntimeError, match="more batches than Spark keeps"):
+            run("b")
+        run("c", allow_late=True)
+    finally:
+        spark.conf.unset(key)
+
+
 def test_jobs_over_a_log_directory(spark, scratch):
     logs = f"{scratch}/logs"
     _put(f"{logs}/node1", "app", [*_fixture_lines(), _hadoop_line(datetime(2015, 10, 18, 22, 30, 0), "INFO", "later")])
