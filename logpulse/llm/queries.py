@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .exact_dedup import op10_content_sort
+from .merkle import op13_lag_lead_merkle
 from .mixing import op4_splitting_tree
 from .oracle import ORACLE_SQL as _SQL
 from .packing import op7_deficit_round_robin
@@ -17,6 +18,6 @@ from .suffix_dedup import op3_induced_suffix_sort
 QUERIES = {f.__name__: f for f in (
     op1_robust_outliers, op2_pigeonring_simhash, op3_induced_suffix_sort, op4_splitting_tree,
     op5_communication_matrix, op6_disclosure, op7_deficit_round_robin, op8_preference_pairs,
-    op9_window_entropy, op10_content_sort)}
+    op9_window_entropy, op10_content_sort, op13_lag_lead_merkle)}
 
 ORACLE_SQL = {k: v for k, v in _SQL.items() if k in QUERIES}
