@@ -86,5 +86,44 @@ proofs AS (SELECT r, sha256(string_agg(sib, '' ORDER BY k)) AS proof FROM number
 SELECT l.doc_id, l.leaf, b.subroot, root.root, coalesce(p.proof, sha256('')) AS proof_sha256, x.folded_root,
        x.folded_root = root.root AS verified
 FROM leaves l JOIN sub b ON b.g = l.g CROSS JOIN root JOIN last_fold x ON x.r = l.r LEFT JOIN proofs p ON p.r = l.r
+""",
+    "op11_counting_bloom_audit": r"""
+WITH letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (SELECT filter_order, s::INT AS step, filter_order[s] AS f, filter_order[1:s - 1] AS earlier
+          FROM orders, unnest(range(1, 6)) AS t(s)),
+words AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+marks AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+          FROM labels GROUP BY doc_id),
+fails AS (
+  SELECT words.doc_id, part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN min(words.doc_id) OVER (PARTITION BY text) < coalesce(words.doc_id::HUGEINT, 170141183460469231731687303715884105727) THEN 'E' ELSE '' END AS m
+  FROM words LEFT JOIN marks ON marks.doc_id = words.doc_id),
+masks AS (SELECT part, m, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic FROM fails GROUP BY part, m),
+shapley AS (
+  SELECT part, l.f, sum(CASE WHEN contains(m, l.f) THEN n * (120 // length(m)) ELSE 0 END) AS shapley
+  FROM masks, letters l GROUP BY part, l.f),
+run AS (
+  SELECT part, filter_order, step, s.f, m, n, good, toxic, contains(m, s.f) AS failing,
+         length(translate(m, earlier, '')) < length(m) AS gone FROM masks, steps s)
+SELECT r.part, filter_order, step,
+       sum(CASE WHEN NOT gone AND NOT failing THEN n ELSE 0 END)::BIGINT AS kept,
+       sum(CASE WHEN NOT gone AND failing THEN n ELSE 0 END)::BIGINT AS removed,
+       sum(CASE WHEN gone AND failing THEN n ELSE 0 END)::BIGINT AS redundant,
+       sum(CASE WHEN m = r.f THEN n ELSE 0 END)::BIGINT AS unique_fails,
+       sum(CASE WHEN NOT gone AND failing THEN r.good ELSE 0 END)::BIGINT AS good_lost,
+       sum(CASE WHEN NOT gone AND failing THEN r.toxic ELSE 0 END)::BIGINT AS toxic_lost,
+       max(x.shapley)::BIGINT AS shapley
+FROM run r JOIN shapley x ON x.part = r.part AND x.f = r.f
+GROUP BY r.part, filter_order, step
 """,
 }
