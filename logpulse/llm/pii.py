@@ -1,27 +1,36 @@
 """Personal data: base patterns, and information-theoretic sanitisation of terms.
 
-The values that the base patterns find are protected entities. A term reveals
-an entity as far as the corpus shows both together: its disclosure is the
-pointwise mutual information of term and entity over documents, divided by
-the entity's information content. 1 means that the term occurs with the
-entity only, 0 that it says nothing. In a document with the entity, terms
-at ``REMOVE`` or more are removed and those at ``GENERALISE`` or more are
-replaced by a general mark. A term is a whole word of letters and digits, however short. Entity and term must meet in ``MIN_SUPPORT``
-documents; fewer are no evidence. Counts cover every document.
-
-SQL functions only. Entity and term counts are added up per task before
-each shuffle; term counts over the corpus are taken for candidate terms
-alone, which are broadcast up to ``BROADCAST_TERMS`` and joined beyond.
+The values that the base patterns find are protected entities, and so are the
+parts of them that come back in other values (an address's domain and user, a
+network, a card's issuer, a telephone area): a value that occurs once has its
+evidence there. A term reveals an entity as far as the corpus shows both
+together: its disclosure is the pointwise mutual information of term and entity
+over documents, divided by the entity's information content. 1 means that the
+term occurs with the entity only, 0 that it says nothing. In a document with the
+entity, terms at ``REMOVE`` or more are removed and those at ``GENERALISE`` or more
+are replaced by a general mark. A term is a whole word of letters and digits,
+however short. Entity and term must meet in ``MIN_SUPPORT`` documents, and the
+meetings must tell ``EVIDENCE`` bits together (each tells the entity's information
+content, so what many documents hold needs more of them): fewer come about by
+chance. Counts cover every document.
+
+SQL functions only. What is kept of a document is a row per entity and own term, so
+the work grows with its text, not with the other documents of its entities.
+Counts are added up per task before each shuffle; term counts over the corpus are
+taken for candidate terms alone, which are broadcast up to ``BROADCAST_TERMS`` and
+joined beyond.
 
 Defined cases: a null text counts as empty; whole texts are scanned; every row
 is a document of its own, whatever its doc_id, and repeated rows count as
-often as they occur; an entity in all documents discloses nothing; an empty
-table gives no rows; other columns are ignored.
+often as they occur; a term that reveals several entities of its text counts with
+the largest disclosure; an entity in all documents discloses nothing; very long
+texts are listed with each of their terms once; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import document_columns, documents, text_or_empty, written
@@ -41,6 +50,7 @@ BYTE = r"^0*([0-9]{1,2}|1[0-9][0-9]|2[0-4][0-9]|25[0-5])$"
 #: A whole word: letters (with their marks) and digits of any script, from one character.
 TERM = r"[\p{L}\p{M}\p{N}]++"
 MIN_SUPPORT = 3
+EVIDENCE = 10.0
 GENERALISE = 0.6
 REMOVE = 0.9
 BROADCAST_TERMS = 200_000
@@ -94,55 +104,74 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"({TERM})"), F.lit(1)))
 
 
-def flagged_terms(docs: DataFrame, base: DataFrame) -> DataFrame:
-    """(row_id, remove, generalise): the terms that reveal an entity of the row's text.
+def _entities(span: Column) -> Column:
+    """A base span's value, and the parts of it that other values may share."""
+    kind, value = span["kind"], F.lower(span["match"])
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    part = lambda name, v: F.concat(F.lit(f"{name}:"), v)
+    parts = (F.when(kind == "email", F.array(part("domain", F.substring_index(value, "@", -1)),
+                                             part("user", F.substring_index(value, "@", 1))))
+             .when(kind == "ip", F.array(part("network", F.substring_index(value, ".", 2))))
+             .when(kind == "card", F.array(part("issuer", F.substring(digits, 1, 6))))
+             .otherwise(F.array(part("area", F.substring(digits, 1, 4)))))
+    return F.concat(F.array(F.concat_ws(":", kind, value)), parts)
+
+
+def disclosures(docs: DataFrame, base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(row_id, entity, term) of the rows with an entity of enough documents, and
+    (entity, term, disclosure) of all that meet often enough.
 
     ``base`` holds base spans by row_id, with ``etext``, the text of rows that have a span."""
-    entities = base.where("size(base) > 0").select("row_id", F.explode(F.array_distinct(F.transform(
-        "base", lambda s: F.concat_ws(":", s["kind"], s["match"])))).alias("entity"))
+    entities = base.where("size(base) > 0").select("row_id", F.explode(F.array_distinct(F.flatten(F.transform(
+        "base", _entities)))).alias("entity"))
     support = (entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
                .where(F.col("n_entity") >= MIN_SUPPORT))
     protected = written(entities.join(support, "entity"), "pii_protected")
     of_interest = protected.select("row_id").distinct()
     words = (base.where("etext is not null").join(of_interest, "row_id", "left_semi")
              .select("row_id", F.explode(_terms(F.col("etext"))).alias("term")))
-    together = written(protected.join(words, "row_id").groupBy("entity", "n_entity", "term")
-                       .agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= MIN_SUPPORT), "pii_together")
+    met = written(protected.join(words, "row_id"), "pii_met")
+    n_docs = F.lit(float(max(1, base.count())))
+    content = F.log2(n_docs / F.col("n_entity"))
+    together = written(met.groupBy("entity", "n_entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
+                       .where((F.col("n_both") >= MIN_SUPPORT) & (F.col("n_both") * content >= EVIDENCE)), "pii_together")
     candidates = written(together.select("term").distinct(), "pii_terms")
     few = candidates.count() <= BROADCAST_TERMS  # checked size, a shuffled join beyond
     # a term is listed once a text, so a task sends one number a term
     in_docs = document_columns(docs, "text").select(F.explode(_terms(F.col("text"))).alias("term")).join(
         F.broadcast(candidates) if few else candidates, "term", "left_semi")
     corpus = in_docs.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    n_docs = F.lit(float(max(1, base.count())))
-    ratio = (F.log2(F.col("n_both") * n_docs / (F.col("n_entity") * F.col("n_term")))
-             / F.log2(n_docs / F.col("n_entity")))
-    revealing = (together.join(corpus, "term").where(F.col("n_entity") < n_docs)
-                 .select("entity", "term", ratio.alias("disclosure")).where(F.col("disclosure") >= GENERALISE))
-    per_row = protected.join(revealing, "entity").groupBy("row_id", "term").agg(F.max("disclosure").alias("d"))
-    return per_row.groupBy("row_id").agg(  # at most the words that its entities meet
-        F.collect_list(F.when(F.col("d") >= REMOVE, F.col("term"))).alias("remove"),
-        F.collect_list(F.when(F.col("d") < REMOVE, F.col("term"))).alias("generalise"))
-
-
-def _term_spans(text: Column) -> Column:
-    """Words of the text among the flagged terms, as spans in order; others only move the place on."""
-    words = F.regexp_extract_all(text, F.lit(f"({TERM})"), F.lit(1))
-    steps = F.arrays_zip(F.slice(F.split(text, TERM, -1), 1, F.size(words)).alias("gap"), words.alias("match"))
+    ratio = F.log2(F.col("n_both") * n_docs / (F.col("n_entity") * F.col("n_term"))) / content
+    told = together.join(corpus, "term").where(F.col("n_entity") < n_docs)
+    return met.select("row_id", "entity", "term"), told.select("entity", "term", ratio.alias("disclosure"))
 
-    def step(acc: Column, s: Column) -> Column:
-        start = acc["at"] + F.length(s["gap"])
-        end = start + F.length(s["match"])
-        low = F.lower(s["match"])
-        kind = F.when(F.array_contains("remove", low), "remove").when(
-            F.array_contains("generalise", low), "generalise")
-        one = F.array(F.struct(F.lit(len(KINDS)).alias("number"), start.alias("start"), end.alias("end"),
-                               kind.alias("kind"), s["match"].alias("match")))
-        return F.struct(end.alias("at"), F.when(kind.isNotNull(), F.concat(acc["out"], one))
-                        .otherwise(acc["out"]).alias("out"))
 
-    empty = F.expr("cast(array() as array<struct<number:int,start:int,end:int,kind:string,match:string>>)")
-    return F.aggregate(steps, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda a: a["out"])
+def flagged_terms(docs: DataFrame, base: DataFrame) -> DataFrame:
+    """(row_id, term, mark): the terms of the row's own text that reveal an entity of it."""
+    met, told = disclosures(docs, base)
+    revealing = written(told.where(F.col("disclosure") >= GENERALISE), "pii_revealing")
+    return (met.join(revealing, ["entity", "term"]).groupBy("row_id", "term").agg(F.max("disclosure").alias("d"))
+            .select("row_id", "term", F.when(F.col("d") >= REMOVE, "remove").otherwise("generalise").alias("mark")))
+
+
+def term_spans(base: DataFrame, flagged: DataFrame) -> DataFrame:
+    """(row_id, terms): the flagged words of each text as spans in order.
+
+    A text's words are rows here, so its places are a running sum and the flagged ones a join."""
+    text = F.col("etext")
+    words = F.regexp_extract_all(text, F.lit(f"({TERM})"), F.lit(1))
+    rows = base.where("etext is not null").join(flagged.select("row_id").distinct(), "row_id", "left_semi")
+    steps = (rows.withColumns({"words": words, "gaps": F.split(text, TERM, -1)})
+             .select("row_id", F.posexplode(F.arrays_zip(F.slice("gaps", 1, F.size("words")).alias("gap"),
+                                                         F.col("words").alias("word")))).select("row_id", "pos", "col.*"))
+    along = Window.partitionBy("row_id").orderBy("pos")
+    placed_words = steps.withColumn("end", F.sum(F.length("gap") + F.length("word")).over(along).cast("int"))
+    hits = placed_words.withColumn("term", F.lower("word")).join(flagged, ["row_id", "term"])
+    span = F.struct((F.col("end") - F.length("word")).alias("start"), "end", "mark", "word")
+    return hits.groupBy("row_id").agg(F.array_sort(F.collect_list(span)).alias("t")).select(
+        "row_id", F.transform("t", lambda s: F.struct(
+            F.lit(len(KINDS)).alias("number"), s["start"].alias("start"), s["end"].alias("end"),
+            s["mark"].alias("kind"), s["word"].alias("match"))).alias("terms"))
 
 
 def personal_spans(docs: DataFrame) -> DataFrame:
@@ -150,10 +179,10 @@ def personal_spans(docs: DataFrame) -> DataFrame:
     ``spans`` with the flagged words after them; ``etext`` is the text of rows with a span."""
     base = written(base_spans(docs).select(
         F.monotonically_increasing_id().alias("row_id"), "doc_id", F.when(F.size("base") > 0, F.col("text")).alias("etext"), "base"), "pii_base")
-    flagged = flagged_terms(docs, base)
-    joined = base.join(flagged, "row_id", "left")
-    spans = F.when(F.col("remove").isNull() | F.col("etext").isNull(), F.col("base")).otherwise(
-        F.concat("base", F.filter(_term_spans(F.col("etext")), lambda t: ~F.exists(
+    flagged = written(flagged_terms(docs, base), "pii_flagged")
+    joined = base.join(term_spans(base, flagged), "row_id", "left")
+    spans = F.when(F.col("terms").isNull(), F.col("base")).otherwise(
+        F.concat("base", F.filter("terms", lambda t: ~F.exists(
             "base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))))
     return joined.select("doc_id", "etext", "base", spans.alias("spans"))
 

@@ -134,6 +134,81 @@ def test_short_and_numbered_terms_reveal_an_entity_too(spark):
     assert not any(n in clean[0] for n in names) and "common list" in clean[0]
 
 
+def brute_entities(t):
+    out = set()
+    for kind, m in [(k, m) for k, m in brute_matches(t)]:
+        v, digits = m.lower(), re.sub("[^0-9]", "", m)
+        out.add(f"{kind}:{v}")
+        out |= {"email": {"domain:" + v.rsplit("@", 1)[-1], "user:" + v.split("@", 1)[0]},
+                "ip": {"network:" + ".".join(v.split(".")[:2])}, "card": {"issuer:" + digits[:6]},
+                "phone": {"area:" + digits[:4]}}[kind]
+    return out
+
+
+def brute_matches(t):
+    return [(x.split(":")[0], t[int(x.split(":")[1]):int(x.split(":")[2])]) for x in brute_pii(t).split(",") if x]
+
+
+def brute_disclosures(texts):
+    """(document, term) -> disclosure of the term most revealing for an entity of the document."""
+    n = len(texts)
+    terms = [set(re.findall(r"[^\W_]+", (t or "").lower())) for t in texts]
+    entities = [brute_entities(t or "") for t in texts]
+    n_term, n_entity = Counter(w for s in terms for w in s), Counter(e for s in entities for e in s)
+    both = Counter((e, w) for es, ws in zip(entities, terms, strict=True) for e in es for w in ws)
+    out = {}
+    for i, (es, ws) in enumerate(zip(entities, terms, strict=True)):
+        for e in es:
+            if not pii.MIN_SUPPORT <= n_entity[e] < n:
+                continue
+            content = np.log2(n / n_entity[e])
+            for w in ws:
+                k = both[e, w]
+                if k >= pii.MIN_SUPPORT and k * content >= pii.EVIDENCE:
+                    d = np.log2(k * n / (n_entity[e] * n_term[w])) / content
+                    out[i, w] = max(d, out.get((i, w), -9.0))
+    return out
+
+
+def test_disclosures_equal_brute_force_over_random_corpora(spark):
+    rnd = random.Random(37)
+    common, rare = [f"w{i}" for i in range(30)], [f"r{i}" for i in range(40)]
+    mails = [f"u{i % 7}@mail{i % 3}.org" for i in range(12)]
+    texts = []
+    for i in range(120):
+        words = rnd.choices(common, k=12) + rnd.choices(rare, k=4)
+        if i % 3 == 0:
+            m = rnd.randrange(12)
+            words += [mails[m], f"code{m}", f"dept{m % 3}"] + ([f"10.{m}.1.{i % 250}", f"net{m}"] if m % 2 else [])
+        rnd.shuffle(words)
+        texts.append(" ".join(words))
+    texts += [None, "", "lonely one@single.net"]
+    want = brute_disclosures(texts)
+    assert sum(d >= pii.REMOVE for d in want.values()) > 20
+    for r in pii.personal_spans(texts_frame(spark, texts)).collect():
+        t = texts[r.doc_id] or ""
+        base = [(s.start, s.end) for s in r.base]
+        expected = [(m.start(), m.end(), "remove" if d >= pii.REMOVE else "generalise") for m in re.finditer(r"[^\W_]+", t)
+                    if (d := want.get((r.doc_id, m[0].lower()), 0)) >= pii.GENERALISE
+                    and not any(a < m.end() and m.start() < b for a, b in base)]
+        assert [(s.start, s.end, s.kind) for s in r.spans[len(r.base):]] == expected, t
+
+
+def test_a_frequent_entity_lists_own_terms_only(spark):
+    """Documents of one address are not listed with each other's words."""
+    rows = {}
+    for n in (300, 1200):
+        texts = [" ".join(f"x{i * 24 + k}" for k in range(24)) + " to ann@x.org" for i in range(n)] + ["other words"] * n
+        base = pii.base_spans(texts_frame(spark, texts)).select(
+            pii.F.monotonically_increasing_id().alias("row_id"),
+            pii.F.when(pii.F.size("base") > 0, pii.F.col("text")).alias("etext"), "base")
+        met, _ = pii.disclosures(texts_frame(spark, texts), base)
+        rows[n] = met.count()
+        most = max(r["count"] for r in met.groupBy("row_id", "entity").count().collect())
+        assert most <= 28  # the text's own words
+    assert rows[1200] == 4 * rows[300]
+
+
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
@@ -169,10 +244,63 @@ def test_secrets_equal_brute_force(spark, edge, empty):
 
 def test_window_entropy_by_incremental_counts(spark):
     rnd = random.Random(19)
-    words = ["".join(rnd.choices("abcd0123", k=rnd.randint(20, 70))) for _ in range(50)]
+    words = ["".join(rnd.choices("abcd0123", k=rnd.randint(1, 70))) for _ in range(50)]
+    words += ["".join(rnd.choices(secrets.ALPHABET, k=rnd.randint(16, 90))) for _ in range(100)] + ["a" * 31, secrets.ALPHABET]
     frame = spark.createDataFrame([(w,) for w in words], "c string")
     for w, h in frame.select("c", secrets.window_entropy(frame["c"])).collect():
-        assert abs(h - brute_entropy(w, secrets.WINDOW)) < 1e-9
+        assert abs(h - brute_entropy(w, min(len(w), secrets.WINDOW))) < 1e-9
+
+
+def brute_is_secret(c):
+    words = re.fullmatch(r"[A-Za-z+/_=-]+", c) and not re.search(r"[a-z][A-Z]|[A-Z]{2}[a-z]", c) and not re.search(
+        r"[bcdfghjklmnpqrstvwxz]{5}", c.lower())
+    if words:
+        return False
+    for pattern, bits, least in secrets.CLASSES.values():
+        if re.search(pattern, c):
+            w = min(len(c), secrets.WINDOW)
+            return len(c) >= least and brute_entropy(c, w) >= bits * np.log2(w) / np.log2(secrets.WINDOW) - 1e-12
+    raise AssertionError
+
+
+def test_entropy_spans_equal_brute_force(spark):
+    rnd = random.Random(23)
+    lower = "abcdefghijklmnopqrstuvwxyz"
+    kinds = ["0123456789", "0123456789abcdef", lower, lower.upper() + lower, secrets.ALPHABET, "aeinrst", "ab", "a-"]
+    texts = [" ".join("".join(rnd.choices(rnd.choice(kinds), k=rnd.randint(10, 45))) + rnd.choice(["", ".", " é"])
+                      for _ in range(8)) for _ in range(120)]
+    texts += ["internationalization-of-a-long-list-of-words", "INTERNATIONALIZATION", "Internationalization", "",
+              "qZbXkTvWnRpLmJhGfDsY", "wq-zxkvbn-prtlkj-hgfds", "=" * 50, None]
+    rows = {r.doc_id: r for r in secrets.secret_spans(texts_frame(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        base = [(s.start, s.end) for s in rows[i].base]
+        want = [(m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", t or "")
+                if brute_is_secret(m[0]) and not any(a <= m.start() and m.end() <= b for a, b in base)]
+        assert [(s.start, s.end) for s in rows[i].spans if s.kind == "entropy"] == want, t
+
+
+def test_random_letters_without_a_digit_are_found_and_words_are_not(spark):
+    rnd = random.Random(29)
+    keys = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", k=40)) for _ in range(50)]
+    words = ["characteristically", "well-known-snake_case-words", "counterrevolutionaries/misunderstandings", "UNCHARACTERISTICALLY"]
+    rows = {r.doc_id: r for r in secrets.secret_spans(texts_frame(spark, keys + words)).collect()}
+    assert sum(bool(rows[i].spans) for i in range(50)) >= 48
+    assert not any(rows[50 + i].spans for i in range(len(words)))
+
+
+def test_a_very_long_candidate_costs_in_proportion(spark):
+    import time
+
+    rnd = random.Random(31)
+    spent = []
+    for n in (20_000, 100_000):
+        frame = texts_frame(spark, ["xy" * (n // 2 - 20) + "".join(rnd.choices(secrets.ALPHABET, k=40))]).cache()
+        frame.count()
+        t = time.perf_counter()
+        spans = secrets.secret_spans(frame).first().spans
+        spent.append(time.perf_counter() - t)
+        assert [s.kind for s in spans] == ["entropy"]
+    assert spent[1] < 15 and spent[1] < 12 * spent[0]
 
 
 def test_overlapping_spans_are_replaced_together(spark):
