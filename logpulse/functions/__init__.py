@@ -20,4 +20,4 @@ from logpulse.functions.columns import (  # noqa: F401
     transition_text,
     window_status,
 )
-from logpulse.functions.text import html_to_text  # noqa: F401
+from logpulse.functions.text import html_to_text, repaired  # noqa: F401

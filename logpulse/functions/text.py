@@ -23,3 +23,9 @@ def html_to_text(html: str | Column) -> Column:
     t = F.regexp_replace(t, r"[ \t]+", " ")
     t = F.regexp_replace(t, r"\n{3,}", "\n\n")
     return F.regexp_replace(t, rf"\A[{SPACES}]+|[{SPACES}]+\z", "")
+
+
+def repaired(text: str | Column) -> Column:
+    """Text from bytes that may be damaged: every maximal part that is no UTF-8 becomes one
+    U+FFFD, as Python's ``errors='replace'`` does it."""
+    return F.make_valid_utf8(col_(text).cast("string"))

@@ -1,7 +1,9 @@
 from logpulse.operators.checks import status_check  # noqa: F401
-from logpulse.operators.enrich import enrich_entries, sort_entries  # noqa: F401
+from logpulse.operators.enrich import enrich_entries, number_entries, number_rows, sort_entries  # noqa: F401
 from logpulse.operators.hourly import hourly_breakdown, hourly_stacked  # noqa: F401
+from logpulse.operators.lookup import with_lookup  # noqa: F401
 from logpulse.operators.report import (  # noqa: F401
+    base_series,
     base_recommendations,
     flatten_report,
     health_report,

@@ -2,14 +2,15 @@
 
 Each check scores the whole input (overall health status and worst spike),
 compares it with the status saved by the previous check (HEALTHY when there
-is none) and returns an alert row only when it changed. The state is an
-append-only history table (one row per check, with an id of its own) in the
-shared folder: the previous status is the latest row not after ``as_of``,
-read as a scalar subquery, and the new row is appended by the same job, so
-nothing is overwritten while it is read. The answer is the row of this check
-alone, whatever later checks are in the history; a re-run with the same
-``as_of`` finds its first run and stays silent. Only a missing history counts
-as none: any other read failure is raised.
+is none) and returns an alert row only when it changed. The state is a history
+table, one row per check with an id of its own, kept by date: a check replaces its
+own date's few rows by a turn of its own, so a date is two small files however
+many checks it has, nothing is overwritten while it is read, and a check that fails
+leaves the history as it was. The previous status is the latest row not after
+``as_of``. The answer is the row of this check alone, whatever later checks are in the
+history; a re-run with the same ``as_of`` finds its first run and stays silent. Only
+a missing history counts as none: any other read failure is raised. One check at a
+time may write to a history.
 """
 
 from __future__ import annotations
@@ -17,13 +18,12 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logpulse.constants import HealthParams
-from logpulse.functions.columns import minute_text, percent_text, transition_text
+from logpulse.functions.columns import minute_text, percent_text, status_colour, status_emoji, transition_text
 from logpulse.operators.status import (
     alert_payload,
     health_status,
@@ -31,6 +31,7 @@ from logpulse.operators.status import (
     worst_spike,
 )
 from logpulse.operators.windows import spikes_from_rates
+from logpulse.sources.published import DatedTable
 
 HISTORY_SCHEMA = T.StructType([
     T.StructField("checked_at", T.TimestampNTZType()),
@@ -46,13 +47,8 @@ HISTORY_SCHEMA = T.StructType([
 ])
 
 
-def _history(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(HISTORY_SCHEMA).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], HISTORY_SCHEMA)
+def history(spark: SparkSession, path: str) -> DatedTable:
+    return DatedTable(spark, path, T.StructType([*HISTORY_SCHEMA.fields, T.StructField("date", T.DateType())]))
 
 
 def status_check(entries: DataFrame, history_path: str, params: HealthParams = HealthParams(),
@@ -73,23 +69,26 @@ def status_check(entries: DataFrame, history_path: str, params: HealthParams = H
                 .alias("top_error")))
     status = health_status(spikes, params).select("status", "spike_count")
     worst = worst_spike(spikes).select("window_start", "total_entries", "error_count", "error_rate")
-    checked_at = (F.lit(str(as_of)).cast("timestamp_ntz") if as_of is not None
-                  else F.localtimestamp())
-    prev = (_history(spark, history_path).where(F.col("checked_at") <= checked_at)
+    at = F.lit(str(as_of)).cast("timestamp_ntz") if as_of is not None else F.localtimestamp()
+    at = spark.range(1).select(at).first()[0]
+    checked_at = F.lit(at).cast("timestamp_ntz")
+    table = history(spark, history_path)
+    prev = (table.read().where((F.col("date") <= F.lit(at.date())) & (F.col("checked_at") <= checked_at))
             .orderBy(F.col("checked_at").desc(), F.col("check_id").desc()).limit(1).select("status"))
-    check_id = uuid.uuid4().hex
     w = worst.select(F.struct(*worst.columns).alias("w")).scalar()  # NULL without spikes
     row = status.select(checked_at.alias("checked_at"),
                         F.coalesce(prev.scalar(), F.lit(initial)).alias("prev_status"),
                         "status", "spike_count",
                         *[w[c].alias(c) for c in worst.columns],
-                        F.lit(check_id).alias("check_id"), top.scalar().alias("top_error"))
-    row.write.mode("append").parquet(history_path)
-    own = (spark.read.schema(HISTORY_SCHEMA).parquet(history_path)
-           .where(F.col("check_id") == check_id).drop("check_id"))
+                        F.lit(uuid.uuid4().hex).alias("check_id"), top.scalar().alias("top_error"))
+    check = spark.createDataFrame([row.first()], HISTORY_SCHEMA)  # the one row of this check
+    today = table.read(dates=[at.date()])
+    table.replace(today.unionByName(check.withColumn("date", F.lit(at.date()))).coalesce(1), table.next_version(at.date()), [at.date()])
+    own = check.drop("check_id")
     alert = own.where(F.col("prev_status") != F.col("status")).withColumns({
         "transition": transition_text("prev_status", "status"),
         "worst_window": minute_text("window_start"),
         "worst_rate_text": percent_text("error_rate"),
     })
-    return alert.withColumn("payload", alert_payload(params, minute_text("checked_at")))
+    alert = alert.withColumns({"colour": status_colour("status"), "emoji": status_emoji("status")})
+    return alert.withColumn("payload", alert_payload(params, minute_text("checked_at"))).drop("colour", "emoji")

@@ -22,6 +22,11 @@ def hourly_breakdown(entries: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
               .where(F.col("timestamp").isNotNull() & F.col("level").isNotNull())
               .groupBy(*keys, F.hour("timestamp").alias("hour"))
               .agg(*level_counts()))
+    return hours_wide(counts, keys)
+
+
+def hours_wide(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, hour, DEBUG..CRITICAL, total) from counts ``n_<LEVEL>`` by hour."""
     renamed = [F.col(f"n_{lv}").alias(lv) for lv in LEVELS]
     total = sum((F.col(f"n_{lv}") for lv in LEVELS[1:]), F.col(f"n_{LEVELS[0]}"))
     return counts.select(*keys, "hour", *renamed, total.alias("total"))
@@ -35,7 +40,11 @@ def hourly_stacked(entries: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     The running sum spans five known columns of one row, so it is computed
     as column arithmetic before unpivoting: no window, no extra shuffle.
     """
-    wide = hourly_breakdown(entries, keys)
+    return stack_hours(hourly_breakdown(entries, keys), keys)
+
+
+def stack_hours(wide: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """:func:`hourly_stacked` from the breakdown."""
     parts, running = [], F.lit(0).cast("bigint")
     for i, lv in enumerate(LEVELS, 1):
         parts.append(F.struct(F.lit(lv).alias("level"), F.lit(i).alias("level_order"),

@@ -1,9 +1,10 @@
 """Health report from a single scan: a one-row header and a table of spikes.
 
-Plan: one base aggregate over the entries on (window, error prefix) - one scan,
+Plan: one base aggregate over the entries on (window, hour, error prefix) - one scan,
 one shuffle of partial aggregates - written to the shared folder. Its rows are
 windows x prefixes, small beside the entries, and every part of the report is
-rolled up from them: counts and time range, window rates and spikes, top errors.
+rolled up from them: counts and time range, window rates and spikes, top errors, and
+the chart series (hours, timeline, shares).
 No join, no cross join.
 
 The header holds bounded lists only: at most ``top_errors_n`` top errors and
@@ -29,9 +30,11 @@ from logpulse.functions.columns import (
     safe_ratio,
     second_text,
 )
+from logpulse.operators.hourly import hours_wide, stack_hours
+from logpulse.operators.severity import share_from_counts
 from logpulse.operators.status import spike_recommendations, status_from_spike_counts, status_reason
 from logpulse.operators.top_errors import _rank_top
-from logpulse.operators.windows import level_counts, rates_from_cube, spikes_from_rates
+from logpulse.operators.windows import level_counts, rates_from_cube, spikes_from_rates, timeline_from_rates
 from logpulse.session import shared_dir
 
 _TOP = "struct<message_prefix:string,count:bigint,pct_of_errors:double>"
@@ -40,14 +43,16 @@ _TOP = "struct<message_prefix:string,count:bigint,pct_of_errors:double>"
 def report_aggregate(entries: DataFrame, params: HealthParams = HealthParams(),
                      path: str | None = None) -> DataFrame:
     """The base aggregate, written to ``path`` (default: a new folder below the
-    session's shared folder) and read back: (window_start, prefix, n_all,
+    session's shared folder) and read back: (window_start, hour, prefix, n_all, n_levelled,
     n_<LEVEL>..., first_ts, last_ts). Rows without an error prefix share the
-    NULL prefix, rows without a timestamp the NULL window."""
+    NULL prefix, rows without a timestamp the NULL window and hour. The report and all
+    chart series are rolled up from it."""
     path = path or shared_dir(entries.sparkSession, "reports", "base")
     prefix = F.when(is_error("level"), message_prefix("message", params.prefix_length))
     base = (entries
-            .groupBy(floor_time("timestamp", params.window).alias("window_start"), prefix.alias("prefix"))
-            .agg(F.count(F.lit(1)).alias("n_all"), *level_counts(),
+            .groupBy(floor_time("timestamp", params.window).alias("window_start"), F.hour("timestamp").alias("hour"),
+                     prefix.alias("prefix"))
+            .agg(F.count(F.lit(1)).alias("n_all"), F.count("level").alias("n_levelled"), *level_counts(),
                  F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts")))
     base.write.mode("overwrite").parquet(path)
     return entries.sparkSession.read.schema(base.schema).parquet(path)
@@ -57,10 +62,25 @@ def _sums() -> list[Column]:
     return [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_all", *[f"n_{lv}" for lv in LEVELS])]
 
 
+def _base_rates(base: DataFrame, params: HealthParams) -> DataFrame:
+    cube = base.where(F.col("window_start").isNotNull()).groupBy("window_start").agg(*_sums())
+    return rates_from_cube(cube, params.window)
+
+
 def base_spikes(base: DataFrame, params: HealthParams = HealthParams()) -> DataFrame:
     """Spike windows (as ``detect_spikes``) from the base aggregate."""
-    cube = base.where(F.col("window_start").isNotNull()).groupBy("window_start").agg(*_sums())
-    return spikes_from_rates(rates_from_cube(cube, params.window), params)
+    return spikes_from_rates(_base_rates(base, params), params)
+
+
+def base_series(base: DataFrame, params: HealthParams = HealthParams()) -> dict[str, DataFrame]:
+    """The tables behind the charts from the base aggregate: ``hourly``, ``hourly_stacked``, ``timeline``
+    and ``severity_share``, as the operators of these names give them."""
+    hours = (base.where(F.col("hour").isNotNull()).groupBy("hour").agg(*_sums(), F.sum("n_levelled").alias("n_levelled"))
+             .where(F.col("n_levelled") > 0))
+    hourly = hours_wide(hours)
+    totals = base.agg(*_sums()).select(*[F.col(f"n_{lv}").alias(lv) for lv in LEVELS], F.col("n_all").alias("total"))
+    return {"hourly": hourly, "hourly_stacked": stack_hours(hourly),
+            "timeline": timeline_from_rates(_base_rates(base, params), params), "severity_share": share_from_counts(totals)}
 
 
 def base_top_errors(base: DataFrame, params: HealthParams = HealthParams()) -> DataFrame:

@@ -41,6 +41,7 @@ from logpulse.functions.columns import (
     transition_text,
 )
 from logpulse.operators.keys import join_on_keys
+from logpulse.operators.lookup import with_lookup
 from logpulse.operators.windows import status_from_rates
 
 
@@ -257,7 +258,8 @@ def _mrkdwn(text: Column) -> Column:
 def alert_payload(params: HealthParams, sent_at: Column) -> Column:
     """Chat payload (JSON text) for one transition row: coloured attachment,
     header, transition text, worst-window fields when not HEALTHY, top error
-    when a ``top_error`` column is non-null, and a time context line."""
+    when a ``top_error`` column is non-null, and a time context line. The row has its ``colour``
+    and ``emoji``."""
     thr = _pct(params.error_rate_threshold)
     not_ok = F.col("status") != "HEALTHY"
     spike_fields = F.array(
@@ -283,7 +285,7 @@ def alert_payload(params: HealthParams, sent_at: Column) -> Column:
 
     header = block("header", F.struct(
         F.lit("plain_text").alias("type"),
-        F.concat(status_emoji("status"), F.lit(" "), F.col("status"), F.lit(f" — {params.alert_title}")).alias("text"),
+        F.concat(F.col("emoji"), F.lit(" "), F.col("status"), F.lit(f" — {params.alert_title}")).alias("text"),
         F.lit(True).alias("emoji")))
     section = block("section", F.struct(F.lit("mrkdwn").alias("type"), F.col("transition").alias("text"),
                                         F.lit(None).cast("boolean").alias("emoji")))
@@ -294,17 +296,20 @@ def alert_payload(params: HealthParams, sent_at: Column) -> Column:
                       F.when(F.size(fields) > 0, F.array(field_block))
                       .otherwise(F.array().cast(f"array<{block_t}>")),
                       F.array(context))
-    payload = F.struct(F.array(F.struct(status_colour("status").alias("color"),
+    payload = F.struct(F.array(F.struct(F.col("colour").alias("color"),
                                         blocks.alias("blocks"))).alias("attachments"))
     return F.to_json(payload)
 
 
 def alert_events(transitions: DataFrame, params: HealthParams = HealthParams(),
-                 keys: Sequence[str] = (), top_errors_by_window: DataFrame | None = None) -> DataFrame:
+                 keys: Sequence[str] = (), top_errors_by_window: DataFrame | None = None,
+                 texts: DataFrame | None = None, looks: DataFrame | None = None) -> DataFrame:
     """One alert per status change: transition text (with the ``PREV → NEW``
     default), colour, emoji and the JSON payload.
 
-    Lookups are literal maps evaluated per row (no join). The optional
+    Lookups are literal maps evaluated per row, or the user's own tables: ``texts``
+    (prev_status, status, text) and ``looks`` (status, colour, emoji), joined with
+    the built-in default for what they lack. The optional
     ``top_errors_by_window`` (keys, window_start, top_error) adds the top
     error field; both sides are window-level aggregates.
     """
@@ -313,6 +318,11 @@ def alert_events(transitions: DataFrame, params: HealthParams = HealthParams(),
         "colour": status_colour("status"),
         "emoji": status_emoji("status"),
     })
+    if texts is not None:
+        df = with_lookup(df, texts, ["prev_status", "status"], "text", "transition",
+                         F.concat("prev_status", F.lit(" → "), "status"))
+    for name in ("colour", "emoji") if looks is not None else ():
+        df = with_lookup(df, looks, ["status"], name, name, F.col(name))
     if top_errors_by_window is not None:
         # null-safe: a NULL key is a group like any other, and no inferred
         # isnotnull filter is pushed into one side only
@@ -355,7 +365,11 @@ def window_prefix_counts(entries: DataFrame, p: HealthParams, keys: Sequence[str
 def window_rates_with_top(entries: DataFrame, p: HealthParams, keys: Sequence[str] = ()) -> DataFrame:
     """Window rates with each window's top error (count desc, prefix asc; NULL
     without errors): one row per (keys, window)."""
-    base = window_prefix_counts(entries.where(F.col("timestamp").isNotNull()), p, keys)
+    return rates_from_prefix_counts(window_prefix_counts(entries.where(F.col("timestamp").isNotNull()), p, keys), p, keys)
+
+
+def rates_from_prefix_counts(base: DataFrame, p: HealthParams, keys: Sequence[str] = ()) -> DataFrame:
+    """:func:`window_rates_with_top` from counts by (keys, window, prefix)."""
     order = F.when(F.col("p").isNotNull(), F.struct((-F.col("n")).alias("nn"), F.col("p")))
     return (base.groupBy(*keys, "window_start")
             .agg(F.sum("n").alias("total_entries"), F.sum("e").alias("error_count"),
@@ -366,16 +380,18 @@ def window_rates_with_top(entries: DataFrame, p: HealthParams, keys: Sequence[st
 
 
 def window_alerts(entries: DataFrame, params: HealthParams = HealthParams(),
-                  keys: Sequence[str] = (), initial: str = "HEALTHY") -> DataFrame:
+                  keys: Sequence[str] = (), initial: str = "HEALTHY", texts: DataFrame | None = None,
+                  looks: DataFrame | None = None) -> DataFrame:
     """Status-change alerts with each window's top error, from one scan and one
     base aggregate: the top error rides along with the window's rates, so no
     second roll-up and no join is needed for it."""
     rates = window_rates_with_top(entries, params, keys)
-    return alerts_from_rates(rates, params, keys, initial)
+    return alerts_from_rates(rates, params, keys, initial, texts, looks)
 
 
 def alerts_from_rates(rates: DataFrame, params: HealthParams = HealthParams(),
-                      keys: Sequence[str] = (), initial: str = "HEALTHY") -> DataFrame:
+                      keys: Sequence[str] = (), initial: str = "HEALTHY", texts: DataFrame | None = None,
+                      looks: DataFrame | None = None) -> DataFrame:
     """Status-change alerts from window rows that carry their ``top_error``."""
     changed = status_transitions(status_from_rates(rates, params), keys, initial)
-    return alert_events(changed, params, keys)
+    return alert_events(changed, params, keys, texts=texts, looks=looks)

@@ -89,7 +89,11 @@ def error_timeline(entries: DataFrame, params: HealthParams = HealthParams(),
                    keys: Sequence[str] = ()) -> DataFrame:
     """Windows with at least ``min_window_entries`` rows; ``above_threshold`` uses
     ``>=`` (the chart colouring rule, unlike the strict spike test)."""
-    return (window_error_rate(entries, params.window, keys)
+    return timeline_from_rates(window_error_rate(entries, params.window, keys), params)
+
+
+def timeline_from_rates(rates: DataFrame, params: HealthParams) -> DataFrame:
+    return (rates
             .where(F.col("total_entries") >= params.min_window_entries)
             .withColumn("above_threshold",
                         F.col("error_rate") >= F.lit(params.error_rate_threshold)))

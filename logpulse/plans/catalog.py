@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logpulse.constants import HealthParams
-from logpulse.functions.columns import normalise_level
+from logpulse.functions.columns import floor_time, normalise_level
 from logpulse.operators import (
     base_recommendations,
     detect_spikes,
@@ -29,6 +29,7 @@ from logpulse.operators import (
     hourly_breakdown,
     hourly_stacked,
     incidents,
+    number_rows,
     pages_to_text,
     report_aggregate,
     report_header,
@@ -53,6 +54,7 @@ from logpulse.sources import (
     hadoop_lines_from_events,
     parse_app_lines,
     parse_hadoop_lines,
+    read_log_lines,
     read_report,
     read_report_spikes,
     read_table,
@@ -61,9 +63,10 @@ from logpulse.sources import (
     union_sources,
     write_report,
 )
+from logpulse.sources.growing import LineLedger, log_lines
 from logpulse.sources.logs import tag_hadoop_lines
 from logpulse.session import shared_dir
-from logpulse.streaming import finished, land_entries, landed_entries, watch_entries
+from logpulse.streaming import AlertState, finished, land_entries, landed_entries, watch_entries, watcher_state
 
 HOURLY = HealthParams(window="1 hour")
 KEYED = HealthParams(window="1 day", error_rate_threshold=0.20, critical_rate=0.25)
@@ -286,9 +289,60 @@ def q_stream_window_rates(spark, sf):
 
 def q_stream_status_alerts(spark, sf):
     stream = entries_from_events(_event_stream(spark, sf), N_SERVICES)
-    query, out, _ = watch_entries(stream, KEYED, SVC, interval=None)
+    query, out, checkpoint = watch_entries(stream, KEYED, SVC, interval=None)
     finished(query)
-    return spark.read.parquet(out).drop("batch")
+    return watcher_state(spark, out, checkpoint, stream, KEYED, SVC).alerts()
+
+
+def q_read_log_files(spark, sf):
+    """Lines as text files, a fifth of them with bytes that are no UTF-8, read and parsed."""
+    folder = shared_dir(spark, "logs", "files")
+    damaged = F.concat("line", F.unhex(F.lit("FFC3")).cast("string"))
+    lines = _hadoop_lines(spark, sf).select(F.when(F.col("event_id") % 5 == 0, damaged).otherwise(F.col("line")).alias("value"))
+    lines.write.text(folder)
+    entries = parse_hadoop_lines(read_log_lines(spark, folder, "*.txt"))
+    return entries.drop("file_path")
+
+
+def q_poll_log_files(spark, sf):
+    """Two polls of a folder of log files, the second after half of the lines were added."""
+    folder, lines = shared_dir(spark, "logs", "polled"), _hadoop_lines(spark, sf)
+    ledger, taken = LineLedger(spark, shared_dir(spark, "logs", "ledger")), []
+    for half in (0, 1):
+        lines.where(F.col("event_id") % 2 == half).select(F.col("line").alias("value")).write.text(f"{folder}/half{half}")
+        taken.append(ledger.poll(folder, "*.txt")[1])
+        ledger.commit()
+    entries = parse_hadoop_lines(log_lines(taken[0].unionByName(taken[1])))
+    return window_error_rate(entries, HOURLY.window)
+
+
+def q_late_rows_by_window(spark, sf):
+    """Four batches, the days before the 9th two batches late and some rows of every day last: the windows
+    after all of them, and how many rows of each came more than 36 hours behind."""
+    entries = _entries(spark, sf)
+    day = F.dayofmonth("timestamp")
+    batch = (F.when(F.col("event_id") % 50 == 0, 3).when(day <= 8, 2).when(day <= 16, 0).when(day <= 24, 1).otherwise(3))
+    state = AlertState(spark, shared_dir(spark, "streams", "late-state"), shared_dir(spark, "streams", "late-log"),
+                       entries.schema, HOURLY, lateness="36 hours")
+    for number in range(4):
+        state.apply(entries.where(batch == number), number)
+    late = (state.late_rows().groupBy(floor_time("timestamp", HOURLY.window).alias("window_start"))
+            .agg(F.count(F.lit(1)).alias("late_rows")))
+    rates = state.window_rates().select("window_start", "total_entries", "error_count")
+    return rates.join(late, "window_start", "left").withColumn("late_rows", F.coalesce("late_rows", F.lit(0).cast("long")))
+
+
+def q_numbered_entries(spark, sf):
+    return number_rows(_entries(spark, sf), "timestamp", "event_id").select("event_id", "row_no")
+
+
+def q_alert_events_own_texts(spark, sf):
+    """Texts and looks from tables of the user's own; the way back to HEALTHY has no text, WARNING no look."""
+    texts = spark.createDataFrame([("HEALTHY", "CRITICAL", "page the owner"), ("CRITICAL", "WARNING", "keep watching"),
+                                   ("HEALTHY", "WARNING", None)], "prev_status string, status string, text string")
+    looks = spark.createDataFrame([("CRITICAL", "#111111", ":fire:"), ("HEALTHY", "#222222", ":ok:")],
+                                  "status string, colour string, emoji string")
+    return window_alerts(_entries(spark, sf), HOURLY, texts=texts, looks=looks)
 
 
 QUERIES: dict[str, Query] = {
@@ -332,4 +386,9 @@ QUERIES: dict[str, Query] = {
     "html_to_text": q_html_to_text,
     "stream_window_rates": q_stream_window_rates,
     "stream_status_alerts": q_stream_status_alerts,
+    "read_log_files": q_read_log_files,
+    "poll_log_files": q_poll_log_files,
+    "late_rows_by_window": q_late_rows_by_window,
+    "numbered_entries": q_numbered_entries,
+    "alert_events_own_texts": q_alert_events_own_texts,
 }

@@ -154,10 +154,16 @@ def _case(col: str, mapping: dict, default: str = "NULL") -> str:
     return f"CASE {col} {whens} ELSE {default} END"
 
 
+#: The texts and looks of the query's own tables; what they lack has the default.
+OWN_TEXT = {"HEALTHY|CRITICAL": "page the owner", "CRITICAL|WARNING": "keep watching"}
+OWN_COLOUR = STATUS_COLOUR | {"CRITICAL": "#111111", "HEALTHY": "#222222"}
+OWN_EMOJI = STATUS_EMOJI | {"CRITICAL": ":fire:", "HEALTHY": ":ok:"}
+
 TRANSITION_CASE = _case("prev_status || '|' || status", TRANSITION_TEXT, "prev_status || ' → ' || status")
 
 
-def _payload(threshold_pct: int, sent_at: str) -> str:
+def _payload(threshold_pct: int, sent_at: str, change: str = TRANSITION_CASE, colour: dict = STATUS_COLOUR,
+             emoji: dict = STATUS_EMOJI) -> str:
     """The chat payload as JSON text, from columns status, colour, emoji,
     transition, window_start, error_rate, error_count, total_entries, top_error."""
     def text(expr: str) -> str:
@@ -171,16 +177,18 @@ def _payload(threshold_pct: int, sent_at: str) -> str:
     top = text("'*Top error:*' || chr(10) || '`' || top_error || '`'")
     fields = (f"concat_ws(',', CASE WHEN status <> 'HEALTHY' THEN {' || chr(44) || '.join(worst)} END, "
               f"CASE WHEN top_error IS NOT NULL THEN {top} END)")
-    return (f"""'{{"attachments":[{{"color":"' || {_case('status', STATUS_COLOUR)} || '","blocks":["""
-            f"""{{"type":"header","text":{{"type":"plain_text","text":"' || {_case('status', STATUS_EMOJI)} """
+    return (f"""'{{"attachments":[{{"color":"' || {_case('status', colour)} || '","blocks":["""
+            f"""{{"type":"header","text":{{"type":"plain_text","text":"' || {_case('status', emoji)} """
             f"""|| ' ' || status || ' — logpulse","emoji":true}}}},{{"type":"section","text":' """
-            f"""|| {text(TRANSITION_CASE)} || '}},' """
+            f"""|| {text(change)} || '}},' """
             f"""|| CASE WHEN status <> 'HEALTHY' OR top_error IS NOT NULL """
             f"""THEN '{{"type":"section","fields":[' || {fields} || ']}},' ELSE '' END """
             f"""|| '{{"type":"context","elements":[' || {text(sent_at)} || ']}}]}}]}}'""")
 
 
-def _alerts(unit: str, keyed: bool, thr: float, crit: float, pct: int) -> str:
+def _alerts(unit: str, keyed: bool, thr: float, crit: float, pct: int, texts: dict = TRANSITION_TEXT,
+            colour: dict = STATUS_COLOUR, emoji: dict = STATUS_EMOJI) -> str:
+    change = _case("prev_status || '|' || status", texts, "prev_status || ' → ' || status")
     k = "svc, " if keyed else ""
     part = "svc, " if keyed else ""
     return f"""WITH {ENTRIES}, {_rates(unit, keyed)}, {_status(thr, crit, 10)}, {_transitions(keyed)},
@@ -193,11 +201,11 @@ te AS (
               WHERE {ERR} AND "timestamp" IS NOT NULL AND message IS NOT NULL
               GROUP BY ALL))
   WHERE rn = 1)
-SELECT t.*, {TRANSITION_CASE} AS transition,
-       {_case('status', STATUS_COLOUR)} AS colour,
-       {_case('status', STATUS_EMOJI)} AS emoji,
+SELECT t.*, {change} AS transition,
+       {_case('status', colour)} AS colour,
+       {_case('status', emoji)} AS emoji,
        te.top_error,
-       {_payload(pct, "strftime(window_start, '%Y-%m-%d %H:%M')")} AS payload
+       {_payload(pct, "strftime(window_start, '%Y-%m-%d %H:%M')", change, colour, emoji)} AS payload
 FROM transitions t LEFT JOIN te USING ({k}window_start)"""
 
 
@@ -440,4 +448,19 @@ FROM spikes""",
     "html_to_text": f"SELECT page_id, {HTML_TEXT} AS text FROM pages",
     "stream_window_rates": f"WITH {ENTRIES}, {H1} SELECT * FROM rates",
     "stream_status_alerts": _alerts("day", True, 0.20, 0.25, 20),
+    "read_log_files": f"""WITH {HLINES}, {HPARSED}, {HADOOP_OK}
+SELECT "timestamp", level, logger,
+       CASE WHEN event_id % 5 = 0 THEN message || chr(65533) || chr(65533) ELSE message END AS message FROM hok""",
+    "poll_log_files": f"""WITH {HLINES}, {HPARSED}, {HADOOP_OK}, entries AS (SELECT * FROM hok), {H1} SELECT * FROM rates""",
+    "late_rows_by_window": f"""WITH {ENTRIES}, {H1},
+b AS (SELECT *, CASE WHEN event_id % 50 = 0 THEN 3 WHEN day("timestamp") <= 8 THEN 2 WHEN day("timestamp") <= 16 THEN 0
+                     WHEN day("timestamp") <= 24 THEN 1 ELSE 3 END AS batch FROM entries),
+ends AS (SELECT n AS batch, (SELECT max("timestamp") FROM b WHERE b.batch < n) AS latest FROM range(4) AS r(n)),
+late AS (SELECT date_trunc('hour', "timestamp") AS window_start, count(*) AS late_rows
+         FROM b JOIN ends USING (batch) WHERE "timestamp" < latest - INTERVAL 36 HOUR GROUP BY 1)
+SELECT window_start, total_entries, error_count, coalesce(late_rows, 0) AS late_rows
+FROM rates LEFT JOIN late USING (window_start)""",
+    "numbered_entries": f"""WITH {ENTRIES}
+SELECT event_id, row_number() OVER (ORDER BY "timestamp", event_id) AS row_no FROM entries""",
+    "alert_events_own_texts": _alerts("hour", False, 0.05, 0.10, 5, OWN_TEXT, OWN_COLOUR, OWN_EMOJI),
 }

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from logpulse.constants import APP_LINE_PATTERN, HADOOP_LINE_PATTERN
 from logpulse.functions.columns import col_, duration_micros, normalise_level
+from logpulse.functions.text import repaired
 
 JAVA_FLAGS = "(?dU)"
 
@@ -30,7 +31,7 @@ def read_log_lines(spark: SparkSession, path: str, glob: str = "*.log",
     """All lines of the matching files under ``path``: (file_path, value).
 
     Files are read by Spark's text source; ``\\r``, ``\\n`` and ``\\r\\n`` all end
-    a line. Like any Spark file source, hidden and ``_``-prefixed files are
+    a line, and bytes that are no UTF-8 become U+FFFD. Like any Spark file source, hidden and ``_``-prefixed files are
     skipped. ``with_position`` adds (file_block_start, line_seq): lines of one
     file block are read in order, so (file_path, file_block_start, line_seq)
     orders lines as in the file.
@@ -43,7 +44,7 @@ def read_log_lines(spark: SparkSession, path: str, glob: str = "*.log",
     if with_position:
         cols += [F.col("_metadata.file_block_start").alias("file_block_start"),
                  F.monotonically_increasing_id().alias("line_seq")]
-    return df.select(*cols, "value")
+    return df.select(*cols, repaired("value").alias("value"))
 
 
 _ORDER = ("timestamp", "level", "logger", "message")
@@ -145,11 +146,14 @@ def parse_app_lines(lines: DataFrame, line_col: str = "value", keep_raw: bool =
 
 
 def recent(entries: DataFrame, hours: int, as_of: datetime | str) -> DataFrame:
+    """Entries not before ``as_of - hours``; with a ``date`` column (landed entries) by folder too."""
     if as_of is None:
         raise ValueError("as_of is required with hours (results must be repeatable)")
     cutoff = F.timestamp_add("MICROSECOND", F.lit(-duration_micros(f"{hours} hours")),
                              F.lit(str(as_of)).cast("timestamp_ntz"))
-    return entries.where(F.col("timestamp") >= cutoff)
+    kept = entries.where(F.col("timestamp") >= cutoff)
+    # landed entries lie in folders by date: the folders before the cutoff's date are not read
+    return kept.where(F.col("date") >= F.to_date(cutoff)) if "date" in entries.columns else kept
 
 
 def parse_rejects(lines: DataFrame, line_col: str = "value", fmt: str = "hadoop") -> DataFrame:
@@ -194,4 +198,4 @@ def stream_log_lines(spark: SparkSession, path: str, glob: str = "*.log",
               .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path).select(F.col("_metadata.file_path").alias("file_path"), "value")
+    return reader.load(path).select(F.col("_metadata.file_path").alias("file_path"), repaired("value").alias("value"))

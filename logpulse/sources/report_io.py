@@ -1,7 +1,7 @@
 """Report JSON sink and source with explicit schemas (no inference).
 
-The header is one row in one file; the spikes are rows beside it, in
-``<path>_spikes``, written by as many tasks as they need.
+The header is one row in one file; the spikes are rows beside it, written by as many
+tasks as they need. Both are published together (:mod:`logpulse.sources.published`).
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logpulse.constants import LEVELS
+from logpulse.sources.published import publish, read_published
 
 _TOP = T.StructType([
     T.StructField("message_prefix", T.StringType()),
@@ -44,25 +45,22 @@ HEALTH_REPORT_SCHEMA = T.StructType([
 ])
 
 
-def _spike_path(path: str) -> str:
-    return f"{path.rstrip('/')}_spikes"
-
-
-def write_report(report: DataFrame, path: str, spikes: DataFrame | None = None) -> None:
-    """Overwrite ``path`` with the one-row report as JSON (one part file) and,
-    if given, ``<path>_spikes`` with its spikes (JSON lines)."""
-    report.coalesce(1).write.mode("overwrite").json(path)
-    if spikes is not None:
-        spikes.write.mode("overwrite").json(_spike_path(path))
+def write_report(report: DataFrame, path: str, spikes: DataFrame | None = None) -> int:
+    """Publish the one-row report (JSON) with its spikes (JSON lines; none if not given) at ``path`` and
+    return the publication's number. A reader sees one report or the next, header and spikes together; a
+    failure on the way leaves the earlier report readable."""
+    spark = report.sparkSession
+    spikes = spikes if spikes is not None else spark.createDataFrame([], REPORT_SPIKE_SCHEMA)
+    return publish(spark, path, {"header": report.coalesce(1), "spikes": spikes}, "json")
 
 
 def read_report_spikes(spark: SparkSession, path: str) -> DataFrame:
     """The spikes stored with the report at ``path``, one row each."""
-    return spark.read.schema(REPORT_SPIKE_SCHEMA).json(_spike_path(path))
+    return read_published(spark, path, "spikes", REPORT_SPIKE_SCHEMA, "json")
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(HEALTH_REPORT_SCHEMA).json(path)
+    return read_published(spark, path, "header", HEALTH_REPORT_SCHEMA, "json")
 
 
 def report_section(report: DataFrame, section: str) -> DataFrame:

@@ -3,16 +3,11 @@
 * :func:`land_entries` - a stateless append stream: parsed entries go to
   Parquet partitioned by batch and date, with the level stored, so later
   analyses prune dates and push level filters. No state, so files may come in
-  any order and any late.
-* :func:`watch_entries` - the alert state machine over them. Per micro-batch
-  the batch is landed, the windows on the dates it touches are computed again
-  from the landed entries, with the batch operator, and replace those dates of
-  the window table; status changes are then read off the window table, and
-  those not yet in the alerts table are appended. A late row so corrects its
-  window, and an alert fires once: the alerts table is the memory.
-
-Memory is that of the batch operators, whatever the backlog: no key, and no
-unkeyed stream, is held by one task, and nothing is collected.
+  any order and any late. :func:`compact_landed` rewrites the many small files of
+  past batches as one folder per date.
+* :func:`watch_entries` - the alert state machine over any stream of entries
+  (:mod:`logpulse.streaming.alert_state`): a batch costs what its own dates hold, a late
+  row corrects its window, and alerts that do not hold any more are withdrawn.
 
 Every write of a micro-batch has a path of its own, named after the checkpoint
 folder and the batch number, or replaces whole dates, so a batch run again
@@ -25,28 +20,15 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logpulse.constants import HealthParams
-from logpulse.functions.columns import duration_micros, floor_time
-from logpulse.operators.status import alerts_from_rates, window_rates_with_top
 from logpulse.session import shared_dir
 from logpulse.sources.logs import ENTRY_COLUMNS
-
-_DAY_MICROS = 86_400_000_000
-
-
-def read_folder(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The rows below ``path``; none if there is no such folder yet. Any other failure is raised."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+from logpulse.sources.published import publish, read_folder, read_published
+from logpulse.streaming.alert_state import AlertState
 
 
 def _batch_name(checkpoint: str, batch_id: int) -> str:
@@ -90,58 +72,49 @@ def landed_entries(spark: SparkSession, landed: str, like: DataFrame, keys: Sequ
     return read_folder(spark, landed, _entry_schema(like, keys))
 
 
-def _touched_windows(landed: DataFrame, batch: str, p: HealthParams, keys: Sequence[str]) -> DataFrame:
-    """Window rows of every date on which a row of ``batch`` has its window,
-    from all landed entries; dates no window of those can reach are pruned."""
-    own = F.to_date(floor_time("timestamp", p.window))
-    days = -(-duration_micros(p.window) // _DAY_MICROS)  # a window starting on a date reaches so many days on
-    touched = (landed.where(F.col("batch") == batch).where(F.col("timestamp").isNotNull())
-               .select(own.alias("touched")).distinct())
-    reach = touched.select(F.explode(F.sequence("touched", F.date_add("touched", days))).alias("date")).distinct()
-    entries = (landed.join(reach, "date", "left_semi").withColumn("touched", own)
-               .join(touched, "touched", "left_semi"))
-    return window_rates_with_top(entries, p, keys).withColumn("date", F.to_date("window_start"))
+def compact_landed(spark: SparkSession, landed: str, like: DataFrame, keys: Sequence[str] = (),
+                   files_per_date: int = 1) -> int:
+    """Publish the landed rows as one folder per date (``<landed>-dates``), a few files each, and return the
+    publication's number; read them with :func:`compacted_entries`. The landed batches stay as they are."""
+    rows = landed_entries(spark, landed, like, keys)
+    spread = F.pmod(F.xxhash64("batch", "message"), F.lit(files_per_date))
+    return publish(spark, f"{landed.rstrip('/')}-dates", {"entries": (
+        lambda path: rows.repartition("date", spread).write.mode("overwrite").partitionBy("date").parquet(path))})
+
+
+def compacted_entries(spark: SparkSession, landed: str, like: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The rows of the last :func:`compact_landed`, pruned by ``date``."""
+    return read_published(spark, f"{landed.rstrip('/')}-dates", "entries", _entry_schema(like, keys))
 
 
 def watch_entries(entries: DataFrame, params: HealthParams = HealthParams(), keys: Sequence[str] = (),
                   interval: str | None = "300 seconds", output: str | None = None,
-                  checkpoint: str | None = None, initial: str = "HEALTHY"):
+                  checkpoint: str | None = None, initial: str = "HEALTHY", lateness: str | None = None):
     """Start the alert watcher over streaming ``entries``. Returns (query,
-    alerts folder, checkpoint folder).
-
-    The landed entries and the window table lie beside the checkpoint
-    (``<checkpoint>-entries``, ``<checkpoint>-windows``) and belong to it. Each
-    batch scores every populated window so far, the open one too, as the batch
-    operators do; an alert that a late row makes void stays in the alerts
-    table, followed by the alert of the corrected window.
-    """
+    alert log folder, checkpoint folder); :func:`watcher_state` reads what holds.
+
+    The state lies beside the checkpoint (``<checkpoint>-state``); it and the log
+    belong to the checkpoint. Each batch scores every populated window of the dates it
+    touches, the open one too, as the batch operators do."""
     spark = entries.sparkSession
     checkpoint = (checkpoint or shared_dir(spark, "streams", "watch-ckpt")).rstrip("/")
     output = output or shared_dir(spark, "streams", "alerts")
-    landed, windows = f"{checkpoint}-entries", f"{checkpoint}-windows"
-    schema = _entry_schema(entries, keys)
-    empty = spark.createDataFrame([], schema)
-    window_schema = _touched_windows(empty, "", params, keys).schema
-    alert_schema = T.StructType(alerts_from_rates(_touched_windows(empty, "", params, keys).drop("date"),
-                                                  params, keys, initial).schema.fields
-                                + [T.StructField("batch", T.StringType())])
-    same = [*keys, "window_start", "prev_status", "status"]
+    schema = entries.select(*keys, *ENTRY_COLUMNS).schema
 
     def each_batch(batch_df: DataFrame, batch_id: int) -> None:
-        batch, session = _batch_name(checkpoint, batch_id), batch_df.sparkSession
-        _land(batch_df, landed, batch, keys)
-        all_rows = read_folder(session, landed, schema)
-        (_touched_windows(all_rows, batch, params, keys)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(windows))
-        scored = alerts_from_rates(read_folder(session, windows, window_schema).drop("date"), params, keys, initial)
-        fired = read_folder(session, output, alert_schema).where(F.col("batch") != batch).select(*same)
-        fired = fired.select(*[F.col(c).alias(f"_f_{c}") for c in same])
-        new = scored.join(fired, [scored[c].eqNullSafe(fired[f"_f_{c}"]) for c in same], "left_anti")
-        new.write.mode("overwrite").parquet(f"{output}/batch={batch}")
+        AlertState(batch_df.sparkSession, f"{checkpoint}-state", output, schema, params, keys, initial,
+                   lateness).apply(batch_df, batch_id)
 
     return _start(entries, checkpoint, interval, each_batch), output, checkpoint
 
 
+def watcher_state(spark: SparkSession, output: str, checkpoint: str, like: DataFrame, params: HealthParams = HealthParams(),
+                  keys: Sequence[str] = (), initial: str = "HEALTHY", lateness: str | None = None) -> AlertState:
+    """The state that :func:`watch_entries` keeps, for reading: alerts that hold, windows, late rows."""
+    schema = like.select(*keys, *ENTRY_COLUMNS).schema
+    return AlertState(spark, f"{checkpoint.rstrip('/')}-state", output, schema, params, keys, initial, lateness)
+
+
 def finished(query) -> None:
     """Wait for a run-once query; its failure is raised."""
     query.awaitTermination()

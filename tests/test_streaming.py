@@ -10,7 +10,7 @@ from conftest import SF_SMALL
 from logpulse.constants import HealthParams
 from logpulse.operators import window_error_rate
 from logpulse.sources import entries_from_events, parse_hadoop_lines, read_table, stream_log_lines
-from logpulse.jobs import check_job, report_job, watch_alerts
+from logpulse.jobs import check_job, log_watcher, report_job, watch_alerts
 from logpulse.operators import window_alerts
 from logpulse.sources import load_hadoop_logs
 from logpulse.streaming import (
@@ -21,6 +21,7 @@ from logpulse.streaming import (
     run_to_parquet,
     stream_window_rates,
     watch_entries,
+    watcher_state,
 )
 
 
@@ -89,8 +90,8 @@ def _fixture_lines():
     return [_hadoop_line(t, level, msg) for t, level, _, msg in spike_rows()]
 
 
-def _changes(spark, folder):
-    rows = spark.read.parquet(folder).collect()
+def _changes(state):
+    rows = state.alerts().collect()
     assert all(json.loads(r.payload)["attachments"][0]["color"] for r in rows)
     return sorted((r.window_start, r.prev_status, r.status, r.top_error) for r in rows)
 
@@ -103,7 +104,7 @@ def test_alerts_fire_once_over_restarts_and_follow_late_rows(spark, scratch):
     def run():
         q, out, _ = watch_alerts(spark, logs, interval=None, output=f"{scratch}/alerts", checkpoint=f"{scratch}/ck")
         finished(q)
-        return _changes(spark, out)
+        return _changes(log_watcher(spark, output=out, checkpoint=f"{scratch}/ck")[1])
 
     first = run()
     assert first == [(base, "HEALTHY", "CRITICAL", message)]
@@ -113,8 +114,10 @@ def test_alerts_fire_once_over_restarts_and_follow_late_rows(spark, scratch):
     assert run() == second
     # two hours late, on the first day: the window after the spike was healthy
     _put(logs, "c", [_hadoop_line(base + timedelta(minutes=5, seconds=i), "INFO", "late") for i in range(20)])
-    third = run()
-    assert third == sorted(second + [(base + timedelta(minutes=5), "CRITICAL", "HEALTHY", None)])
+    # it recovers there, so the alert of the next day is withdrawn
+    assert run() == first + [(base + timedelta(minutes=5), "CRITICAL", "HEALTHY", None)]
+    log = spark.read.parquet(f"{scratch}/alerts")
+    assert [(r.op, r.window_start) for r in log.where("op <> 'insert'").collect()] == [("withdraw", datetime(2015, 10, 19, 23, 0))]
 
 
 def test_file_limit_changes_nothing(spark, scratch):
@@ -131,13 +134,13 @@ def test_file_limit_changes_nothing(spark, scratch):
     got = window_error_rate(landed_entries(spark, landed, entries))
     assert sorted(got.collect()) == sorted(window_error_rate(whole).collect())
     assert got.agg(F.sum("total_entries")).collect()[0][0] == 1200
-    q, out, ck = watch_alerts(spark, logs, interval=None, output=f"{scratch}/alerts",
-                              checkpoint=f"{scratch}/ck2", max_files_per_trigger=1)
+    q, out, ck = watch_entries(entries, interval=None, output=f"{scratch}/alerts", checkpoint=f"{scratch}/ck2")
     finished(q)
-    rates = spark.read.parquet(f"{ck}-windows").drop("date", "top_error")
+    state = watcher_state(spark, out, ck, entries)
+    rates = state.window_rates().drop("top_error")
     assert sorted(tuple(r) for r in rates.collect()) == sorted(tuple(r) for r in window_error_rate(whole).collect())
-    want = {(r.window_start, r.prev_status, r.status) for r in window_alerts(whole).collect()}
-    assert want <= {r[:3] for r in _changes(spark, out)}
+    names = sorted(state.alerts().columns)
+    assert sorted(map(str, state.alerts().select(names).collect())) == sorted(map(str, window_alerts(whole).select(names).collect()))
 
 
 def test_backlog_of_many_windows_in_one_batch(spark, scratch):
@@ -151,12 +154,12 @@ def test_backlog_of_many_windows_in_one_batch(spark, scratch):
     rows.write.parquet(f"{scratch}/in")
     params = HealthParams(window="50 minutes", min_window_entries=2)
     stream = spark.readStream.schema(rows.schema).parquet(f"{scratch}/in")
-    q, out, _ = watch_entries(stream, params, ["svc"], interval=None,
-                              output=f"{scratch}/alerts", checkpoint=f"{scratch}/ck")
+    q, out, ck = watch_entries(stream, params, ["svc"], interval=None,
+                               output=f"{scratch}/alerts", checkpoint=f"{scratch}/ck")
     finished(q)
     want = window_alerts(rows, params, ["svc"])
     cols = sorted(want.columns)
-    got = sorted(spark.read.parquet(out).select(*cols).collect(), key=str)
+    got = sorted(watcher_state(spark, out, ck, stream, params, ["svc"]).alerts().select(*cols).collect(), key=str)
     assert len(got) > 500 and got == sorted(want.select(*cols).collect(), key=str)
 
 
@@ -226,3 +229,97 @@ def test_jobs_over_a_log_directory(spark, scratch):
     assert [(a.prev_status, a.status, a.top_error) for a in first] == [
         ("HEALTHY", "CRITICAL", "ERROR IN CONTACTING RM.")]
     assert check_job(spark, logs, f"{scratch}/history", as_of="2015-10-18 23:05:00").collect() == []
+
+
+def test_report_and_series_come_from_one_scan(spark, scratch, monkeypatch):
+    """Once the base aggregate is written the logs are gone, and everything else is there."""
+    import shutil
+
+    import logpulse.jobs as jobs
+    from logpulse.operators import error_timeline, hourly_breakdown, hourly_stacked, severity_share
+
+    logs = f"{scratch}/logs"
+    _put(f"{logs}/node1", "app", [*_fixture_lines(), _hadoop_line(datetime(2015, 10, 18, 23, 30, 0), "INFO", "later"),
+                                  _hadoop_line(datetime(2015, 10, 19, 23, 59, 59), "WARN", "last")])
+    entries = spark.createDataFrame(load_hadoop_logs(spark, logs).collect(), load_hadoop_logs(spark, logs).schema)
+    aggregate = jobs.report_aggregate
+
+    def once(*args):
+        base = aggregate(*args)
+        shutil.rmtree(logs)
+        return base
+
+    monkeypatch.setattr(jobs, "report_aggregate", once)
+    params = HealthParams(window="50 minutes")  # its windows lie over the hours' borders
+    assert report_job(spark, logs, f"{scratch}/report", params, series=f"{scratch}/series").first().total_entries == 127
+    for name, op in (("hourly", hourly_breakdown), ("hourly_stacked", hourly_stacked), ("severity_share", severity_share),
+                     ("timeline", lambda e: error_timeline(e, params))):
+        got = spark.read.parquet(f"{scratch}/series/{name}")
+        want = op(entries)
+        assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect())), name
+
+
+def test_look_back_prunes_landed_dates(spark, scratch):
+    from logpulse.sources import recent
+
+    _put(f"{scratch}/logs", "a", [_hadoop_line(datetime(2024, 1, d, h), "INFO", f"{d} {h}") for d in range(1, 9) for h in (0, 9, 23)])
+    entries = parse_hadoop_lines(stream_log_lines(spark, f"{scratch}/logs"))
+    q, landed, _ = land_entries(entries, f"{scratch}/landed", checkpoint=f"{scratch}/ck")
+    finished(q)
+    for as_of, n in (("2024-01-08 00:00:00", 6), ("2024-01-08 09:00:01", 4), ("2024-01-09 23:00:00", 1)):
+        back = recent(landed_entries(spark, landed, entries), 24, as_of)
+        assert "date#" in back._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+        assert back.count() == n == recent(landed_entries(spark, landed, entries).drop("date"), 24, as_of).count()
+
+
+def test_landed_batches_are_compacted(spark, scratch):
+    from logpulse.streaming import compact_landed, compacted_entries
+
+    for i in range(6):
+        _put(f"{scratch}/logs", f"f{i}", [_hadoop_line(datetime(2024, 1, 1 + i % 2, i), "INFO", f"m{k}") for k in range(5)])
+    entries = parse_hadoop_lines(stream_log_lines(spark, f"{scratch}/logs", max_files_per_trigger=1))
+    q, landed, _ = land_entries(entries, f"{scratch}/landed", checkpoint=f"{scratch}/ck")
+    finished(q)
+    assert compact_landed(spark, landed, entries) == 1
+    rows = lambda df: sorted(map(str, df.select("timestamp", "message", "batch", "date").collect()))
+    assert rows(compacted_entries(spark, landed, entries)) == rows(landed_entries(spark, landed, entries))
+    files = [f for _, _, fs in os.walk(f"{scratch}/landed-dates") for f in fs if f.startswith("part-")]
+    assert len(files) <= 2 + 2  # two dates, and the pointer
+
+
+def test_check_history_stays_few_files(spark, scratch, make_entries):
+    from logpulse.operators import status_check
+
+    bad = make_entries([(datetime(2024, 1, 1, 10, 0, i), "ERROR") for i in range(12)])
+    fine = make_entries([(datetime(2024, 1, 1, 10, 0, i), "INFO") for i in range(12)])
+    t0, fired = datetime(2024, 1, 2), []
+    for i in range(12):
+        rows = status_check(bad if i % 6 == 3 else fine, f"{scratch}/history", as_of=t0 + timedelta(hours=3 * i)).collect()
+        fired += [(i, r.prev_status, r.status) for r in rows]
+    assert fired == [(3, "HEALTHY", "CRITICAL"), (4, "CRITICAL", "HEALTHY"), (9, "HEALTHY", "CRITICAL"), (10, "CRITICAL", "HEALTHY")]
+    assert status_check(bad, f"{scratch}/history", as_of=t0 + timedelta(hours=10)).count() == 0  # after the check of 9 h
+    files = [f for _, _, fs in os.walk(f"{scratch}/history") for f in fs if f.startswith("part-")]
+    assert len(files) <= 2 * 2  # two dates
+
+
+def test_numbered_entries_follow_time_and_files(spark, scratch):
+    from logpulse.operators import number_entries
+    from logpulse.sources import read_log_lines
+
+    for name in "ab":
+        _put(f"{scratch}/logs", name, [_hadoop_line(datetime(2024, 1, 1, 0, i // 7), "INFO", f"{name}{i}") for i in range(60)])
+    entries = parse_hadoop_lines(read_log_lines(spark, f"{scratch}/logs", with_position=True))
+    rows = number_entries(entries).collect()
+    assert sorted(r.row_no for r in rows) == list(range(1, 121))
+    want = sorted((i // 7, name, i) for name in "ab" for i in range(60))
+    assert [r.message for r in sorted(rows, key=lambda r: r.row_no)] == [f"{n}{i}" for _, n, i in want]
+
+
+def test_lookups_keep_every_row_once(spark):
+    from logpulse.operators import with_lookup
+
+    rows = spark.createDataFrame([("a", 1), ("a", None), ("b", 2), (None, 1), ("c", 1), ("c", 1)], "k string, n int")
+    table = spark.createDataFrame([("a", 1, "x"), ("a", None, "y"), ("a", 1, "w"), (None, 1, "z"), ("b", 2, None)], "k string, n int, v string")
+    got = with_lookup(rows, table, ["k", "n"], "v", "out", F.lit("none"))
+    assert sorted(map(str, ((r.k, r.n, r.out) for r in got.collect()))) == sorted(map(str, [
+        ("a", 1, "w"), ("a", None, "y"), ("b", 2, "none"), (None, 1, "z"), ("c", 1, "none"), ("c", 1, "none")]))
