@@ -14,7 +14,7 @@ meetings must tell ``EVIDENCE`` bits together (each tells the entity's informati
 content, so what many documents hold needs more of them): fewer come about by
 chance. Counts cover every document.
 
-SQL functions only. What is kept of a document is a row per entity and own term, so
+SQL functions only. What is kept of a document is its entities and its own terms, so
 the work grows with its text, not with the other documents of its entities.
 Counts are added up per task before each shuffle; term counts over the corpus are
 taken for candidate terms alone, which are broadcast up to ``BROADCAST_TERMS`` and
@@ -118,39 +118,46 @@ def _entities(span: Column) -> Column:
 
 
 def disclosures(docs: DataFrame, base: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(row_id, entity, term) of the rows with an entity of enough documents, and
-    (entity, term, disclosure) of all that meet often enough.
+    """(row_id, eid, term) of the rows with an entity of enough documents, their own
+    terms only, and (eid, term, disclosure) of all that meet often enough.
 
-    ``base`` holds base spans by row_id, with ``etext``, the text of rows that have a span."""
+    ``base`` holds base spans by row_id, with ``etext``, the text of rows that have a span. Meetings are
+    exploded where they are counted or looked up and never written: a task adds up its own first."""
     entities = base.where("size(base) > 0").select("row_id", F.explode(F.array_distinct(F.flatten(F.transform(
         "base", _entities)))).alias("entity"))
-    support = (entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-               .where(F.col("n_entity") >= MIN_SUPPORT))
-    protected = written(entities.join(support, "entity"), "pii_protected")
-    of_interest = protected.select("row_id").distinct()
-    words = (base.where("etext is not null").join(of_interest, "row_id", "left_semi")
-             .select("row_id", F.explode(_terms(F.col("etext"))).alias("term")))
-    met = written(protected.join(words, "row_id"), "pii_met")
+    support = written(entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+                      .where(F.col("n_entity") >= MIN_SUPPORT)
+                      .withColumn("eid", F.monotonically_increasing_id()), "pii_support")
+    held = entities.join(support, "entity").groupBy("row_id").agg(  # at most the text's own entities
+        F.collect_list(F.struct("eid", "n_entity")).alias("entities"))
+    rows = written(base.where("etext is not null").join(held, "row_id").select(
+        "row_id", "entities", _terms(F.col("etext")).alias("terms")), "pii_rows")
+    met = rows.select("row_id", F.explode("entities").alias("e"), "terms").select(
+        "row_id", "e.eid", "e.n_entity", F.explode("terms").alias("term"))
     n_docs = F.lit(float(max(1, base.count())))
     content = F.log2(n_docs / F.col("n_entity"))
-    together = written(met.groupBy("entity", "n_entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
+    together = written(met.groupBy("eid", "n_entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
                        .where((F.col("n_both") >= MIN_SUPPORT) & (F.col("n_both") * content >= EVIDENCE)), "pii_together")
     candidates = written(together.select("term").distinct(), "pii_terms")
-    few = candidates.count() <= BROADCAST_TERMS  # checked size, a shuffled join beyond
     # a term is listed once a text, so a task sends one number a term
     in_docs = document_columns(docs, "text").select(F.explode(_terms(F.col("text"))).alias("term")).join(
-        F.broadcast(candidates) if few else candidates, "term", "left_semi")
+        _small(candidates), "term", "left_semi")
     corpus = in_docs.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     ratio = F.log2(F.col("n_both") * n_docs / (F.col("n_entity") * F.col("n_term"))) / content
     told = together.join(corpus, "term").where(F.col("n_entity") < n_docs)
-    return met.select("row_id", "entity", "term"), told.select("entity", "term", ratio.alias("disclosure"))
+    return met.select("row_id", "eid", "term"), told.select("eid", "term", ratio.alias("disclosure"))
+
+
+def _small(table: DataFrame) -> DataFrame:
+    """A table for a join, broadcast if it has up to BROADCAST_TERMS rows; a shuffled join beyond."""
+    return F.broadcast(table) if table.count() <= BROADCAST_TERMS else table
 
 
 def flagged_terms(docs: DataFrame, base: DataFrame) -> DataFrame:
     """(row_id, term, mark): the terms of the row's own text that reveal an entity of it."""
     met, told = disclosures(docs, base)
     revealing = written(told.where(F.col("disclosure") >= GENERALISE), "pii_revealing")
-    return (met.join(revealing, ["entity", "term"]).groupBy("row_id", "term").agg(F.max("disclosure").alias("d"))
+    return (met.join(_small(revealing), ["eid", "term"]).groupBy("row_id", "term").agg(F.max("disclosure").alias("d"))
             .select("row_id", "term", F.when(F.col("d") >= REMOVE, "remove").otherwise("generalise").alias("mark")))
 
 

@@ -204,7 +204,7 @@ def test_a_frequent_entity_lists_own_terms_only(spark):
             pii.F.when(pii.F.size("base") > 0, pii.F.col("text")).alias("etext"), "base")
         met, _ = pii.disclosures(texts_frame(spark, texts), base)
         rows[n] = met.count()
-        most = max(r["count"] for r in met.groupBy("row_id", "entity").count().collect())
+        most = max(r["count"] for r in met.groupBy("row_id", "eid").count().collect())
         assert most <= 28  # the text's own words
     assert rows[1200] == 4 * rows[300]
 
