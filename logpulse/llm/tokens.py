@@ -23,8 +23,9 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 PIECE_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 _WHOLE = re.compile("[\x1c-\x1fΣİ]|<\\|")
-#: Cached words per Python worker (about 200 bytes each); a full cache starts anew.
-CACHE_WORDS = 600_000
+#: Words (about 200 bytes each) and pieces per generation of a Python worker's caches. There are two: a full
+#: one becomes the old one, and what is met again moves over from there.
+CACHE_WORDS = 400_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -46,12 +47,19 @@ class TokenIds:
             raise ValueError("ids must fit 16 bits")
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.by_word = _Words(self)
 
     def piece(self, p: str) -> bytes:
-        letters = p if p.isascii() else "".join(self.letters[b] for b in p.encode())
-        return array("H", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        """Ids of a run of letters, a digit or a run of signs; words differ more than their pieces do."""
+        own = self.pieces.get(p)
+        if own is None:
+            letters = p if p.isascii() else "".join(self.letters[b] for b in p.encode())
+            own = array("H", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            if len(self.pieces) >= CACHE_WORDS:
+                self.pieces.clear()
+            self.pieces[p] = own
+        return own
 
     def encode(self, text: str) -> bytes:
         if _WHOLE.search(text):
@@ -60,7 +68,7 @@ class TokenIds:
             text = unicodedata.normalize("NFC", text)
         words = self.by_word
         if len(words) > CACHE_WORDS:
-            words.clear()
+            words.turn()
         return b"".join(map(words.__getitem__, text.lower().split()))
 
 
@@ -68,10 +76,21 @@ class _Words(dict):
     def __init__(self, ids: TokenIds) -> None:
         super().__init__()
         self.ids = ids
+        self.old: dict[str, bytes] = {}
+
+    def turn(self) -> None:
+        self.old = dict(self)
+        self.clear()
 
     def __missing__(self, word: str) -> bytes:
-        pieces = (PIECE_ASCII if word.isascii() else PIECE).findall(word)
-        own = b"".join([self.ids.piece(p) for p in pieces])
+        own = self.old.get(word)
+        if own is None:
+            if word.isascii():
+                # nothing but letters is one piece
+                pieces = (word,) if word.isalpha() else PIECE_ASCII.findall(word)
+            else:
+                pieces = PIECE.findall(word)
+            own = b"".join(map(self.ids.piece, pieces))
         self[word] = own
         return own
 

@@ -1,12 +1,15 @@
 """Mixing, sharding, packing, preference pairs and the pipeline."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
 import pytest
-from llm_support import SF, edge, edge_rows, empty  # noqa: F401
+from llm_support import SCHEMA, SF, edge, edge_rows, empty, row  # noqa: F401
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from logpulse.llm import mixing, packing, sharding
@@ -112,26 +115,84 @@ def test_matrix_keeps_row_and_column_sums(spark):
     assert m.sum(axis=0).max() - m.sum(axis=0).min() <= 1
 
 
-def brute_schedule(totals, whole):
+def brute_schedule(totals, whole, weights=None):
     """Source of each token: the one whose next token is due first."""
-    sent, out = [0] * len(totals), []
+    sent, out, rate = [0] * len(totals), [], weights or totals
     for _ in range(whole):
-        s = min((s for s in range(len(totals)) if sent[s] < totals[s]), key=lambda s: ((2 * sent[s] + 1) / totals[s], s))
+        s = min((s for s in range(len(totals)) if sent[s] < totals[s]), key=lambda s: (Fraction(2 * sent[s] + 1, rate[s]), s))
         sent[s] += 1
         out.append(s)
     return out
 
 
-@pytest.mark.parametrize("totals", [[5], [1, 1, 1], [700, 1, 13, 90], [64, 64, 63], [1000, 3]])
-def test_sent_before_equals_one_token_at_a_time(totals):
+@pytest.mark.parametrize("totals, weights", [
+    ([5], None), ([1, 1, 1], None), ([700, 1, 13, 90], None), ([64, 64, 63], None), ([1000, 3], None),
+    ([100, 300, 50], [1, 1, 1]), ([700, 1, 13, 90], [3, 2, 7, 1]), ([64, 64, 63], [5, 1, 1]), ([40, 40], [1, 1000]), ([9], [4])])
+def test_sent_before_equals_one_token_at_a_time(totals, weights):
     whole = sum(totals)
-    order = brute_schedule(totals, whole)
+    order = brute_schedule(totals, whole, weights)
     x = np.arange(whole + 1)
-    got = packing.sent_before(x, np.array(totals))
+    got = packing.sent_before(x, np.array(totals), None if weights is None else np.array(weights))
     want = np.array([[order[:i].count(s) for s in range(len(totals))] for i in x])
     assert (got == want).all() and (np.diff(got, axis=0) >= 0).all()
 
 
+def test_sent_before_stays_exact_beyond_64_bits():
+    totals, weights = np.array([3 * 10**12, 10**12 + 7, 5]), np.array([7, 10**9, 1])
+    x = np.array([0, 4096, 10**12, 10**12 + 8, 4 * 10**12 - 1, int(totals.sum())])
+    got = packing.sent_before(x, totals, weights)
+    assert (got.sum(axis=1) == x).all() and (np.diff(got, axis=0) >= 0).all() and got[-1].tolist() == totals.tolist()
+
+
+@pytest.mark.parametrize("weights", [None, [1, 6, 2, 1]])
+def test_pieces_of_documents_equal_a_walk_over_the_schedule(monkeypatch, weights):
+    rnd = random.Random(61)
+    monkeypatch.setattr(packing, "WINDOW", 16)
+    monkeypatch.setattr(packing._Windows, "CHUNK", 8)
+    docs = [(rnd.randrange(4), rnd.choice([1, 2, 5, 40, 300])) for _ in range(60)]
+    totals = [sum(n for q, n in docs if q == s) for s in range(4)]
+    order, place, want = brute_schedule(totals, sum(totals), weights), [0] * 4, []
+    sent, position = [0] * 4, {}
+    for w in range(0, len(order), 16):
+        run = sorted(order[w:w + 16])
+        for offset, s in enumerate(run):
+            position[s, sent[s]] = (w // 16, offset)
+            sent[s] += 1
+    places = []
+    for d, (q, n) in enumerate(docs):
+        places.append(place[q])
+        for t in range(n):
+            want.append((d, t, *position[q, place[q] + t]))
+        place[q] += n
+    windows = packing._Windows(totals, weights or totals)
+    got = windows.pieces(np.array([q for q, _ in docs]), np.array(places), np.array([n for _, n in docs]))
+    tokens = sorted((int(d), int(a) + i, int(w), int(o) + i) for d, a, k, w, o in zip(*got, strict=True) for i in range(k))
+    assert tokens == sorted(want)
+
+
+def test_small_sources_share_queues_and_windows_meet_the_weights(spark):
+    rnd = random.Random(67)
+    word = lambda: "".join(rnd.choices("etaoin", k=4))
+    text = lambda n: " ".join(word() for _ in range(n))
+    rows = [row(i, text(400), "en", "ab"[i % 2]) for i in range(80)] + [row(1000 + i, text(3), "en", f"tiny{i}") for i in range(90)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    tokens = packing.packed_tokens(docs)
+    parts = tokens.groupBy("pid", "source_key").agg(F.sum("doc_tokens").alias("n"))
+    plan = packing.queue_plan(parts, queues=20).collect()
+    assert {r.queue for r in plan if r.source_key in ("=a", "=b")} == {"=a", "=b"}
+    common = {r.queue for r in plan if r.source_key.startswith("=tiny")}
+    assert len(common) <= 20 and all(q.startswith("+") for q in common)
+    pieces = packing.packed_pieces(docs, weights={"a": 1, "b": 3}).collect()
+    source = {r[0]: r[3] for r in rows}
+    share = Counter()
+    for r in pieces:
+        share[r.sequence_id, source[r.doc_id]] += r.length
+    first = {s: share[0, s] for s in "ab"}
+    assert abs(first["b"] - 3 * first["a"]) <= 4 and sum(r.length for r in pieces) == tokens.agg(F.sum("doc_tokens")).first()[0]
+    with pytest.raises(ValueError):
+        packing.packed_pieces(docs, weights={"a": 0})
+
+
 def test_pieces_hold_every_token_once(edge, empty):
     t = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
     ids = {r[0]: [*t.encode(r[1] or "", add_special_tokens=False).ids, packing.END_ID] for r in edge_rows()}
