@@ -1,18 +1,17 @@
 """Suffix arrays by induced sorting, and permuted common prefixes, on numpy arrays.
 
-One shard's segments at a time. Induction goes bucket by bucket: all suffixes
-that a bucket induces are dealt out in one step, so the work is linear in
-array operations.
+One shard's segments at a time. A suffix is induced by the one after it, which stands before
+it (or, going back, behind it) in the order, so the places filled without a gap from where
+the scan stands are final: all suffixes that they induce are dealt out in one step. Few
+buckets fill in long stretches, and of many small ones a stretch spans about the square root, so
+the work is linear in array operations for any alphabet, that of the names of the
+recursion too.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Reduced strings with more names than this are ranked by doubling: too many buckets to walk.
-WIDE = 4096
-
-
 def _types(t: np.ndarray) -> np.ndarray:
     """True where the suffix is smaller than the next one; the last is."""
     n = len(t)
@@ -25,83 +24,54 @@ def _types(t: np.ndarray) -> np.ndarray:
     return small
 
 
-def _place(sa: np.ndarray, t: np.ndarray, at: np.ndarray, j: np.ndarray, step: int) -> None:
-    """Append suffixes ``j`` to their buckets, upwards (step 1) or downwards (step -1)."""
-    if not len(j):
-        return
-    d = t[j]
-    order = np.argsort(d, kind="stable")
-    d, j = d[order], j[order]
-    first = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
-    count = np.diff(np.r_[first, len(d)])
-    rank = np.arange(len(d)) - np.repeat(first, count)
-    sa[at[d] + step * rank] = j
-    at[d[first]] += step * count
-
-
-def _induce(t: np.ndarray, small: np.ndarray, ends: np.ndarray, lms: np.ndarray) -> np.ndarray:
+def _sweep(line: np.ndarray, t: np.ndarray, wanted: np.ndarray, at: np.ndarray) -> None:
+    """Scan ``line`` from its start and append, for each suffix met, the one before it in ``t``, if
+    ``wanted``, to its bucket (``at`` has the next free place of each). Free places are negative."""
+    done, reach, n = 0, 256, len(line)
+    while done < n:
+        window = line[done:done + reach]
+        free = window < 0
+        k = int(free.argmax())
+        stop = k if free[k] else len(window)
+        batch = window[:stop]
+        j = batch[batch > 0] - 1
+        j = j[wanted[j]]
+        if len(j):
+            d = t[j]
+            order = np.argsort(d, kind="stable")
+            d, j = d[order], j[order]
+            first = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
+            count = np.diff(np.r_[first, len(d)])
+            line[at[d] + np.arange(len(d)) - np.repeat(first, count)] = j
+            at[d[first]] += count
+        done += stop
+        reach = max(256, 2 * stop)
+
+
+def _induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """Suffix order from the order of the leftmost-smaller suffixes ``lms``."""
-    sa = np.full(len(t), -1, dtype=np.int64)
-    heads = np.r_[0, ends[:-1]]
-    chars = np.flatnonzero(ends > heads)
-    bound = ends.copy()
+    n, size = len(t), int(t.max()) + 1
+    n_large, n_small = (np.bincount(t[kind], minlength=size) for kind in (~small, small))
+    # forward: of each bucket the places of its larger suffixes, then its seeds
     seeds = lms[np.argsort(t[lms], kind="stable")]
-    seed_from = np.searchsorted(t[seeds], np.arange(len(ends) + 1))
-    larger_at = heads.copy()
-    for c in chars:
-        done = heads[c]
-        while larger_at[c] > done:  # what the bucket induces into itself comes in the next turn
-            batch = sa[done:larger_at[c]]
-            done = larger_at[c]
-            j = batch[batch > 0] - 1
-            _place(sa, t, larger_at, j[~small[j]], 1)
-        batch = seeds[seed_from[c]:seed_from[c + 1]]
-        j = batch[batch > 0] - 1
-        _place(sa, t, larger_at, j[~small[j]], 1)
-    smaller_at = bound - 1
-    last = len(t) - 1
-    for c in chars[::-1]:
-        if c == t[last]:  # the terminator, alone in its bucket, is not induced
-            sa[smaller_at[c]] = last
-            smaller_at[c] -= 1
-        done = bound[c]
-        while smaller_at[c] + 1 < done:
-            batch = sa[smaller_at[c] + 1:done][::-1]
-            done = smaller_at[c] + 1
-            j = batch[batch > 0] - 1
-            _place(sa, t, smaller_at, j[small[j]], -1)
-        batch = sa[heads[c]:larger_at[c]][::-1]
-        j = batch[batch > 0] - 1
-        _place(sa, t, smaller_at, j[small[j]], -1)
+    of = t[seeds]
+    n_seed = np.bincount(of, minlength=size)
+    block = n_large + n_seed
+    first = np.cumsum(block) - block
+    line = np.full(int(block.sum()), -1, dtype=np.int64)
+    line[(first + n_large)[of] + np.arange(len(seeds)) - (np.cumsum(n_seed) - n_seed)[of]] = seeds
+    _sweep(line, t, ~small, first.copy())
+    larger = line[~small[line]]
+    # back: each bucket's smaller suffixes from its end, behind its larger ones
+    sa = np.full(n, -1, dtype=np.int64)
+    ends = np.cumsum(n_large + n_small)
+    of = t[larger]
+    sa[(ends - n_large - n_small)[of] + np.arange(len(larger)) - (np.cumsum(n_large) - n_large)[of]] = larger
+    sa[0] = n - 1  # the terminator is not induced; it is alone in its bucket
+    _sweep(sa[::-1], t, small, n - ends)
     return sa
 
 
-def _doubling(names: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of a string of names whose last is unique and smallest.
-
-    A rank is the place of the first of all suffixes that look alike so far;
-    only suffixes that still share a rank are sorted again.
-    """
-    n = len(names)
-    count = np.bincount(names)
-    rank = (np.cumsum(count) - count)[names]
-    tied, k = np.flatnonzero(count[names] > 1), 1
-    while len(tied):
-        ahead = np.where(tied + k < n, rank[np.minimum(tied + k, n - 1)], -1)
-        key = rank[tied] * (n + 1) + ahead + 1
-        order = np.argsort(key)
-        tied, key, old = tied[order], key[order], rank[tied[order]]
-        at = np.arange(len(tied))
-        first_old = np.maximum.accumulate(np.where(np.r_[True, old[1:] != old[:-1]], at, 0))
-        parts = np.r_[True, key[1:] != key[:-1]]
-        rank[tied] = old + np.maximum.accumulate(np.where(parts, at, 0)) - first_old
-        size = np.diff(np.r_[np.flatnonzero(parts), len(tied)])
-        tied, k = tied[np.repeat(size > 1, size)], 2 * k
-    out = np.empty(n, dtype=np.int64)
-    out[rank] = np.arange(n)
-    return out
-
-
 def suffix_array(t: np.ndarray) -> np.ndarray:
     """Order of all suffixes of ``t``: small non-negative integers, the last unique and smallest."""
     n = len(t)
@@ -111,8 +81,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
         t = t.astype(np.uint16)  # stable sorts of short integers are by digits
     small = _types(t)
     starts = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    ends = np.cumsum(np.bincount(t))
-    sa = _induce(t, small, ends, starts)
+    sa = _induce(t, small, starts)
     is_start = np.zeros(n, dtype=bool)
     is_start[starts] = True
     lms = sa[is_start[sa]]
@@ -131,9 +100,8 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     name[lms] = np.cumsum(np.r_[0, ~same])
     reduced = name[starts]
     if int(reduced.max(initial=0)) + 1 < len(reduced):
-        order = suffix_array(reduced) if reduced.max() < WIDE else _doubling(reduced)
-        lms = starts[order]
-    return _induce(t, small, ends, lms)
+        lms = starts[suffix_array(reduced)]
+    return _induce(t, small, lms)
 
 
 def permuted_prefixes(t: np.ndarray, sa: np.ndarray, first: np.ndarray, length: np.ndarray,

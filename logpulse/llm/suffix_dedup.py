@@ -6,28 +6,30 @@ sending every suffix, so each string is keyed by the smallest hash of its
 20-byte substrings: equal strings have equal keys, and a run of neighbouring
 strings with one key travels as one segment (about one per 17 bytes).
 
-1. Each task lists (key, segment hash, doc_id) once per document, packed per
-   hash bucket. A bucket keeps the keys that several documents hold. Of equal
-   segments the one of the smallest doc_id represents all; the other holders
-   lose every string of it, as the representative starts it before them.
+1. Each task lists its (key, segment) pairs, packed per bucket of keys. Of equal
+   segments in a task only that of the smallest doc_id is listed as a candidate: the others
+   are copies already, and go as such. So however many documents hold a segment,
+   a bucket meets it once a task. Buckets grow in number with the input. A
+   bucket keeps the keys that several documents hold; of equal segments the one of
+   the smallest doc_id represents all, and the other holders lose every string of
+   it, as the representative starts it before them.
 2. Representatives are cut from the texts and sent to the shard of their
    key. Each shard sorts the suffixes of its segments, takes the permuted
    common prefixes, and in every stretch of suffixes that share 50 bytes the
    strings of larger doc_ids than the smallest go. Keys with more than
    ``HOT_SEGMENTS`` representatives send single strings, sharded by the whole
    string, so no shard holds a common passage's contexts at once.
-3. Removed ranges meet the texts again by doc_id and a checksum of the text
-   (the same exchange of the texts as in 2), and what is left is hashed. The
-   checksum keeps texts with one doc_id, or none, apart; only doc_ids decide
-   which string comes first.
+3. Removed ranges, packed per text and shard, meet the texts again (by the same exchange of
+   the compressed texts as in 2), and what is left is hashed. Texts with one doc_id, or none,
+   have numbers that keep them apart; only doc_ids decide which string comes first.
 
-Keys and segments are compared by 40-bit and 64-bit hashes together; segments
+Keys and segments are compared by 40-bit and 47-bit hashes together; segments
 of one shard are compared by bytes.
 
 Defined cases: a null text counts as empty; matches never cross documents; texts
 under 50 bytes lose nothing; rows with one doc_id never remove from each
-other; null doc_ids count as larger than all; repeated rows give repeated
-result rows; an empty table gives no rows; other columns are ignored.
+other; null doc_ids count as larger than all, and so does 2^63 - 1; repeated rows give
+repeated result rows; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -48,9 +51,11 @@ SPAN = 50
 GRAM = 20
 #: Longer runs of strings with one key are cut, which no equality depends on.
 MAX_STRINGS = 512
-#: Rows a task holds before it sends its packed lists; buckets per shuffle partition.
+#: Segments a task holds before it sends its packed lists; segments a bucket is meant to have.
 PACK_ROWS = 2_000_000
-BUCKETS_PER_PARTITION = 4
+BUCKET_ROWS = 1_000_000
+#: (doc_id, checksum) of texts that share a doc_id are broadcast up to here, and joined beyond.
+BROADCAST_SHARED = 200_000
 HOT_SEGMENTS = 20_000
 #: Bytes of segments that one suffix array is built over, at least one key.
 SHARD_BYTES = 3_000_000
@@ -97,42 +102,83 @@ def segments(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _segment_hashes(raw: bytes, first: np.ndarray, strings: np.ndarray) -> np.ndarray:
-    return np.array([xxh64_intdigest(raw[a:b], 3) for a, b in zip(
+    return np.array([xxh64_intdigest(raw[a:b], 3) & ((1 << 47) - 1) for a, b in zip(
         first.tolist(), (first + strings + SPAN - 1).tolist(), strict=True)], dtype=np.uint64)
 
 
+#: Segment hashes have 47 bits; the highest of 48 marks a candidate that has copies in its own task.
+_SEGMENT_MASK = np.uint64((1 << 47) - 1)
+
+
+def _short(v: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of each number."""
+    return np.ascontiguousarray(v.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _from_short(raw: bytes, width: int) -> np.ndarray:
+    v = np.zeros((len(raw) // width, 8), dtype=np.uint8)
+    v[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
+    return v.view("<u8").ravel()
+
+
+def _starts_of(*columns: np.ndarray) -> np.ndarray:
+    """Where any of the sorted columns changes."""
+    changed = np.zeros(max(0, len(columns[0]) - 1), dtype=bool)
+    for c in columns:
+        changed |= c[1:] != c[:-1]
+    return np.r_[True, changed] if len(columns[0]) else changed
+
+
+_LISTS = "bucket int, kind int, low binary, high binary, subs binary, counts binary, keys binary, segs binary"
+
+
 def _list_segments(n_buckets: int):
-    """Texts -> per bucket, packed lists of (key, segment hash) and how many each document has."""
-    schema = pa.schema([("bucket", pa.int32()), ("ids", pa.binary()), ("sums", pa.binary()), ("counts", pa.binary()),
-                        ("low", pa.binary()), ("high", pa.binary()), ("seg", pa.binary())])
+    """Texts -> per bucket, packed lists of candidates (kind 0: keys and segments) and of copies
+    (kind 1: segments), with how many each text has."""
+    schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), *[(c, pa.binary()) for c in (
+        "low", "high", "subs", "counts", "keys", "segs")]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, int, int]] = []
         rows = 0
 
         def pack() -> pa.RecordBatch:
-            keys = np.concatenate([k for k, *_ in held])
-            segs = np.concatenate([s for _, s, *_ in held])
-            ids, sums = (np.array([h[i] for h in held], dtype="<i8") for i in (2, 3))
-            nth = np.repeat(np.arange(len(held)), [len(k) for k, *_ in held])
-            bucket = (keys % np.uint64(n_buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")  # documents stay in order within a bucket
-            starts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+            order = sorted(range(len(held)), key=lambda i: held[i][2:])  # by doc_id and number
+            ids, subs = (np.array([held[i][k] for i in order], dtype="<i8") for k in (2, 3))
+            keys = np.concatenate([held[i][0] for i in order])
+            segs = np.concatenate([held[i][1] for i in order])
+            text = np.repeat(np.arange(len(order)), [len(held[i][0]) for i in order])
+            # the segment's smallest doc_id in this task comes first
+            by = np.lexsort((text, segs, keys))
+            k, g, d = keys[by], segs[by], ids[text[by]]
+            start = np.flatnonzero(_starts_of(k, g))
+            size = np.diff(np.r_[start, len(k)])
+            copy = d != np.repeat(d[start], size)
+            many = np.repeat(np.logical_or.reduceat(copy, start), size) & ~copy
+            is_copy, marked = np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=bool)
+            is_copy[by], marked[by] = copy, many
+            segs = segs | (marked.astype(np.uint64) << np.uint64(47))
+            part = (keys % np.uint64(n_buckets)).astype(np.int64) * 2 + is_copy
+            by = np.argsort(part, kind="stable")  # texts stay in order
+            cuts = np.searchsorted(part[by], np.arange(2 * n_buckets + 1))
             out = []
-            for b in range(n_buckets):
-                at = order[starts[b]:starts[b + 1]]
-                if len(at):
-                    d = nth[at]
-                    new = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
-                    k = keys[at]
-                    out.append((b, ids[d[new]].tobytes(), sums[d[new]].tobytes(), np.diff(np.r_[new, len(d)]).astype("<u4").tobytes(),
-                                k.astype("<u4").tobytes(), (k >> np.uint64(32)).astype("u1").tobytes(),
-                                segs[at].astype("<u8").tobytes()))
+            for p in np.flatnonzero(np.diff(cuts)).tolist():
+                at = by[cuts[p]:cuts[p + 1]]
+                t = text[at]
+                # a text has an entry for each 255 of its segments
+                run = np.arange(len(t)) - np.maximum.accumulate(np.where(_starts_of(t), np.arange(len(t)), 0))
+                new = np.flatnonzero(run % 255 == 0)
+                count = np.diff(np.r_[new, len(t)])
+                whole = ids[t[new]].view("<u8")
+                out.append((p // 2, p % 2, (whole & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(),
+                            (whole >> np.uint64(32)).astype("<u4").tobytes(), subs[t[new]].tobytes(),
+                            count.astype("u1").tobytes(),
+                            b"" if p % 2 else _short(keys[at], 5), _short(segs[at], 6)))
             return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)],
                                    schema=schema)
 
         for batch in batches:
-            for d, x, text in zip(*[batch[c].to_pylist() for c in ("id", "sum", "text")], strict=True):
+            for d, x, text in zip(*[batch[c].to_pylist() for c in ("id", "sub", "text")], strict=True):
                 raw = text.encode()
                 key, first, strings = segments(raw)
                 if len(key):
@@ -150,33 +196,62 @@ def _list_segments(n_buckets: int):
     return run
 
 
-_LISTS = "bucket int, ids binary, sums binary, counts binary, low binary, high binary, seg binary"
-_ROLES = "id long, sum long, copies binary, own binary, hot binary"
+_ROLES = "id long, sub long, roles binary"
+
+
+def _packed_roles(ids: np.ndarray, subs: np.ndarray, role: np.ndarray, segs: np.ndarray) -> pa.RecordBatch:
+    """Rows sorted by text and role -> one row a text: how many copies, own and hot segments, then the segments.
+
+    One column, so that every reader asks for the same."""
+    new = np.flatnonzero(_starts_of(ids, subs))
+    ends = [*new[1:].tolist(), len(ids)]
+    out = []
+    for a, b in zip(new.tolist(), ends, strict=True):
+        cuts = np.searchsorted(role[a:b], [1, 2])
+        head = np.array([cuts[0], cuts[1] - cuts[0], b - a - cuts[1]], dtype="<u4")
+        out.append(head.tobytes() + _short(segs[a:b], 6))
+    return pa.record_batch([pa.array(ids[new], pa.int64()), pa.array(subs[new], pa.int64()), pa.array(out, pa.binary())],
+                           names=["id", "sub", "roles"])
+
+
+def _roles_of(parts: list[bytes] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The copies, own and hot segments of a text from its packed rows."""
+    split: tuple[list, list, list] = ([], [], [])
+    for raw in parts or []:
+        segs = _from_short(raw[12:], 6)
+        at = np.cumsum(np.frombuffer(raw[:12], "<u4"))
+        for k, v in enumerate(np.split(segs, at[:2])):
+            split[k].append(v)
+    none = np.zeros(0, dtype=np.uint64)
+    return tuple(np.concatenate(v) if v else none for v in split)
 
 
 def _assign_roles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lists sorted by bucket -> per text: segments it repeats from a smaller
+    """Lists sorted by bucket and kind -> per text: segments it repeats from a smaller
     doc_id, segments it represents, and those of them with a hot key."""
-    schema = pa.schema([("id", pa.int64()), ("sum", pa.int64()), ("copies", pa.binary()), ("own", pa.binary()), ("hot", pa.binary())])
+
+    def texts(row: dict) -> tuple[np.ndarray, np.ndarray]:
+        ids = (np.frombuffer(row["low"], "<u4").astype(np.uint64) | np.frombuffer(row["high"], "<u4").astype(np.uint64) << np.uint64(32))
+        counts = np.frombuffer(row["counts"], "u1")
+        return np.repeat(ids.view(np.int64), counts), np.repeat(np.frombuffer(row["subs"], "<i8"), counts)
 
     def decide(lists: list[dict]) -> pa.RecordBatch | None:
-        ids = np.concatenate([np.frombuffer(x["ids"], "<i8") for x in lists])
-        counts = np.concatenate([np.frombuffer(x["counts"], "<u4") for x in lists])
-        key = (np.concatenate([np.frombuffer(x["low"], "<u4") for x in lists]).astype(np.uint64)
-               | np.concatenate([np.frombuffer(x["high"], "u1") for x in lists]).astype(np.uint64) << np.uint64(32))
-        seg = np.concatenate([np.frombuffer(x["seg"], "<u8") for x in lists])
-        doc = np.repeat(ids, counts)
-        text = np.repeat(np.concatenate([np.frombuffer(x["sums"], "<i8") for x in lists]), counts)
+        parts = [texts(x) for x in lists]
+        doc, text = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        key = np.concatenate([_from_short(x["keys"], 5) for x in lists])
+        seg = np.concatenate([_from_short(x["segs"], 6) for x in lists])
+        many, seg = seg >> np.uint64(47) > 0, seg & _SEGMENT_MASK
         order = np.lexsort((text, doc, seg, key))
-        key, seg, doc, text = key[order], seg[order], doc[order], text[order]
+        key, seg, doc, text, many = key[order], seg[order], doc[order], text[order], many[order]
         # repeated rows count once
-        other = np.r_[True, (key[1:] != key[:-1]) | (seg[1:] != seg[:-1]) | (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])]
-        key, seg, doc, text = key[other], seg[other], doc[other], text[other]
-        new_key = np.r_[True, key[1:] != key[:-1]]
-        new_seg = new_key | np.r_[True, seg[1:] != seg[:-1]]
+        first = np.flatnonzero(_starts_of(key, seg, doc, text))
+        many = np.logical_or.reduceat(many, first)
+        key, seg, doc, text = key[first], seg[first], doc[first], text[first]
+        new_key = _starts_of(key)
+        new_seg = _starts_of(key, seg)
         first_key = np.flatnonzero(new_key)
         of_key = np.cumsum(new_key) - 1
-        shared = np.minimum.reduceat(doc, first_key) != np.maximum.reduceat(doc, first_key)
+        shared = (np.minimum.reduceat(doc, first_key) != np.maximum.reduceat(doc, first_key)) | np.logical_or.reduceat(many, first_key)
         n_own = np.add.reduceat(new_seg.astype(np.int64), first_key)
         least = doc[np.flatnonzero(new_seg)][np.cumsum(new_seg) - 1]
         own = (doc == least) & shared[of_key]  # texts of one doc_id represent it together
@@ -186,21 +261,15 @@ def _assign_roles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if not len(at):
             return None
         at = at[np.lexsort((role[at], text[at], doc[at]))]
-        doc, text, role, seg = doc[at], text[at], role[at], seg[at]
-        starts = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])])
-        out: list[list] = [[], [], [], [], []]
-        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(doc)], strict=True):
-            r, s = role[a:b], seg[a:b]
-            cuts = np.searchsorted(r, [0, 1, 2, 3])
-            out[0].append(int(doc[a]))
-            out[1].append(int(text[a]))
-            for k in range(3):
-                out[k + 2].append(s[cuts[k]:cuts[k + 1]].tobytes())
-        return pa.record_batch([pa.array(v, f.type) for v, f in zip(out, schema, strict=True)], schema=schema)
+        return _packed_roles(doc[at], text[at], role[at], seg[at])
 
     lists: list[dict] = []
     for batch in batches:
         for row in batch.to_pylist():
+            if row["kind"]:  # settled in its task
+                ids, subs = texts(row)
+                yield _packed_roles(ids, subs, np.zeros(len(ids), dtype=np.int64), _from_short(row["segs"], 6))
+                continue
             if lists and row["bucket"] != lists[0]["bucket"]:
                 if (out := decide(lists)) is not None:
                     yield out
@@ -210,22 +279,19 @@ def _assign_roles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield out
 
 
-def _joined(parts: list[bytes] | None) -> np.ndarray:
-    return np.frombuffer(b"".join(parts or []), "<u8")
-
-
-_SEGMENTS = "shard_key long, id long, sum long, first int, bytes binary"
+_SEGMENTS = "shard_key long, id long, sub long, first int, bytes binary"
 
 
 def _cut_representatives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with their roles -> the segments (or, of hot keys, the strings) to sort."""
+    """Compressed texts with their roles -> the segments (or, of hot keys, the strings) to sort."""
+    unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
         out: list[list] = [[], [], [], [], []]
-        for d, x, text, own, hot in zip(*[batch[c].to_pylist() for c in ("id", "sum", "text", "own", "hot")], strict=True):
-            own, hot = _joined(own), _joined(hot)
+        for d, x, z, roles in zip(*[batch[c].to_pylist() for c in ("id", "sub", "z", "roles")], strict=True):
+            _, own, hot = _roles_of(roles)
             if not len(own) and not len(hot):
                 continue
-            raw = text.encode()
+            raw = unpack(z)
             key, first, strings = segments(raw)
             seg = _segment_hashes(raw, first, strings)
             for i in np.flatnonzero(np.isin(seg, own)).tolist():
@@ -241,7 +307,7 @@ def _cut_representatives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
             yield pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
                                    pa.array(out[2], pa.int64()), pa.array(out[3], pa.int32()),
                                    pa.array(out[4], pa.binary())],
-                                  names=["shard_key", "id", "sum", "first", "bytes"])
+                                  names=["shard_key", "id", "sub", "first", "bytes"])
 
 
 def repeated_strings(contents: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -269,21 +335,27 @@ def repeated_strings(contents: list[bytes], docs: np.ndarray) -> tuple[np.ndarra
     return seg[order], offset[order]
 
 
-_RANGES = "id long, sum long, low int, high int"
+_RANGES = "id long, sub long, ranges binary"
 
 
 def _sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments sorted by shard key, doc_id and text -> byte ranges to remove."""
-
-    def frame(ids: list, sums: list, low: list, high: list) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(ids, pa.int64()), pa.array(sums, pa.int64()), pa.array(low, pa.int32()),
-                                pa.array(high, pa.int32())], names=["id", "sum", "low", "high"])
-
-    def work(held: dict[bytes, tuple[int, list[tuple[int, int]]]]) -> pa.RecordBatch:
+    """Segments sorted by shard key, doc_id and text -> byte ranges to remove, packed per text."""
+
+    def frame(ids: list, subs: list, low: list, high: list) -> pa.RecordBatch:
+        ids, subs = np.array(ids, dtype=np.int64), np.array(subs, dtype=np.int64)
+        pairs = np.column_stack([np.array(low, dtype="<u4"), np.array(high, dtype="<u4")]) if len(ids) else np.zeros((0, 2), "<u4")
+        order = np.lexsort((subs, ids))
+        ids, subs, pairs = ids[order], subs[order], np.ascontiguousarray(pairs[order])
+        new = np.flatnonzero(_starts_of(ids, subs))
+        packed = [pairs[a:b].tobytes() for a, b in zip(new.tolist(), [*new[1:].tolist(), len(ids)], strict=False)] if len(ids) else []
+        return pa.record_batch([pa.array(ids[new], pa.int64()), pa.array(subs[new], pa.int64()), pa.array(packed, pa.binary())],
+                               names=["id", "sub", "ranges"])
+
+    def work(held: dict[bytes, tuple[int, list[tuple[int, int]]]], copies: list[list]) -> pa.RecordBatch:
         contents = list(held)
         owners = list(held.values())
         seg, offset = repeated_strings(contents, np.array([d for d, _ in owners], dtype=np.int64))
-        ids, sums, low, high = [], [], [], []
+        ids, subs, low, high = copies
         if len(seg):
             runs = np.flatnonzero(np.r_[True, (seg[1:] != seg[:-1]) | (offset[1:] != offset[:-1] + 1)])
             lasts = np.r_[runs[1:], len(seg)] - 1
@@ -291,19 +363,19 @@ def _sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 d, places = owners[s]
                 for x, p in places:
                     ids.append(d)
-                    sums.append(x)
+                    subs.append(x)
                     low.append(p + a)
                     high.append(p + b + SPAN)
-        return frame(ids, sums, low, high)
+        return frame(ids, subs, low, high)
 
     held: dict[bytes, tuple[int, list[tuple[int, int]]]] = {}
+    copies: list[list] = [[], [], [], []]
     size, key = 0, None
     for batch in batches:
-        copies: list[list] = [[], [], [], []]
-        for k, d, x, a, c in zip(*[batch[n].to_pylist() for n in ("shard_key", "id", "sum", "first", "bytes")], strict=True):
+        for k, d, x, a, c in zip(*[batch[n].to_pylist() for n in ("shard_key", "id", "sub", "first", "bytes")], strict=True):
             if k != key and size >= SHARD_BYTES:  # equal strings have equal keys: cut between keys
-                yield work(held)
-                held, size = {}, 0
+                yield work(held, copies)
+                held, copies, size = {}, [[], [], [], []], 0
             key = k
             if c not in held:
                 held[c] = (d, [(x, a)])
@@ -314,9 +386,11 @@ def _sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:  # rows come by doc_id: an equal segment or string of a smaller one is held
                 for values, v in zip(copies, (d, x, a, a + len(c)), strict=True):
                     values.append(v)
-        yield frame(*copies)
+        if len(copies[0]) > PACK_ROWS:
+            yield frame(*copies)
+            copies = [[], [], [], []]
     if held:
-        yield work(held)
+        yield work(held, copies)
 
 
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -324,12 +398,12 @@ _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256
 
 def _remove(keep_bytes: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out: list[list] = [[] for _ in range(6)]
-            for d, text, copies, ranges in zip(*[batch[c].to_pylist() for c in (
-                    "doc_id", "text", "copies", "ranges")], strict=True):
-                raw = text.encode()
-                n, copies = len(raw), _joined(copies)
+            for d, z, roles, ranges in zip(*[batch[c].to_pylist() for c in ("doc_id", "z", "roles", "ranges")], strict=True):
+                raw = unpack(z)
+                n, (copies, _, _) = len(raw), _roles_of(roles)
                 kept, gone, spans = raw, 0, 0
                 if len(copies) or ranges:
                     change = np.zeros(n + 1, dtype=np.int32)
@@ -338,9 +412,10 @@ def _remove(keep_bytes: bool):
                         hit = np.isin(_segment_hashes(raw, first, strings), copies)
                         np.add.at(change, first[hit], 1)
                         np.add.at(change, first[hit] + strings[hit] + SPAN - 1, -1)
-                    for r in ranges or []:
-                        change[r["low"]] += 1
-                        change[r["high"]] -= 1
+                    if ranges:
+                        pairs = np.frombuffer(b"".join(ranges), "<u4").reshape(-1, 2)
+                        np.add.at(change, pairs[:, 0], 1)
+                        np.add.at(change, pairs[:, 1], -1)
                     mask = np.cumsum(change[:-1]) > 0
                     gone = int(mask.sum())
                     spans = int((np.diff(np.r_[0, mask.astype(np.int8)]) == 1).sum())
@@ -355,32 +430,52 @@ def _remove(keep_bytes: bool):
     return run
 
 
+def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed bytes, which is what their exchange writes."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch["id"], batch["sub"], pa.array(
+            [pack(t.encode()) for t in batch["text"].to_pylist()], pa.binary())], names=["id", "sub", "z"])
+
+
 def without_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     """documents -> (doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept), a row per row.
 
     ``kept`` holds the remaining bytes (null without ``keep_bytes``)."""
     n = partitions(docs.sparkSession)
-    texts = document_columns(docs, "doc_id", "text").select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64(text_or_empty()).alias("sum"),
-        text_or_empty().alias("text"))
-    n_buckets = n * BUCKETS_PER_PARTITION
-    lists = texts.mapInArrow(_list_segments(n_buckets), _LISTS)
-    roles = (lists.repartition(n, "bucket").sortWithinPartitions("bucket")
-             .mapInArrow(_assign_roles, _ROLES))
-    roles = written(roles, "repeat_roles").groupBy("id", "sum").agg(  # bounded by the document's own length
-        F.collect_list("copies").alias("copies"), F.collect_list("own").alias("own"),
-        F.collect_list("hot").alias("hot"))
-    # left joins on purpose: both read the texts by the same exchange
-    wanted = texts.join(roles.select("id", "sum", "own", "hot"), ["id", "sum"], "left").select("id", "sum", "text", "own", "hot")
-    ranges = (wanted.mapInArrow(_cut_representatives, _SEGMENTS)
-              .repartition(n, "shard_key").sortWithinPartitions("shard_key", "id", "sum", "first")
+    texts = numbered_texts(docs)
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_buckets = max(n, size // 16 // BUCKET_ROWS)
+    roles = (texts.mapInArrow(_list_segments(n_buckets), _LISTS)
+             .repartition(n, "bucket").sortWithinPartitions("bucket", "kind")
+             .mapInArrow(_assign_roles, _ROLES)
+             .groupBy("id", "sub").agg(F.collect_list("roles").alias("roles")))  # bounded by the document's own length
+    # left joins on purpose: both read the texts and the roles by the same exchanges
+    packed = texts.mapInArrow(_compress, "id long, sub long, z binary").join(roles, ["id", "sub"], "left")
+    ranges = (packed.mapInArrow(_cut_representatives, _SEGMENTS)
+              .repartition(n, "shard_key").sortWithinPartitions("shard_key", "id", "sub", "first")
               .mapInArrow(_sort_shards, _RANGES)
-              .groupBy("id", "sum").agg(F.collect_set(F.struct("low", "high")).alias("ranges")))
-    told = roles.select("id", "sum", "copies").join(ranges, ["id", "sum"], "full")
-    return (texts.join(told, ["id", "sum"], "left")
-            .select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "text", "copies", "ranges")
+              .groupBy("id", "sub").agg(F.collect_list("ranges").alias("ranges")))
+    return (packed.join(ranges, ["id", "sub"], "left")
+            .select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "z", "roles", "ranges")
             .mapInArrow(_remove(keep_bytes), _RESULT))
 
 
+def numbered_texts(docs: DataFrame) -> DataFrame:
+    """documents -> (id, sub, text): ``sub`` tells the texts of one doc_id (or of none) apart, and is 0
+    for a doc_id with one text."""
+    rows = document_columns(docs, "doc_id", "text").select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), text_or_empty().alias("text"))
+    summed = rows.withColumn("sum", F.xxhash64("text"))
+    pairs = written(summed.select("id", "sum").distinct(), "repeat_texts")
+    several = pairs.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
+    shared = written(pairs.join(several, "id", "left_semi").withColumn("sub", F.monotonically_increasing_id() + 1), "repeat_shared")
+    few = shared.count()
+    if not few:
+        return rows.select("id", F.lit(0).cast("long").alias("sub"), "text")
+    told = summed.join(F.broadcast(shared) if few <= BROADCAST_SHARED else shared, ["id", "sum"], "left")
+    return told.select("id", F.coalesce("sub", F.lit(0).cast("long")).alias("sub"), "text")
+
+
 def op3_induced_suffix_sort(spark, sf_dir: str) -> DataFrame:
     return without_repeats(documents(spark, sf_dir), keep_bytes=False).drop("kept")
