@@ -168,37 +168,45 @@ def mixed_blocks(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_passes
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
-    """documents -> (doc_id, size, source_size, target, taken), a row per row."""
+    """documents -> (doc_id, size, source_size, target, taken, shards), a row per row: ``shards`` lists
+    shard:words of every shard that takes from the document."""
     sizes, blocks = mixed_blocks(docs)
     # blocks of one document lie in several shards; their words add up
     taken = blocks.groupBy("shard", "doc_id", "source_key", "size", "copy").agg(F.sum("drawn").alias("t"))
     ids = ["doc_id", "source_key", "size", "copy"]
-    every = sizes.select(*ids, "source_size", "target", F.lit(0).cast("long").alias("t")).unionByName(
-        taken.select(*ids, F.lit(None).cast("long").alias("source_size"),
-                     F.lit(None).cast("double").alias("target"), "t"))
+    every = sizes.select(*ids, "source_size", "target", F.lit(0).cast("long").alias("t"), F.lit(None).cast("int").alias("shard")
+                         ).unionByName(taken.select(*ids, F.lit(None).cast("long").alias("source_size"),
+                                                    F.lit(None).cast("double").alias("target"), "t", "shard"))
+    from_shard = F.when(F.col("shard").isNotNull(), F.struct("shard", "t"))  # at most OUTPUT_SHARDS
     return every.groupBy(*ids).agg(
         F.max("source_size").alias("source_size"), F.max("target").alias("target"),
-        F.sum("t").alias("taken")).select("doc_id", "size", "source_size", "target", "taken")
+        F.sum("t").alias("taken"), F.array_sort(F.collect_list(from_shard)).alias("s")).select(
+        "doc_id", "size", "source_size", "target", "taken",
+        F.array_join(F.transform("s", lambda x: F.concat_ws(":", x["shard"], x["t"])), ",").alias("shards"))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as rows with the columns of ``docs``: a document taken twice is two
     rows, a partly taken one a row whose text holds the drawn words (space-joined,
-    in order). ``n_chars``, where there is one, follows the text."""
+    in order). ``n_chars``, where there is one, follows the text.
+
+    A row lies where the tree has put its first drawn block: rows are dealt by shard and sorted, within
+    a task, by shard and the block's random place in it."""
     _, blocks = mixed_blocks(docs)
     key = F.coalesce(F.concat(F.lit("="), "source"), F.lit("-"))
     drawn = blocks.groupBy(
         "doc_id", F.col("source_key").alias("_source_key"), F.col("size").alias("_size"),
         F.col("copy").alias("_copy"), "pass").agg(
-        F.sum("drawn").alias("_drawn"), F.array_sort(F.collect_list(F.struct("first", "drawn"))).alias("_runs"))
+        F.sum("drawn").alias("_drawn"), F.array_sort(F.collect_list(F.struct("first", "drawn"))).alias("_runs"),
+        F.min_by(F.struct("shard", "place"), "first").alias("_at"))
     passes = drawn.groupBy(F.col("doc_id").alias("_id"), "_source_key", "_size", "_copy").agg(
-        F.array_sort(F.collect_list(F.struct("pass", "_drawn", "_runs"))).alias("_passes"))  # three at most
+        F.array_sort(F.collect_list(F.struct("pass", "_drawn", "_runs", "_at"))).alias("_passes"))  # three at most
     rows = docs.select("*", n_words().alias("_words"), key.alias("_key"))
-    same = Window.partitionBy("doc_id").orderBy("_key", "_words", F.xxhash64("text"))
-    rows = rows.withColumn("_nth", F.row_number().over(same) - F.rank().over(
-        Window.partitionBy("doc_id").orderBy("_key", "_words")) + 1)
-    joined = rows.join(passes, rows["doc_id"].eqNullSafe(passes["_id"])).where(
-        "_key = _source_key and _words = _size and _nth = _copy")
+    # rows of one doc_id, source and size are dealt their copies in the order of their texts
+    same = Window.partitionBy("doc_id", "_key", "_words").orderBy(F.xxhash64("text"))
+    rows = rows.withColumn("_nth", F.row_number().over(same))
+    joined = rows.join(passes, rows["doc_id"].eqNullSafe(passes["_id"]) & (F.col("_key") == F.col("_source_key"))
+                       & (F.col("_words") == F.col("_size")) & (F.col("_nth") == F.col("_copy")))
     out = joined.select(*[F.col(f"`{c}`") for c in docs.columns], "_words", F.explode("_passes").alias("_pass"))
     words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
     cut = F.array_join(F.flatten(F.transform(
@@ -208,7 +216,9 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     out = out.withColumns(changed)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    at = [F.col("_pass._at.shard").alias("_shard"), F.col("_pass._at.place").alias("_place")]
+    out = out.select(*[F.col(f"`{c}`") for c in docs.columns], *at)
+    return out.repartition("_shard").sortWithinPartitions("_shard", "_place").drop("_shard", "_place")
 
 
 def op4_splitting_tree(spark, sf_dir: str) -> DataFrame:

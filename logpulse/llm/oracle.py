@@ -7,21 +7,37 @@ from __future__ import annotations
 ORACLE_SQL: dict[str, str] = {
     "op8_preference_pairs": """
 WITH t AS (
-  SELECT CAST(floor(conv_id / 2.0) AS BIGINT) AS pair_id, conv_id % 2 = 0 AS is_chosen,
-         coalesce(turn, -1) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+  SELECT DISTINCT conv_id, coalesce(turn, -1) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
   FROM conversations WHERE conv_id IS NOT NULL),
-m AS (
-  SELECT pair_id, turn, role, text, bool_or(is_chosen) AS c, bool_or(NOT is_chosen) AS r
-  FROM t GROUP BY ALL),
-d AS (SELECT *, min(CASE WHEN NOT (c AND r) THEN turn END) OVER (PARTITION BY pair_id) AS first_diff FROM m),
+l AS (SELECT conv_id, max(turn) AS last FROM t WHERE role = 'assistant' GROUP BY conv_id),
+a AS (SELECT t.conv_id, last, min(text) AS answer FROM t JOIN l ON l.conv_id = t.conv_id
+      WHERE turn = last AND role = 'assistant' GROUP BY t.conv_id, last),
+o AS (SELECT *, row_number() OVER (ORDER BY sha256(conv_id::VARCHAR), conv_id) AS place, count(*) OVER () AS n FROM a),
+g AS (SELECT o.conv_id, o.last, d.answer AS other FROM o JOIN o d ON d.place = o.place % o.n + 1 WHERE d.conv_id <> o.conv_id),
+own AS (SELECT t.conv_id AS pair_id, t.turn, t.role, t.text, g.last FROM t JOIN g ON g.conv_id = t.conv_id
+        WHERE t.turn < g.last OR (t.turn = g.last AND t.role = 'assistant')),
+p AS (
+  SELECT pair_id, true AS is_chosen, turn, role, text FROM own
+  UNION ALL SELECT pair_id, false, turn, role, text FROM own WHERE turn < last
+  UNION ALL SELECT conv_id, false, last, 'assistant', other FROM g),
+m AS (SELECT pair_id, turn, role, text, bool_or(is_chosen) AS c, bool_or(NOT is_chosen) AS r FROM p GROUP BY ALL),
+d AS (SELECT *, min(CASE WHEN NOT (c AND r) THEN turn END) OVER (PARTITION BY pair_id) AS first_diff,
+             '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered FROM m),
 s AS (
   SELECT *, 'prompt' AS side FROM d WHERE first_diff IS NULL OR turn < first_diff
   UNION ALL SELECT *, 'chosen' FROM d WHERE turn >= first_diff AND c
-  UNION ALL SELECT *, 'rejected' FROM d WHERE turn >= first_diff AND r)
-SELECT pair_id, side, turn, role,
-       '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered,
-       side <> 'prompt' AND role = 'assistant' AS train
-FROM s
+  UNION ALL SELECT *, 'rejected' FROM d WHERE turn >= first_diff AND r),
+e AS (SELECT *, sum(length(rendered)) OVER (PARTITION BY pair_id, side ORDER BY turn, role, rendered
+                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS stop FROM s),
+f AS (SELECT *, CASE WHEN side <> 'prompt' AND role = 'assistant'
+                     THEN (stop - length(rendered) + length(role) + 5) || ':' || stop END AS stretch FROM e)
+SELECT pair_id,
+       coalesce(string_agg(rendered, '' ORDER BY stop) FILTER (WHERE side = 'prompt'), '') AS prompt,
+       coalesce(string_agg(rendered, '' ORDER BY stop) FILTER (WHERE side = 'chosen'), '') AS chosen,
+       coalesce(string_agg(rendered, '' ORDER BY stop) FILTER (WHERE side = 'rejected'), '') AS rejected,
+       coalesce(string_agg(stretch, ',' ORDER BY stop) FILTER (WHERE side = 'chosen'), '') AS chosen_train,
+       coalesce(string_agg(stretch, ',' ORDER BY stop) FILTER (WHERE side = 'rejected'), '') AS rejected_train
+FROM f GROUP BY pair_id HAVING count(*) FILTER (WHERE side <> 'prompt') > 0
 """,
     "op10_content_sort": r"""
 WITH d AS (

@@ -6,25 +6,29 @@ windows. The rest is judged by minimum-covariance-determinant estimates per
 distance from the group's robust centre exceeds ``REJECT``.
 
 The estimates use every row of a group, however large. A concentration step
-is one aggregation: rows are counted, summed and multiplied per (group,
+is one aggregation: rows are counted, summed and multiplied per (group, start,
 distance bin) before the shuffle, the bins of a group are added up in order
-of distance until ``COVERED`` of its rows are in, and their mean and
-covariance are the next estimate; only one row per group and bin leaves a
-task. The deterministic start is the median and interquartile range of each
-statistic, from binned counts. Groups under ``MIN_ROWS`` rows use the
-estimate of their language over all sources; a language under that many
+of distance until exactly ``COVERED`` of its rows are in, the last bin with the
+share of its rows that is wanted, and their mean and covariance are the next
+estimate; only one row per group, start and bin leaves a task. Steps go on until no
+determinant falls any more, from two deterministic starts (the median and
+interquartile range of each statistic, and with them the correlations of
+the spatial signs), and the smaller determinant wins. Groups under ``MIN_ROWS`` rows
+use the estimate of their language over all sources; a language under that many
 rows rejects nothing beyond the base rules.
 
 Transformed statistics: log of the word count, log of the mean word length,
 square roots of the shares of symbols, of repeated lines and of words in
-repeated windows. A spread below ``FLOOR`` is raised to it, so that a
-statistic that is constant in a group does not reject on a rounding error;
-other spreads are left as they are, so each statistic can reject alone.
+repeated windows. The last two are shares of a few lines or words in a short text, so
+``PRIOR_LINES`` lines and ``PRIOR_WORDS`` words that do not repeat are added. A
+spread below ``FLOOR`` is raised to it, so that a statistic that is constant in a group
+does not reject on a rounding error; other spreads are left as they are, so each
+statistic can reject alone.
 
 Defined cases: a null or blank text has no words and fails the base rules; null
-lang and source form groups of their own; whole texts are used; repeated
-rows give repeated result rows and count as often; an empty table gives no
-rows; other columns are ignored (and kept by ``keep_good``).
+lang and source form groups of their own; whole texts are used; equal rows (ties in
+distance) count alike; repeated rows give repeated result rows and count as often; an empty
+table gives no rows; other columns are ignored (and kept by ``keep_good``).
 """
 
 from __future__ import annotations
@@ -41,7 +45,10 @@ MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
 MIN_ROWS = 50
 COVERED = 0.6
-STEPS = 4
+#: At most so many concentration steps; they end when no log determinant changes by more than SETTLED.
+STEPS = 12
+SETTLED = 1e-4
+PRIOR_LINES, PRIOR_WORDS = 8, 64
 #: Squared distance: the chi-square quantile of the five statistics at 1 - 1e-5.
 REJECT = 30.856
 #: Smallest spread (standard deviation) of each transformed statistic; a larger one is left as it is.
@@ -95,10 +102,10 @@ def _stats(texts: pd.Series) -> pd.DataFrame:
 def _with_vector(stats: DataFrame) -> DataFrame:
     """Adds base_failed and the transformed statistics x0..x4 (zero for a text without words)."""
     n = F.greatest("n_words", F.lit(1)).cast("double")
-    share = lambda a, b: F.sqrt(F.col(a) / F.greatest(b, F.lit(1)))
+    share = lambda a, b, prior=0: F.sqrt(F.col(a) / F.greatest(F.col(b) + prior, F.lit(1)))
     vector = [F.log(n), F.log(F.greatest(F.col("word_chars"), F.lit(1)) / n),
-              share("n_symbols", "word_chars"), share("n_dup_lines", "n_lines"),
-              share("n_repeat_words", "n_words")]
+              share("n_symbols", "word_chars"), share("n_dup_lines", "n_lines", PRIOR_LINES),
+              share("n_repeat_words", "n_words", PRIOR_WORDS)]
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
     # rounded: sums then do not depend on the last bits
@@ -113,7 +120,7 @@ def _level(lang: Column, source: Column | None) -> Column:
 def _start(counts: pd.DataFrame) -> pd.DataFrame:
     """Binned counts of one group -> median centre and diagonal spread; none under MIN_ROWS rows."""
     if counts["n"].sum() < MIN_ROWS * P:  # a row counts once in each of the P dimensions
-        return pd.DataFrame({"g": [], "mean": [], "inv": []}, dtype=object)
+        return pd.DataFrame({"g": [], "start": [], "mean": [], "inv": [], "logdet": []}, dtype=object)
     mean, var = [], []
     for i in range(P):
         one = counts[counts["dim"] == i].sort_values("bin")
@@ -121,7 +128,18 @@ def _start(counts: pd.DataFrame) -> pd.DataFrame:
         q = [one["bin"].iloc[int(np.searchsorted(at, f * at[-1]))] / 64 for f in (0.25, 0.5, 0.75)]
         mean.append(q[1])
         var.append(((q[2] - q[0]) / 1.349) ** 2)
-    return _estimate(counts["g"].iloc[0], np.array(mean), _floored(np.diag(var)))
+    return _estimate(counts["g"].iloc[0], 0, np.array(mean), _floored(np.diag(var)))
+
+
+def _sign_start(sums: pd.DataFrame) -> pd.DataFrame:
+    """Sums of products of a group's spatial signs, with its first estimate -> the same centre and spreads, correlated."""
+    one = sums.iloc[0]
+    spread = np.sqrt(1 / np.diag(np.array(one["inv"]).reshape(P, P)))
+    signs = np.eye(P)
+    for i, j in PAIRS:
+        signs[i, j] = signs[j, i] = one[f"p{i}{j}"] + (i == j) * 1e-9
+    scale = np.sqrt(np.diag(signs))
+    return _estimate(one["g"], 1, np.array(one["mean"]), _floored(signs / np.outer(scale, scale) * np.outer(spread, spread)))
 
 
 def _floored(cov: np.ndarray) -> np.ndarray:
@@ -131,30 +149,31 @@ def _floored(cov: np.ndarray) -> np.ndarray:
     return (vector * np.maximum(value, 1.0)) @ vector.T * unit
 
 
-def _estimate(group: str, mean: np.ndarray, cov: np.ndarray) -> pd.DataFrame:
+def _estimate(group: str, start: int, mean: np.ndarray, cov: np.ndarray) -> pd.DataFrame:
     inv = np.linalg.inv(cov)
-    return pd.DataFrame({"g": [group], "mean": [np.round(mean, 9).tolist()],
-                         "inv": [np.round(inv, 9).ravel().tolist()]})
+    return pd.DataFrame({"g": [group], "start": [start], "mean": [np.round(mean, 9).tolist()],
+                         "inv": [np.round(inv, 9).ravel().tolist()], "logdet": [round(float(np.linalg.slogdet(cov)[1]), 9)]})
 
 
 def _concentrate(bins: pd.DataFrame) -> pd.DataFrame:
-    """Sums per distance bin of one group -> estimate from the nearest COVERED of its rows."""
+    """Sums per distance bin of one group and start -> estimate from the nearest COVERED of its rows."""
     bins = bins.sort_values("bin")
-    at = bins["n"].cumsum().to_numpy()
-    near = bins.iloc[: int(np.searchsorted(at, COVERED * at[-1])) + 1]
-    n = near["n"].sum()
-    mean = np.array([near[x].sum() for x in X]) / n
+    n = bins["n"].to_numpy(dtype=float)
+    before = np.cumsum(n) - n
+    wanted = COVERED * n.sum()
+    part = np.clip((wanted - before) / n, 0, 1)  # all of the near bins, of the last one what is missing
+    mean = np.array([(bins[x] * part).sum() for x in X]) / wanted
     cov = np.zeros((P, P))
     for i, j in PAIRS:
-        cov[i, j] = cov[j, i] = near[f"p{i}{j}"].sum() / n - mean[i] * mean[j]
+        cov[i, j] = cov[j, i] = (bins[f"p{i}{j}"] * part).sum() / wanted - mean[i] * mean[j]
     # the nearest share of a normal cloud is narrower than the cloud
-    return _estimate(bins["g"].iloc[0], mean, _floored(cov * CONSISTENCY))
+    return _estimate(bins["g"].iloc[0], int(bins["start"].iloc[0]), mean, _floored(cov * CONSISTENCY))
 
 
 #: Fixed value: COVERED / P(chi-square with 7 degrees of freedom <= the 5-degree COVERED quantile).
 CONSISTENCY = 1.6848
 
-_ESTIMATE = "g string, mean array<double>, inv array<double>"
+_ESTIMATE = "g string, start int, mean array<double>, inv array<double>, logdet double"
 
 
 def _distance() -> Column:
@@ -174,21 +193,32 @@ def _join_estimates(rows: DataFrame, estimates: DataFrame, how: str = "inner") -
 
 
 def fit(vectors: DataFrame) -> DataFrame:
-    """(lang, source, x0..x4) -> (g, mean, inv): one estimate per (lang, source) and per lang."""
+    """(lang, source, x0..x4) -> (g, mean, inv, logdet): one estimate per (lang, source) and per lang."""
     rows = vectors.select(F.explode(F.array(
         _level(F.col("lang"), F.col("source")), _level(F.col("lang"), None))).alias("g"), *X)
     counts = rows.select("g", F.posexplode(F.array(*[F.round(F.col(x) * 64).cast("long") for x in X]))
                          .alias("dim", "bin")).groupBy("g", "dim", "bin").agg(F.count(F.lit(1)).alias("n"))
     # no join by g here: it would be pushed below the counts and deal the rows by group
-    estimates = written(counts.groupBy("g").applyInPandas(_start, _ESTIMATE), "mcd")
+    first = written(counts.groupBy("g").applyInPandas(_start, _ESTIMATE), "mcd")
+    off = [(F.col(x) - F.col("mean")[i]) * F.sqrt(F.col("inv")[i * P + i]) for i, x in enumerate(X)]
+    length = F.greatest(sum((z * z for z in off), F.lit(0.0)), F.lit(1e-12))
+    signs = _join_estimates(rows, first).groupBy("g").agg(
+        *[F.sum(off[i] * off[j] / length).alias(f"p{i}{j}") for i, j in PAIRS])
+    second = signs.join(first, "g").groupBy("g").applyInPandas(_sign_start, _ESTIMATE)
+    estimates = written(first.unionByName(second), "mcd")
     for _ in range(STEPS):
         d = _join_estimates(rows, estimates).withColumn(
             "bin", F.floor(16 * F.log2(_distance() + 0.001)))
-        sums = d.groupBy("g", "bin").agg(
+        sums = d.groupBy("g", "start", "bin").agg(
             F.count(F.lit(1)).alias("n"), *[F.sum(x).alias(x) for x in X],
             *[F.sum(F.col(X[i]) * F.col(X[j])).alias(f"p{i}{j}") for i, j in PAIRS])
-        estimates = written(sums.groupBy("g").applyInPandas(_concentrate, _ESTIMATE), "mcd")
-    return estimates
+        before, estimates = estimates, written(sums.groupBy("g", "start").applyInPandas(_concentrate, _ESTIMATE), "mcd")
+        moved = estimates.join(before.select("g", "start", F.col("logdet").alias("was")), ["g", "start"]).agg(
+            F.max(F.abs(F.col("was") - F.col("logdet")))).first()[0]
+        if moved is None or moved <= SETTLED:
+            break
+    best = estimates.groupBy("g").agg(F.min_by(F.struct("mean", "inv", "logdet"), F.struct("logdet", "start")).alias("e"))
+    return written(best.select("g", "e.*"), "mcd_best")
 
 
 def judge(vectors: DataFrame, estimates: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import document_columns, documents, written
+from .common import document_columns, documents, text_or_empty, written
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -154,36 +154,42 @@ def fingerprint_links(nodes: DataFrame, max_bits: int = MAX_BITS,
     return pairs if near is None else pairs.union(near)
 
 
-def near_groups(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS,
-                max_bits: int = MAX_BITS) -> DataFrame:
-    """documents -> (doc_id, fingerprint, component_id), a row per row."""
+def _near_rows(docs: DataFrame, words_per_shingle: int, max_bits: int) -> DataFrame:
+    """documents -> (doc_id, sum, fp, root_id, root_fp), a row per row: a checksum of the text, its fingerprint and
+    the node that names its component (NO_ID for no doc_id)."""
     base = document_columns(docs, "doc_id", "text")
-    fps = written(base.select("doc_id", _fingerprints(words_per_shingle)("text").alias("fp")),
-                  "simhash_fingerprints")
+    fps = written(base.select("doc_id", F.xxhash64(text_or_empty()).alias("sum"),
+                              _fingerprints(words_per_shingle)("text").alias("fp")), "simhash_fingerprints")
     # a node is a distinct fingerprint, named by its smallest doc_id
-    nodes = fps.groupBy("fp").agg(F.coalesce(F.min("doc_id"), F.lit(None).cast("long")).alias("least"))
-    # several fingerprints may lack an id: those nodes are named below all ids by their fingerprint
+    nodes = fps.groupBy("fp").agg(F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("least"))
+    # several fingerprints may lack an id: those nodes are named after all ids by their fingerprint
     linked = connected_components(fingerprint_links(
-        nodes.select("fp", F.struct(F.coalesce("least", F.lit(NO_ID)).alias("id"), "fp").alias("node")),
-        max_bits))
-    roots = linked.select(F.col("u.fp").alias("fp"), F.col("v.id").alias("root"))
+        nodes.select("fp", F.struct(F.col("least").alias("id"), "fp").alias("node")), max_bits))
+    roots = linked.select(F.col("u.fp").alias("fp"), F.col("v.id").alias("root"), F.col("v.fp").alias("other"))
     named = written(nodes.join(roots, "fp", "left").select(
-        "fp", F.nullif(F.coalesce("root", "least", F.lit(NO_ID)), F.lit(NO_ID)).alias("component_id")),
+        "fp", F.coalesce("root", "least").alias("root_id"), F.coalesce("other", "fp").alias("root_fp")),
         "simhash_named")  # a table of its own, so that a fingerprint with many rows is split in the join
-    return fps.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return fps.join(named, "fp")
+
+
+def near_groups(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS,
+                max_bits: int = MAX_BITS) -> DataFrame:
+    """documents -> (doc_id, fingerprint, component_id), a row per row."""
+    return _near_rows(docs, words_per_shingle, max_bits).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.nullif("root_id", F.lit(NO_ID)).alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """One row of each group stays, all columns: that with the smallest doc_id.
-
-    Rows without a doc_id cannot be named as copies and stay; of repeated rows
-    with one doc_id one stays."""
-    kept = near_groups(docs.where(docs["doc_id"].isNotNull())).where(
-        "doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    named = (docs.join(kept, docs["doc_id"] == kept["_kept_id"], "left_semi")
-             .dropDuplicates(["doc_id"]))
-    return named.union(docs.where(docs["doc_id"].isNull()))
+    """One row of each group stays, all columns: that with the smallest doc_id (null last; of several texts
+    with it the one of the group's naming fingerprint), and of repeated rows one."""
+    rows = _near_rows(docs, SHINGLE_WORDS, MAX_BITS).where(
+        (F.coalesce("doc_id", F.lit(NO_ID)) == F.col("root_id")) & (F.col("fp") == F.col("root_fp")))
+    kept = rows.groupBy("root_id", "root_fp").agg(F.min("sum").alias("_kept_sum")).select(
+        F.nullif("root_id", F.lit(NO_ID)).alias("_kept_id"), "_kept_sum")
+    summed = docs.withColumn("_sum", F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
+    one = summed.join(kept, summed["doc_id"].eqNullSafe(kept["_kept_id"]) & (summed["_sum"] == kept["_kept_sum"]), "left_semi")
+    return one.dropDuplicates(["doc_id", "_sum"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op2_pigeonring_simhash(spark, sf_dir: str) -> DataFrame:

@@ -12,7 +12,8 @@ strings with one key travels as one segment (about one per 17 bytes).
    a bucket meets it once a task. Buckets grow in number with the input. A
    bucket keeps the keys that several documents hold; of equal segments the one of
    the smallest doc_id represents all, and the other holders lose every string of
-   it, as the representative starts it before them.
+   it, as the representative starts it before them. A representative without another
+   segment of its key has no strings in common with any other: it needs no sorting.
 2. Representatives are cut from the texts and sent to the shard of their
    key. Each shard sorts the suffixes of its segments, takes the permuted
    common prefixes, and in every stretch of suffixes that share 50 bytes the
@@ -58,7 +59,7 @@ BUCKET_ROWS = 1_000_000
 BROADCAST_SHARED = 200_000
 HOT_SEGMENTS = 20_000
 #: Bytes of segments that one suffix array is built over, at least one key.
-SHARD_BYTES = 3_000_000
+SHARD_BYTES = 1_500_000
 NO_ID = 2**63 - 1
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -158,7 +159,9 @@ def _list_segments(n_buckets: int):
             is_copy, marked = np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=bool)
             is_copy[by], marked[by] = copy, many
             segs = segs | (marked.astype(np.uint64) << np.uint64(47))
-            part = (keys % np.uint64(n_buckets)).astype(np.int64) * 2 + is_copy
+            # candidates go by their key, what is settled all together by its text
+            own = ((ids ^ subs).view("<u8") * _MIXER >> np.uint64(24)) % np.uint64(n_buckets)
+            part = np.where(is_copy, own[text], keys % np.uint64(n_buckets)).astype(np.int64) * 2 + is_copy
             by = np.argsort(part, kind="stable")  # texts stay in order
             cuts = np.searchsorted(part[by], np.arange(2 * n_buckets + 1))
             out = []
@@ -254,7 +257,8 @@ def _assign_roles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         shared = (np.minimum.reduceat(doc, first_key) != np.maximum.reduceat(doc, first_key)) | np.logical_or.reduceat(many, first_key)
         n_own = np.add.reduceat(new_seg.astype(np.int64), first_key)
         least = doc[np.flatnonzero(new_seg)][np.cumsum(new_seg) - 1]
-        own = (doc == least) & shared[of_key]  # texts of one doc_id represent it together
+        # texts of one doc_id represent it together; a segment alone with its key has no other to be sorted with
+        own = (doc == least) & shared[of_key] & (n_own > 1)[of_key]
         copy = (doc > least) & shared[of_key]
         role = np.where(copy, 0, np.where(own, np.where(n_own[of_key] > HOT_SEGMENTS, 2, 1), -1))
         at = np.flatnonzero(role >= 0)

@@ -22,6 +22,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: The pre-tokeniser's pattern of the vocabulary file, and its form for ASCII.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 PIECE_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+_SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 _WHOLE = re.compile("[\x1c-\x1fΣİ]|<\\|")
 #: Words (about 200 bytes each) and pieces per generation of a Python worker's caches. There are two: a full
 #: one becomes the old one, and what is met again moves over from there.
@@ -54,7 +55,7 @@ class TokenIds:
         """Ids of a run of letters, a digit or a run of signs; words differ more than their pieces do."""
         own = self.pieces.get(p)
         if own is None:
-            letters = p if p.isascii() else "".join(self.letters[b] for b in p.encode())
+            letters = p if p.isascii() else p.encode().decode("latin-1").translate(self.letters)
             own = array("H", [t.id for t in self.model.tokenize(letters)]).tobytes()
             if len(self.pieces) >= CACHE_WORDS:
                 self.pieces.clear()
@@ -86,8 +87,12 @@ class _Words(dict):
         own = self.old.get(word)
         if own is None:
             if word.isascii():
-                # nothing but letters is one piece
-                pieces = (word,) if word.isalpha() else PIECE_ASCII.findall(word)
+                # letters are one piece, and so are signs after them
+                core = word.rstrip(_SIGNS)
+                if core.isalpha():
+                    pieces = (word,) if len(core) == len(word) else (core, word[len(core):])
+                else:
+                    pieces = PIECE_ASCII.findall(word)
             else:
                 pieces = PIECE.findall(word)
             own = b"".join(map(self.ids.piece, pieces))

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from llm_support import SCHEMA, SF, edge, edge_rows, empty, row  # noqa: F401
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from logpulse.llm import mixing, packing, sharding
-from logpulse.llm.preference import neighbour_pairs, preference_turns
+from logpulse.llm.preference import answered_otherwise, neighbour_pairs, preference_pairs, preference_turns
 from logpulse.llm.queries import ORACLE_SQL, QUERIES
 from logpulse.llm.tokens import token_ids
 
@@ -67,6 +68,59 @@ def test_tree_deals_out_disjoint_blocks(spark, edge):
     assert set(per) <= set(range(8)) and max(per.values()) - min(per.get(k, 0) for k in range(8)) <= 3
 
 
+def test_shards_of_the_tree_reach_the_report_and_the_rows(spark, edge):
+    sizes, blocks = mixing.mixed_blocks(edge)
+    want = Counter()
+    for r in blocks.collect():
+        want[r.doc_id, r["size"], r.copy, r.shard] += r.drawn
+    got = Counter()
+    for r in mixing.mix_report(edge).collect():
+        parts = [tuple(map(int, p.split(":"))) for p in r.shards.split(",") if p]
+        assert sum(t for _, t in parts) == r.taken and parts == sorted(parts)
+        for shard, t in parts:
+            got[r.doc_id, shard] += t
+    summed = Counter()
+    for (d, _, _, shard), t in want.items():
+        summed[d, shard] += t
+    assert got == summed and len({s for _, s in got}) > 8
+    first = {}
+    for r in blocks.collect():
+        k = (r.doc_id, r.source_key, r["size"], r["pass"], r.copy)
+        first[k] = min(first.get(k, (r.first, r.shard, r.place)), (r.first, r.shard, r.place))
+    places = {d: {(s, p) for (x, *_), (_, s, p) in first.items() if x == d} for d in {k[0] for k in first}}
+    rows = mixing.mixed_documents(edge).select("doc_id", F.spark_partition_id().alias("part"),
+                                               F.monotonically_increasing_id().alias("at")).orderBy("at").collect()
+    assert len(rows) == len(first)
+    for part in {r.part for r in rows}:
+        low = (-1, -(1 << 63))  # some place of each row comes after one of the row before
+        for r in (r for r in rows if r.part == part):
+            low = min(p for p in places[r.doc_id] if p >= low)
+
+
+def test_tree_draws_follow_the_multivariate_hypergeometric():
+    quotas, shards, runs = [12, 30, 18], 4, 600
+    total = sum(quotas)
+    frame = pd.DataFrame({"source_key": ["a", "b", "c"], "quota": quotas})
+    drawn = np.array([[np.diff([0, *x["ends"].iloc[0]]) for x in mixing._tree(shards, seed)(iter([frame]))] for seed in range(runs)])
+    assert (drawn.sum(axis=2) == quotas).all() and (drawn.sum(axis=1) == total // shards).all()
+    n = total // shards
+    for s, q in enumerate(quotas):
+        mean, var = n * q / total, n * q / total * (1 - q / total) * (total - n) / (total - 1)
+        for j in range(shards):
+            x = drawn[:, s, j]
+            assert abs(x.mean() - mean) < 4.5 * (var / runs) ** 0.5 and 0.75 < x.var() / var < 1.3
+
+
+def test_matrix_draws_follow_the_hypergeometric(spark):
+    sizes = spark.createDataFrame([(0, 12), (1, 20), (2, 16)], "part long, n long").cache()
+    draws = np.array([[np.diff([0, *r.ends]) for r in sorted(sharding.communication_matrix(sizes, 48, 4, 4, seed).collect(), key=lambda r: r.part)]
+                      for seed in range(60)])
+    for p, q in enumerate((12, 20, 16)):
+        mean, var = q / 4, 12 * q / 48 * (1 - q / 48) * (48 - 12) / 47
+        assert (abs(draws[:, p].mean(axis=0) - mean) < 4.5 * (var / 60) ** 0.5).all()
+        assert 0.45 < draws[:, p].var() / var < 1.8
+
+
 def test_mixed_documents_hold_the_taken_words(edge):
     docs = mixing.mixed_documents(edge)
     assert docs.columns == edge.columns
@@ -244,6 +298,30 @@ def test_preference_prompt_is_the_longest_common_prefix(spark, empty):
     assert preference_turns(neighbour_pairs(frame.limit(0))).count() == 0
 
 
+def test_preference_pairs_share_a_prompt(spark, empty):
+    chat = [("user", "q1"), ("assistant", "a1"), ("user", "é2"), ("assistant", "a2"), ("user", "bye")]
+    rows = [(c, i, role, f"{text} of {c}") for c in range(6) for i, (role, text) in enumerate(chat[:2 + c % 4])]
+    rows += [(10, 0, "user", "nobody answers"), (None, 0, "assistant", "lost"), (11, None, None, None), (11, 1, "assistant", ""),
+             (11, 1, "assistant", ""), (12, 0, "assistant", "tie b"), (12, 0, "assistant", "tie a")]
+    schema = "conv_id long, turn long, role string, text string"
+    got = {r.pair_id: r for r in preference_pairs(answered_otherwise(spark.createDataFrame(rows, schema).repartition(3))).collect()}
+    assert set(got) == {*range(6), 11, 12}
+    for c in range(6):
+        turns = chat[:2 + c % 4]
+        turns = turns[:max(i for i, t in enumerate(turns) if t[0] == "assistant") + 1]
+        render = lambda ts: "".join(f"<|{role}|>\n{t} of {c}<|end|>\n" for role, t in ts)  # noqa: B023, E731
+        assert got[c].prompt == render(turns[:-1]) and got[c].chosen == render(turns[-1:])
+        a, b = map(int, got[c].chosen_train.split(":"))
+        assert got[c].chosen[a:b] == f"{turns[-1][1]} of {c}<|end|>\n"
+        a, b = map(int, got[c].rejected_train.split(":"))
+        assert got[c].rejected[a:b].endswith("<|end|>\n") and got[c].rejected != got[c].chosen
+    assert got[11].prompt.startswith("<|unknown|>\n<|end|>") and got[11].chosen_train == "14:22"
+    assert len(got[12].chosen_train.split(",")) == 2  # both of the tie
+    none = spark.createDataFrame([], schema)
+    assert preference_pairs(answered_otherwise(none)).count() == 0
+    assert preference_pairs(answered_otherwise(spark.createDataFrame([(1, 0, "assistant", "alone")], schema))).count() == 0
+
+
 @pytest.mark.parametrize("key", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, key):
     from logpulse.plans.compare import compare, duck_connection
