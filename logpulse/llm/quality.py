@@ -117,34 +117,40 @@ def _level(lang: Column, source: Column | None) -> Column:
     return F.concat_ws("\x00", part(lang), part(source) if source is not None else F.lit("*"))
 
 
-def _start(counts: pd.DataFrame) -> pd.DataFrame:
-    """Binned counts of one group -> median centre and diagonal spread; none under MIN_ROWS rows."""
-    if counts["n"].sum() < MIN_ROWS * P:  # a row counts once in each of the P dimensions
-        return pd.DataFrame({"g": [], "start": [], "mean": [], "inv": [], "logdet": []}, dtype=object)
-    mean, var = [], []
-    for i in range(P):
-        one = counts[counts["dim"] == i].sort_values("bin")
-        at = one["n"].cumsum().to_numpy()
-        q = [one["bin"].iloc[int(np.searchsorted(at, f * at[-1]))] / 64 for f in (0.25, 0.5, 0.75)]
-        mean.append(q[1])
-        var.append(((q[2] - q[0]) / 1.349) ** 2)
-    return _estimate(counts["g"].iloc[0], 0, np.array(mean), _floored(np.diag(var)))
-
-
-def _sign_start(sums: pd.DataFrame) -> pd.DataFrame:
-    """Sums of products of a group's spatial signs, with its first estimate -> the same centre and spreads, correlated."""
-    one = sums.iloc[0]
-    spread = np.sqrt(1 / np.diag(np.array(one["inv"]).reshape(P, P)))
-    signs = np.eye(P)
-    for i, j in PAIRS:
-        signs[i, j] = signs[j, i] = one[f"p{i}{j}"] + (i == j) * 1e-9
-    scale = np.sqrt(np.diag(signs))
-    return _estimate(one["g"], 1, np.array(one["mean"]), _floored(signs / np.outer(scale, scale) * np.outer(spread, spread)))
-
-
-def _floored(cov: np.ndarray) -> np.ndarray:
-    """The spread of each direction raised to 1 in units of FLOOR; larger ones are left as they are."""
-    unit = np.outer(FLOOR, FLOOR)
+def _start(min_rows: int, floor: tuple[float, ...]):
+    def run(counts: pd.DataFrame) -> pd.DataFrame:
+        """Binned counts of one group -> median centre and diagonal spread; none under MIN_ROWS rows."""
+        if counts["n"].sum() < min_rows * P:  # a row counts once in each of the P dimensions
+            return pd.DataFrame({"g": [], "start": [], "mean": [], "inv": [], "logdet": []}, dtype=object)
+        mean, var = [], []
+        for i in range(P):
+            one = counts[counts["dim"] == i].sort_values("bin")
+            at = one["n"].cumsum().to_numpy()
+            q = [one["bin"].iloc[int(np.searchsorted(at, f * at[-1]))] / 64 for f in (0.25, 0.5, 0.75)]
+            mean.append(q[1])
+            var.append(((q[2] - q[0]) / 1.349) ** 2)
+        return _estimate(counts["g"].iloc[0], 0, np.array(mean), _floored(np.diag(var), floor))
+
+    return run
+
+
+def _sign_start(floor: tuple[float, ...]):
+    def run(sums: pd.DataFrame) -> pd.DataFrame:
+        """Sums of products of a group's spatial signs, with its first estimate -> the same centre and spreads, correlated."""
+        one = sums.iloc[0]
+        spread = np.sqrt(1 / np.diag(np.array(one["inv"]).reshape(P, P)))
+        signs = np.eye(P)
+        for i, j in PAIRS:
+            signs[i, j] = signs[j, i] = one[f"p{i}{j}"] + (i == j) * 1e-9
+        scale = np.sqrt(np.diag(signs))
+        return _estimate(one["g"], 1, np.array(one["mean"]), _floored(signs / np.outer(scale, scale) * np.outer(spread, spread), floor))
+
+    return run
+
+
+def _floored(cov: np.ndarray, floor: tuple[float, ...]) -> np.ndarray:
+    """The spread of each direction raised to 1 in units of ``floor``; larger ones are left as they are."""
+    unit = np.outer(floor, floor)
     value, vector = np.linalg.eigh(cov / unit)
     return (vector * np.maximum(value, 1.0)) @ vector.T * unit
 
@@ -155,19 +161,22 @@ def _estimate(group: str, start: int, mean: np.ndarray, cov: np.ndarray) -> pd.D
                          "inv": [np.round(inv, 9).ravel().tolist()], "logdet": [round(float(np.linalg.slogdet(cov)[1]), 9)]})
 
 
-def _concentrate(bins: pd.DataFrame) -> pd.DataFrame:
-    """Sums per distance bin of one group and start -> estimate from the nearest COVERED of its rows."""
-    bins = bins.sort_values("bin")
-    n = bins["n"].to_numpy(dtype=float)
-    before = np.cumsum(n) - n
-    wanted = COVERED * n.sum()
-    part = np.clip((wanted - before) / n, 0, 1)  # all of the near bins, of the last one what is missing
-    mean = np.array([(bins[x] * part).sum() for x in X]) / wanted
-    cov = np.zeros((P, P))
-    for i, j in PAIRS:
-        cov[i, j] = cov[j, i] = (bins[f"p{i}{j}"] * part).sum() / wanted - mean[i] * mean[j]
-    # the nearest share of a normal cloud is narrower than the cloud
-    return _estimate(bins["g"].iloc[0], int(bins["start"].iloc[0]), mean, _floored(cov * CONSISTENCY))
+def _concentrate(floor: tuple[float, ...]):
+    def run(bins: pd.DataFrame) -> pd.DataFrame:
+        """Sums per distance bin of one group and start -> estimate from the nearest COVERED of its rows."""
+        bins = bins.sort_values("bin")
+        n = bins["n"].to_numpy(dtype=float)
+        before = np.cumsum(n) - n
+        wanted = COVERED * n.sum()
+        part = np.clip((wanted - before) / n, 0, 1)  # all of the near bins, of the last one what is missing
+        mean = np.array([(bins[x] * part).sum() for x in X]) / wanted
+        cov = np.zeros((P, P))
+        for i, j in PAIRS:
+            cov[i, j] = cov[j, i] = (bins[f"p{i}{j}"] * part).sum() / wanted - mean[i] * mean[j]
+        # the nearest share of a normal cloud is narrower than the cloud
+        return _estimate(bins["g"].iloc[0], int(bins["start"].iloc[0]), mean, _floored(cov * CONSISTENCY, floor))
+
+    return run
 
 
 #: Fixed value: COVERED / P(chi-square with 7 degrees of freedom <= the 5-degree COVERED quantile).
@@ -192,19 +201,19 @@ def _join_estimates(rows: DataFrame, estimates: DataFrame, how: str = "inner") -
     return rows.join(F.broadcast(estimates) if small else estimates, "g", how)
 
 
-def fit(vectors: DataFrame) -> DataFrame:
+def fit(vectors: DataFrame, min_rows: int = MIN_ROWS, floor: tuple[float, ...] = FLOOR) -> DataFrame:
     """(lang, source, x0..x4) -> (g, mean, inv, logdet): one estimate per (lang, source) and per lang."""
     rows = vectors.select(F.explode(F.array(
         _level(F.col("lang"), F.col("source")), _level(F.col("lang"), None))).alias("g"), *X)
     counts = rows.select("g", F.posexplode(F.array(*[F.round(F.col(x) * 64).cast("long") for x in X]))
                          .alias("dim", "bin")).groupBy("g", "dim", "bin").agg(F.count(F.lit(1)).alias("n"))
     # no join by g here: it would be pushed below the counts and deal the rows by group
-    first = written(counts.groupBy("g").applyInPandas(_start, _ESTIMATE), "mcd")
+    first = written(counts.groupBy("g").applyInPandas(_start(min_rows, floor), _ESTIMATE), "mcd")
     off = [(F.col(x) - F.col("mean")[i]) * F.sqrt(F.col("inv")[i * P + i]) for i, x in enumerate(X)]
     length = F.greatest(sum((z * z for z in off), F.lit(0.0)), F.lit(1e-12))
     signs = _join_estimates(rows, first).groupBy("g").agg(
         *[F.sum(off[i] * off[j] / length).alias(f"p{i}{j}") for i, j in PAIRS])
-    second = signs.join(first, "g").groupBy("g").applyInPandas(_sign_start, _ESTIMATE)
+    second = signs.join(first, "g").groupBy("g").applyInPandas(_sign_start(floor), _ESTIMATE)
     estimates = written(first.unionByName(second), "mcd")
     for _ in range(STEPS):
         d = _join_estimates(rows, estimates).withColumn(
@@ -212,7 +221,7 @@ def fit(vectors: DataFrame) -> DataFrame:
         sums = d.groupBy("g", "start", "bin").agg(
             F.count(F.lit(1)).alias("n"), *[F.sum(x).alias(x) for x in X],
             *[F.sum(F.col(X[i]) * F.col(X[j])).alias(f"p{i}{j}") for i, j in PAIRS])
-        before, estimates = estimates, written(sums.groupBy("g", "start").applyInPandas(_concentrate, _ESTIMATE), "mcd")
+        before, estimates = estimates, written(sums.groupBy("g", "start").applyInPandas(_concentrate(floor), _ESTIMATE), "mcd")
         moved = estimates.join(before.select("g", "start", F.col("logdet").alias("was")), ["g", "start"]).agg(
             F.max(F.abs(F.col("was") - F.col("logdet")))).first()[0]
         if moved is None or moved <= SETTLED:

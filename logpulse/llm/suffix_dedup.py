@@ -229,58 +229,61 @@ def _roles_of(parts: list[bytes] | None) -> tuple[np.ndarray, np.ndarray, np.nda
     return tuple(np.concatenate(v) if v else none for v in split)
 
 
-def _assign_roles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _assign_roles(hot_segments: int):
     """Lists sorted by bucket and kind -> per text: segments it repeats from a smaller
     doc_id, segments it represents, and those of them with a hot key."""
 
-    def texts(row: dict) -> tuple[np.ndarray, np.ndarray]:
-        ids = (np.frombuffer(row["low"], "<u4").astype(np.uint64) | np.frombuffer(row["high"], "<u4").astype(np.uint64) << np.uint64(32))
-        counts = np.frombuffer(row["counts"], "u1")
-        return np.repeat(ids.view(np.int64), counts), np.repeat(np.frombuffer(row["subs"], "<i8"), counts)
-
-    def decide(lists: list[dict]) -> pa.RecordBatch | None:
-        parts = [texts(x) for x in lists]
-        doc, text = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
-        key = np.concatenate([_from_short(x["keys"], 5) for x in lists])
-        seg = np.concatenate([_from_short(x["segs"], 6) for x in lists])
-        many, seg = seg >> np.uint64(47) > 0, seg & _SEGMENT_MASK
-        order = np.lexsort((text, doc, seg, key))
-        key, seg, doc, text, many = key[order], seg[order], doc[order], text[order], many[order]
-        # repeated rows count once
-        first = np.flatnonzero(_starts_of(key, seg, doc, text))
-        many = np.logical_or.reduceat(many, first)
-        key, seg, doc, text = key[first], seg[first], doc[first], text[first]
-        new_key = _starts_of(key)
-        new_seg = _starts_of(key, seg)
-        first_key = np.flatnonzero(new_key)
-        of_key = np.cumsum(new_key) - 1
-        shared = (np.minimum.reduceat(doc, first_key) != np.maximum.reduceat(doc, first_key)) | np.logical_or.reduceat(many, first_key)
-        n_own = np.add.reduceat(new_seg.astype(np.int64), first_key)
-        least = doc[np.flatnonzero(new_seg)][np.cumsum(new_seg) - 1]
-        # texts of one doc_id represent it together; a segment alone with its key has no other to be sorted with
-        own = (doc == least) & shared[of_key] & (n_own > 1)[of_key]
-        copy = (doc > least) & shared[of_key]
-        role = np.where(copy, 0, np.where(own, np.where(n_own[of_key] > HOT_SEGMENTS, 2, 1), -1))
-        at = np.flatnonzero(role >= 0)
-        if not len(at):
-            return None
-        at = at[np.lexsort((role[at], text[at], doc[at]))]
-        return _packed_roles(doc[at], text[at], role[at], seg[at])
-
-    lists: list[dict] = []
-    for batch in batches:
-        for row in batch.to_pylist():
-            if row["kind"]:  # settled in its task
-                ids, subs = texts(row)
-                yield _packed_roles(ids, subs, np.zeros(len(ids), dtype=np.int64), _from_short(row["segs"], 6))
-                continue
-            if lists and row["bucket"] != lists[0]["bucket"]:
-                if (out := decide(lists)) is not None:
-                    yield out
-                lists = []
-            lists.append(row)
-    if lists and (out := decide(lists)) is not None:
-        yield out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def texts(row: dict) -> tuple[np.ndarray, np.ndarray]:
+            ids = (np.frombuffer(row["low"], "<u4").astype(np.uint64) | np.frombuffer(row["high"], "<u4").astype(np.uint64) << np.uint64(32))
+            counts = np.frombuffer(row["counts"], "u1")
+            return np.repeat(ids.view(np.int64), counts), np.repeat(np.frombuffer(row["subs"], "<i8"), counts)
+
+        def decide(lists: list[dict]) -> pa.RecordBatch | None:
+            parts = [texts(x) for x in lists]
+            doc, text = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+            key = np.concatenate([_from_short(x["keys"], 5) for x in lists])
+            seg = np.concatenate([_from_short(x["segs"], 6) for x in lists])
+            many, seg = seg >> np.uint64(47) > 0, seg & _SEGMENT_MASK
+            order = np.lexsort((text, doc, seg, key))
+            key, seg, doc, text, many = key[order], seg[order], doc[order], text[order], many[order]
+            # repeated rows count once
+            first = np.flatnonzero(_starts_of(key, seg, doc, text))
+            many = np.logical_or.reduceat(many, first)
+            key, seg, doc, text = key[first], seg[first], doc[first], text[first]
+            new_key = _starts_of(key)
+            new_seg = _starts_of(key, seg)
+            first_key = np.flatnonzero(new_key)
+            of_key = np.cumsum(new_key) - 1
+            shared = (np.minimum.reduceat(doc, first_key) != np.maximum.reduceat(doc, first_key)) | np.logical_or.reduceat(many, first_key)
+            n_own = np.add.reduceat(new_seg.astype(np.int64), first_key)
+            least = doc[np.flatnonzero(new_seg)][np.cumsum(new_seg) - 1]
+            # texts of one doc_id represent it together; a segment alone with its key has no other to be sorted with
+            own = (doc == least) & shared[of_key] & (n_own > 1)[of_key]
+            copy = (doc > least) & shared[of_key]
+            role = np.where(copy, 0, np.where(own, np.where(n_own[of_key] > hot_segments, 2, 1), -1))
+            at = np.flatnonzero(role >= 0)
+            if not len(at):
+                return None
+            at = at[np.lexsort((role[at], text[at], doc[at]))]
+            return _packed_roles(doc[at], text[at], role[at], seg[at])
+
+        lists: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["kind"]:  # settled in its task
+                    ids, subs = texts(row)
+                    yield _packed_roles(ids, subs, np.zeros(len(ids), dtype=np.int64), _from_short(row["segs"], 6))
+                    continue
+                if lists and row["bucket"] != lists[0]["bucket"]:
+                    if (out := decide(lists)) is not None:
+                        yield out
+                    lists = []
+                lists.append(row)
+        if lists and (out := decide(lists)) is not None:
+            yield out
+
+    return run
 
 
 _SEGMENTS = "shard_key long, id long, sub long, first int, bytes binary"
@@ -452,7 +455,7 @@ def without_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     n_buckets = max(n, size // 16 // BUCKET_ROWS)
     roles = (texts.mapInArrow(_list_segments(n_buckets), _LISTS)
              .repartition(n, "bucket").sortWithinPartitions("bucket", "kind")
-             .mapInArrow(_assign_roles, _ROLES)
+             .mapInArrow(_assign_roles(HOT_SEGMENTS), _ROLES)
              .groupBy("id", "sub").agg(F.collect_list("roles").alias("roles")))  # bounded by the document's own length
     # left joins on purpose: both read the texts and the roles by the same exchanges
     packed = texts.mapInArrow(_compress, "id long, sub long, z binary").join(roles, ["id", "sub"], "left")

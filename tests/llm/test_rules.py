@@ -310,12 +310,10 @@ def test_overlapping_spans_are_replaced_together(spark):
     assert frame.select(replaced(F.col("t"), F.col("s"), lambda s: F.lit("#"))).first()[0] == "a#g"
 
 
-def test_estimate_equals_the_best_subset_of_a_small_group(spark, monkeypatch):
+def test_estimate_equals_the_best_subset_of_a_small_group(spark):
     """All 125,970 subsets of 12 of 20 rows: the smallest determinant, up to the width of a bin."""
     from itertools import combinations
 
-    monkeypatch.setattr(quality, "MIN_ROWS", 10)
-    monkeypatch.setattr(quality, "FLOOR", (1e-4,) * 5)
     rng = np.random.default_rng(73)
     subsets = np.array(list(combinations(range(20), 12)))
     rows, best, sets = [], {}, {}
@@ -326,7 +324,7 @@ def test_estimate_equals_the_best_subset_of_a_small_group(spark, monkeypatch):
         best[f"s{g}"], sets[f"s{g}"] = np.linalg.slogdet(cov * quality.CONSISTENCY)[1].min(), x
         rows += [("en", f"s{g}", *map(float, v)) for v in x]
     vectors = spark.createDataFrame(rows, "lang string, source string, " + ", ".join(f"{x} double" for x in quality.X))
-    found = {r.g.split("=")[-1]: r for r in quality.fit(vectors).collect()}
+    found = {r.g.split("=")[-1]: r for r in quality.fit(vectors, 10, (1e-4,) * 5).collect()}
     for name, least in best.items():
         x = sets[name]
         plain = np.linalg.slogdet(np.cov(x.T) * quality.CONSISTENCY)[1]
@@ -341,7 +339,7 @@ def test_cover_takes_exactly_its_share(spark):
     values = [0.0] * 90 + [1.0] * 10
     bins = pd.DataFrame([{"g": "g", "start": 0, "bin": b, "n": n, **{x: v * n for x in quality.X},
                           **{f"p{i}{j}": v * v * n for i, j in quality.PAIRS}} for b, n, v in ((0, 50, 0.0), (5, 50, sum(values) / 50))])
-    e = quality._concentrate(bins).iloc[0]
+    e = quality._concentrate(quality.FLOOR)(bins).iloc[0]
     assert np.allclose(e["mean"], 10 * 0.2 / 60)  # 50 rows of zeros and 10 of the second bin's mean
 
 
