@@ -15,7 +15,8 @@ strings with one key travels as one segment (about one per 17 bytes).
    it, as the representative starts it before them. A representative without another
    segment of its key has no strings in common with any other: it needs no sorting.
 2. Representatives are cut from the texts and sent to the shard of their
-   key. Each shard sorts the suffixes of its segments, takes the permuted
+   key. Each shard leaves out the segments that agree with no other in enough bytes
+   beside the key's place to have a string in common, sorts the suffixes of the rest, takes the permuted
    common prefixes, and in every stretch of suffixes that share 50 bytes the
    strings of larger doc_ids than the smallest go. Keys with more than
    ``HOT_SEGMENTS`` representatives send single strings, sharded by the whole
@@ -58,8 +59,9 @@ BUCKET_ROWS = 1_000_000
 #: (doc_id, checksum) of texts that share a doc_id are broadcast up to here, and joined beyond.
 BROADCAST_SHARED = 200_000
 HOT_SEGMENTS = 20_000
-#: Bytes of segments that one suffix array is built over, at least one key.
-SHARD_BYTES = 1_500_000
+#: Bytes of segments that a task holds, and that one suffix array is built over, at least one key.
+SHARD_BYTES = 4_000_000
+SORT_BYTES = 1_500_000
 NO_ID = 2**63 - 1
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -149,11 +151,11 @@ def _list_segments(n_buckets: int):
             keys = np.concatenate([held[i][0] for i in order])
             segs = np.concatenate([held[i][1] for i in order])
             text = np.repeat(np.arange(len(order)), [len(held[i][0]) for i in order])
-            # the segment's smallest doc_id in this task comes first
-            by = np.lexsort((text, segs, keys))
-            k, g, d = keys[by], segs[by], ids[text[by]]
-            start = np.flatnonzero(_starts_of(k, g))
-            size = np.diff(np.r_[start, len(k)])
+            # equal segments have equal keys; the one of the smallest doc_id in this task comes first
+            by = np.argsort(segs, kind="stable")
+            g, d = segs[by], ids[text[by]]
+            start = np.flatnonzero(_starts_of(g))
+            size = np.diff(np.r_[start, len(g)])
             copy = d != np.repeat(d[start], size)
             many = np.repeat(np.logical_or.reduceat(copy, start), size) & ~copy
             is_copy, marked = np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=bool)
@@ -162,7 +164,7 @@ def _list_segments(n_buckets: int):
             # candidates go by their key, what is settled all together by its text
             own = ((ids ^ subs).view("<u8") * _MIXER >> np.uint64(24)) % np.uint64(n_buckets)
             part = np.where(is_copy, own[text], keys % np.uint64(n_buckets)).astype(np.int64) * 2 + is_copy
-            by = np.argsort(part, kind="stable")  # texts stay in order
+            by = np.argsort(part.astype(np.uint16) if 2 * n_buckets < 1 << 16 else part, kind="stable")  # texts stay in order
             cuts = np.searchsorted(part[by], np.arange(2 * n_buckets + 1))
             out = []
             for p in np.flatnonzero(np.diff(cuts)).tolist():
@@ -317,6 +319,40 @@ def _cut_representatives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
                                   names=["shard_key", "id", "sub", "first", "bytes"])
 
 
+def may_share(contents: list[bytes]) -> np.ndarray:
+    """Which segments may have a SPAN-byte string in common with another one.
+
+    Every string of a segment holds the gram with its smallest hash, and half of what the string has beside the gram
+    lies on one side of it. So two segments with a common string agree in the gram and that half to its left
+    or to its right; those that agree so with no other are left out."""
+    length = np.array([len(c) for c in contents], dtype=np.int64)
+    start = np.cumsum(length) - length
+    a = np.frombuffer(b"".join(contents), np.uint8).astype(np.uint64) + np.uint64(1)
+    h = _gram_hashes(a)
+    seg = np.repeat(np.arange(len(contents)), length)
+    inside = np.arange(len(h)) + GRAM <= (start + length)[seg[:len(h)]]
+    least = np.minimum.reduceat(np.where(inside, h, np.uint64(0xFFFFFFFFFFFFFFFF)), start)
+    at = np.flatnonzero(inside & (h == least[seg[:len(h)]]))
+    half = (SPAN - GRAM) // 2
+    beside = np.zeros(len(a) - half + 1, dtype=np.uint64)
+    for i in range(half):
+        beside = beside * _POWER[1] + a[i:len(a) - half + 1 + i]
+    owner = seg[at]
+    left, right = at - half >= start[owner], at + GRAM + half <= (start + length)[owner]
+    value = np.r_[(beside[at[left] - half] ^ least[owner[left]]) * _MIXER,
+                  (beside[at[right] + GRAM] + least[owner[right]]) * _POWER[2]]
+    owner = np.r_[owner[left], owner[right]]
+    order = np.lexsort((owner, value))
+    value, owner = value[order], owner[order]
+    once = _starts_of(value, owner)
+    value, owner = value[once], owner[once]
+    first = np.flatnonzero(_starts_of(value))
+    size = np.diff(np.r_[first, len(value)])
+    out = np.zeros(len(contents), dtype=bool)
+    out[owner[np.repeat(size > 1, size)]] = True
+    return out
+
+
 def repeated_strings(contents: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Segments and the smallest doc_id of each -> (segment, offset) of the SPAN-byte
     strings that some segment of a smaller doc_id has too."""
@@ -358,34 +394,40 @@ def _sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.record_batch([pa.array(ids[new], pa.int64()), pa.array(subs[new], pa.int64()), pa.array(packed, pa.binary())],
                                names=["id", "sub", "ranges"])
 
-    def work(held: dict[bytes, tuple[int, list[tuple[int, int]]]], copies: list[list]) -> pa.RecordBatch:
-        contents = list(held)
-        owners = list(held.values())
-        seg, offset = repeated_strings(contents, np.array([d for d, _ in owners], dtype=np.int64))
+    def work(held: dict[bytes, tuple], copies: list[list]) -> Iterator[pa.RecordBatch]:
+        contents, owners = list(held), list(held.values())
         ids, subs, low, high = copies
-        if len(seg):
-            runs = np.flatnonzero(np.r_[True, (seg[1:] != seg[:-1]) | (offset[1:] != offset[:-1] + 1)])
-            lasts = np.r_[runs[1:], len(seg)] - 1
-            for s, a, b in zip(seg[runs].tolist(), offset[runs].tolist(), offset[lasts].tolist(), strict=True):
-                d, places = owners[s]
-                for x, p in places:
-                    ids.append(d)
-                    subs.append(x)
-                    low.append(p + a)
-                    high.append(p + b + SPAN)
-        return frame(ids, subs, low, high)
-
-    held: dict[bytes, tuple[int, list[tuple[int, int]]]] = {}
+        kept = np.flatnonzero(may_share(contents)).tolist()
+        size, group = 0, []
+        for i, at in enumerate(kept):
+            group.append(at)
+            size += len(contents[at]) + 1
+            # equal strings have equal keys: cut between keys
+            if i + 1 == len(kept) or (size >= SORT_BYTES and owners[kept[i + 1]][2] != owners[at][2]):
+                seg, offset = repeated_strings([contents[k] for k in group], np.array([owners[k][0] for k in group], dtype=np.int64))
+                runs = np.flatnonzero(np.r_[True, (seg[1:] != seg[:-1]) | (offset[1:] != offset[:-1] + 1)][:len(seg)])
+                lasts = np.r_[runs[1:], len(seg)] - 1 if len(runs) else runs
+                for s, a, b in zip(seg[runs].tolist(), offset[runs].tolist(), offset[lasts].tolist(), strict=True):
+                    d, places, _ = owners[group[s]]
+                    for x, p in places:
+                        ids.append(d)
+                        subs.append(x)
+                        low.append(p + a)
+                        high.append(p + b + SPAN)
+                size, group = 0, []
+        yield frame(ids, subs, low, high)
+
+    held: dict[bytes, tuple] = {}
     copies: list[list] = [[], [], [], []]
     size, key = 0, None
     for batch in batches:
         for k, d, x, a, c in zip(*[batch[n].to_pylist() for n in ("shard_key", "id", "sub", "first", "bytes")], strict=True):
-            if k != key and size >= SHARD_BYTES:  # equal strings have equal keys: cut between keys
-                yield work(held, copies)
+            if k != key and size >= SHARD_BYTES:
+                yield from work(held, copies)
                 held, copies, size = {}, [[], [], [], []], 0
             key = k
             if c not in held:
-                held[c] = (d, [(x, a)])
+                held[c] = (d, [(x, a)], k)
                 size += len(c) + 1
             elif held[c][0] == d:
                 if held[c][1][-1] != (x, a):  # a repeated row
@@ -397,7 +439,7 @@ def _sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield frame(*copies)
             copies = [[], [], [], []]
     if held:
-        yield work(held, copies)
+        yield from work(held, copies)
 
 
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"

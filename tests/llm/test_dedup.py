@@ -167,6 +167,31 @@ def test_texts_that_share_an_id_or_have_none_lose_their_own_bytes(spark, monkeyp
     assert sorted((tuple(r)[:5] for r in got.collect()), key=str) == brute_repeats(rows)
 
 
+def test_segments_left_out_share_no_string():
+    rnd = random.Random(79)
+    word = lambda: bytes(rnd.choices(b"abcd", k=rnd.randint(8, 14)))
+    words = [word() for _ in range(40)]
+    left_out = 0
+    for _ in range(30):
+        raws = [b" ".join(rnd.choices(words, k=40)) for _ in range(6)]
+        raws += [raws[0][:150] + raws[1][70:], raws[2][100:300], b"ab" * 80 + raws[3][:90]]
+        held = {}
+        for raw in raws:
+            for k, a, n in zip(*suffix_dedup.segments(raw), strict=True):
+                held.setdefault(int(k), set()).add(raw[a:a + n + 49])
+        contents = sorted({c for cs in held.values() if len(cs) > 1 for c in cs})
+        keep = suffix_dedup.may_share(contents)
+        strings = {}
+        for i, c in enumerate(contents):
+            for p in range(len(c) - 49):
+                strings.setdefault(c[p:p + 50], set()).add(i)
+        for s in strings.values():
+            if len(s) > 1:
+                assert all(keep[i] for i in s)
+        left_out += int((~keep).sum())
+    assert left_out > 100
+
+
 def test_suffix_arrays_equal_sorting():
     rnd = random.Random(1)
     for _ in range(200):
