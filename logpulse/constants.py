@@ -76,6 +76,19 @@ SPIKE_ADVICE = (
 )
 TOP_ERROR_ADVICE = "'{prefix}' occurred {count} times — consider adding retry logic."
 
+# Labels of the chat payload.
+WORST_WINDOW_LABEL = "*Worst window:*\n"
+ERROR_RATE_LABEL = "*Error rate:*\n"
+THRESHOLD_NOTE = " (threshold: {pct}%)"
+ERROR_COUNT_LABEL = "*Errors in window:*\n%,d / %,d entries"
+TOP_ERROR_LABEL = "*Top error:*\n`"
+TITLE_JOINT = " — "
+
+# HTML to text: what is replaced, in this order.
+HTML_TAG = r"<[^>]+>"
+HTML_BLANKS = r"[ \t]+"
+HTML_BREAKS = r"\n{3,}"
+
 
 # --- Default parameters -------------------------------------------------------
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from logpulse.constants import HTML_BLANKS, HTML_BREAKS, HTML_TAG
 from logpulse.functions.columns import col_
 
 
@@ -19,9 +20,9 @@ def html_to_text(html: str | Column) -> Column:
     more newlines collapse to a blank line, then white space (Unicode spaces
     included) is trimmed from the ends.
     """
-    t = F.regexp_replace(col_(html), r"<[^>]+>", " ")
-    t = F.regexp_replace(t, r"[ \t]+", " ")
-    t = F.regexp_replace(t, r"\n{3,}", "\n\n")
+    t = F.regexp_replace(col_(html), HTML_TAG, " ")
+    t = F.regexp_replace(t, HTML_BLANKS, " ")
+    t = F.regexp_replace(t, HTML_BREAKS, "\n\n")
     return F.regexp_replace(t, rf"\A[{SPACES}]+|[{SPACES}]+\z", "")
 
 

@@ -16,12 +16,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logpulse.constants import (
+    ERROR_COUNT_LABEL,
+    ERROR_RATE_LABEL,
     REASON_CRITICAL,
     REASON_HEALTHY,
     REASON_WARNING,
     SPIKE_ADVICE,
     STATUS_RANK,
+    THRESHOLD_NOTE,
+    TITLE_JOINT,
     TOP_ERROR_ADVICE,
+    TOP_ERROR_LABEL,
+    WORST_WINDOW_LABEL,
     HealthParams,
 )
 from logpulse.functions.columns import (
@@ -263,14 +269,13 @@ def alert_payload(params: HealthParams, sent_at: Column) -> Column:
     thr = _pct(params.error_rate_threshold)
     not_ok = F.col("status") != "HEALTHY"
     spike_fields = F.array(
-        _mrkdwn(F.concat(F.lit("*Worst window:*\n"), minute_text("window_start"))),
-        _mrkdwn(F.concat(F.lit("*Error rate:*\n"), percent_text("error_rate"),
-                         F.lit(f" (threshold: {thr}%)"))),
-        _mrkdwn(F.format_string("*Errors in window:*\n%,d / %,d entries",
+        _mrkdwn(F.concat(F.lit(WORST_WINDOW_LABEL), minute_text("window_start"))),
+        _mrkdwn(F.concat(F.lit(ERROR_RATE_LABEL), percent_text("error_rate"),
+                         F.lit(THRESHOLD_NOTE.format(pct=thr)))),
+        _mrkdwn(F.format_string(ERROR_COUNT_LABEL,
                                 F.col("error_count"), F.col("total_entries"))),
     )
-    top_field = F.array(_mrkdwn(F.concat(F.lit("*Top error:*\n`"),
-                                         F.col("top_error"), F.lit("`"))))
+    top_field = F.array(_mrkdwn(F.concat(F.lit(TOP_ERROR_LABEL), F.col("top_error"), F.lit("`"))))
     empty = F.array().cast("array<struct<type:string,text:string>>")
     fields = F.concat(F.when(not_ok, spike_fields).otherwise(empty),
                       F.when(F.col("top_error").isNotNull(), top_field).otherwise(empty))
@@ -285,7 +290,7 @@ def alert_payload(params: HealthParams, sent_at: Column) -> Column:
 
     header = block("header", F.struct(
         F.lit("plain_text").alias("type"),
-        F.concat(F.col("emoji"), F.lit(" "), F.col("status"), F.lit(f" — {params.alert_title}")).alias("text"),
+        F.concat(F.col("emoji"), F.lit(" "), F.col("status"), F.lit(TITLE_JOINT + params.alert_title)).alias("text"),
         F.lit(True).alias("emoji")))
     section = block("section", F.struct(F.lit("mrkdwn").alias("type"), F.col("transition").alias("text"),
                                         F.lit(None).cast("boolean").alias("emoji")))
@@ -352,14 +357,15 @@ def top_error_by_window(entries: DataFrame, window: str, keys: Sequence[str] = (
         F.min_by("p", F.struct((-F.col("c")).alias("nc"), F.col("p"))).alias("top_error"))
 
 
-def window_prefix_counts(entries: DataFrame, p: HealthParams, keys: Sequence[str] = ()) -> DataFrame:
+def window_prefix_counts(entries: DataFrame, p: HealthParams, keys: Sequence[str] = (), seen: bool = False) -> DataFrame:
     """(keys, window_start, p, n, e): rows and errors per window and prefix of
     error rows (other rows share the NULL prefix), the base of window rates and
-    top errors in one scan."""
+    top errors in one scan; with ``seen`` also their latest timestamp."""
     prefix = F.when(is_error("level"), message_prefix("message", p.prefix_length))
     return (entries
             .groupBy(*keys, floor_time("timestamp", p.window).alias("window_start"), prefix.alias("p"))
-            .agg(F.count(F.lit(1)).alias("n"), F.count_if(is_error("level")).alias("e")))
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if(is_error("level")).alias("e"),
+                 *([F.max("timestamp").alias("seen")] if seen else [])))
 
 
 def window_rates_with_top(entries: DataFrame, p: HealthParams, keys: Sequence[str] = ()) -> DataFrame:

@@ -80,8 +80,8 @@ class AlertState:
 
     # ---- what the tables hold ------------------------------------------------
 
-    def _counts(self, entries: DataFrame) -> DataFrame:
-        counts = window_prefix_counts(entries.where(F.col("timestamp").isNotNull()), self.params, self.keys)
+    def _counts(self, entries: DataFrame, seen: bool = False) -> DataFrame:
+        counts = window_prefix_counts(entries.where(F.col("timestamp").isNotNull()), self.params, self.keys, seen)
         return counts.withColumn("date", F.to_date("window_start"))
 
     def _scored(self, counts: DataFrame) -> DataFrame:
@@ -108,9 +108,10 @@ class AlertState:
     def apply(self, entries: DataFrame, version: int) -> None:
         """Take a batch of entries as version number ``version`` (growing; the same again after a failure)."""
         spark, keys = self.spark, self.keys
+        added = self._written(self._counts(entries, seen=True), "added", version)
         if self.lateness is not None:
-            self._split_late(entries, version)
-        added = self._written(self._counts(entries), "added", version)
+            self._split_late(entries, added.agg(F.max("seen")).first()[0], version)
+        added = added.drop("seen")
         dates = sorted(r[0] for r in added.select("date").distinct().collect())  # one value a date of the batch
         if not dates:
             return self._write_log(spark.createDataFrame([], self.log_schema), version)
@@ -182,9 +183,8 @@ class AlertState:
 
     # ---- late rows ---------------------------------------------------------------
 
-    def _split_late(self, entries: DataFrame, version: int) -> None:
+    def _split_late(self, entries: DataFrame, here, version: int) -> None:
         latest = self.clock.read(version).agg(F.max("latest")).first()[0]
-        here = entries.agg(F.max("timestamp")).first()[0]
         if latest is not None:
             limit = F.timestamp_add("MICROSECOND", F.lit(-duration_micros(self.lateness)), F.lit(latest))
             late = entries.where(F.col("timestamp") < limit).select(*self.entry_schema.names)

@@ -1,82 +1,95 @@
-"""Digest of the executed (final adaptive) plan of every registered batch query.
+"""What every registered query of the catalog did, from Spark's event log.
 
-usage: python scripts/plan_summary.py [sf_dir] > docs/plans.md
-Per query: parquet scans with their read schema and pushed filters, number
-of shuffles, reused exchanges / subqueries, joins, windows and top-n nodes.
+usage: python scripts/plan_summary.py [sf_dir [key ...]] > docs/plans.md
+       python scripts/plan_summary.py --json sf_dir key ...
+A query may run several jobs (writes in between, micro-batches): all of them count. Per query: scans of
+the given tables (a scan that is reused counts once), rows that tasks read from files, exchanges that ran and
+MB they wrote, joins, windows, Python nodes.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
+import tempfile
+import time
+from collections import Counter
+from pathlib import Path
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+JOINS = ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct")
 
-def final_only(plan: str) -> str:
-    """Drop every ``== Initial Plan ==`` section of an adaptive plan string
-    (the lines indented below the marker), keeping the final plans."""
-    lines: list[str] = []
-    for raw in plan.splitlines():
-        # literal newlines inside expressions (e.g. a regex replacement) split
-        # a plan line; tree lines start with a space, '+' or ':'
-        if lines and not raw.startswith((" ", "+", ":")):
-            lines[-1] += "\\n" + raw
-        else:
-            lines.append(raw)
-    out, skip_at = [], None
-    for line in lines:
-        indent = len(line) - len(line.lstrip(" :"))
-        if skip_at is not None:
-            if indent > skip_at:
-                continue
-            skip_at = None
-        if "== Initial Plan ==" in line:
-            skip_at = indent
-            continue
-        out.append(line)
-    return "\n".join(out)
 
+def nodes(plan: dict) -> list[tuple[str, dict]]:
+    """(name, metadata) of the nodes of a plan as the event log has it."""
+    name = plan["nodeName"]
+    if name.startswith("Reused"):
+        return [(name, plan.get("metadata", {}))]
+    return [(name, plan.get("metadata", {})), *[x for c in plan["children"] for x in nodes(c)]]
 
-def digest(plan: str) -> dict:
-    plan = final_only(plan)
-    scans = re.findall(r"FileScan parquet [^\n]*?PushedFilters: \[([^\]]*)\][^\n]*?ReadSchema: (struct<[^>]*>)", plan)
-    return {
-        "scans": len(re.findall(r"FileScan parquet", plan)),
-        "schemas": sorted({s for _, s in scans}),
-        "filters": sorted({f for f, _ in scans if f}),
-        "shuffles": len(re.findall(r"\bExchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan)),
-        "reused": len(re.findall(r"ReusedExchange|ReusedSubquery", plan)),
-        "joins": sorted(set(re.findall(r"\b(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)\b", plan))),
-        "windows": len(re.findall(r"\bWindow \[", plan)),
-        "topn": len(re.findall(r"TakeOrderedAndProject", plan)),
-        "generate": len(re.findall(r"\bGenerate ", plan)),
-    }
 
+def summary(events: list[dict], sf_dir: str) -> dict:
+    plans: dict[int, dict] = {}
+    out = Counter(rows=0, shuffled=0)
+    for e in events:
+        if "sparkPlanInfo" in e:
+            plans[e["executionId"]] = e["sparkPlanInfo"]  # the last of an execution is the one that ran
+        elif e["Event"] == "SparkListenerTaskEnd":
+            m = e.get("Task Metrics") or {}
+            out["rows"] += m.get("Input Metrics", {}).get("Records Read", 0)
+            out["shuffled"] += m.get("Shuffle Write Metrics", {}).get("Shuffle Bytes Written", 0)
+    found = [x for p in plans.values() for x in nodes(p)]
+    names = Counter(re.sub(r" \(\d+\)$", "", n) for n, _ in found)
+    tables = Counter()
+    for n, meta in found:
+        if n.startswith("Scan") and (m := re.search(rf"{re.escape(sf_dir.rstrip('/'))}/(\w+)\.parquet", meta.get("Location", "") + n)):
+            tables[m[1]] += 1
+        elif n.startswith("MicroBatchScan") or "FileStream" in n:
+            tables["stream"] += 1
+    return {"scans": dict(tables), "rows": out["rows"], "shuffles": names["Exchange"], "mb": round(out["shuffled"] / 1e6, 2),
+            "joins": {j: names[j] for j in JOINS if names[j]}, "windows": names["Window"],
+            "python": {n: c for n, c in names.items() if re.search("Python|Arrow|Pandas", n)}}
 
-def main() -> None:
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    from __spark_entry__ import queries
+
+def main(args: list[str]) -> None:
+    as_json = "--json" in args
+    args = [a for a in args if a != "--json"]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+
+    from logpulse.plans.catalog import QUERIES
     from logpulse.session import local_session
 
-    spark = local_session(8)
-    print(f"# Executed plans ({sf}, local[8], AQE on)\n")
-    print("Generated by `scripts/plan_summary.py` from each query's final adaptive plan "
-          "(after `collect()`). Streaming keys are omitted.\n")
-    print("| key | scans | shuffles | reused | joins | windows | top-n | generate | read schema | pushed filters |")
-    print("|---|---|---|---|---|---|---|---|---|---|")
-    for key, fn in queries().items():
-        if key.startswith("stream"):
-            continue
-        df = fn(spark, sf)
-        df.collect()
-        d = digest(df._jdf.queryExecution().executedPlan().toString())
-        print(f"| {key} | {d['scans']} | {d['shuffles']} | {d['reused']} | {', '.join(d['joins']) or '-'} "
-              f"| {d['windows']} | {d['topn']} | {d['generate']} | {'<br>'.join(d['schemas']) or '-'} "
-              f"| {'<br>'.join(d['filters']) or '-'} |")
+    log = Path(tempfile.mkdtemp(prefix="plan-events-"))
+    spark = local_session(8, extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{log}",
+                                    "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false",
+                                    "spark.sql.maxMetadataStringLength": "2000"})
+    spans = {}
+    for key in args[1:] or QUERIES:
+        t = time.time()
+        QUERIES[key](spark, sf).write.format("noop").mode("overwrite").save()
+        spans[key] = (t, time.time())
+    spark.stop()
+    events = [json.loads(line) for p in log.iterdir() for line in p.open()]
+    begun = {}
+    for e in events:
+        if "executionId" in e and "time" in e:
+            begun.setdefault(e["executionId"], e["time"] / 1000)
+    when = lambda e: (begun.get(e["executionId"]) if "executionId" in e
+                      else e["Task Info"]["Launch Time"] / 1000 if "Task Info" in e else None)
+    result = {key: summary([e for e in events if (t := when(e)) and a <= t <= b], sf) for key, (a, b) in spans.items()}
+    if as_json:
+        print(json.dumps(result))
+        return
+    print(f"# Executed plans ({sf}, local[8], AQE on)\n\nGenerated by `scripts/plan_summary.py` from Spark's event log: all jobs of a query.\n")
+    print("| key | scans of the tables | rows read from files | exchanges | MB shuffled | joins | windows | Python |\n|---|---|---|---|---|---|---|---|")
+    text = lambda d: ", ".join(f"{n} {k}" for k, n in d.items()) or "-"
+    for key, r in result.items():
+        print(f"| {key} | {text(r['scans'])} | {r['rows']} | {r['shuffles']} | {r['mb']} | {text(r['joins'])} | {r['windows']} | {text(r['python'])} |")
 
 
 if __name__ == "__main__":
-    main()
+    main(sys.argv[1:])

@@ -278,6 +278,27 @@ def test_watcher_over_growing_files_equals_the_batch_run(spark, scratch):
     assert state.window_rates().agg(F.sum("total_entries")).first()[0] == 201
 
 
+def test_watcher_polls_at_an_interval(spark, scratch):
+    """The clock goes on by itself: lines appended while it runs are taken."""
+    import time
+
+    logs, base = f"{scratch}/logs", datetime(2024, 3, 1, 10)
+    put(f"{logs}/a.log", "".join(line(base + timedelta(seconds=i)) for i in range(20)))
+    q, out, ck = watch_alerts(spark, logs, interval="1 seconds", output=f"{scratch}/alerts", checkpoint=f"{scratch}/ck")
+    try:
+        _, state, _ = log_watcher(spark, output=out, checkpoint=ck)
+        total = lambda: state.window_rates().agg(F.sum("total_entries")).first()[0] or 0
+        for n in (20, 30):
+            for _ in range(60):
+                if (got := total()) >= n or q.exception() is not None:
+                    break
+                time.sleep(1)
+            assert q.exception() is None and got == n
+            put(f"{logs}/a.log", "".join(line(base + timedelta(minutes=1, seconds=i)) for i in range(10)), "ab")
+    finally:
+        q.stop()
+
+
 # ---- published tables --------------------------------------------------------
 
 def test_a_failure_between_tables_leaves_the_earlier_version(spark, scratch):
