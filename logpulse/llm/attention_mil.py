@@ -43,8 +43,11 @@ FOLDS, HELD_OUT = 3, 1
 
 #: Byte classes: space, capital, small letter, digit, stop or comma, other sign, beyond ASCII.
 CLASSES = 7
+NUMBERS = 7
 PAIR_BUCKETS = 32
-FEATURES = CLASSES + 6 + PAIR_BUCKETS
+FEATURES = CLASSES + NUMBERS + PAIR_BUCKETS
+#: Bytes and words added to a passage's own when shares are taken, so that a few words have no extreme ones.
+PRIOR_BYTES, PRIOR_WORDS = 32, 8
 ENCODED, GATES = 16, 8
 STEPS, RATE, SHRINK = 300, 0.02, 1e-4
 
@@ -122,11 +125,13 @@ def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     times = np.diff(np.r_[new, len(p)])
     most = np.zeros(total)
     np.maximum.at(most, p[new], times)
-    x[:, :CLASSES] = np.sqrt(shares / np.maximum(size, 1)[:, None])
-    x[:, CLASSES:CLASSES + 6] = np.column_stack([
+    again = np.r_[False, (word[1:] == word[:-1]) & (passage[1:] == passage[:-1])]
+    x[:, :CLASSES] = np.sqrt(shares / (size + PRIOR_BYTES)[:, None])
+    x[:, CLASSES:CLASSES + NUMBERS] = np.column_stack([
         np.log1p(count), np.log1p(mean), np.log1p(np.sqrt(np.maximum(square - mean ** 2, 0))),
-        np.bincount(p[new], minlength=total) / some, most / some, np.log1p(size)])
-    x[:, CLASSES + 6:] = np.sqrt(pairs / np.maximum(size, 1)[:, None])
+        (count - np.bincount(p[new], minlength=total)) / (count + PRIOR_WORDS), most / (count + PRIOR_WORDS),
+        np.bincount(passage[again], minlength=total) / (count + PRIOR_WORDS), np.log1p(size)])
+    x[:, CLASSES + NUMBERS:] = np.sqrt(pairs / (size + PRIOR_BYTES)[:, None])
     x[count == 0] = 0
     return x, of_text
 

@@ -214,9 +214,9 @@ def brute_features(text):
     for i in range(0, max(1, len(words)), attention_mil.PASSAGE_WORDS):
         w = words[i:i + attention_mil.PASSAGE_WORDS]
         length = [len(x) for x in w] or [0]
-        c = Counter(w)
-        out.append([np.log1p(len(w)), np.log1p(np.mean(length)), np.log1p(np.std(length)), len(c) / max(1, len(w)),
-                    max(c.values(), default=0) / max(1, len(w))])
+        c, n = Counter(w), len(w) + attention_mil.PRIOR_WORDS
+        out.append([np.log1p(len(w)), np.log1p(np.mean(length)), np.log1p(np.std(length)), (len(w) - len(c)) / n,
+                    max(c.values(), default=0) / n, sum(a == b for a, b in zip(w, w[1:], strict=False)) / n])
     return np.array(out)
 
 
@@ -228,7 +228,7 @@ def test_encoding_equals_brute_force():
         want = brute_features(t)
         assert own.shape[0] == want.shape[0]
         k = attention_mil.CLASSES
-        assert np.allclose(own[:, k:k + 5], want, atol=1e-4), t[:40]
+        assert np.allclose(own[:, k:k + 6], want, atol=1e-4), t[:40]
         alone, _ = attention_mil.encode([t])
         assert np.allclose(alone, own)
 
