@@ -190,8 +190,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     rows, a partly taken one a row whose text holds the drawn words (space-joined,
     in order). ``n_chars``, where there is one, follows the text.
 
-    A row lies where the tree has put its first drawn block: rows are dealt by shard and sorted, within
-    a task, by shard and the block's random place in it."""
+    A row lies where the tree has put its first drawn block: a task writes its rows by shard and by the
+    block's random place in the shard, without another exchange of the texts."""
     _, blocks = mixed_blocks(docs)
     key = F.coalesce(F.concat(F.lit("="), "source"), F.lit("-"))
     drawn = blocks.groupBy(
@@ -218,7 +218,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     at = [F.col("_pass._at.shard").alias("_shard"), F.col("_pass._at.place").alias("_place")]
     out = out.select(*[F.col(f"`{c}`") for c in docs.columns], *at)
-    return out.repartition("_shard").sortWithinPartitions("_shard", "_place").drop("_shard", "_place")
+    return out.sortWithinPartitions("_shard", "_place").drop("_shard", "_place")
 
 
 def op4_splitting_tree(spark, sf_dir: str) -> DataFrame:

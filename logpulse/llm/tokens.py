@@ -24,9 +24,9 @@ PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 PIECE_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 _SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 _WHOLE = re.compile("[\x1c-\x1fΣİ]|<\\|")
-#: Words (about 200 bytes each) and pieces per generation of a Python worker's caches. There are two: a full
-#: one becomes the old one, and what is met again moves over from there.
-CACHE_WORDS = 400_000
+#: Words and pieces (about 230 bytes each) that a Python worker keeps. Frequent ones come early, so a full cache takes
+#: no more, until STALE times as many were not in it: then the texts are others, and it starts anew.
+CACHE_WORDS, CACHE_PIECES, STALE = 400_000, 150_000, 8
 
 
 def _byte_letters() -> dict[int, str]:
@@ -57,9 +57,8 @@ class TokenIds:
         if own is None:
             letters = p if p.isascii() else p.encode().decode("latin-1").translate(self.letters)
             own = array("H", [t.id for t in self.model.tokenize(letters)]).tobytes()
-            if len(self.pieces) >= CACHE_WORDS:
-                self.pieces.clear()
-            self.pieces[p] = own
+            if len(self.pieces) < CACHE_PIECES:
+                self.pieces[p] = own
         return own
 
     def encode(self, text: str) -> bytes:
@@ -67,36 +66,34 @@ class TokenIds:
             return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
-        words = self.by_word
-        if len(words) > CACHE_WORDS:
-            words.turn()
-        return b"".join(map(words.__getitem__, text.lower().split()))
+        return b"".join(map(self.by_word.__getitem__, text.lower().split()))
 
 
 class _Words(dict):
     def __init__(self, ids: TokenIds) -> None:
         super().__init__()
         self.ids = ids
-        self.old: dict[str, bytes] = {}
-
-    def turn(self) -> None:
-        self.old = dict(self)
-        self.clear()
+        self.missed = 0
 
     def __missing__(self, word: str) -> bytes:
-        own = self.old.get(word)
-        if own is None:
-            if word.isascii():
-                # letters are one piece, and so are signs after them
-                core = word.rstrip(_SIGNS)
-                if core.isalpha():
-                    pieces = (word,) if len(core) == len(word) else (core, word[len(core):])
-                else:
-                    pieces = PIECE_ASCII.findall(word)
+        if word.isascii():
+            # letters are one piece, and so are signs after them
+            core = word.rstrip(_SIGNS)
+            if core.isalpha():
+                pieces = (word,) if len(core) == len(word) else (core, word[len(core):])
             else:
-                pieces = PIECE.findall(word)
-            own = b"".join(map(self.ids.piece, pieces))
-        self[word] = own
+                pieces = PIECE_ASCII.findall(word)
+        else:
+            pieces = PIECE.findall(word)
+        own = b"".join(map(self.ids.piece, pieces))
+        if len(self) < CACHE_WORDS:
+            self[word] = own
+        elif self.missed < STALE * CACHE_WORDS:
+            self.missed += 1
+        else:
+            self.clear()
+            self.ids.pieces.clear()
+            self.missed = 0
         return own
 
 
