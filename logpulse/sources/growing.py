@@ -91,17 +91,26 @@ def _place_in_split():
     return run
 
 
-def placed_lines(spark: SparkSession, path: str, glob: str, files: list[str]) -> DataFrame:
-    """(file_path, start, line_bytes, line) of ``files``: raw lines and where in the file they begin."""
+#: Up to so many changed files are named to the scan, which then opens no other; of more, the lines of others are dropped.
+NAMED_FILES = 5_000
+
+
+def placed_lines(spark: SparkSession, path: str, glob: str, changed: DataFrame) -> DataFrame:
+    """(file_path, start, line_bytes, line) of the files in ``changed``: raw lines and where in the file they begin."""
+    names = changed.select("file_path")
+    files = [r["file_path"] for r in names.limit(NAMED_FILES + 1).collect()]
+    named = len(files) <= NAMED_FILES
     # only the line feed ends a line here, so that lengths add up; other ends are cut afterwards
-    raw = (spark.read.option("lineSep", "\n").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-           .text(path).where(F.col("_metadata.file_path").isin(files))
-           .select(F.col("_metadata.file_path").alias("file_path"),
-                   F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line")))
+    lines = (spark.read.option("lineSep", "\n").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+             .text(path))
+    raw = (lines.where(F.col("_metadata.file_path").isin(files)) if named else lines).select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line"))
     splits = raw.groupBy("file_path", "block").agg(F.sum(F.octet_length("line") + 1).alias("bytes"))
     along = Window.partitionBy("file_path").orderBy("block")
     starts = splits.select("file_path", "block", (F.sum("bytes").over(along) - F.col("bytes")).alias("from"))
-    return (raw.mapInArrow(_place_in_split(), _PLACED).join(starts, ["file_path", "block"])
+    placed = raw.mapInArrow(_place_in_split(), _PLACED).join(starts, ["file_path", "block"])  # placed in the order of the scan
+    return ((placed if named else placed.join(names, "file_path", "left_semi"))
             .select("file_path", (F.col("from") + F.col("place")).alias("start"), "line_bytes", "line"))
 
 
@@ -179,8 +188,7 @@ class LineLedger:
             F.col("now_modified") == F.col("modified"))
         listed = listed.withColumn("rested", F.coalesce(rested, F.lit(False)))
         changed = listed.where("now is not null and not rested")
-        files = [r["file_path"] for r in changed.where("now > 0").select("file_path").collect()]  # as Spark itself lists them
-        placed = placed_lines(spark, log_dir, glob, files)
+        placed = placed_lines(spark, log_dir, glob, changed.where("now > 0"))
         starts = self._starts(placed, listed, changed, version)
 
         state = changed.select("file_path", "now", F.col("size").eqNullSafe(F.col("now")).alias("quiet"))

@@ -12,7 +12,8 @@ from logpulse.functions import repaired
 from logpulse.jobs import log_watcher, poll_alerts, watch_alerts
 from logpulse.operators import window_alerts, window_error_rate
 from logpulse.sources import load_hadoop_logs, parse_hadoop_lines, published, read_log_lines
-from logpulse.sources.growing import LineLedger, log_lines, placed_lines
+from logpulse.sources import growing
+from logpulse.sources.growing import LineLedger, list_files, log_lines, placed_lines
 from logpulse.streaming import AlertState, finished
 
 
@@ -121,10 +122,12 @@ def test_a_failed_poll_is_run_again(spark, polls):
     assert sorted(polls()) == ["1", "2", "3"] and version == 1 and LineLedger(spark, polls.path).version() == 1
 
 
-def test_random_histories_equal_the_batch_read(spark, polls):
+@pytest.mark.parametrize("named", [5_000, 1])
+def test_random_histories_equal_the_batch_read(spark, polls, monkeypatch, named):
+    monkeypatch.setattr(growing, "NAMED_FILES", named)
     rnd = random.Random(41)
     n = 0
-    for _ in range(8):
+    for _ in range(6):
         for name in "abc":
             path = f"{polls.logs}/{name}.log"
             what = rnd.random()
@@ -149,8 +152,7 @@ def test_places_add_up_over_splits(spark, scratch):
     before = spark.conf.get(key)
     spark.conf.set(key, "3000")
     try:
-        files = [r.file_path for r in spark.read.format("binaryFile").load(f"{scratch}/logs").select("_metadata.file_path").collect()]
-        rows = placed_lines(spark, f"{scratch}/logs", "*.log", files).collect()
+        rows = placed_lines(spark, f"{scratch}/logs", "*.log", list_files(spark, f"{scratch}/logs")).collect()
     finally:
         spark.conf.set(key, before)
     assert len(rows) == 600
