@@ -330,6 +330,26 @@ def test_query_matches_oracle(spark, key):
     assert compare(QUERIES[key](spark, SF).toPandas(), want) is None
 
 
+def test_pipeline_run_leaves_the_tables_of_its_last_stage_only(spark):
+    import os
+
+    import corpus_pipeline
+    from logpulse.llm import common
+    from logpulse.llm.common import documents, written
+
+    since = len(common.made)
+    pieces = corpus_pipeline.run(spark, SF)
+    names = [os.path.basename(p).rsplit("-", 1)[0] for p in common.made[since:]]
+    assert names[0] == "stage_mix_sources" and set(names[1:]) <= {"pack_tokens", "pack_parts", "pack_plan"}
+    assert all(os.path.isdir(p.removeprefix("file:")) for p in common.made[since:])
+    docs = documents(spark, SF)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, SF), f"again_{name}")
+    again = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    total = lambda p: p.groupBy("doc_id").agg(F.sum("length").alias("n")).orderBy("doc_id").collect()
+    assert total(pieces) == total(again)
+
+
 def test_pipeline_keeps_columns_and_packs_what_is_left(spark):
     import corpus_pipeline
     from logpulse.llm.common import documents, written
