@@ -1,5 +1,6 @@
 """Corpus preparation: five stages over ``documents``, each stage's rows written
-as Parquet in the shared folder and read back for the next.
+as Parquet in the shared folder and read back for the next. What a stage has read and
+written on the way is removed once its rows are written.
 
 Quality rules drop rejected documents, exact dedup and SimHash near-dedup leave
 one document per group, mixing takes documents to their source's target words
@@ -11,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logpulse.llm.common import documents, written
+from logpulse.llm.common import documents, made, removed, written
 from logpulse.llm.exact_dedup import drop_exact_copies
 from logpulse.llm.mixing import mixed_documents
 from logpulse.llm.packing import packed_pieces
@@ -53,6 +54,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
+    since = len(made)
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"stage_{name}")
+        removed(spark, since, keep=1)  # what the stage read and wrote on the way
     return STAGES[-1][1](spark, docs, sf_dir)
