@@ -26,24 +26,35 @@ def _types(t: np.ndarray) -> np.ndarray:
 
 def _sweep(line: np.ndarray, t: np.ndarray, wanted: np.ndarray, at: np.ndarray) -> None:
     """Scan ``line`` from its start and append, for each suffix met, the one before it in ``t``, if
-    ``wanted``, to its bucket (``at`` has the next free place of each). Free places are negative."""
+    ``wanted`` (the last one never is), to its bucket (``at`` has the next free place of each). Free places
+    are negative."""
     done, reach, n = 0, 256, len(line)
+    steps = np.arange(n)
     while done < n:
         window = line[done:done + reach]
         free = window < 0
         k = int(free.argmax())
         stop = k if free[k] else len(window)
-        batch = window[:stop]
-        j = batch[batch > 0] - 1
+        j = window[:stop] - 1  # before the first suffix stands the last one
         j = j[wanted[j]]
-        if len(j):
+        m = len(j)
+        if m:
             d = t[j]
-            order = np.argsort(d, kind="stable")
-            d, j = d[order], j[order]
-            first = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
-            count = np.diff(np.r_[first, len(d)])
-            line[at[d] + np.arange(len(d)) - np.repeat(first, count)] = j
-            at[d[first]] += count
+            order = d.argsort(kind="stable")
+            d = d[order]
+            new = (d[1:] != d[:-1]).nonzero()[0]
+            first = np.empty(len(new) + 1, dtype=np.int64)
+            first[0] = 0
+            first[1:] = new
+            first[1:] += 1
+            count = np.empty_like(first)
+            count[:-1] = first[1:]
+            count[-1] = m
+            count -= first
+            heads = d[first]
+            place = at[heads]
+            line[np.repeat(place - first, count) + steps[:m]] = j[order]
+            at[heads] = place + count
         done += stop
         reach = max(256, 2 * stop)
 
@@ -60,7 +71,9 @@ def _induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
     first = np.cumsum(block) - block
     line = np.full(int(block.sum()), -1, dtype=np.int64)
     line[(first + n_large)[of] + np.arange(len(seeds)) - (np.cumsum(n_seed) - n_seed)[of]] = seeds
-    _sweep(line, t, ~small, first.copy())
+    large, behind = ~small, small.copy()
+    large[-1] = behind[-1] = False
+    _sweep(line, t, large, first.copy())
     larger = line[~small[line]]
     # back: each bucket's smaller suffixes from its end, behind its larger ones
     sa = np.full(n, -1, dtype=np.int64)
@@ -68,7 +81,7 @@ def _induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
     of = t[larger]
     sa[(ends - n_large - n_small)[of] + np.arange(len(larger)) - (np.cumsum(n_large) - n_large)[of]] = larger
     sa[0] = n - 1  # the terminator is not induced; it is alone in its bucket
-    _sweep(sa[::-1], t, small, n - ends)
+    _sweep(sa[::-1], t, behind, n - ends)
     return sa
 
 

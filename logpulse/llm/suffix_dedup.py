@@ -25,7 +25,7 @@ strings with one key travels as one segment (about one per 17 bytes).
    the compressed texts as in 2), and what is left is hashed. Texts with one doc_id, or none,
    have numbers that keep them apart; only doc_ids decide which string comes first.
 
-Keys and segments are compared by 40-bit and 47-bit hashes together; segments
+Keys and segments are compared by 40-bit and 46-bit hashes together; segments
 of one shard are compared by bytes.
 
 Defined cases: a null text counts as empty; matches never cross documents; texts
@@ -105,12 +105,14 @@ def segments(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _segment_hashes(raw: bytes, first: np.ndarray, strings: np.ndarray) -> np.ndarray:
-    return np.array([xxh64_intdigest(raw[a:b], 3) & ((1 << 47) - 1) for a, b in zip(
+    return np.array([xxh64_intdigest(raw[a:b], 3) & ((1 << 46) - 1) for a, b in zip(
         first.tolist(), (first + strings + SPAN - 1).tolist(), strict=True)], dtype=np.uint64)
 
 
-#: Segment hashes have 47 bits; the highest of 48 marks a candidate that has copies in its own task.
-_SEGMENT_MASK = np.uint64((1 << 47) - 1)
+#: Segment hashes have 46 bits of 48: in lists the highest bit marks a candidate that has copies in its own
+#: task, in roles the two highest are the role (0 copy, 1 own, 2 own with a hot key).
+_SEGMENT_MASK = np.uint64((1 << 46) - 1)
+_ROLE = np.uint64(46)
 
 
 def _short(v: np.ndarray, width: int) -> bytes:
@@ -205,30 +207,20 @@ _ROLES = "id long, sub long, roles binary"
 
 
 def _packed_roles(ids: np.ndarray, subs: np.ndarray, role: np.ndarray, segs: np.ndarray) -> pa.RecordBatch:
-    """Rows sorted by text and role -> one row a text: how many copies, own and hot segments, then the segments.
+    """Rows sorted by text -> one row a text: its segments with their roles.
 
     One column, so that every reader asks for the same."""
     new = np.flatnonzero(_starts_of(ids, subs))
-    ends = [*new[1:].tolist(), len(ids)]
-    out = []
-    for a, b in zip(new.tolist(), ends, strict=True):
-        cuts = np.searchsorted(role[a:b], [1, 2])
-        head = np.array([cuts[0], cuts[1] - cuts[0], b - a - cuts[1]], dtype="<u4")
-        out.append(head.tobytes() + _short(segs[a:b], 6))
-    return pa.record_batch([pa.array(ids[new], pa.int64()), pa.array(subs[new], pa.int64()), pa.array(out, pa.binary())],
-                           names=["id", "sub", "roles"])
-
-
-def _roles_of(parts: list[bytes] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The copies, own and hot segments of a text from its packed rows."""
-    split: tuple[list, list, list] = ([], [], [])
-    for raw in parts or []:
-        segs = _from_short(raw[12:], 6)
-        at = np.cumsum(np.frombuffer(raw[:12], "<u4"))
-        for k, v in enumerate(np.split(segs, at[:2])):
-            split[k].append(v)
-    none = np.zeros(0, dtype=np.uint64)
-    return tuple(np.concatenate(v) if v else none for v in split)
+    raw = _short(segs | (role.astype(np.uint64) << _ROLE), 6)
+    at = (6 * np.r_[new, len(ids)]).tolist()
+    return pa.record_batch([pa.array(ids[new], pa.int64()), pa.array(subs[new], pa.int64()),
+                            pa.array([raw[a:b] for a, b in zip(at, at[1:], strict=False)], pa.binary())], names=["id", "sub", "roles"])
+
+
+def _roles_of(parts: list[bytes] | None) -> tuple[np.ndarray, np.ndarray]:
+    """The segments of a text and their roles, from its packed rows."""
+    v = _from_short(b"".join(parts or []), 6)
+    return v & _SEGMENT_MASK, v >> _ROLE
 
 
 def _assign_roles(hot_segments: int):
@@ -297,7 +289,8 @@ def _cut_representatives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
     for batch in batches:
         out: list[list] = [[], [], [], [], []]
         for d, x, z, roles in zip(*[batch[c].to_pylist() for c in ("id", "sub", "z", "roles")], strict=True):
-            _, own, hot = _roles_of(roles)
+            segs, role = _roles_of(roles)
+            own, hot = segs[role == 1], segs[role == 2]
             if not len(own) and not len(hot):
                 continue
             raw = unpack(z)
@@ -307,7 +300,7 @@ def _cut_representatives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
                 a = int(first[i])
                 for values, v in zip(out, (int(key[i]), d, x, a, raw[a:a + int(strings[i]) + SPAN - 1]), strict=True):
                     values.append(v)
-            for i in np.flatnonzero(np.isin(seg, hot)).tolist():
+            for i in np.flatnonzero(np.isin(seg, hot)).tolist() if len(hot) else ():
                 for a in range(int(first[i]), int(first[i] + strings[i])):
                     piece = raw[a:a + SPAN]
                     for values, v in zip(out, (xxh64_intdigest(piece, 5) >> 1, d, x, a, piece), strict=True):
@@ -452,7 +445,8 @@ def _remove(keep_bytes: bool):
             out: list[list] = [[] for _ in range(6)]
             for d, z, roles, ranges in zip(*[batch[c].to_pylist() for c in ("doc_id", "z", "roles", "ranges")], strict=True):
                 raw = unpack(z)
-                n, (copies, _, _) = len(raw), _roles_of(roles)
+                segs, role = _roles_of(roles)
+                n, copies = len(raw), segs[role == 0]
                 kept, gone, spans = raw, 0, 0
                 if len(copies) or ranges:
                     change = np.zeros(n + 1, dtype=np.int32)
