@@ -49,6 +49,16 @@ BROADCAST_STARTS = 200_000
 _TOKENS = "doc_id long, source_key string, pid int, place long, doc_tokens long, ids binary"
 
 
+#: Documents worked on together: what a worker holds beside its caches.
+SLICE_ROWS = 1_000
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def _tokenise(vocabulary: str | None):
     """Documents of a partition -> their ids and their place in the partition's queue of their source."""
 
@@ -62,7 +72,7 @@ def _tokenise(vocabulary: str | None):
         ctx = TaskContext.get()
         pid = ctx.partitionId() if ctx else 0
         filled: dict[str, int] = {}
-        for batch in batches:
+        for batch in _slices(batches):
             queues = batch["source_key"].to_pylist()
             ids = [encode(t) + end for t in batch["text"].to_pylist()]
             places = []
@@ -194,9 +204,7 @@ def _cut(totals: list[int], weights: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = _Windows(totals, weights)
         names = [f.split()[0] for f in _PIECES.split(", ")]
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _slices(batches):
             s, place, n = (batch[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("number", "place", "doc_tokens"))
             ids = np.frombuffer(b"".join(batch["ids"].to_pylist()), dtype="<u2").astype("<u4")
             doc, start, length, window, offset = windows.pieces(s, place, n)

@@ -26,7 +26,7 @@ _SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 _WHOLE = re.compile("[\x1c-\x1fΣİ]|<\\|")
 #: Words and pieces (about 230 bytes each) that a Python worker keeps. Frequent ones come early, so a full cache takes
 #: no more, until STALE times as many were not in it: then the texts are others, and it starts anew.
-CACHE_WORDS, CACHE_PIECES, STALE = 400_000, 150_000, 8
+CACHE_WORDS, CACHE_PIECES, STALE = 250_000, 80_000, 8
 
 
 def _byte_letters() -> dict[int, str]:
