@@ -45,9 +45,9 @@ MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
 MIN_ROWS = 50
 COVERED = 0.6
-#: At most so many concentration steps; they end when no log determinant changes by more than SETTLED.
+#: At most so many concentration steps; they end when no determinant changes by more than one part in a hundred.
 STEPS = 12
-SETTLED = 1e-4
+SETTLED = 0.01
 PRIOR_LINES, PRIOR_WORDS = 8, 64
 #: Squared distance: the chi-square quantile of the five statistics at 1 - 1e-5.
 REJECT = 30.856
@@ -252,15 +252,12 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows that pass, all columns. Statistics are computed twice, texts are never shuffled."""
-    base = document_columns(docs, "text", "lang", "source")
-    vectors = written(_with_vector(base.select("lang", "source", _stats("text").alias("s"))
-                                   .select("lang", "source", "s.*")), "quality_vectors")
-    estimates = fit(vectors.where(~F.col("base_failed")))
+    """The rows that pass, all columns. They are written once with their statistics, and never shuffled."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        docs["lang"].alias("lang"), docs["source"].alias("source"),
                        _stats(docs["text"]).alias("s")).select("row", "lang", "source", "s.*")
-    return judge(_with_vector(rows), estimates).where("kept").select("row.*")
+    vectors = written(_with_vector(rows), "quality_rows")
+    return judge(vectors, fit(vectors.where(~F.col("base_failed")))).where("kept").select("row.*")
 
 
 def op1_robust_outliers(spark, sf_dir: str) -> DataFrame:
