@@ -12,7 +12,10 @@ def copy_without(scratch, *gone):
     shutil.copytree(ROOT, f"{scratch}/repo", ignore=shutil.ignore_patterns(".git", "__pycache__", ".pytest_cache", ".hypothesis"))
     for name in gone:
         path = f"{scratch}/repo/{name}"
-        shutil.rmtree(path) if os.path.isdir(path) else os.remove(path)
+        if os.path.isdir(path):
+            shutil.rmtree(path)
+        elif os.path.exists(path):  # they may be gone already
+            os.remove(path)
     return f"{scratch}/repo"
 
 
